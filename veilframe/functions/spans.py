@@ -102,15 +102,15 @@ def union_plain(spans: Column) -> Column:
 
 
 def splice(text: Column, spans: Column, replacement) -> Column:
-    """Replace disjoint sorted spans by replacement(span); pieces are joined once."""
-    def piece(s, i):
-        prev = F.when(i == 0, F.lit(0)).otherwise(F.element_at(spans, F.greatest(i, F.lit(1)))["end"])
-        return F.concat(F.substring(text, prev + 1, s["start"] - prev), replacement(s))
-
-    last = F.element_at(spans, -1)["end"]
-    whole = F.concat(F.array_join(F.transform(spans, piece), ""),
-                     F.substring(text, last + 1, F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(whole)
+    """Replace disjoint sorted spans by replacement(span); pieces are joined once.
+
+    Each span is paired with the end of the one before it; the pair behind the last span is the tail.
+    """
+    ends = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
+    pieces = F.zip_with(spans, ends, lambda s, prev: F.concat(
+        F.substring(text, prev + 1, F.coalesce(s["start"] - prev, F.lit(2**31 - 1))),
+        F.coalesce(replacement(s), F.lit(""))))
+    return F.array_join(pieces, "")
 
 
 def mask(text: Column, spans: Column) -> Column:

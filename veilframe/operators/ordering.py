@@ -104,3 +104,23 @@ def running(
         out = out.withColumn(name, value)
     extra = ["_part", "_pos", "_cp", *[f"_by_{c}" for c in by], *[f"_c_{n}" for n in aggs]]
     return out.drop(*extra)
+
+
+def row_index_by_id(df: DataFrame, id_col: str, name: str = "row_idx", width: int = 65_536,
+                    max_buckets: int = 1_000_000) -> DataFrame:
+    """row_index for a unique, dense integer id, without writing the rows.
+
+    Ids fall into buckets of `width` values, so no bucket holds more than `width` rows; only one
+    count per bucket is summed centrally. Sparse ids (too many buckets) use row_index.
+    """
+    lo, hi = df.agg(F.min(id_col), F.max(id_col)).first()
+    if lo is not None and (hi - lo) // width >= max_buckets:
+        return row_index(df, [id_col], name)
+    rows = df.withColumn("_b", F.floor((F.col(id_col) - F.lit(lo or 0)) / width))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy("_b").count().select(
+        F.col("_b"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_b").orderBy(id_col)
+    return (rows.join(offsets, "_b")
+            .withColumn(name, F.col("_off") + F.row_number().over(inside) - 1)
+            .drop("_b", "_off"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilframe.functions import detect, spans
+from veilframe.functions.detect import normalise_one
 from veilframe.sources.rules import Rules
 
 
@@ -25,10 +26,10 @@ def with_findings(df: DataFrame, rules: Rules = Rules(), text: str = "text",
 
 
 def findings(df: DataFrame, key: list[str], rules: Rules = Rules(), text: str = "text") -> DataFrame:
-    """One row per finding: key, category, source, start, end. The text itself is not carried."""
+    """One row per finding: key, category, rule, start, end. The text itself is not carried."""
     return (with_findings(df, rules, text)
-            .select(*key, F.explode("spans").alias("s"))
-            .select(*key, "s.category", "s.source", "s.start", "s.end"))
+            .select(*key, F.explode_outer("spans").alias("s")).where("s is not null")
+            .select(*key, "s.category", F.col("s.source").alias("rule"), "s.start", "s.end"))
 
 
 def redact_rules(df: DataFrame, rules: Rules = Rules(), text: str = "text",
@@ -63,7 +64,7 @@ def redact(df: DataFrame, rules: Rules = Rules(), text: str = "text", out: str =
 def _walk(value, labels, leaf, masked):
     """Rebuild a JSON value: sensitive keys through masked(), other strings and ints through leaf()."""
     if isinstance(value, dict):
-        return {k: masked(v) if detect.normalise_one(k)[0].casefold() in labels
+        return {k: masked(v) if normalise_one(k)[0].casefold() in labels
                 else _walk(v, labels, leaf, masked) for k, v in value.items()}
     if isinstance(value, list):
         return [_walk(v, labels, leaf, masked) for v in value]
