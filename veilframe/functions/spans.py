@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veilframe.functions.fold import let, scan
+
 SPANS = T.ArrayType(T.StructType([
     T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
     T.StructField("category", T.StringType()), T.StructField("source", T.StringType())]))
@@ -48,27 +50,25 @@ def regex_spans(text: Column, pattern: str, category: str, source: str, keep=Non
                         F.when(wanted, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
     zero = F.struct(F.lit(0).alias("pos"), no_spans().alias("out"))
-    return F.when(text.rlike(pattern), F.aggregate(pairs, zero, step, lambda acc: acc["out"])) \
-            .otherwise(no_spans())
+    return F.when(text.rlike(pattern), scan(pairs, zero, ["pos"], SPANS, step)).otherwise(no_spans())
 
 
 def _fold(ordered: Column, elem_type: str, merge) -> Column:
     """Left fold of sorted spans into disjoint ones; merge(previous, span) joins two overlapping."""
-    zero = F.struct(F.array().cast(f"array<{elem_type}>").alias("done"),
-                    F.lit(None).cast(elem_type).alias("cur"))
+    out_type = f"array<{elem_type}>"
+    zero = F.struct(F.lit(None).cast(elem_type).alias("cur"), F.array().cast(out_type).alias("out"))
 
     def step(acc, x):
-        cur, done = acc["cur"], acc["done"]
+        cur, out = acc["cur"], acc["out"]
         overlap = cur.isNotNull() & (x["start"] < cur["end"])
         return F.struct(
-            F.when(overlap | cur.isNull(), done).otherwise(F.concat(done, F.array(cur))).alias("done"),
-            F.when(overlap, merge(cur, x)).otherwise(x).alias("cur"))
+            F.when(overlap, merge(cur, x)).otherwise(x).alias("cur"),
+            F.when(overlap | cur.isNull(), out).otherwise(F.concat(out, F.array(cur))).alias("out"))
 
-    def finish(acc):
-        return F.when(acc["cur"].isNull(), acc["done"]) \
-                .otherwise(F.concat(acc["done"], F.array(acc["cur"])))
+    def finish(last):
+        return F.when(last["cur"].isNull(), F.array().cast(out_type)).otherwise(F.array(last["cur"]))
 
-    return F.aggregate(ordered, zero, step, finish)
+    return scan(ordered, zero, ["cur"], out_type, step, finish)
 
 
 def union_spans(spans: Column) -> Column:
@@ -102,20 +102,22 @@ def union_plain(spans: Column) -> Column:
 
 
 def splice(text: Column, spans: Column, replacement) -> Column:
-    """Replace disjoint sorted spans by replacement(span); pieces are joined once.
+    """Replace disjoint sorted spans by replacement(text, span); pieces are joined once.
 
     Each span is paired with the end of the one before it; the pair behind the last span is the tail.
     """
-    ends = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
-    pieces = F.zip_with(spans, ends, lambda s, prev: F.concat(
-        F.substring(text, prev + 1, F.coalesce(s["start"] - prev, F.lit(2**31 - 1))),
-        F.coalesce(replacement(s), F.lit(""))))
-    return F.array_join(pieces, "")
+    def join(t, sp):
+        ends = F.concat(F.array(F.lit(0)), F.transform(sp, lambda s: s["end"]))
+        pieces = F.zip_with(sp, ends, lambda s, prev: F.concat(
+            F.substring(t, prev + 1, F.coalesce(s["start"] - prev, F.lit(2**31 - 1))),
+            F.coalesce(replacement(t, s), F.lit(""))))
+        return F.array_join(pieces, "")
+    return let(text, lambda t: let(spans, lambda sp: join(t, sp)))
 
 
 def mask(text: Column, spans: Column) -> Column:
     """Equal-length mask: one asterisk per original code point."""
-    return splice(text, spans, lambda s: F.repeat(F.lit("*"), s["end"] - s["start"]))
+    return splice(text, spans, lambda t, s: F.repeat(F.lit("*"), s["end"] - s["start"]))
 
 
 def replace_entities(text: Column, entities: Column, name_mask: str = "full") -> Column:
@@ -133,11 +135,11 @@ def replace_entities(text: Column, entities: Column, name_mask: str = "full") ->
         a["start"].alias("start"), F.greatest(a["end"], b["end"]).alias("end"),
         F.lit(None).cast("string").alias("kind")))
 
-    def replacement(s):
+    def replacement(t, s):
         stars = F.repeat(F.lit("*"), s["end"] - s["start"])
         out = stars
         if name_mask == "keep-first":
-            kept = F.concat(F.substring(text, s["start"] + 1, F.lit(1)),
+            kept = F.concat(F.substring(t, s["start"] + 1, F.lit(1)),
                             F.repeat(F.lit("*"), s["end"] - s["start"] - 1))
             out = F.when((s["kind"] == NAME_TYPE) & (s["end"] - s["start"] > 1), kept).otherwise(out)
         for kind, marker in TYPE_MARKERS.items():
