@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from veilframe.functions.fold import let
+
 
 def take(arr: Column, n: Column) -> Column:
     return F.slice(arr, F.lit(1), F.greatest(n, F.lit(0)))
@@ -49,7 +51,7 @@ def eos_mask(ids: Column, eos_ids: list[int]) -> Column:
     """1 up to and including the first end token, 0 behind it; all 1 without one."""
     places = F.array(*[F.nullif(F.array_position(ids, F.lit(e)), F.lit(0)) for e in eos_ids])
     first = F.coalesce(F.array_min(places), F.size(ids).cast("long"))
-    return F.transform(ids, lambda x, i: (i < first).cast("int"))
+    return let(first, lambda f: F.transform(ids, lambda x, i: (i < f).cast("int")))
 
 
 def strip_padding(ids: Column, pad_id: int) -> Column:

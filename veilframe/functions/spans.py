@@ -73,6 +73,10 @@ def _fold(ordered: Column, elem_type: str, merge) -> Column:
 
 def union_spans(spans: Column) -> Column:
     """Category-aware union: the label of the highest-priority member, earliest on ties."""
+    return let(spans, lambda s: F.when(F.size(s) <= 1, s).otherwise(_union_labelled(s)))
+
+
+def _union_labelled(spans: Column) -> Column:
     rank = F.create_map(*[F.lit(v) for kv in SOURCE_PRIORITY.items() for v in kv])
     elem = "struct<start:int,prio:int,neg:int,seq:int,end:int,category:string,source:string>"
     keyed = F.transform(spans, lambda s, i: F.struct(
@@ -89,7 +93,7 @@ def union_spans(spans: Column) -> Column:
 
     folded = _fold(F.array_sort(keyed), elem, merge)
     out = F.transform(folded, lambda s: span(s["start"], s["end"], s["category"], s["source"]))
-    return F.when(F.size(spans) <= 1, spans).otherwise(out)
+    return out
 
 
 def union_plain(spans: Column) -> Column:
@@ -124,9 +128,9 @@ def replace_entities(text: Column, entities: Column, name_mask: str = "full") ->
     """Typed replacement of array<struct<type,start,end>>; wrong coordinates or types fail the job."""
     if name_mask not in ("full", "keep-first"):
         raise ValueError("name_mask must be full or keep-first")
-    bad = F.exists(entities, lambda e: ~F.coalesce(
-        e["type"].isNotNull() & (e["start"] >= 0) & (e["start"] < e["end"])
-        & (e["end"] <= F.length(text)), F.lit(False)))
+    bad = let(F.length(text), lambda n: F.exists(entities, lambda e: ~F.coalesce(
+        e["type"].isNotNull() & (e["start"] >= 0) & (e["start"] < e["end"]) & (e["end"] <= n),
+        F.lit(False))))
     elem = "struct<start:int,end:int,kind:string>"
     ordered = F.array_sort(F.array_distinct(F.transform(entities, lambda e: F.struct(
         e["start"].cast("int").alias("start"), e["end"].cast("int").alias("end"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veilframe.functions.fold import let
 from veilframe.session import small
 
 # fixed values: punctuation dropped before answers are compared
@@ -211,15 +212,16 @@ def char_diff(source: Column, target: Column) -> Column:
 
 def ngrams(tokens: Column, n: int, sep: str = " ") -> Column:
     """All n-grams as joined strings; none when the sequence is shorter than n."""
-    last = F.size(tokens) - n
-    starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))) \
-              .otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.concat_ws(sep, *[F.get(tokens, i + k) for k in range(n)]))
+    def grams(t):
+        last = F.size(t) - n
+        starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))) \
+                  .otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.concat_ws(sep, *[F.get(t, i + k) for k in range(n)]))
+    return let(tokens, grams)
 
 
 def repeats_trigram(tokens: Column) -> Column:
-    grams = ngrams(tokens, 3, "\u0001")
-    return F.size(grams) > F.size(F.array_distinct(grams))
+    return let(ngrams(tokens, 3, "\u0001"), lambda g: F.size(g) > F.size(F.array_distinct(g)))
 
 
 def length_bucket(length: Column, buckets: list[int], default: int) -> Column:

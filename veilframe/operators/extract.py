@@ -193,15 +193,15 @@ def override_tags(tags: Column, matches: Column) -> Column:
 
     Word k of a phrase covers up to its offset and takes tag k; words begin with B, the rest is I.
     """
-    def tag(t, i):
-        m = F.get(F.filter(matches, lambda x: (x["start"] <= i) & (i < x["end"])), F.lit(0))
+    def tag(found, t, i):
+        m = F.get(F.filter(found, lambda x: (x["start"] <= i) & (i < x["end"])), F.lit(0))
         rel = i - m["start"]
         word = F.size(F.filter(m["offsets"], lambda o: o <= rel))
         name = F.coalesce(F.get(m["tags"], word - 1), F.lit(""))
         head = F.when(F.array_contains(m["offsets"], rel) | (rel == 0), "B").otherwise("I")
         old = F.regexp_replace(t, "^[BIOES]", "")
         return F.when(m.isNull(), t).otherwise(F.concat(head, F.when(name == "", old).otherwise(F.concat(F.lit("-"), name))))
-    return F.transform(tags, tag)
+    return let(matches, lambda found: F.transform(tags, lambda t, i: tag(found, t, i)))
 
 
 def near_terms(queries: DataFrame, terms: DataFrame, max_distance: int = 2) -> DataFrame:

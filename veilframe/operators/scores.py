@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.functions.fold import scan
+from veilframe.functions.fold import let, scan
 
 
 def group_advantage(df: DataFrame, group: str, reward: str, eps: float = 1e-6) -> DataFrame:
@@ -77,7 +77,8 @@ def kl_rewards(log_probs: Column, ref_log_probs: Column, mask: Column, score: Co
     valid = F.filter(F.transform(mask, lambda m, i: F.when(m == 1, i)), lambda i: i.isNotNull())
     last = F.coalesce(F.array_max(valid), F.lit(0))
     clipped = F.greatest(F.least(score, F.lit(clip)), F.lit(-clip))
-    return F.transform(kl, lambda k, i: k + F.when(i == last, clipped).otherwise(0.0))
+    return let(F.struct(last.alias("at"), clipped.alias("score")), lambda s: F.transform(
+        kl, lambda k, i: k + F.when(i == s["at"], s["score"]).otherwise(0.0)))
 
 
 def overlong_penalty(length: Column, max_len: int, buffer: int, factor: float) -> Column:

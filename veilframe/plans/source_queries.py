@@ -6,9 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from veilframe.operators.redact import redact
-from veilframe.operators.ordering import row_index_by_id
 from veilframe.plans.registry import query
-from veilframe.session import fresh_path, table, work_dir
+from veilframe.session import fresh_path, materialise, table
 from veilframe.sources import readers as R
 from veilframe.sources import text as X
 from veilframe.streaming import redact as ST
@@ -62,13 +61,12 @@ def discover_inputs(spark, sf):
 @query("input_signature", "SELECT 0::BIGINT AS changed_without_write, count(DISTINCT source) > 0 AS changed_after_write FROM documents")
 def input_signature(spark, sf):
     path = staged_files(spark, sf)
-    before = X.discover(spark, path)
-    same = X.changed(before, X.discover(spark, path)).count()
-    snapshot = before.agg(F.count("*").alias("n")).withColumn("t", F.lit(0))
-    n_before = snapshot.first().n
+    before = materialise(X.discover(spark, path), "signature")
+    same = X.changed(before, X.discover(spark, path)).agg(F.count("*").alias("changed_without_write"))
+    same = materialise(same, "signature")
     table(spark, sf, "documents").select("source", "text").write.mode("append").partitionBy("source").text(path)
-    after = X.discover(spark, path).agg((F.count("*") > n_before).alias("changed_after_write"))
-    return after.select(F.lit(same).cast("long").alias("changed_without_write"), "changed_after_write")
+    grown = X.changed(before, X.discover(spark, path)).agg((F.count("*") > 0).alias("changed_after_write"))
+    return same.join(F.broadcast(grown))  # two single rows
 
 
 @query("redacted_files", """WITH RECURSIVE l AS (SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents),
@@ -232,15 +230,16 @@ def zip_languages(spark, sf):
     return z.select("line_no", F.concat_ws("|", F.col("translations")["en"], F.col("translations")["fr"]).alias("both_texts"))
 
 
-@query("read_directory_labelled", """SELECT CASE lang WHEN 'en' THEN 'pos' ELSE 'neg' END AS label, md5(string_split(text, chr(10))[1]) AS text
- FROM documents""")
+@query("read_directory_labelled", """SELECT CASE lang WHEN 'en' THEN 'pos' ELSE 'neg' END AS label, md5(first(string_split(text, chr(10))[1] ORDER BY doc_id)) AS text
+ FROM documents GROUP BY lang = 'en', lang, source QUALIFY row_number() OVER (PARTITION BY lang = 'en', source ORDER BY min(doc_id)) = 1""")
 def read_directory_labelled(spark, sf):
+    """One file per label and source, documents in id order; only its first line is read."""
     path = fresh_path(spark, "labelled")
-    d = table(spark, sf, "documents").select("doc_id", "lang", "text")
-    first = F.split("text", "\n")[0]
+    d = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
     for label, cond in (("pos", "lang = 'en'"), ("neg", "lang <> 'en'")):
-        d.where(cond).select("doc_id", first.alias("value")).write.partitionBy("doc_id").text(f"{path}/{label}")
-    return R.directory_labelled(spark, path, ["pos", "neg"]).select("label", F.md5("text").alias("text"))
+        (d.where(cond).repartition("source").sortWithinPartitions("source", "doc_id").select("source", "text")
+         .write.partitionBy("source").text(f"{path}/{label}"))
+    return R.directory_labelled(X.scan(spark, path), ["pos", "neg"]).select("label", F.md5("text").alias("text"))
 
 
 @query("read_xml_articles", "SELECT p_partkey::VARCHAR AS id, p_type AS label, p_name || ' ' || p_brand AS text FROM part")

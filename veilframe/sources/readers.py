@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veilframe.functions.fold import let
 from veilframe.operators.ordering import running
-from veilframe.session import small
 
 
 def require_rows(df: DataFrame) -> DataFrame:
@@ -96,13 +96,10 @@ def zip_languages(by_language: dict[str, DataFrame]) -> DataFrame:
     return grouped.where(F.size("translations") == len(by_language))
 
 
-def directory_labelled(spark: SparkSession, root: str, labels: list[str]) -> DataFrame:
-    """First line of every file below <root>/.../<label>/."""
-    docs = (spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(root)
-            .select(F.col("_metadata.file_path").alias("file"), "value"))
+def directory_labelled(lines: DataFrame, labels: list[str]) -> DataFrame:
+    """First line of every file below .../<label>/."""
     label = F.regexp_extract("file", "/(" + "|".join(labels) + ")/", 1)
-    return docs.select("file", label.alias("label"), F.split("value", "\n")[0].alias("text")) \
-               .where("label <> ''")
+    return lines.where("line_no = 1").select("file", label.alias("label"), "text").where("label <> ''")
 
 
 def xml_articles(spark: SparkSession, path: str) -> DataFrame:
@@ -165,22 +162,23 @@ def bioes_tags(text: Column, spans: Column) -> Column:
     ranked = F.array_sort(F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), (-s["end"]).alias("neg"), s["end"].alias("end"), s["type"].alias("type"))))
 
-    def tag(pos):
-        hit = F.get(F.filter(ranked, lambda s: (s["start"] <= pos) & (pos < s["end"])), F.lit(0))
+    def tag(spans_, pos):
+        hit = F.get(F.filter(spans_, lambda s: (s["start"] <= pos) & (pos < s["end"])), F.lit(0))
         kind = (F.when(hit["end"] - hit["start"] == 1, "S-").when(pos == hit["start"], "B-")
                 .when(pos == hit["end"] - 1, "E-").otherwise("I-"))
         return F.when(hit.isNull(), "O").otherwise(F.concat(kind, hit["type"]))
 
     positions = F.when(F.length(text) > 0, F.sequence(F.lit(0), F.length(text) - 1)) \
                  .otherwise(F.array().cast("array<int>"))
-    return F.transform(positions, tag)
+    return let(ranked, lambda r: F.transform(positions, lambda p: tag(r, p)))
 
 
 def entity_bi_tags(text: Column, entity: Column) -> Column:
     """B/I/O per character for the first occurrence of an entity; null when it does not occur."""
     at = F.instr(text, entity)
-    tags = F.transform(F.sequence(F.lit(1), F.length(text)), lambda p: F.when(p == at, "B").when(
-        (p > at) & (p < at + F.length(entity)), "I").otherwise("O"))
+    tags = let(F.struct(at.alias("lo"), (at + F.length(entity)).alias("hi")), lambda e: F.transform(
+        F.sequence(F.lit(1), F.length(text)), lambda p: F.when(p == e["lo"], "B").when(
+            (p > e["lo"]) & (p < e["hi"]), "I").otherwise("O")))
     return F.when((at > 0) & (F.length(entity) > 0), tags)
 
 
@@ -216,8 +214,8 @@ def tag_lexicon(lines: DataFrame) -> DataFrame:
     word = lambda u: F.regexp_replace(u, "/[^/]*$", "")
     words, tags = F.transform(units, word), F.transform(
         units, lambda u: F.when(u.contains("/"), F.substring_index(u, "/", -1)).otherwise(""))
-    offsets = F.transform(words, lambda w, i: F.aggregate(
-        F.slice(words, F.lit(1), i), F.lit(0), lambda acc, x: acc + F.length(x)))
+    offsets = let(words, lambda ws: F.transform(ws, lambda w, i: F.aggregate(
+        F.slice(ws, F.lit(1), i), F.lit(0), lambda acc, x: acc + F.length(x))))
     return lines.where(F.trim("text") != "").select(
         F.array_join(words, "").alias("phrase"), tags.alias("tags"), offsets.alias("offsets"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veilframe.functions.detect import is_blank
+from veilframe.operators.ordering import running
 
 _TXT = "*.[tT][xX][tT]"
 
@@ -154,10 +155,10 @@ def write_text(lines: DataFrame, out: str, text: str = "text") -> None:
     lines = lines.where(~F.col("failed")).select("file", "line_no", F.col(text).alias("_t"), "eol")
     if not lines.where(F.col("eol") == "\r").isEmpty():
         # records after a lone \r continue the line that began at the last other terminator
-        w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-        head = F.coalesce(F.max(F.when(F.col("eol") != "\r", F.col("line_no"))).over(w), F.lit(0))
-        item = F.struct("line_no", F.concat("_t", "eol").alias("t"), "eol")
-        lines = (lines.withColumn("_head", head).groupBy("file", "_head")
+        ends = lines.withColumn("_end", F.when(F.col("eol") != "\r", F.col("line_no")))
+        lines = running(ends, ["line_no"], {"_head": ("max", "_end")}, by=["file"], inclusive=False)
+        item = F.struct("line_no", F.concat("_t", "eol").alias("t"))
+        lines = (lines.withColumn("_head", F.coalesce("_head", F.lit(0))).groupBy("file", "_head")
                  .agg(F.sort_array(F.collect_list(item)).alias("_g"))
                  .select("file", (F.col("_head") + 1).alias("line_no"),
                          F.array_join(F.col("_g.t"), "").alias("_t"), F.lit("").alias("eol")))
