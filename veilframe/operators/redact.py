@@ -113,5 +113,9 @@ def redact_json(df: DataFrame, rules: Rules = Rules(), column: str = "json",
         return pd.Series([None if d is None else one(d, m) for d, m in zip(docs, masks)], dtype=object)
 
     keep = df.columns
-    return (redact_rules(df.withColumn("_leaves", leaves(column)), rules, "_leaves", "_leafmask")
-            .select(*keep, rebuild(F.col(column), F.col("_leafmask")).alias(out)))
+    flat = df.withColumn("_leaves", leaves.asNondeterministic()(column))
+    done = redact_rules(flat, rules, "_leaves", "_leafmask")
+    # read twice, so the mask stays a column of its own below the function call
+    ready = done.withColumn("_same", F.length("_leafmask") == F.length("_leaves"))
+    return ready.select(*keep, F.when(F.col("_same"), rebuild.asNondeterministic()(F.col(column), F.col("_leafmask")))
+                        .otherwise(F.raise_error(F.lit("a JSON mask changed its length"))).alias(out))

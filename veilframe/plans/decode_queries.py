@@ -57,10 +57,8 @@ def span_pairing(spark, sf):
     return p.select("k", "p.start", "p.end")
 
 
-@query("token_at_offset", f"""WITH g AS (SELECT doc_id, n_chars, text, regexp_extract_all(lower(text), '[0-9a-zà-ÿ]+') AS ws, regexp_split_to_array(lower(text), '[0-9a-zà-ÿ]+') AS gaps FROM documents),
- e AS (SELECT doc_id, n_chars, i, length(ws[i]) AS n, sum(length(gaps[i]) + CASE WHEN i > 1 THEN length(ws[i - 1]) ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM g)),
- h AS (SELECT doc_id, min(i) - 1 AS tok FROM e WHERE s <= n_chars // 2 AND n_chars // 2 < s + n GROUP BY 1)
- SELECT doc_id, coalesce(tok, -1)::BIGINT AS tok FROM documents LEFT JOIN h USING (doc_id)""")
+@query("token_at_offset", """WITH o AS (SELECT doc_id, lower(text) AS t, n_chars // 2 AS o FROM documents)
+ SELECT doc_id, CASE WHEN regexp_matches(substr(t, o + 1, 1), '[0-9a-zà-ÿ]') THEN len(regexp_extract_all(substr(t, 1, o + 1), '[0-9a-zà-ÿ]+')) - 1 ELSE -1 END::BIGINT AS tok FROM o""")
 def token_at_offset(spark, sf):
     from veilframe.functions.spans import regex_spans
     d = docs(spark, sf, "n_chars").withColumn("t", F.lower("text"))

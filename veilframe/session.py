@@ -9,8 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores when the input has fewer splits than cores (one small file).
+
+    Large inputs have more splits than cores and stay as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    # long texts and vectors carry per-row work worth spreading
+    return spread(df) if name in ("documents", "pages", "conversations", "embeddings") else df
 
 
 def work_dir(spark: SparkSession) -> str:
