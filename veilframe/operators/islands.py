@@ -19,10 +19,10 @@ def islands(df: DataFrame, by: list[str], start: str, end: str, tie: list[str],
     rows = df.withColumn("_prio", priority if priority is not None else F.lit(0))
     rows = rows.withColumn("_neg", -F.col(end))
     order = [start, "_prio", "_neg", *tie]
-    reach = running(rows, order, {"_reach": ("max", end)}, by=by, inclusive=False)
+    reach = running(rows, order, {"_reach": ("max", end)}, by=by, inclusive=False, keep_place=True)
     opens = F.col("_reach").isNull() | (F.col(start) >= F.col("_reach"))
     numbered = running(reach.withColumn("_open", opens.cast("long")), order,
-                       {"island": ("sum", "_open")}, by=by)
+                       {"island": ("sum", "_open")}, by=by, placed=True)
     aggs = [F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("members")]
     if label:
         aggs.append(F.min_by(label, F.struct("_prio", start, "_neg", *tie)).alias(label))

@@ -53,15 +53,19 @@ def running(
     aggs: dict[str, tuple[str, str]],
     by: Sequence[str] = (),
     inclusive: bool = True,
+    placed: bool = False,
+    keep_place: bool = False,
 ) -> DataFrame:
     """Running sum, max or min along `order`, optionally within groups `by`.
 
     aggs maps output name -> (kind, column), kind in sum/max/min/count. (by, order) must be a
     total order. A group larger than one partition is spread over several: its earlier
     partitions contribute a carried value, so no task holds more than one range partition.
+    keep_place leaves the placement columns in; a second pass in the same order takes placed=True
+    and needs no new range shuffle.
     """
     fns = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}
-    rows = ranged(df, [*by, *order])
+    rows = df if placed else ranged(df, [*by, *order])
     by = list(by)
     if by:
         group = F.struct(*[F.col(c) for c in by])
@@ -102,7 +106,8 @@ def running(
         else:
             value = (F.greatest if kind == "max" else F.least)(local, carried)
         out = out.withColumn(name, value)
-    extra = ["_part", "_pos", "_cp", *[f"_by_{c}" for c in by], *[f"_c_{n}" for n in aggs]]
+    place = [] if keep_place else ["_part", "_pos"]
+    extra = [*place, "_cp", *[f"_by_{c}" for c in by], *[f"_c_{n}" for n in aggs]]
     return out.drop(*extra)
 
 

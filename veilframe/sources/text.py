@@ -90,7 +90,7 @@ def records(raw: DataFrame, max_chars: int | None = None) -> DataFrame:
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_last", F.col("_piece") == F.col("_n") - 1))
     length = F.length("_text") + F.col("_last").cast("int")
-    limit = F.lit(max_chars if max_chars is not None else 2**31 - 1)
+    limit = F.lit(max_chars if max_chars is not None else 2**60)
     blocks = pieces.groupBy("file", "block").agg(
         F.first("size").alias("size"), F.count("*").alias("n"), F.min("_mid").alias("first"),
         F.sum(F.when(F.col("_last"), F.col("_bytes") + 1).otherwise(0)).alias("bytes"),
