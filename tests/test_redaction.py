@@ -139,3 +139,23 @@ def test_hybrid(spark):
     got = run(spark, texts, lambda d: redact(d, detector=detector))
     assert got == [f"电话{S(11)}，***住[地址已脱敏]。\r\n", " \t\r\n", "", "***\n"]
     assert sorted(x for x in seen if x) == sorted([f"电话{S(11)}，陈嘉宁住南京市栖霞区。\r\n", "陈嘉宁\n"])
+
+
+def test_rule_file(tmp_path):
+    from veilframe.sources.rules import load_rules
+    (tmp_path / "plates.json").write_text('["皖A", "皖B"]', encoding="utf-8")
+    config = tmp_path / "rules.json"
+    config.write_text(json.dumps({"fields": {"客户编号": ["客户编码"]}, "min_continuous_digits": 8,
+                                  "plate_prefixes_file": "plates.json"}), encoding="utf-8")
+    rules = load_rules(config)
+    assert rules.digit_threshold == 8 and rules.plate_letters() == {"皖": "AB"}
+    for bad in ({"other": 1}, {"fields": {"a": [""]}}, {"enable_continuous_digits": 1}, {"known_values": ["x"]}):
+        config.write_text(json.dumps(bad), encoding="utf-8")
+        with pytest.raises(ValueError):
+            load_rules(config)
+
+
+def test_repartitioning_changes_nothing(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(PLAIN)], "id int, text string")
+    results = [sorted((r.id, r.redacted) for r in redact(df.repartition(n)).collect()) for n in (1, 17)]
+    assert results[0] == results[1]

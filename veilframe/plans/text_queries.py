@@ -175,6 +175,30 @@ def chat_render(spark, sf):
     return r.select("conv_id", F.md5("rendered").alias("md5"))
 
 
+@query("chat_messages", """SELECT conv_id, turn, 'user' AS r1, a.text AS c1, 'assistant' AS r2, b.text AS c2 FROM
+ conversations a JOIN (SELECT conv_id, turn - 1 AS turn, text FROM conversations) b USING (conv_id, turn)""")
+def chat_messages(spark, sf):
+    """Prompt/completion rows recognised by their columns and brought to one message layout."""
+    c = table(spark, sf, "conversations")
+    nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("completion"))
+    rows = c.select("conv_id", "turn", F.col("text").alias("prompt")).join(nxt, ["conv_id", "turn"])
+    m = rows.select("conv_id", "turn", T.chat_messages(rows).alias("m"))
+    return m.select("conv_id", "turn", F.col("m")[0]["role"].alias("r1"), F.col("m")[0]["content"].alias("c1"),
+                    F.col("m")[1]["role"].alias("r2"), F.col("m")[1]["content"].alias("c2"))
+
+
+@query("join_prompt_response", f"""SELECT conv_id, turn, 256::BIGINT * ((len({IDS}) + 8 + 255) // 256)::BIGINT AS width, (coalesce(list_sum({IDS}), 0) + 8 * 3)::BIGINT AS total FROM conversations""")
+def join_prompt_response(spark, sf):
+    """Left-padded prompt and right-padded response: strip, concatenate, pad to a multiple."""
+    zeros = F.array_repeat(F.lit(0), 5)
+    prompt = F.concat(zeros, F.array_repeat(F.lit(3), 8))
+    both = F.concat(A.strip_padding(prompt, 0), A.strip_padding(F.concat(ids(), zeros), 0))
+    c = table(spark, sf, "conversations").select("conv_id", "turn", both.alias("x"))
+    padded = A.pad(F.col("x"), A.round_up(F.size("x"), 256), 0)
+    return c.select("conv_id", "turn", padded.alias("p")).select(
+        "conv_id", "turn", F.size("p").cast("long").alias("width"), F.aggregate("p", F.lit(0), lambda s, v: s + v).cast("long").alias("total"))
+
+
 @query("pad_batch", f"""WITH t AS (SELECT doc_id, doc_id // 16 AS batch, {IDS} AS ids FROM documents),
  w AS (SELECT batch, ((max(len(ids)) + 7) // 8 * 8)::BIGINT AS width FROM t GROUP BY 1)
  SELECT doc_id, width, len(ids)::BIGINT AS n, coalesce(list_sum(ids), 0)::BIGINT AS total FROM t JOIN w USING (batch)""")
