@@ -17,8 +17,14 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-def _blocks(df: DataFrame, key: str, block_rows: int) -> int:
-    return max(1, -(-df.count() // block_rows))
+_QUERY_ROWS = 1024  # rows of one distance matrix inside a task
+
+
+def _blocks(df: DataFrame, block_rows: int) -> int:
+    """Blocks of at most block_rows rows, but enough of them to keep all cores busy."""
+    n = df.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-n // block_rows), min(-(-n // 500), round(cores ** 0.5)))
 
 
 def _distances(q: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -37,7 +43,7 @@ def _blockwise(queries: DataFrame, targets: DataFrame, key: str, vector: str, la
     pair of blocks returns one row per query, never one per pair of rows. Target columns are named
     t_key and t_label.
     """
-    blocks = _blocks(targets, key, block_rows)
+    blocks = _blocks(targets, block_rows)
     own = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     q = queries.select("*", own.alias("qb"), other.alias("tb"))
@@ -48,12 +54,15 @@ def _blockwise(queries: DataFrame, targets: DataFrame, key: str, vector: str, la
         if qs.empty or ts.empty:
             return pd.DataFrame(columns=[c.split()[0] for c in schema.split(", ")])
         mat = lambda col: np.stack([np.asarray(v, dtype=np.float64) for v in col])
-        return fn(qs, ts, _distances(mat(qs[vector]), mat(ts["t_vec"])))
+        left, right = mat(qs[vector]), mat(ts["t_vec"])
+        return pd.concat([
+            fn(qs.iloc[i:i + _QUERY_ROWS], ts, _distances(left[i:i + _QUERY_ROWS], right))
+            for i in range(0, len(qs), _QUERY_ROWS)], ignore_index=True)
 
     return q.groupBy("qb", "tb").cogroup(t.groupBy("t_qb", "t_tb")).applyInPandas(run, schema)
 
 
-def first_match_rank(df: DataFrame, key: str, vector: str, label: str, block_rows: int = 2000) -> DataFrame:
+def first_match_rank(df: DataFrame, key: str, vector: str, label: str, block_rows: int = 20_000) -> DataFrame:
     """(key, rank): exact rank of the nearest same-label neighbour among all others, 0 without one.
 
     The work is quadratic by definition; two block passes share it out: the nearest same-label distance, then how many rows come before it
