@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import simhash
+from veilframe.llm import packing, simhash
 from veilframe.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,14 @@ def op5(spark, sf):
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
                         F.col("component").alias("component_id"))
+
+
+def word_tokenizer() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op4_best_fit_packing")
+def op4(spark, sf):
+    found = packing.pack_documents(table(spark, sf, "documents"), word_tokenizer(), carry={"ids_crc32": F.crc32("ids")})
+    return found.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
