@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import packing, simhash
+from veilframe.llm import packing, quality_rules, simhash
 from veilframe.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def word_tokenizer() -> str:
 def op4(spark, sf):
     found = packing.pack_documents(table(spark, sf, "documents"), word_tokenizer(), carry={"ids_crc32": F.crc32("ids")})
     return found.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op10_quality_rules")
+def op10(spark, sf):
+    return quality_rules.quality(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
