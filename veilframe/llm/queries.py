@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import packing, quality_rules, simhash
+from veilframe.llm import line_dedup, packing, quality_rules, simhash
 from veilframe.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,24 @@ def op4(spark, sf):
 @query("op10_quality_rules")
 def op10(spark, sf):
     return quality_rules.quality(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
+LINES = r"""WITH l AS (SELECT doc_id, u.i - 1 AS line, u.t AS t FROM (SELECT doc_id, unnest(list_transform(string_split(coalesce(text, ''), chr(10)),
+  lambda x, i: {'i': i, 't': x})) AS u FROM documents)),
+ w AS (SELECT doc_id, line, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM l),
+ s AS (SELECT doc_id, line, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s FROM w),
+ c AS (SELECT s, min((doc_id, line)) AS f FROM s WHERE len(s) > 0 GROUP BY s),
+ e AS (SELECT s, f, unnest(s) AS x FROM c),
+ p AS (SELECT a.s, a.f, b.s AS o, count(*) AS n FROM e a JOIN e b ON a.x = b.x AND b.f < a.f GROUP BY ALL),
+ m AS (SELECT DISTINCT s FROM p WHERE 9 * n >= 4 * (len(s) + len(o))),
+ r AS (SELECT w.doc_id, w.line, w.t, coalesce((w.doc_id, w.line) <> c.f OR m.s IS NOT NULL, false) AS gone FROM w JOIN s USING (doc_id, line)
+  LEFT JOIN c ON c.s = s.s LEFT JOIN m ON m.s = s.s)
+ """
+
+
+@query("op9_line_dedup", LINES + """SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+ sha256(coalesce(string_agg(t, chr(10) ORDER BY line) FILTER (NOT gone), '')) AS kept_sha256 FROM r GROUP BY doc_id""")
+def op9(spark, sf):
+    found = line_dedup.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
