@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import line_dedup, packing, quality_rules, simhash
+from veilframe.llm import decontaminate, line_dedup, packing, quality_rules, simhash
 from veilframe.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,9 @@ LINES = r"""WITH l AS (SELECT doc_id, u.i - 1 AS line, u.t AS t FROM (SELECT doc
 def op9(spark, sf):
     found = line_dedup.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op8_benchmark_decontamination")
+def op8(spark, sf):
+    found = decontaminate.find(table(spark, sf, "documents"), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "start", "end", "edits")
