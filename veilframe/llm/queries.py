@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import decontaminate, line_dedup, packing, quality_rules, simhash
+from veilframe.llm import decontaminate, line_dedup, packing, quality_rules, repeats, simhash
 from veilframe.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,9 @@ def op9(spark, sf):
 def op8(spark, sf):
     found = decontaminate.find(table(spark, sf, "documents"), spark.read.parquet(f"{sf}/benchmark.parquet"))
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "start", "end", "edits")
+
+
+@query("op6_suffix_array_dedup")
+def op6(spark, sf):
+    found = repeats.remove_repeats(table(spark, sf, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
