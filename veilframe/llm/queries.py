@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import decontaminate, line_dedup, packing, quality_rules, repeats, simhash
+from veilframe.llm import decontaminate, knn_quality, line_dedup, packing, quality_rules, repeats, simhash
 from veilframe.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,10 @@ def op8(spark, sf):
 def op6(spark, sf):
     found = repeats.remove_repeats(table(spark, sf, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_quality_classifier")
+def op7(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = knn_quality.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    return knn_quality.score(docs, model).withColumnRenamed("id", "doc_id")
