@@ -193,5 +193,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     group = F.coalesce(F.col("component").cast("string"), F.hex("fingerprint"))
     kept = found.groupBy(group.alias("g")).agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", *KEY)).alias("m")).select(*[F.col(f"m.{c}").alias(c) for c in KEY])
-    keyed = docs.select("*", *row_key(id_col, text_col))
-    return keyed.join(kept, KEY, "left_semi").dropDuplicates(KEY).drop(*KEY)
+    keyed = docs.select(F.struct("*").alias("_row"), *row_key(id_col, text_col))
+    return keyed.join(kept, KEY, "left_semi").dropDuplicates(KEY).select("_row.*")
