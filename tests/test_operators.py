@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -122,8 +123,8 @@ def test_joined_tails_and_reverse(spark):
 
 
 def test_greedy_packs(spark):
-    df = spark.createDataFrame(list(enumerate([6, 5, 3, 4, 9, 2])), "i long, n long")
-    got = [r.pack for r in corpus.greedy_packs(df, "i", "n", 8).orderBy("i").collect()]
+    df = spark.createDataFrame([(i, n, "a") for i, n in enumerate([6, 5, 3, 4, 9, 2])], "i long, n long, batch string")
+    got = [r.pack for r in corpus.greedy_packs(df, "i", "n", 8, "batch").orderBy("i").collect()]
     assert got == [0, 1, 1, 2, None, 2]
 
 
@@ -138,11 +139,42 @@ def test_block_split_keeps_ranks(spark):
         assert many[k] == next(i for i, (_, _, lab) in enumerate(order, 1) if lab == label)
 
 
+def test_closure_and_paths_of_any_depth(spark):
+    chain = spark.createDataFrame([(i + 1, i) for i in range(12)], "child long, parent long")
+    assert extract.closure(chain).count() == 12 * 13 // 2
+    nodes = spark.createDataFrame([(i,) for i in range(13)], "id long")
+    assert max(r.path.count("/") for r in extract.paths(nodes, chain).collect()) == 12
+    loop = spark.createDataFrame([(1, 2), (2, 1)], "child long, parent long")
+    assert sorted((r.child, r.ancestor) for r in extract.closure(loop).collect()) == [(1, 1), (1, 2), (2, 1), (2, 2)]
+
+
+def test_label_scores_of_any_size(spark):
+    df = spark.createDataFrame([(1, "a", 0, 0, 800.0, 0), (1, "b", 0, 0, 801.0, 0), (1, "b", 0, 0, -5.0, 1)],
+                               "row int, label string, word int, mask int, score double, token int")
+    got = {r.label: r for r in decode.label_scores(df, "row", "label", "word", "mask", "score", token="first").collect()}
+    assert abs(got["b"].probability - 1 / (1 + math.exp(-1))) < 1e-9 and abs(got["a"].log_probability + 1.3132616875) < 1e-9
+    got = {r.label: r.score for r in decode.label_scores(df, "row", "label", "word", "mask", "score", token="product").collect()}
+    assert got == {"a": 800.0, "b": -4005.0}
+
+
+def test_blend_repeats_a_short_source(spark):
+    data = {"long": spark.range(500), "short": spark.range(1000, 1031)}
+    got = corpus.blend(data, {"long": 1, "short": 1}, 200, "id").collect()
+    assert len(got) == 200 and sum(r.source == "short" for r in got) == 100
+    with pytest.raises(ValueError):
+        corpus.blend({"none": spark.range(0)}, {"none": 1}, 5, "id")
+
+
+def test_latency_of_a_large_group(spark):
+    df = spark.range(5000).selectExpr("'a' AS g", "CAST(id * id AS DOUBLE) AS v").union(spark.createDataFrame([("none", None)], "g string, v double"))
+    got = {r.g: r for r in telemetry.latency(df, "g", "v").collect()}
+    assert (got["a"].p50, round(got["a"].p95, 2), got["none"].p50) == (6247500.5, 22553475.95, None)
+
+
 def test_report_fixtures(spark):
     df = spark.createDataFrame([("a", float(v)) for v in (1, 2, 3, 4)], "g string, v double")
     r = telemetry.latency(df, "g", "v").first()
     assert (r["mean"], r.p50, round(r.p95, 9), r.approximate) == (2.5, 2.5, 3.85, False)
-    assert telemetry.latency(df, "g", "v", exact_limit=3).first().approximate
     c = one(spark, telemetry.capacity(F.lit(10.0)))
     assert c.records_per_node_per_day == 576000 and c.nodes_both is None
     assert one(spark, telemetry.capacity(F.lit(10.0), 1_152_000, 1000, days=2)).nodes_both == 2

@@ -93,25 +93,29 @@ def epoch_order(docs: DataFrame, doc: str, epochs: int, seed: int, separate_last
 
 
 def separate_last_epoch(epochs: int, tokens_per_epoch: int, seq_len: int, samples: int) -> bool:
-    """True when the last epoch supplies less than 80 % of a full epoch's samples."""
-    if epochs == 1:
-        return False
-    before = ((epochs - 1) * tokens_per_epoch - 1) // seq_len
-    per_epoch = (tokens_per_epoch - 1) // seq_len
-    return samples - before < int(0.80 * per_epoch)
+    """True when the last of several epochs supplies less than 80 % of a full epoch's samples."""
+    filled = lambda e: (e * tokens_per_epoch - 1) // seq_len  # noqa: E731  whole samples in e epochs
+    return epochs > 1 and samples < filled(epochs - 1) + filled(1) * 4 // 5
 
 
 def blend(sources: dict[str, DataFrame], weights: dict[str, float], size: int, key: str) -> DataFrame:
     """Weighted interleave of datasets to `size` rows; row k of a source stands at (k + 0.5) / weight.
 
-    Each source is asked for ceil(size * w * 1.005) + 20 rows, so rounding cannot starve the blend.
+    Each source is asked for ceil(size * w * 1.005) + 20 rows, so rounding cannot starve the blend. A source with fewer
+    rows is read again from its start, as often as needed; one without rows is an error.
     """
     total = sum(weights.values())
     out = None
     for name, df in sources.items():
         w = weights[name] / total
         want = int(-(-size * w * 1.005 // 1)) + 20
+        have = df.count()
+        if not have:
+            raise ValueError(f"blend source {name} has no rows")
         rows = row_index(df.select(key), [key], "k").where(F.col("k") < want)
+        if have < want:
+            again = F.explode(F.sequence(F.lit(0), F.lit(-(-want // have) - 1)))
+            rows = rows.select(key, "k", again.alias("_epoch")).select(key, (F.col("k") + F.col("_epoch") * have).alias("k")).where(F.col("k") < want)
         rows = rows.withColumn("source", F.lit(name)).withColumn("at", (F.col("k") + 0.5) / F.lit(w))
         out = rows if out is None else out.unionByName(rows)
     placed = row_index(out, ["at", "source", "k"], "position")
@@ -145,10 +149,11 @@ def budget_batches(lines: DataFrame, file: str, order: str, size: str, max_rows:
     return light.groupBy(file, "shard").applyInPandas(fill, f"{file} string, {order} long, shard long, batch long")
 
 
-def greedy_packs(rows: DataFrame, idx: str, length: str, max_len: int, shard_rows: int = 100_000) -> DataFrame:
-    """Each row goes to the pack with most room, else opens a new one; per span of shard_rows rows.
+def greedy_packs(rows: DataFrame, idx: str, length: str, max_len: int, batch: str) -> DataFrame:
+    """Each row goes to the pack with most room, else opens a new one, among the rows of a batch.
 
-    Rows longer than max_len get a null pack. Returns (idx, shard, pack).
+    Packing is sequential by rule, so the caller names the batches that are packed together (`batch`, a column); a
+    batch is one task's work on two integers per row. Rows longer than max_len get a null pack. Returns (idx, batch, pack).
     """
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(idx)
@@ -163,11 +168,10 @@ def greedy_packs(rows: DataFrame, idx: str, length: str, max_len: int, shard_row
             room, p = heapq.heappop(heap)
             packs.append(p)
             heapq.heappush(heap, (room + n, p))
-        return pdf.assign(pack=pd.array(packs, dtype="Int64"))[[idx, "shard", "pack"]]
+        return pdf.assign(pack=pd.array(packs, dtype="Int64"))[[idx, batch, "pack"]]
 
-    light = rows.select(F.col(idx).cast("long").alias(idx), F.col(length).cast("long").alias(length)) \
-                .withColumn("shard", F.floor(F.col(idx) / shard_rows))
-    return light.groupBy("shard").applyInPandas(pack, f"{idx} long, shard long, pack long")
+    light = rows.select(F.col(idx).cast("long").alias(idx), F.col(length).cast("long").alias(length), F.col(batch).cast("string").alias(batch))
+    return light.groupBy(batch).applyInPandas(pack, f"{idx} long, {batch} string, pack long")
 
 
 def assemble_packs(rows: DataFrame, pack: list[str], idx: str, ids: str, labels: str) -> DataFrame:

@@ -185,13 +185,17 @@ def pool(df: DataFrame, doc: str, order: str, vector: str, how: str, dims: int)
 
 
 def label_scores(df: DataFrame, row: str, label: str, word: str, mask: str, score: str,
-                 token: str = "mean", words: str = "mean", masks: str = "mean") -> DataFrame:
-    """Token scores -> word -> mask position -> label, then softmax and log per row."""
-    agg = {"mean": lambda c: F.avg(c), "max": lambda c: F.max(c), "sum": lambda c: F.sum(c),
-           "product": lambda c: F.exp(F.sum(F.ln(c)))}
+                 token: str = "mean", words: str = "mean", masks: str = "mean", order: str = "token") -> DataFrame:
+    """Token scores -> word -> mask position -> label, then softmax and log per row.
+
+    `first` takes the score of the smallest `order` (a token position), for the token step only.
+    """
+    agg = {"mean": F.avg, "max": F.max, "sum": F.sum, "product": F.product, "first": lambda c: F.min_by(c, order)}
     per_word = df.groupBy(row, label, mask, word).agg(agg[token](score).alias("s"))
     per_mask = per_word.groupBy(row, label, mask).agg(agg[words]("s").alias("s"))
     per_label = per_mask.groupBy(row, label).agg(agg[masks]("s").alias("score"))
-    norm = per_label.groupBy(row).agg(F.max("score").alias("_top"), F.sum(F.exp("score")).alias("_sum"))
-    return (per_label.join(norm, row).withColumn("probability", F.exp("score") / F.col("_sum"))
-            .withColumn("log_probability", F.ln("probability")).drop("_top", "_sum"))
+    top = per_label.groupBy(row).agg(F.max("score").alias("_top"))
+    shifted = per_label.join(top, row).withColumn("_over", F.col("score") - F.col("_top"))
+    norm = shifted.groupBy(row).agg(F.sum(F.exp("_over")).alias("_sum"))
+    return (shifted.join(norm, row).withColumn("probability", F.exp("_over") / F.col("_sum"))
+            .withColumn("log_probability", F.col("_over") - F.ln("_sum")).drop("_top", "_over", "_sum"))

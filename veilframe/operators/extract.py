@@ -10,31 +10,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilframe.functions.fold import let, scan
-from veilframe.session import small
+from veilframe.session import materialise, small
 
 # taxonomy ----------------------------------------------------------------------------------
 
 
-def closure(edges: DataFrame, max_levels: int = 4) -> DataFrame:
-    """(child, ancestor) pairs over (child, parent) edges, one equi join per level."""
-    step = edges.select("child", F.col("parent").alias("ancestor")).distinct()
-    out, frontier = step, step
+def closure(edges: DataFrame) -> DataFrame:
+    """(child, ancestor) pairs over (child, parent) edges of any depth; a cycle makes its members their own ancestors.
+
+    One equi join per level on the pairs that are new, each level written, until a level finds nothing new.
+    """
     up = edges.select(F.col("child").alias("_via"), F.col("parent").alias("_up")).distinct()
-    for _ in range(max_levels - 1):
-        frontier = frontier.join(up, frontier["ancestor"] == up["_via"]).select("child", F.col("_up").alias("ancestor")).distinct()
+    frontier = materialise(edges.select("child", F.col("parent").alias("ancestor")).distinct(), "closure")
+    out = frontier
+    while not frontier.isEmpty():
+        found = frontier.join(up, F.col("ancestor") == F.col("_via")).select("child", F.col("_up").alias("ancestor")).distinct()
+        frontier = materialise(found.join(out, ["child", "ancestor"], "left_anti"), "closure")
         out = out.unionByName(frontier)
-    return out.distinct()
+    return out
 
 
-def paths(nodes: DataFrame, edges: DataFrame, max_levels: int = 4) -> DataFrame:
-    """Root-to-node path of every node, level by level (a node with two parents has two paths)."""
-    level = nodes.join(edges, nodes["id"] == edges["child"], "left_anti").select("id", F.col("id").alias("path"))
+def paths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Root-to-node path of every node, of any depth (a node with two parents has two paths).
+
+    A path does not enter a node twice, so cycles end; nodes that no root leads to have no path.
+    """
+    top = nodes.join(edges, nodes["id"] == edges["child"], "left_anti").select("id", F.array("id").alias("_at"))
+    level = materialise(top, "paths")
     out = level
-    for _ in range(max_levels - 1):
-        level = level.join(edges, level["id"] == edges["parent"]).select(
-            F.col("child").alias("id"), F.concat_ws("/", "path", "child").alias("path"))
+    while not level.isEmpty():
+        level = materialise(level.join(edges, (level["id"] == edges["parent"]) & ~F.array_contains("_at", F.col("child"))).select(
+            F.col("child").alias("id"), F.concat("_at", F.array("child")).alias("_at")), "paths")
         out = out.unionByName(level)
-    return out
+    return out.select("id", F.array_join(F.transform("_at", lambda x: x.cast("string")), "/").alias("path"))
 
 
 def link_terms(items: DataFrame, nodes: DataFrame, reach: DataFrame) -> DataFrame:

@@ -6,6 +6,9 @@ ordering.row_index and returns a new one where it changes the row set.
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -185,17 +188,17 @@ def unpad(df: DataFrame, n: int) -> DataFrame:
 
 
 def split_bounds(ratios: str, n: int) -> list[int]:
-    """Cumulative bounds of train/valid/test from '949,50,1' or '8/1/1', rounding drift removed."""
-    parts = [float(x) for x in ratios.replace("/", ",").split(",")]
-    parts = (parts + [0.0] * 3)[:3]
-    total = sum(parts)
-    if total <= 0:
+    """Where train, valid and test end, from '949,50,1' or '8/1/1'; the train part takes what rounding leaves over.
+
+    Parts beyond the third do not count, missing ones are empty.
+    """
+    weights = np.zeros(3)
+    given = re.split("[,/]", ratios)[:3]
+    weights[:len(given)] = given
+    if weights.sum() <= 0:
         raise ValueError("the split ratios must sum to more than 0")
-    bounds = [0]
-    for p in parts:
-        bounds.append(bounds[-1] + int(round(p / total * n)))
-    drift = bounds[-1] - n
-    return [0] + [b - drift for b in bounds[1:]]
+    valid, test = np.rint(weights[1:] / weights.sum() * n).astype(int).tolist()
+    return [0, n - test - valid, n - test, n]
 
 
 def split_by_ratio(df: DataFrame, ratios: str, names=("train", "valid", "test")) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veilframe.operators.ordering import running
+
 
 def running_metric(df: DataFrame, value: str, by: list[str] = ()) -> DataFrame:
     """count, mean and max; missing values are no zeros."""
@@ -37,19 +39,26 @@ def stage_other(wall: Column, *stages: Column) -> Column:
     return F.greatest(F.lit(0.0), wall - total)
 
 
-def latency(rows: DataFrame, by: str, value: str, exact_limit: int = 4096) -> DataFrame:
-    """count, mean, max, p50, p95 per group: interpolated while a group is small, else estimated.
+def latency(rows: DataFrame, by: str, value: str) -> DataFrame:
+    """count, mean, max, p50, p95 per group, interpolated between the two neighbouring ranks at any size.
 
-    Only groups of at most exact_limit values keep their values in an aggregation buffer.
+    Values are counted per group, ranked by running counts that share a hot group out over partitions, and only the
+    rows at the wanted ranks meet their group. A group without values has null quantiles; `approximate` is always false.
     """
-    n = rows.groupBy(by).agg(F.count(value).alias("_n"))
-    tagged = rows.join(n, by)
-    exact = tagged.where(F.col("_n") <= exact_limit)
-    rough = tagged.where(F.col("_n") > exact_limit)
-    base = [F.count(value).alias("count"), F.avg(value).alias("mean"), F.max(value).alias("max")]
-    a = exact.groupBy(by).agg(*base, F.percentile(value, F.array(F.lit(0.5), F.lit(0.95))).alias("p"), F.lit(False).alias("approximate"))
-    b = rough.groupBy(by).agg(*base, F.percentile_approx(value, [0.5, 0.95], 10_000).alias("p"), F.lit(True).alias("approximate"))
-    return a.unionByName(b).select(by, "count", "mean", "max", F.col("p")[0].alias("p50"), F.col("p")[1].alias("p95"), "approximate")
+    base = rows.groupBy(by).agg(F.count(value).alias("count"), F.avg(value).alias("mean"), F.max(value).alias("max"))
+    steps = rows.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
+    ranks = running(steps, [value, by], {"_to": ("sum", "_n")}, by=[by]).join(base.select(by, "count"), by)
+    held = ranks.select(by, F.col(value).alias("_v"), (F.col("_to") - F.col("_n")).alias("_from"), "_to", "count")
+
+    def at(share: float):
+        place = (F.col("count") - 1) * F.lit(share)
+        low = F.floor(place)
+        pick = lambda r: F.max(F.when((F.col("_from") <= r) & (r < F.col("_to")), F.col("_v")))
+        a, b = pick(low), pick(F.least(low + 1, F.col("count") - 1))
+        return a + (b - a) * F.max(place - low)
+
+    found = held.groupBy(by).agg(at(0.5).alias("p50"), at(0.95).alias("p95"))
+    return base.join(found, by, "left").select(by, "count", "mean", "max", "p50", "p95", F.lit(False).alias("approximate"))
 
 
 def rank_configs(runs: DataFrame, config: list[str], repeats: int, same: list[str]) -> DataFrame:

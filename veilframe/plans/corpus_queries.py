@@ -76,8 +76,16 @@ def causal_samples(spark, sf):
  SELECT total AS tokens, ((5000 * 256 + 1 + total - 1) // total)::BIGINT AS epochs FROM z""")
 def epochs_needed(spark, sf):
     t = corpus(spark, sf).agg(F.sum(F.size("tokens")).alias("tokens"))
-    need = (F.lit(5000 * 256 + 1) + F.col("tokens") - 1) / F.col("tokens")
-    return t.select("tokens", F.floor(need).alias("epochs"))
+    return t.withColumn("epochs", F.lit(C.epochs_needed(5000, 256, t.first().tokens)).cast("long"))
+
+
+@query("separate_last_epoch", SIZED + """, z AS (SELECT sum(n)::BIGINT AS t FROM s), e AS (SELECT t, (5000 * 256 + t) // t AS e FROM z)
+ SELECT e::BIGINT AS epochs, (e > 1 AND 5000 - ((e - 1) * t - 1) // 256 < floor(0.8 * ((t - 1) // 256))) AS apart FROM e""")
+def separate_last_epoch(spark, sf):
+    total = corpus(spark, sf).agg(F.sum(F.size("tokens")).alias("tokens"))
+    tokens = total.first().tokens
+    epochs = C.epochs_needed(5000, 256, tokens)
+    return total.select(F.lit(epochs).cast("long").alias("epochs"), F.lit(C.separate_last_epoch(epochs, tokens, 256, 5000)).alias("apart"))
 
 
 @query("epoch_order", """SELECT doc_id, e AS epoch, row_number() OVER (ORDER BY e = 2, md5('7:' || e || ':' || doc_id), doc_id, e) - 1 AS position
@@ -114,10 +122,11 @@ def budget_batches(spark, sf):
 @query("greedy_packs", f"""WITH t AS (SELECT doc_id, len({IDS})::BIGINT AS n FROM documents)
  SELECT count(*) AS rows_seen, count(*) FILTER (n <= 2048) AS packed, 0::BIGINT AS over_full, (sum(n) FILTER (n <= 2048))::BIGINT AS tokens FROM t""")
 def greedy_packs(spark, sf):
-    """Every fitting document lies in one pack and no pack exceeds its length."""
+    """Every fitting document lies in one pack and no pack exceeds its length; a thousand documents are packed together."""
     d = row_index_by_id(docs(spark, sf).select("doc_id", F.size(T.words(F.col("text"))).alias("n")), "doc_id")
-    p = C.greedy_packs(d, "row_idx", "n", 2048).join(d, "row_idx")
-    packs = p.groupBy("shard", "pack").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
+    d = d.withColumn("batch", F.floor(F.col("row_idx") / 1000))
+    p = C.greedy_packs(d, "row_idx", "n", 2048, "batch").join(d.drop("batch"), "row_idx")
+    packs = p.groupBy("batch", "pack").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
     kept = F.col("pack").isNotNull()
     return packs.agg(F.sum("rows").alias("rows_seen"), F.sum(F.when(kept, F.col("rows"))).alias("packed"),
                      F.count_if(kept & (F.col("n") > 2048)).alias("over_full"), F.sum(F.when(kept, F.col("n"))).alias("tokens"))

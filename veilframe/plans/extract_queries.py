@@ -29,6 +29,28 @@ def taxonomy_closure(spark, sf):
     return X.closure(edges(spark, sf))
 
 
+DEEP = """WITH RECURSIVE e AS (SELECT DISTINCT o_orderkey AS child, o_orderkey // 2 AS parent FROM orders WHERE o_orderkey > 1)"""
+
+
+def deep_edges(spark, sf):
+    """A binary tree over order numbers, about 14 levels deep at the smallest scale."""
+    o = table(spark, sf, "orders").where("o_orderkey > 1")
+    return o.select(F.col("o_orderkey").alias("child"), F.floor(F.col("o_orderkey") / 2).alias("parent")).distinct()
+
+
+@query("taxonomy_closure_deep", DEEP + """, a AS (SELECT child, parent AS ancestor FROM e UNION SELECT a.child, e.parent FROM a JOIN e ON a.ancestor = e.child)
+ SELECT child, count(*) AS ancestors, min(ancestor) AS top FROM a GROUP BY child""")
+def taxonomy_closure_deep(spark, sf):
+    return X.closure(deep_edges(spark, sf)).groupBy("child").agg(F.count("*").alias("ancestors"), F.min("ancestor").alias("top"))
+
+
+@query("taxonomy_paths_deep", DEEP + """, r AS (SELECT DISTINCT parent AS id FROM e WHERE parent NOT IN (SELECT child FROM e)),
+ p AS (SELECT id, id::VARCHAR AS path FROM r UNION ALL SELECT e.child, p.path || '/' || e.child FROM p JOIN e ON e.parent = p.id) SELECT * FROM p""")
+def taxonomy_paths_deep(spark, sf):
+    e = deep_edges(spark, sf)
+    return X.paths(e.select(F.col("child").alias("id")).union(e.select("parent")).distinct(), e)
+
+
 @query("taxonomy_paths", EDGES + """, p AS (SELECT 'world' AS id, 'world' AS path UNION ALL SELECT e.child, p.path || '/' || e.child FROM p JOIN e ON e.parent = p.id) SELECT * FROM p""")
 def taxonomy_paths(spark, sf):
     e = edges(spark, sf)

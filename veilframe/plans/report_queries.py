@@ -48,6 +48,13 @@ def weighted_throughput(spark, sf):
     return rounded(M.throughput(d, ["source"], "n_chars", "sec"))
 
 
+@query("latency_by_type", """SELECT event_type, count(value) AS count, round(avg(value), 6) AS mean, max(value) AS max, round(quantile_cont(value, 0.5), 6) AS p50,
+ round(quantile_cont(value, 0.95), 6) AS p95, false AS approximate FROM events GROUP BY event_type""")
+def latency_by_type(spark, sf):
+    """Five groups whose size grows with the table, a fifth of all rows each."""
+    return rounded(M.latency(table(spark, sf, "events"), "event_type", "value"))
+
+
 @query("latency_summary", EV + "SELECT day, count(value) AS count, round(avg(value), 6) AS mean, max(value) AS max, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, false AS approximate FROM ev GROUP BY day")
 def latency_summary(spark, sf):
     return rounded(M.latency(events(spark, sf), "day", "value"))

@@ -273,12 +273,11 @@ def strip_edges(spark, sf):
                                              F.size(A.strip_right_keep_eos(y, 0)).cast("long").alias("eos_n"))
 
 
-@query("sequence_mask", "SELECT o_orderkey, (o_custkey % 9)::BIGINT AS valid, 16::BIGINT AS width FROM orders")
+@query("sequence_mask", "SELECT o_orderkey, (o_custkey % 9)::BIGINT AS valid, (CASE WHEN o_custkey % 9 = 8 THEN 32 ELSE 16 END)::BIGINT AS width FROM orders")
 def sequence_mask(spark, sf):
     n = (F.col("o_custkey") % 9).cast("int")
     m = A.valid_mask(n, A.round_up(n + 1 + 8, 16))
-    return table(spark, sf, "orders").select("o_orderkey", F.aggregate(m, F.lit(0), lambda a, x: a + x).cast("long").alias("valid"), F.size(m).cast("long").alias("width")) \
-        .withColumn("width", F.least("width", F.lit(16).cast("long")))
+    return table(spark, sf, "orders").select("o_orderkey", F.aggregate(m, F.lit(0), lambda a, x: a + x).cast("long").alias("valid"), F.size(m).cast("long").alias("width"))
 
 
 PAIR = f"""WITH t AS (SELECT conv_id, turn, text, {IDS} AS ids, lead({IDS}) OVER w AS nxt FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) """
