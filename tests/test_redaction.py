@@ -45,6 +45,13 @@ CONFIGURED = [
 ]
 
 
+
+def test_json_leaves_stay_apart(spark):
+    rules = Rules(known_values={"id": ["x\ny", "pq"]})
+    df = spark.createDataFrame([('{"a":"x","b":"y","c":"x\\ny","d":"pq"}',)], "json string")
+    assert redact_json(df, rules).first().redacted == '{"a":"x","b":"y","c":"***","d":"**"}'
+
+
 def run(spark, texts, fn):
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     return [r.redacted for r in fn(df).orderBy("id").collect()]

@@ -77,11 +77,17 @@ def _compact(value) -> str:
     return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
 
 
+_BETWEEN = "\n\0\n"
+
+
 def redact_json(df: DataFrame, rules: Rules = Rules(), column: str = "json",
                 out: str = "redacted") -> DataFrame:
-    """Redact JSON strings. Leaf texts of a document are joined by line breaks, which no rule
-    crosses, masked like any text and cut back by length, so the rules run once per document."""
+    """Redact JSON strings. Leaf texts of a document are joined by a line break, a null character and a line break, masked like
+    any text and cut back by length, so the rules run once per document. No pattern crosses a line break, and known
+    values that hold a null character are refused, so nothing matches across leaves."""
     labels = frozenset(detect.label_table(rules))
+    if any("\0" in v for values in rules.known_values.values() for v in values):
+        raise ValueError("a known value must not hold a null character")
 
     @F.pandas_udf(T.StringType())
     def leaves(docs: pd.Series) -> pd.Series:
@@ -90,7 +96,7 @@ def redact_json(df: DataFrame, rules: Rules = Rules(), column: str = "json",
                 return None
             texts = []
             _walk(json.loads(doc), labels, lambda v: texts.append(str(v)), lambda v: None)
-            return "\n".join(texts)
+            return _BETWEEN.join(texts)
         return docs.map(one, na_action="ignore")
 
     @F.pandas_udf(T.StringType())
@@ -102,7 +108,7 @@ def redact_json(df: DataFrame, rules: Rules = Rules(), column: str = "json",
                 nonlocal pos
                 text = str(v)
                 new = mask[pos:pos + len(text)]
-                pos += len(text) + 1
+                pos += len(text) + len(_BETWEEN)
                 return new if isinstance(v, str) or new != text else v
 
             def masked(v):
