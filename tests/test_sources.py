@@ -39,10 +39,35 @@ def test_discovery_and_empty_file(spark, tmp_path):
     put(tmp_path / "ignored.csv", b"q\n")
     put(tmp_path / "empty.txt", b"")
     found = text.discover(spark, str(tmp_path), exclude=["out"])
-    assert sorted(os.path.basename(r.file) for r in found.collect()) == ["a.TXT", "a.txt"]  # a file without bytes has no split and no rows
+    assert sorted(os.path.basename(r.file) for r in found.collect()) == ["a.TXT", "a.txt", "empty.txt"]
     assert lines(spark, tmp_path, exclude=["out"]) == [("x", "\n"), ("y", "\n")]
 
 
+def test_exclusion_by_resolved_folder_and_full_manifest(spark, tmp_path):
+    put(tmp_path / "out" / "b.txt", b"z\n")
+    put(tmp_path / "sub" / "out" / "deep.txt", b"ab\n\n")
+    put(tmp_path / "_notes.txt", b"x\n")
+    put(tmp_path / ".hid.txt", b"x\n")
+    put(tmp_path / "empty.txt", b"")
+    put(tmp_path / "bad.txt", b"ok\n\xff\xfe\n")
+    found = text.discover(spark, str(tmp_path), exclude=["out"])
+    got = {os.path.basename(r.file): (r.status, r.records, r.error_type)
+           for r in text.manifest(found, text.scan(spark, str(tmp_path), exclude=[str(tmp_path / "out")])).collect()}
+    assert got == {"deep.txt": ("ok", 2, None), "_notes.txt": ("failed", None, "HiddenFile"), ".hid.txt": ("failed", None, "HiddenFile"),
+                   "empty.txt": ("ok", 0, None), "bad.txt": ("failed", 2, "UnicodeDecodeError")}
+
+
+def test_directory_run_does_not_read_its_output(spark, tmp_path):
+    put(tmp_path / "a.txt", "电话13800138000\n".encode())
+    put(tmp_path / "bad.txt", b"\xff\n")
+    out = str(tmp_path / "out")
+    for _ in range(3):
+        run_directory(spark, str(tmp_path), out)
+    assert sorted(r.status for r in spark.read.json(out + "/manifest").collect()) == ["failed", "ok"]
+    with pytest.raises(ValueError):
+        run_directory(spark, str(tmp_path / "in"), str(tmp_path))
+
+
 def test_publish_round_trip(spark, tmp_path):
     put(tmp_path / "in" / "a.txt", b"one\rtwo 12345678\r\nthree\n")
     got = text.scan(spark, str(tmp_path / "in"))

@@ -4,7 +4,9 @@ manifest, input signatures and output guards.
 
 from __future__ import annotations
 
+import datetime
 import posixpath
+from fnmatch import fnmatchcase
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,20 +22,39 @@ def _files(spark: SparkSession, fmt: str, glob: str):
             .option("pathGlobFilter", glob))
 
 
-def not_under(path: Column, folders) -> Column:
-    """Path lies outside the given folders (output folder, excluded folders)."""
+def _resolved(spark: SparkSession, folder: str):
+    """A folder's file system and its path as the readers print it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(path)
+
+
+def not_under(spark: SparkSession, path: Column, root, folders) -> Column:
+    """Path lies outside the given folders (output folder, excluded folders), named in full or from a root on."""
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")  # noqa: E731  readers print local paths in two ways
+    roots = [root] if isinstance(root, str) else list(root)
     keep = F.lit(True)
     for folder in folders:
-        keep = keep & ~path.contains("/" + folder.strip("/") + "/")
+        full = [folder] if folder.startswith("/") or ":/" in folder else [posixpath.join(r, folder) for r in roots]
+        for f in full:
+            keep = keep & ~F.startswith(plain(path), F.lit(_resolved(spark, f)[1].toString().rstrip("/") + "/"))
     return keep
 
 
 def discover(spark: SparkSession, root: str, exclude=(), glob: str = _TXT) -> DataFrame:
-    """Input signature of every text file below root: path, size, modification time."""
-    meta = _files(spark, "binaryFile", glob).load(root).select(
-        F.col("path").alias("file"), F.col("length").alias("size"),
-        F.col("modificationTime").alias("modified"))
-    return meta.where(not_under(F.col("file"), exclude))
+    """Input signature of every text file below root: path, size, modification time.
+
+    Lists files without bytes and names that start with _ or . too, which Spark's readers pass over in silence; see
+    manifest().
+    """
+    fs, path = _resolved(spark, root)
+    found, rows = fs.listFiles(path, True), []
+    while found.hasNext():
+        f = found.next()
+        if fnmatchcase(f.getPath().getName(), glob):
+            rows.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    meta = spark.createDataFrame(rows, "file string, size long, modified long").withColumn("modified", F.timestamp_millis("modified"))
+    return meta.where(not_under(spark, F.col("file"), root, exclude))
 
 
 def changed(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -72,20 +93,20 @@ def raw_lines(reader) -> DataFrame:
 
 def read_raw(spark: SparkSession, root, exclude=(), glob: str = _TXT) -> DataFrame:
     lines = raw_lines(_files(spark, "text", glob).option("lineSep", "\n").load(root))
-    return lines.where(not_under(F.col("file"), exclude))
+    return lines.where(not_under(spark, F.col("file"), root, exclude))
 
 
 def records(raw: DataFrame, max_chars: int | None = None) -> DataFrame:
-    """One row per record: file, line_no (from 1), text, eol, failed.
+    """One row per record: file, line_no (from 1), text, eol, failed, error.
 
     Records end at \\n, \\r\\n or a lone \\r. Line numbers need no sort: rows of a file block are
     numbered in reading order and each block adds the counts of the blocks before it. Whether the
     last line is terminated follows from the file size. `failed` marks files holding a record
-    longer than max_chars, terminator included.
+    longer than max_chars, terminator included, or bytes that are not UTF-8; `error` says which.
     """
-    cut = raw.select("file", "block", "size", F.octet_length("value").alias("_bytes"),
+    cut = raw.select("file", "block", "size", F.octet_length("value").alias("_bytes"), (~F.is_valid_utf8("value")).alias("_bad"),
                      F.split("value", r"(?<=\r)(?!\z)", -1).alias("_all"))
-    pieces = (cut.select("file", "block", "size", "_bytes", F.size("_all").alias("_n"),
+    pieces = (cut.select("file", "block", "size", "_bytes", "_bad", F.size("_all").alias("_n"),
                          F.posexplode("_all").alias("_piece", "_text"))
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_last", F.col("_piece") == F.col("_n") - 1))
@@ -94,7 +115,7 @@ def records(raw: DataFrame, max_chars: int | None = None) -> DataFrame:
     blocks = pieces.groupBy("file", "block").agg(
         F.first("size").alias("size"), F.count("*").alias("n"), F.min("_mid").alias("first"),
         F.sum(F.when(F.col("_last"), F.col("_bytes") + 1).otherwise(0)).alias("bytes"),
-        F.count_if(length > limit).alias("over"), F.max_by(length, "_mid").alias("last_len"))
+        F.count_if(length > limit).alias("over"), F.count_if("_bad").alias("bad"), F.max_by(length, "_mid").alias("last_len"))
     of_file = Window.partitionBy("file")
     earlier = of_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     missing = F.col("size") - F.sum("bytes").over(of_file)
@@ -105,17 +126,18 @@ def records(raw: DataFrame, max_chars: int | None = None) -> DataFrame:
               .withColumn("open_end", missing.isin(-1, 2))
               .withColumn("end_len", F.max_by("last_len", "block").over(of_file))
               .withColumn("n_over", F.sum("over").over(of_file))
-              .withColumn("failed", F.col("n_over") > F.when(
-                  F.col("open_end") & (F.col("end_len") == limit + 1), 1).otherwise(0))
-              .select("file", "block", "first", "before", "total", "open_end", "failed"))
-    rows = (pieces.drop("size", "_bytes", "_n").join(placed, ["file", "block"])
+              .withColumn("error", F.when(F.sum("bad").over(of_file) > 0, "UnicodeDecodeError").when(F.col("n_over") > F.when(
+                  F.col("open_end") & (F.col("end_len") == limit + 1), 1).otherwise(0), "RecordTooLong"))
+              .withColumn("failed", F.col("error").isNotNull())
+              .select("file", "block", "first", "before", "total", "open_end", "failed", "error"))
+    rows = (pieces.drop("size", "_bytes", "_bad", "_n").join(placed, ["file", "block"])
             .withColumn("line_no", F.col("before") + F.col("_mid") - F.col("first") + 1))
     at_end = F.col("open_end") & (F.col("line_no") == F.col("total"))
     cr = F.col("_text").endswith("\r")
     eol = (F.when(cr & (~F.col("_last") | at_end), "\r").when(cr, "\r\n")
            .when(at_end, "").otherwise("\n"))
     return rows.select("file", "line_no", F.regexp_replace("_text", r"\r\z", "").alias("text"),
-                       eol.alias("eol"), "failed")
+                       eol.alias("eol"), "failed", "error")
 
 
 def scan(spark: SparkSession, root, exclude=(), max_chars: int | None = None,
@@ -130,7 +152,20 @@ def summary(lines: DataFrame, text: str = "text", by: str = "file") -> DataFrame
         F.when(F.bool_or("failed"), "failed").otherwise("ok").alias("status"),
         F.count("*").alias("records"), F.count_if(is_blank(F.col(text))).alias("blank_records"),
         F.sum(size).alias("chars"), F.max(size).alias("max_record_chars"),
-        F.when(F.bool_or("failed"), "RecordTooLong").alias("error_type"))
+        (F.max("error") if "error" in lines.columns else F.when(F.bool_or("failed"), "RecordTooLong")).alias("error_type"))
+
+
+def manifest(inputs: DataFrame, lines: DataFrame, text: str = "text") -> DataFrame:
+    """summary() with a row for every discovered input: files without bytes are ok and empty, files that Spark's
+    readers pass over for their name (_ or . in front) have failed as HiddenFile."""
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    counted = summary(lines, text).withColumn("_path", plain(F.col("file"))).drop("file")
+    rows = inputs.select("file", "size", plain(F.col("file")).alias("_path")).join(counted, "_path", "left")
+    empty = F.col("size") == 0
+    return rows.select(
+        "file", F.coalesce("status", F.when(empty, "ok").otherwise("failed")).alias("status"),
+        *[F.coalesce(c, F.when(empty, F.lit(0).cast("long"))).alias(c) for c in ("records", "blank_records", "chars")],
+        "max_record_chars", F.coalesce("error_type", F.when(F.col("status").isNull() & ~empty, "HiddenFile")).alias("error_type"))
 
 
 def rollup(manifest: DataFrame) -> DataFrame:

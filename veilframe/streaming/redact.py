@@ -7,20 +7,25 @@ from pyspark.sql import functions as F
 
 from veilframe.operators.redact import redact
 from veilframe.sources.rules import Rules
-from veilframe.sources.text import raw_lines, records, summary, write_text
+from veilframe.sources.text import not_under, raw_lines, records, summary, write_text
 
 
 def run_directory(spark: SparkSession, root: str, out: str, rules: Rules = Rules(),
                   max_chars: int | None = None, detector=None, max_files: int = 10_000) -> None:
     """Process text files not seen before, once each, and stop.
 
-    The stream checkpoint remembers processed files. A file that holds an over-long record is
+    The stream checkpoint remembers processed files. A file that holds an over-long record, or bytes that are not UTF-8, is
     listed as failed in the manifest and publishes nothing; the others go on. Output folders and
-    manifest rows are keyed by batch, so a repeated batch replaces its own result.
+    manifest rows are keyed by batch, so a repeated batch replaces its own result. An output folder below root is
+    never read again; one that is root, or holds it, is refused.
     """
+    inside = lambda folder: spark._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath().rstrip("/") + "/"
+    if inside(root).startswith(inside(out)):
+        raise ValueError("the output folder must not be the input folder or hold it")
     stream = raw_lines(
         spark.readStream.format("text").option("lineSep", "\n").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.[tT][xX][tT]").option("maxFilesPerTrigger", max_files).load(root))
+    stream = stream.where(not_under(spark, F.col("file"), root, [out]))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         lines = records(batch, max_chars)
