@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,6 +100,23 @@ def test_budget_batches(spark):
     assert got == [0, 0, 1, 1, 2]
 
 
+def test_budget_batches_cross_spans(spark):
+    rng = random.Random(4)
+    rows = [(f, i + 1, rng.randrange(1, 40)) for f, n in (("a", 400), ("b", 1), ("c", 97)) for i in range(n)]
+    want = {}
+    batch = rows_in = used = 0
+    for k, (f, i, n) in enumerate(rows):
+        if k and f != rows[k - 1][0]:
+            batch = rows_in = used = 0
+        if rows_in and (rows_in == 6 or used + n > 90):
+            batch, rows_in, used = batch + 1, 0, 0
+        rows_in, used = rows_in + 1, used + n
+        want[f, i] = batch
+    df = spark.createDataFrame(rows, "file string, line_no long, size long").repartition(5)
+    for span in (1, 10, 1000):
+        assert {(r.file, r.line_no): r.batch for r in budget_batches(df, "file", "line_no", "size", 6, 90, span).collect()} == want
+
+
 def test_sources_reject_unknown_and_empty(spark):
     empty = spark.createDataFrame([], "file string, line_no long, text string")
     with pytest.raises(ValueError):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,28 +126,65 @@ def blend(sources: dict[str, DataFrame], weights: dict[str, float], size: int, k
 # batching and packing ----------------------------------------------------------------------
 
 def budget_batches(lines: DataFrame, file: str, order: str, size: str, max_rows: int, max_size: int,
-                   shard_rows: int = 100_000) -> DataFrame:
-    """Batches limited by rows and total size; a single over-size row is an error.
+                   span: int = 100_000) -> DataFrame:
+    """Batches limited by rows and total size; a single over-size row is an error. Returns (file, order, batch).
 
-    Filling is sequential, so it runs per file and span of shard_rows consecutive line numbers on
-    two integers per row; batches do not cross a span. Returns (file, order, shard, batch).
+    `order` numbers a file's rows without gaps. Filling is sequential, but a batch spans at most max_rows rows: every span
+    of consecutive rows says, for each of its first max_rows rows as the start of a batch, where in the next span
+    the batches come out and how many there are. These short tables are chained per file, then every span fills
+    in its batches. Batches cross spans, so the span does not show in the result.
     """
+    span = max(span, max_rows)
+
+    def ahead(sizes: np.ndarray, own: int) -> np.ndarray:
+        """For each own row, the row after the batch that starts at it."""
+        if (sizes > max_size).any():
+            raise ValueError("a single row exceeds the batch size")
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        fits = np.searchsorted(total, total[:own] + max_size, "right") - 1
+        return np.minimum(fits, np.arange(own) + max_rows)
+
+    def table(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order)
+        own = int((~pdf["halo"]).sum())
+        after = ahead(pdf[size].to_numpy(np.int64), own)
+        out, n = np.zeros(own, np.int64), np.zeros(own, np.int64)
+        for i in range(own - 1, -1, -1):
+            inside = after[i] < own
+            out[i], n[i] = (out[after[i]], n[after[i]] + 1) if inside else (after[i] - own, 1)
+        return pd.DataFrame({file: pdf[file].iloc[:1], "span": pdf["span"].iloc[:1], "out": [out[:max_rows]], "n": [n[:max_rows]]})
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        entry, batch, rows = 0, 0, []
+        for r in pdf.sort_values("span").itertuples(index=False):
+            rows.append((entry, batch))
+            if entry < len(r.out):
+                entry, batch = int(r.out[entry]), batch + int(r.n[entry])
+            else:
+                entry -= len(r.out)
+        return pdf.sort_values("span").assign(entry=[e for e, _ in rows], first=[b for _, b in rows])[[file, "span", "entry", "first"]]
+
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
-        out, batch, rows, used = [], 0, 0, 0
-        for n in pdf[size]:
-            if n > max_size:
-                raise ValueError("a single row exceeds the batch size")
-            if rows and (rows >= max_rows or used + n > max_size):
-                batch, rows, used = batch + 1, 0, 0
-            rows, used = rows + 1, used + n
-            out.append(batch)
-        return pdf.assign(batch=out)[[file, order, "shard", "batch"]]
-
-    light = lines.select(F.col(file).cast("string").alias(file), F.col(order).cast("long").alias(order),
-                         F.col(size).cast("long").alias(size)) \
-                 .withColumn("shard", F.floor(F.col(order) / shard_rows))
-    return light.groupBy(file, "shard").applyInPandas(fill, f"{file} string, {order} long, shard long, batch long")
+        own = pdf[~pdf["halo"]]
+        after = ahead(pdf[size].to_numpy(np.int64), len(own))
+        starts, at = np.zeros(len(own), np.int64), int(own["entry"].iloc[0])
+        while at < len(own):
+            starts[at] = 1
+            at = int(after[at])
+        return own.assign(batch=int(own["first"].iloc[0]) - 1 + np.cumsum(starts))[[file, order, "batch"]]
+
+    at = F.floor((F.col(order) - F.col("_low")) / span)
+    light = lines.select(F.col(file).cast("string").alias(file), F.col(order).cast("long").alias(order), F.col(size).cast("long").alias(size))
+    low = light.groupBy(file).agg(F.min(order).alias("_low"))
+    light = light.join(low, file).withColumn("_span", at).withColumn("_in", F.col(order) - F.col("_low") - F.col("_span") * span)
+    # the first max_rows rows of a span also follow the span before it
+    halo = F.when((F.col("_span") > 0) & (F.col("_in") < max_rows), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    rows = light.select(file, order, size, "_span", F.explode(halo).alias("halo")).select(
+        file, order, size, "halo", (F.col("_span") - F.col("halo").cast("int")).alias("span"))
+    tables = rows.groupBy(file, "span").applyInPandas(table, f"{file} string, span long, out array<long>, n array<long>")
+    entries = tables.groupBy(file).applyInPandas(chain, f"{file} string, span long, entry long, first long")
+    return rows.join(entries, [file, "span"]).groupBy(file, "span").applyInPandas(fill, f"{file} string, {order} long, batch long")
 
 
 def greedy_packs(rows: DataFrame, idx: str, length: str, max_len: int, batch: str) -> DataFrame:
