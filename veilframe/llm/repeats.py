@@ -52,10 +52,11 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def anchors(text: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """(place, hash) of the leftmost smallest gram of every window of `length` bytes."""
+def anchors(text: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(place, hash, nearest, farthest): the leftmost smallest gram of every window of `length` bytes, and how many bytes
+    before it the windows start whose anchor it is."""
     width = length - gram + 1
-    at, hashes = [], []
+    at, hashes, near, far = [], [], [], []
     for lo in range(0, len(text) - length + 1, _PART):
         h = gram_hashes(np.frombuffer(text[lo:lo + _PART + length - 1], np.uint8), gram)
         # the place in the low bits breaks ties to the left and says where the smallest stands
@@ -66,40 +67,43 @@ def anchors(text: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray
         behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].reshape(-1)
         n = len(tagged) - width + 1
         best = (np.minimum(behind[:n], ahead[width - 1:width - 1 + n]) & np.uint64(0xFFFFFF)).astype(np.int64)
-        best = best[np.r_[True, best[1:] != best[:-1]]]
-        if at:
-            best = best[best + lo > at[-1][-1]]
-        at.append(best + lo)
-        hashes.append(h[best])
-    return np.concatenate(at), np.concatenate(hashes)
+        first = np.flatnonzero(np.r_[True, best[1:] != best[:-1]])
+        last = np.r_[first[1:], n] - 1
+        place = best[first]
+        at.append(place + lo)
+        hashes.append(h[place])
+        near.append(place - last)
+        far.append(place - first)
+    at, hashes, near, far = (np.concatenate(x) for x in (at, hashes, near, far))
+    new = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])  # windows of two pieces may have one anchor
+    return at[new], hashes[new], np.minimum.reduceat(near, new), far[new]
 
 
 def _occurrences(length: int, gram: int):
     out = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("h", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()),
-                     ("pos", pa.int32()), ("left", pa.int32()), ("right", pa.int32())])
+                     ("pos", pa.int32()), ("left", pa.int32()), ("right", pa.int32()), ("near", pa.int32()), ("far", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k1, k2 = (batch.column(c).to_numpy() for c in KEY)
-            rows, places, hashes, digests = [], [], [], []
-            sizes = []
+            rows, found, digests, sizes = [], [], [], []
             for row in range(batch.num_rows):
                 text = batch.column("text")[row].as_py()
                 if len(text) < length:
                     continue
-                at, h = anchors(text, length, gram)
+                found.append(anchors(text, length, gram))
+                at = found[-1][0]
                 rows.append(np.full(len(at), row))
-                places.append(at)
-                hashes.append(h)
                 sizes.append(np.full(len(at), len(text)))
                 reach = length - gram
                 digests += [blake2b(text[max(0, a - reach):a + length], digest_size=16, salt=min(a, reach).to_bytes(4, "little")).digest()
                             for a in at.tolist()]
             if rows:
-                r, at, h, n = (np.concatenate(x) for x in (rows, places, hashes, sizes))
+                r, n, at, h, near, far = (np.concatenate(x) for x in (rows, sizes, *zip(*found)))
                 d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 cols = [k1[r], k2[r], h.view(np.int64), d[:, 0], d[:, 1], at.astype(np.int32),
-                        np.minimum(at, length - gram).astype(np.int32), np.minimum(n - at, length).astype(np.int32)]
+                        np.minimum(at, length - gram).astype(np.int32), np.minimum(n - at, length).astype(np.int32),
+                        near.astype(np.int32), far.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=out)
     return run
 
@@ -191,14 +195,12 @@ def _extents(length: int):
 
 
 def _windows(length: int):
-    """(h, g1, g2, c1, c2, l): a digest of every window of a context of a very large group, l bytes before the anchor."""
+    """(h, g1, g2, c1, c2, l): a digest of every window that has its anchor in a context of a very large group, l bytes before it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 left, text = batch.column("left")[i].as_py(), batch.column("context")[i].as_py()
-                each = range(max(0, left + length - len(text)), left + 1)
-                if not each:
-                    continue
+                each = range(batch.column("near")[i].as_py(), batch.column("far")[i].as_py() + 1)
                 d = np.frombuffer(b"".join(blake2b(text[left - n:left - n + length], digest_size=16).digest() for n in each), np.int64).reshape(-1, 2)
                 h, *same = [np.full(len(d), batch.column(c)[i].as_py()) for c in ("h", *_CTX)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, d[:, 0], d[:, 1], *same, np.array(each, np.int32))],
@@ -207,7 +209,8 @@ def _windows(length: int):
 
 
 def _contexts(length: int, gram: int):
-    out = pa.schema([("h", pa.int64()), ("size", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("left", pa.int32()), ("context", pa.binary())])
+    out = pa.schema([("h", pa.int64()), ("size", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("left", pa.int32()), ("near", pa.int32()),
+                     ("far", pa.int32()), ("context", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,7 +219,7 @@ def _contexts(length: int, gram: int):
                 text = batch.column("text")[i].as_py()
                 for a in batch.column("wanted")[i].as_py():
                     lo = a["pos"] - a["left"]
-                    rows.append((a["h"], a["size"], a["c1"], a["c2"], a["left"], text[lo:a["pos"] + length]))
+                    rows.append((a["h"], a["size"], a["c1"], a["c2"], a["left"], a["near"], a["far"], text[lo:a["pos"] + length]))
                     held += len(rows[-1][-1])
                 if rows and (held > 1 << 24 or i == batch.num_rows - 1):
                     yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), out)], schema=out)
@@ -235,27 +238,31 @@ def spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int =
     each distinct context that shares its gram with another is fetched and compared.
     """
     found = materialise(keyed.select(*KEY, "text").mapInArrow(
-        _occurrences(length, gram), "k1 long, k2 long, h long, c1 long, c2 long, pos int, left int, right int"), "anchors")
-    again = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+        _occurrences(length, gram), "k1 long, k2 long, h long, c1 long, c2 long, pos int, left int, right int, near int, far int"), "anchors")
+    again = materialise(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "again")
     found = materialise(found.join(again, "h"), "repeated")
     ctx = materialise(found.groupBy(*_CTX).agg(
-        F.count(F.lit(1)).alias("n"), F.min("h").alias("h"), F.min(F.struct("k1", "k2", "pos", "left", "right")).alias("at")), "contexts")
+        F.count(F.lit(1)).alias("n"), F.min("h").alias("h"), F.min(F.struct("k1", "k2", "pos", "left", "right", "near", "far")).alias("at")), "contexts")
     by_gram = ctx.groupBy("h").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("rare")).filter("size > 1 AND rare = 1")
-    wanted = (ctx.join(by_gram.select("h", "size"), "h").groupBy("at.k1", "at.k2")
-              .agg(F.collect_list(F.struct("h", "size", *_CTX, "at.pos", "at.left")).alias("wanted")))
-    texts = keyed.join(wanted, (F.col(KEY[0]) == F.col("k1")) & (F.col(KEY[1]) == F.col("k2"))).select(*KEY, "id", "text", "wanted")
-    parts = texts.mapInArrow(_contexts(length, gram), "h long, size long, c1 long, c2 long, left int, context binary")
-    schema = "c1 long, c2 long, left int, right int"
-    usual = (parts.filter(F.col("size") <= group).select("h", *_CTX, "left", "context").repartition("h").sortWithinPartitions("h")
-             .mapInArrow(_extents(length), schema))
+
+    def texts(of: DataFrame) -> DataFrame:
+        """One text of every context of the given grams; the documents' exchange is shared by all uses in a plan."""
+        wanted = (ctx.join(of.select("h", "size"), "h").groupBy("at.k1", "at.k2")
+                  .agg(F.collect_list(F.struct("h", "size", *_CTX, "at.pos", "at.left", "at.near", "at.far")).alias("wanted")))
+        rows = keyed.join(wanted, (F.col(KEY[0]) == F.col("k1")) & (F.col(KEY[1]) == F.col("k2"))).select(*KEY, "id", "text", "wanted")
+        return rows.mapInArrow(_contexts(length, gram), "h long, size long, c1 long, c2 long, left int, near int, far int, context binary")
+
+    usual = (texts(by_gram.filter(F.col("size") <= group)).select("h", *_CTX, "left", "context").repartition("h").sortWithinPartitions("h")
+             .mapInArrow(_extents(length), "c1 long, c2 long, left int, right int"))
     ext = usual.union(ctx.filter("n > 1").select(*_CTX, "at.left", "at.right"))
-    if not by_gram.filter(F.col("size") > group).isEmpty():
-        each = materialise(parts.filter(F.col("size") > group).select("h", *_CTX, "left", "context").mapInArrow(
-            _windows(length), "h long, g1 long, g2 long, c1 long, c2 long, l int"), "windows")
+    large = by_gram.filter(F.col("size") > group)
+    if not large.isEmpty():  # every window has one anchor, so this makes a row per byte at most
+        each = texts(large).select("h", *_CTX, "left", "near", "far", "context").mapInArrow(
+            _windows(length), "h long, g1 long, g2 long, c1 long, c2 long, l int")
         same = ["h", "l", "g1", "g2"]  # a window around two anchors is one place, so grams do not mix
         twice = each.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*same)
-        large = each.join(twice, same, "left_semi").groupBy(*_CTX).agg(F.max("l").alias("left"), (length - F.min("l")).alias("right"))
-        ext = ext.union(large)
+        found_large = each.join(twice, same, "left_semi").groupBy(*_CTX).agg(F.max("l").alias("left"), (length - F.min("l")).alias("right"))
+        ext = ext.union(found_large)
     ext = ext.groupBy(*_CTX).agg(F.max("left").alias("el"), F.max("right").alias("er"))
     return found.select(*_CTX, "k1", "k2", "pos").join(ext, _CTX).groupBy("k1", "k2").agg(F.collect_list(
         F.struct((F.col("pos") - F.col("el")).alias("start"), (F.col("pos") + F.col("er")).alias("end"))).alias("spans"))
