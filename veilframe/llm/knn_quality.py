@@ -89,7 +89,7 @@ def document_frequency(docs: DataFrame, text_col: str = "text") -> tuple[np.ndar
 def decompose(rows: list[tuple[np.ndarray, np.ndarray]], dimensions: int, sweeps: int = 3) -> np.ndarray:
     """The leading right singular vectors of sparse rows (terms, weights), by randomised subspace iteration."""
     rng = np.random.default_rng(11)
-    basis = rng.normal(size=(TERMS, dimensions + 16)).astype(np.float32)
+    basis = rng.normal(size=(TERMS, min(dimensions + 16, len(rows)))).astype(np.float32)
     for _ in range(sweeps):
         left = np.linalg.qr(np.stack([w @ basis[t] for t, w in rows]))[0]
         basis = np.zeros_like(basis)

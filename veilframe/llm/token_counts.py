@@ -168,7 +168,7 @@ def apply_edits(indexed: DataFrame, vocabulary: str, pattern: str, edits_col: st
     """indexed with its edits carried out: new text, tree and n_tokens, and n_reencoded, the pre-tokens that were read again.
 
     edits is array<struct<start int, end int, text string>> in places of the text before any edit. Null or empty edits change
-    nothing; edits that overlap an earlier one (by start, then end) or lie outside the text are left out.
+    nothing, a null text that gets no text stays null; edits that overlap an earlier one (by start, then end) or lie outside the text are left out.
     """
     rows = indexed.drop("n_reencoded")
     schema = rows.select("*", F.lit(0).cast("long").alias("n_reencoded")).schema
@@ -181,7 +181,8 @@ def apply_edits(indexed: DataFrame, vocabulary: str, pattern: str, edits_col: st
                 reread = 0
                 if edits:
                     t = Tree.from_bytes(tree)
-                    text, reread = carry_out(text or "", edits, t, c)
+                    new_text, reread = carry_out(text or "", edits, t, c)
+                    text = new_text if text is not None or new_text else None
                     tree, n = t.to_bytes(), t.tokens
                 texts.append(text)
                 trees.append(tree)
