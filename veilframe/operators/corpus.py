@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from veilframe.functions.fold import let, scan
 from veilframe.operators.ordering import row_index, running
 from veilframe.operators.rows import seeded, top_k
+from veilframe.session import materialise
 
 
 def build_vocab(tokens: DataFrame, token: str, min_freq: int = 1, max_size: int | None = None,
@@ -34,7 +35,7 @@ def build_vocab(tokens: DataFrame, token: str, min_freq: int = 1, max_size: int
 
 def tf_idf(tokens: DataFrame, doc: str, token: str) -> DataFrame:
     """(doc, token, tf, idf, tfidf): tf over the document's tokens, idf = ln(N / df)."""
-    counts = tokens.groupBy(doc, token).agg(F.count("*").alias("n"))
+    counts = materialise(tokens.groupBy(doc, token).agg(F.count("*").alias("n")), "counts")
     totals = counts.groupBy(doc).agg(F.sum("n").alias("total"))
     df = counts.groupBy(token).agg(F.count("*").alias("df"))
     n_docs = totals.agg(F.count("*").alias("docs"))
@@ -65,13 +66,17 @@ def token_offsets(corpus: DataFrame, order: list[str], size: str) -> DataFrame:
 def assemble_samples(corpus: DataFrame, order: list[str], doc: str, tokens: str, seq_len: int) -> DataFrame:
     """Samples of seq_len + 1 tokens across document boundaries; neighbours share one token.
 
-    Every document computes the samples it reaches, so there is no range join: it explodes into its
-    pieces and a sample collects at most seq_len + 1 tokens.
+    `order` must tell all rows apart. Every document computes the samples it reaches, so there is no range join: it
+    explodes into its pieces and a sample collects at most seq_len + 1 tokens.
     """
     sized = corpus.withColumn("_n", F.size(tokens).cast("long")).where("_n > 0")
     total = sized.agg(F.sum("_n")).first()[0] or 0
     n_samples = max((total - 1) // seq_len, 0)
-    placed = token_offsets(sized, order, "_n")
+    # the prefix sum runs on the order and the sizes; the tokens themselves meet only their offset
+    light = sized.select(*order, "_n")
+    starts = token_offsets(light, order, "_n").drop("_n")
+    same = [sized[c].eqNullSafe(starts[c]) for c in order]
+    placed = sized.join(starts, same).select(sized["*"], "start")
     lo = F.greatest(F.ceil((F.col("start") - seq_len) / seq_len), F.lit(0)).cast("long")
     hi = F.least(F.floor((F.col("start") + F.col("_n") - 1) / seq_len), F.lit(n_samples - 1)).cast("long")
     pieces = (placed.withColumn("_lo", lo).withColumn("_hi", hi).where("_lo <= _hi")
