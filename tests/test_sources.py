@@ -123,6 +123,9 @@ def test_sources_reject_unknown_and_empty(spark):
         readers.load_layout("no_such_layout", {"train": empty})
     with pytest.raises(ValueError):
         readers.load_layout("topic_lines", {"train": empty})
+    lines = spark.createDataFrame([("f", 1, "a=1"), ("f", 2, "b=2")], "file string, line_no long, text string")
+    pairs = readers.load_layout("own", {"any": lines}, read=lambda x: x.select(F.split("text", "=").alias("pair")))
+    assert [(r.pair, r.split) for r in pairs.orderBy("pair").collect()] == [(["a", "1"], "any"), (["b", "2"], "any")]
 
 
 def test_linked_story_highlights(spark):

@@ -95,15 +95,15 @@ def epoch_order(spark, sf):
     return o.select("doc_id", F.col("epoch").cast("long").alias("epoch"), "position")
 
 
-@query("blend", """WITH e AS (SELECT 'en' AS source, doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS k, 0.5::DOUBLE AS w FROM documents WHERE lang = 'en' UNION ALL
- SELECT 'fr', doc_id, row_number() OVER (ORDER BY doc_id) - 1, 0.3 FROM documents WHERE lang = 'fr' UNION ALL
- SELECT 'de', doc_id, row_number() OVER (ORDER BY doc_id) - 1, 0.2 FROM documents WHERE lang = 'de')
- SELECT source, doc_id, row_number() OVER (ORDER BY (k + 0.5) / w, source, k) - 1 AS position FROM e
- WHERE k < ceil(300 * w * 1.005) + 20 QUALIFY position < 300""")
+@query("blend", """WITH z AS (SELECT count(*) // 2 AS size FROM documents), s AS (SELECT lang AS source, list(doc_id ORDER BY doc_id) AS ids,
+ CASE lang WHEN 'en' THEN 0.5 WHEN 'fr' THEN 0.3 ELSE 0.2 END::DOUBLE AS w FROM documents WHERE lang IN ('en', 'fr', 'de') GROUP BY lang),
+ k AS (SELECT source, ids, w, size, unnest(range(0, (ceil(size * w * 1.005) + 20)::BIGINT)) AS k FROM s, z)
+ SELECT source, ids[k % len(ids) + 1] AS doc_id, row_number() OVER (ORDER BY (k + 0.5) / w, source, k) - 1 AS position FROM k QUALIFY position < any_value(size) OVER ()""")
 def blend(spark, sf):
+    """Half as many rows as there are documents; French and German have fewer than their share and are read again."""
     d = table(spark, sf, "documents").select("doc_id", "lang")
     parts = {x: d.where(F.col("lang") == x) for x in ("en", "fr", "de")}
-    return C.blend(parts, {"en": 5, "fr": 3, "de": 2}, 300, "doc_id").select("source", "doc_id", "position")
+    return C.blend(parts, {"en": 5, "fr": 3, "de": 2}, d.count() // 2, "doc_id").select("source", "doc_id", "position")
 
 
 @query("budget_batches", """WITH RECURSIVE l AS (SELECT lang AS file, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS line_no, n_chars AS size FROM documents),
@@ -132,11 +132,11 @@ def greedy_packs(spark, sf):
                      F.count_if(kept & (F.col("n") > 2048)).alias("over_full"), F.sum(F.when(kept, F.col("n"))).alias("tokens"))
 
 
-@query("assemble_packs", f"""WITH t AS (SELECT doc_id, {IDS} AS ids FROM documents), p AS (SELECT doc_id // 4 AS pack, doc_id, ids[1:100] AS ids FROM t)
+@query("assemble_packs", f"""WITH t AS (SELECT doc_id, {IDS} AS ids FROM documents), p AS (SELECT doc_id // 4 AS pack, doc_id, ids FROM t)
  SELECT pack, sum(len(ids))::BIGINT AS n, array_to_string(list(len(ids) ORDER BY doc_id), ',') AS lengths,
  sum(coalesce(list_sum(ids), 0))::BIGINT AS total FROM p GROUP BY pack""")
 def assemble_packs(spark, sf):
-    c = corpus(spark, sf).select(F.floor(F.col("doc_id") / 4).alias("pack"), "doc_id", F.slice("tokens", 1, 100).alias("ids"))
+    c = corpus(spark, sf).select(F.floor(F.col("doc_id") / 4).alias("pack"), "doc_id", F.col("tokens").alias("ids"))
     a = C.assemble_packs(c.withColumn("labels", F.col("ids")), ["pack"], "doc_id", "ids", "labels")
     total = F.aggregate("labels", F.lit(0), lambda s, x: s + x)
     return a.select("pack", F.size("input_ids").cast("long").alias("n"),
@@ -177,10 +177,10 @@ def mask_tokens(spark, sf):
                                    F.count_if((label != -100) & (new == label)).alias("kept"))
 
 
-@query("whole_word_mask", f"""SELECT doc_id, greatest(1, round(2 * len({W}) * 0.15))::BIGINT // 2 AS words FROM documents WHERE len({W}) > 10""")
+@query("whole_word_mask", f"""SELECT doc_id, greatest(1, round(2 * len({W}) * 0.15))::BIGINT // 2 AS words FROM documents""")
 def whole_word_mask(spark, sf):
     """Every word split in two pieces: the quota fills with whole pairs only."""
-    w = docs(spark, sf).select("doc_id", T.words(F.col("text")).alias("w")).where(F.size("w") > 10)
+    w = docs(spark, sf).select("doc_id", T.words(F.col("text")).alias("w"))
     pieces = F.flatten(F.transform("w", lambda x: F.array(x, F.concat(F.lit("##"), x))))
     out = w.select("doc_id", pieces.alias("p")).select("doc_id", "p", C.whole_word_mask(F.col("p"), F.col("doc_id"), 0.15, 11, 1_000_000).alias("at"))
     whole = F.size(F.filter("at", lambda i: i % 2 == 0))

@@ -246,14 +246,17 @@ LAYOUTS = {
 }
 
 
-def load_layout(name: str, lines_by_split: dict[str, DataFrame]) -> DataFrame:
-    """Rows of every given split with a `split` column; unknown names, splits and empty sources fail."""
-    if name not in LAYOUTS:
+def load_layout(name: str, lines_by_split: dict[str, DataFrame], read=None) -> DataFrame:
+    """Rows of every given split with a `split` column; unknown names, splits and empty sources fail.
+
+    `read`, a function from a table of lines to a table of rows, stands for a layout that is not listed; it takes any split.
+    """
+    if read is None and name not in LAYOUTS:
         raise ValueError(f"unknown dataset layout {name}")
-    reader, splits = LAYOUTS[name]
+    reader, splits = (read, None) if read else LAYOUTS[name]
     out = None
     for split, lines in lines_by_split.items():
-        if split not in splits:
+        if splits is not None and split not in splits:
             raise ValueError(f"{name} has no split {split}")
         part = reader(require_rows(lines)).withColumn("split", F.lit(split))
         out = part if out is None else out.unionByName(part)
