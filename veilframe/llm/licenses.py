@@ -6,6 +6,8 @@ their identifiers is then matched against ordered rules, each of which turns the
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +52,13 @@ SENTENCES = {
     "CC0": "to the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
     "Unlicense": "this is free and unencumbered software released into the public domain",
 }
+_GPL = SENTENCES["GPL2Later"] + ", "
+#: The sentences with the further forms that public texts give them: the address of a licence in a line of its own, or behind its
+#: sentence; a comma for a semicolon. A key of several identifiers is a sentence that says them all.
+KNOWN = {**SENTENCES, "GPL2Later GPLEither2": _GPL + SENTENCES["GPLEither2"], "GPL2Later GPLEither3": _GPL + SENTENCES["GPLEither3"],
+         "ApacheCopyAt": (SENTENCES["ApacheCopyAt"], "you may obtain a copy of the license at", *[
+             f"you may obtain a copy of the license at {web}://www.apache.org/licenses/license-2.0{end}"
+             for web in ("http", "https") for end in ("", ".txt", ".html")])}
 # Fixed values, in order: the first rule that fits a place takes it; longer sequences stand before their parts.
 RULES = [
     ("Apache-2.0", ["ApacheLic2The", "ApacheUse", "ApacheCopyAt", "ApacheDist", "ApacheSee"]),
@@ -91,9 +100,9 @@ CUT = "\x01"
 
 
 def _normal(text: Column) -> Column:
-    """Lower case, quotes and brackets gone, other signs blanks, one blank between words."""
+    """Lower case, quotes and brackets gone, other signs blanks, one blank between words and none before a comma or full stop."""
     low = F.regexp_replace(F.lower(text), "[^a-z0-9.,+/-]+", " ")
-    return F.regexp_replace(F.regexp_replace(low, "^[ .,/-]+|[ .,;:/-]+$", ""), " +", " ")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(low, "^[ .,/-]+|[ .,;:/-]+$", ""), " +", " "), " ([.,])", "$1")
 
 
 def sentences(text: Column) -> Column:
@@ -107,15 +116,26 @@ def sentences(text: Column) -> Column:
     return F.transform(F.split(cut, CUT, -1), _normal)
 
 
-def identifiers(text: Column, known: dict[str, str] = SENTENCES) -> Column:
+def identifiers(text: Column, known: dict[str, str | tuple[str, ...]] = KNOWN) -> Column:
     """Identifiers of the known sentences of a text, in order; none for a null text."""
-    table = F.create_map(*[F.lit(x) for name, s in known.items() for x in (_plain(s), name)])
-    found = let(sentences(text), lambda s: F.array_compact(F.transform(s, lambda x: F.try_element_at(table, x))))
+    table = F.create_map(*[x for s, names in _by_sentence(known).items() for x in (F.lit(s), F.array(*map(F.lit, names.split())))])
+    found = let(sentences(text), lambda s: F.flatten(F.array_compact(F.transform(s, lambda x: F.try_element_at(table, x)))))
     return F.when(F.coalesce(F.lower(text).rlike(HINT), F.lit(False)), found).otherwise(F.array().cast("array<string>"))
 
 
 def _plain(sentence: str) -> str:
-    return sentence.rstrip(" .,;:/-")
+    """_normal of a known sentence."""
+    low = re.sub("^[ .,/-]+|[ .,;:/-]+$", "", re.sub("[^a-z0-9.,+/-]+", " ", sentence.lower()))
+    return re.sub(" ([.,])", r"\1", re.sub(" +", " ", low))
+
+
+def _by_sentence(known: dict[str, str | tuple[str, ...]]) -> dict[str, str]:
+    """Identifiers by normal form; of equal forms the first one counts."""
+    out: dict[str, str] = {}
+    for name, forms in known.items():
+        for form in (forms,) if isinstance(forms, str) else forms:
+            out.setdefault(_plain(form), name)
+    return out
 
 
 def match_rules(ids: Column, rules: list[tuple[str, list[str]]] = RULES) -> Column:
@@ -126,7 +146,7 @@ def match_rules(ids: Column, rules: list[tuple[str, list[str]]] = RULES) -> Colu
     return F.regexp_extract_all(seq, F.lit("\\{([^}]*)\\}"), F.lit(1))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: dict[str, str] = SENTENCES,
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: dict[str, str | tuple[str, ...]] = KNOWN,
          rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
     """(id, sentence_ids array, licences array), one row per row of docs, without a shuffle.
 
