@@ -65,6 +65,20 @@ but WITHOUT ANY WARRANTY; without even the implied warranty of
 MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
 GNU General Public License for more details.
 '''
+ISC = '''Copyright (c) 2020, Some One
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS.
+'''
+MPL = '''This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+'''
 GPL2 = GPL.replace("software:", "software;").replace("Foundation,", "Foundation;").replace("version 3", "version 2")
 GPL3 = GPL2.replace("version 2", "version 3")
 GPL_IDS = ["GPLFree", "GPL2Later", None, "GPLHope", "GPLMerchant", "GPLSee"]
@@ -79,6 +93,17 @@ TEXTS = {
 }
 
 
+WRAPPED = {
+    "ISC": (ISC, ["ISCPerm"], ["ISC"]),
+    "MPL": (MPL, ["MPL2Subject"], ["MPL-2.0"]),
+    "BSD": (BSD.replace("above copyright", "above\n   copyright"), *TEXTS["BSD-2"][1:]),
+    "Apache": (APACHE.replace("License.\nYou", "License. You").replace("you may not", "you may\nnot").replace("; ", ";\n"), *TEXTS["Apache"][1:]),
+    "no ends": ("All rights reserved\nReleased under the MIT License\nSee the\nLicensed under CC BY 4.0\n" + "copyright\n" * 600 + "All rights reserved",
+                ["AllRights", "MITReleased", "CCBY", "AllRights"], ["LicenseRef-AllRightsReserved", "MIT", "CC-BY-4.0", "LicenseRef-AllRightsReserved"]),
+    "signs": ("Copyright.\nAll rights\x02\nreserved", ["AllRights"], ["LicenseRef-AllRightsReserved"]),
+}
+
+
 def scanned(spark, texts, **params):
     df = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
     return {r.id: (r.sentence_ids, r.licences) for r in licenses.scan(df, **params).collect()}
@@ -90,6 +115,20 @@ def test_public_texts(spark, sign):
     assert got == {n: (ids, found) for n, (_, ids, found) in TEXTS.items()}
 
 
+def test_wrapped_lines_that_begin_like_a_sentence(spark):
+    assert scanned(spark, {n: t for n, (t, _, _) in WRAPPED.items()}) == {n: (ids, found) for n, (_, ids, found) in WRAPPED.items()}
+
+
+def test_every_sentence_wrapped_at_every_word(spark):
+    texts, want = {}, {}
+    for name, s in licenses.SENTENCES.items():
+        w = s.split(" ")
+        for cut in range(1, len(w) + 1):  # the last one has a word a line
+            wrapped = " ".join(w[:cut]) + "\n" + " ".join(w[cut:]) if cut < len(w) else "\n".join(w)
+            texts[f"{name} {cut}"], want[f"{name} {cut}"] = "Copyright.\n" + wrapped + ".", [name]
+    assert {n: ids for n, (ids, _) in scanned(spark, texts).items()} == want
+
+
 def test_address_behind_its_sentence(spark):
     got = scanned(spark, {w: APACHE.replace("at\n\n    http", f"at\n    {w}") for w in ("http", "https")})
     assert got == {w: TEXTS["Apache"][1:] for w in ("http", "https")}

@@ -7,11 +7,14 @@ their identifiers is then matched against ordered rules, each of which turns the
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.functions.fold import let
+from veilframe.functions.fold import scan as scan_array
 
 # Sentences of public licence texts and notices in normal form (lower case, only letters, digits and the signs . + -).
 SENTENCES = {
@@ -97,6 +100,8 @@ HEADS = ("licensed under|released under|this work is|all rights reserved|permiss
          "this program is|this source code|to the extent possible|this is free|unless required|see the|you may")
 LEADERS = "[ \\t]*(?://+|/\\*+|\\*+/|\\*+|#+|;+|--+|%+|<!--)?[ \\t]*"
 CUT = "\x01"
+_FOUND = "array<array<string>>"
+MAYBE = "\x02"  # after a cut that may be none: the line may as well go on with the one before it
 
 
 def _normal(text: Column) -> Column:
@@ -105,21 +110,57 @@ def _normal(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(low, "^[ .,/-]+|[ .,;:/-]+$", ""), " +", " "), " ([.,])", "$1")
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences: cut after . ; : ! ? before white space, at blank lines and before a line that opens a known
-    sentence; comment signs at line starts are dropped, wrapped lines are joined."""
-    plain = F.regexp_replace(text, "\\r\\n?", "\n")
+def _pieces(text: Column) -> Column:
+    """A text cut after . ; : ! ? before white space, at blank lines and before a line that begins like a known sentence; comment
+    signs at line starts are dropped. A piece begins with MAYBE if it may belong to the one before it: a wrapped line can begin
+    like a sentence, and the full stop of "v. 2" ends none."""
+    plain = F.regexp_replace(F.translate(text, MAYBE, "\x03"), "\\r\\n?", "\n")
     plain = F.regexp_replace(F.concat(F.lit("\n"), plain), "\\n" + LEADERS, "\n")
-    cut = F.regexp_replace(plain, "([.;:!?])[ \\t\\n\\f]+", "$1" + CUT)
+    cut = F.regexp_replace(plain, "(?i)(\\bv\\.)[ \\t\\n\\f]+(?=[0-9])", "$1" + CUT + MAYBE)
+    cut = F.regexp_replace(cut, "([.;:!?])[ \\t\\n\\f]+", "$1" + CUT)
     cut = F.regexp_replace(cut, "\\n[ \\t]*\\n", CUT)
-    cut = F.regexp_replace(cut, "(?i)\\n(" + HEADS + ")", CUT + "$1")
-    return F.transform(F.split(cut, CUT, -1), _normal)
+    cut = F.regexp_replace(cut, "(?i)\\n(" + HEADS + ")", CUT + MAYBE + "$1")
+    return F.split(cut, CUT, -1)
+
+
+def _most_pieces(known: Iterable[str]) -> int:
+    """The most pieces that a known sentence in normal form can be cut into."""
+    return 1 + max((len(re.findall(f" (?:{HEADS})|\\bv\\. (?=[0-9])", s)) for s in known), default=0)
 
 
 def identifiers(text: Column, known: dict[str, str | tuple[str, ...]] = KNOWN) -> Column:
-    """Identifiers of the known sentences of a text, in order; none for a null text."""
-    table = F.create_map(*[x for s, names in _by_sentence(known).items() for x in (F.lit(s), F.array(*map(F.lit, names.split())))])
-    found = let(sentences(text), lambda s: F.flatten(F.array_compact(F.transform(s, lambda x: F.try_element_at(table, x)))))
+    """Identifiers of the known sentences of a text, in order; none for a null text.
+
+    Where a cut may be none, neighbouring pieces are looked up together first, the longest run that is known, then each by itself.
+    """
+    forms = _by_sentence(known)
+    table = F.create_map(*[x for s, names in forms.items() for x in (F.lit(s), F.array(*map(F.lit, names.split())))])
+    most = _most_pieces(forms)
+
+    def known_run(p, i, n):
+        """What n pieces from the i-th on say, if they may be one sentence."""
+        joined = F.concat(*[F.get(p, i + k) for k in range(n)])  # null beyond the end
+        fits = [F.startswith(F.get(p, i + k), F.lit(MAYBE)) for k in range(1, n)]
+        said = F.try_element_at(table, _normal(joined))
+        return F.when(reduce(Column.__and__, fits), said) if fits else said
+
+    def found_at(p, i, n):
+        """(number of pieces, identifiers) of the longest known run of up to n pieces from the i-th on."""
+        shorter = found_at(p, i, n - 1) if n > 1 else F.lit(None)
+        return let(known_run(p, i, n), lambda said: F.when(said.isNotNull(), F.struct(F.lit(n).alias("n"), said.alias("ids"))).otherwise(shorter))
+
+    def whole(p):
+        return F.flatten(F.array_compact(F.transform(p, lambda x: F.try_element_at(table, _normal(x)))))
+
+    def joined(p):
+        at = F.transform(p, lambda _, i: found_at(p, i, most))
+        zero = F.struct(F.lit(0).alias("left"), F.array().cast(_FOUND).alias("out"))
+        step = lambda acc, x: F.struct(
+            F.when(acc["left"] > 0, acc["left"] - 1).otherwise(F.coalesce(x["n"], F.lit(1)) - 1).alias("left"),
+            F.when((acc["left"] > 0) | x.isNull(), acc["out"]).otherwise(F.array_append(acc["out"], x["ids"])).alias("out"))
+        return F.flatten(scan_array(at, zero, ["left"], _FOUND, step))
+
+    found = let(_pieces(text), lambda p: F.when(F.exists(p, lambda x: F.startswith(x, F.lit(MAYBE))), joined(p)).otherwise(whole(p)))
     return F.when(F.coalesce(F.lower(text).rlike(HINT), F.lit(False)), found).otherwise(F.array().cast("array<string>"))
 
 
