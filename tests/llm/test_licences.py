@@ -140,5 +140,14 @@ def test_known_sentences_in_any_spelling(spark):
     assert got == {"a": (["Own"], ["Own-1"])}
 
 
+def test_no_text_is_passed_over_unread(spark):
+    reserved = {"wrapped": "All Rights\nReserved.", "wide": "All rights  reserved", "comment": "# all rights\n# reserved", "signs": "(All) \"rights\" *reserved*"}
+    assert scanned(spark, reserved) == dict.fromkeys(reserved, (["AllRights"], ["LicenseRef-AllRightsReserved"]))
+    own = {"A": "take it or leave it", "B": "for love, not money"}
+    texts = {"a": "Take it\nor leave it!", "b": "For love, not \"money\".", "c": "nothing"}
+    assert scanned(spark, texts, known=own, rules=[("Own-A", ["A"])]) == {"a": (["A"], ["Own-A"]), "b": (["B"], []), "c": ([], [])}
+    assert licenses.hint(["take it", "+"]) == licenses.hint([]) == ""
+
+
 def test_known_sentences_are_in_normal_form():
     assert all(licenses._plain(s) == s.rstrip(" .,;:/-") for s in licenses.SENTENCES.values())

@@ -93,8 +93,6 @@ RULES = [
     ("Unlicense", ["Unlicense"]),
     ("LicenseRef-AllRightsReserved", ["AllRights"]),
 ]
-#: Words of which every known sentence has one; other texts cannot match.
-HINT = "licen[cs]e|copyright|rights reserved|permi[st]|warrant|redistribut|free software|unencumbered|may obtain a copy"
 #: Openings at which a line starts a sentence although the one before it has no end.
 HEADS = ("licensed under|released under|this work is|all rights reserved|permission |redistribution|neither the name|copyright|"
          "this program is|this source code|to the extent possible|this is free|unless required|see the|you may")
@@ -128,6 +126,23 @@ def _most_pieces(known: Iterable[str]) -> int:
     return 1 + max((len(re.findall(f" (?:{HEADS})|\\bv\\. (?=[0-9])", s)) for s in known), default=0)
 
 
+def hint(known: Iterable[str]) -> str:
+    """A pattern of single words, of which every known sentence in normal form has one; other texts cannot match.
+
+    Letters and digits of a word stand together in the raw text too, whatever signs and line ends are around it. A
+    sentence without a word lets every text through.
+    """
+    left = [set(re.findall("[a-z0-9]+", s)) for s in known]
+    if not all(left):
+        return ""
+    left = [{w for w in words if len(w) >= min(7, max(map(len, words)))} for words in left]  # few other texts have long words
+    out = []
+    while left:
+        out.append(min(set.union(*left), key=lambda w: (-sum(w in words for words in left), -len(w), w)))
+        left = [words for words in left if out[-1] not in words]
+    return "|".join(out)
+
+
 def identifiers(text: Column, known: dict[str, str | tuple[str, ...]] = KNOWN) -> Column:
     """Identifiers of the known sentences of a text, in order; none for a null text.
 
@@ -161,7 +176,7 @@ def identifiers(text: Column, known: dict[str, str | tuple[str, ...]] = KNOWN) -
         return F.flatten(scan_array(at, zero, ["left"], _FOUND, step))
 
     found = let(_pieces(text), lambda p: F.when(F.exists(p, lambda x: F.startswith(x, F.lit(MAYBE))), joined(p)).otherwise(whole(p)))
-    return F.when(F.coalesce(F.lower(text).rlike(HINT), F.lit(False)), found).otherwise(F.array().cast("array<string>"))
+    return F.when(F.coalesce(F.lower(text).rlike(hint(forms)), F.lit(False)), found).otherwise(F.array().cast("array<string>"))
 
 
 def _plain(sentence: str) -> str:
@@ -179,6 +194,10 @@ def _by_sentence(known: dict[str, str | tuple[str, ...]]) -> dict[str, str]:
     return out
 
 
+#: The hint of the built-in table.
+HINT = hint(_by_sentence(KNOWN))
+
+
 def match_rules(ids: Column, rules: list[tuple[str, list[str]]] = RULES) -> Column:
     """Licences in the order of the text: ordered rules rewrite the identifier sequence, what no rule takes is left out."""
     seq = F.array_join(F.transform(ids, lambda x: F.concat(F.lit("<"), x, F.lit(">"))), "")
