@@ -2,19 +2,21 @@
 
 Per host, paths grow into a tree level by level. At each level rare segments, and branches whose labels do not differ
 from their parent's, merge into a wildcard. Templates are then judged by the share of good labels, smoothed towards
-their host and that towards all pages. The tree is built on counts of distinct paths, not on pages.
+their host and that towards all pages. The tree is built on counts of distinct paths, not on pages, and has as many levels as
+the paths that can still be told apart.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.session import materialise
 
-DEPTH = 4  # levels that are told apart; what lies deeper is one wildcard
+DEPTH = 4  # levels that the SQL spells out; the tree has no such limit
 MIN_PAGES = 20
 Z = 3.0
 PRIOR = 5.0
@@ -57,27 +59,35 @@ def segments(path_col: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(plain, "[0-9]+", "{n}"), "/", -1), lambda s: s != "")
 
 
-def templates(paths: DataFrame, depth: int = DEPTH, min_pages: int = MIN_PAGES, z: float = Z, prior: float = PRIOR) -> DataFrame:
+def templates(paths: DataFrame, min_pages: int = MIN_PAGES, z: float = Z, prior: float = PRIOR) -> DataFrame:
     """(host, segs, template, purity) for a table (host, segs, n, good, bad) of distinct paths.
 
     A segment stays itself if at least min_pages pages have it and the good share of its labels lies more than z
-    standard errors from its parent's; all others of the parent become *.
+    standard errors from its parent's; all others of the parent become *. A level costs two written tables; the
+    descent ends where no parent has min_pages pages and labels of both kinds, as nothing below it can stay itself.
     """
-    now = paths.withColumn("template", F.lit(""))
+    now, level = paths.withColumn("template", F.lit("")), 0
     tot = [F.sum(c).alias(c) for c in ("n", "good", "bad")]
-    for level in range(depth):
-        now = now.withColumn("_seg", F.get("segs", F.lit(level)))
-        child = now.filter("_seg IS NOT NULL").groupBy("host", "template", "_seg").agg(*tot)
-        parent = child.groupBy("host", "template").agg(F.sum("good").alias("pg"), F.sum("bad").alias("pb"))
+    done = [now.filter(F.size("segs") == 0)]
+    while True:
+        now = now.filter(F.size("segs") > level).withColumn("_seg", F.get("segs", F.lit(level)))
+        child = now.groupBy("host", "template", "_seg").agg(*tot)
+        parent = child.groupBy("host", "template").agg(F.sum("n").alias("pn"), F.sum("good").alias("pg"), F.sum("bad").alias("pb"))
+        parent = parent.filter((F.col("pn") >= min_pages) & (F.col("pg") > 0) & (F.col("pb") > 0))
         share = F.col("pg") / (F.col("pg") + F.col("pb"))
         labelled = F.col("good") + F.col("bad")
         own = (F.col("n") >= min_pages) & (labelled > 0) & ((F.col("good") - labelled * share) * (F.col("good") - labelled * share)
                                                             > z * z * labelled * share * (1 - share)) & (share * (1 - share) > 0)
-        kept = child.join(parent, ["host", "template"]).filter(F.coalesce(own, F.lit(False))).select(
-            "host", "template", "_seg", F.col("_seg").alias("_own"))
-        now = now.join(kept, ["host", "template", "_seg"], "left").withColumn("template", F.when(
-            F.col("_seg").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), F.coalesce("_own", F.lit("*"))))).drop("_seg", "_own")
-    now = now.withColumn("template", F.when(F.size("segs") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template")))
+        open_ = materialise(child.join(parent, ["host", "template"]).select("host", "template", "_seg", F.coalesce(own, F.lit(False)).alias("_stays")), "level")
+        if open_.isEmpty():
+            break
+        kept = open_.filter("_stays").select("host", "template", "_seg", F.col("_seg").alias("_own"))
+        now = materialise(now.join(kept, ["host", "template", "_seg"], "left").withColumn(
+            "template", F.concat("template", F.lit("/"), F.coalesce("_own", F.lit("*")))).drop("_seg", "_own"), "level")
+        level += 1
+        done.append(now.filter(F.size("segs") == level))
+    rest = now.drop("_seg").withColumn("template", F.concat("template", F.repeat(F.lit("/*"), F.size("segs") - level)))
+    now = reduce(DataFrame.unionByName, done, rest)
     now = materialise(now, "templates")
     total = now.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).select(
         F.coalesce(F.col("good") / F.nullif(F.col("good") + F.col("bad"), F.lit(0)), F.lit(1.0)).alias("_all"))
