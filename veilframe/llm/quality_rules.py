@@ -87,14 +87,9 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         *[F.round(c * SCALE).cast("long").alias(f"_x{i}") for i, c in enumerate(x)]).drop("lang", "source", "n_lines")
 
 
-def groups(measured: DataFrame, min_rows: int = 100) -> DataFrame:
-    """(_own, _group): a language's sources with fewer than min_rows rows are judged together, and languages whose
-    such sources have fewer together with the other such languages."""
-    n = measured.groupBy("_own", "_lang").agg(F.count(F.lit(1)).alias("n"))
-    n = materialise(n, "groups")
-    small = n.filter(F.col("n") < min_rows).groupBy("_lang").agg(F.sum("n").alias("pooled"))
-    return n.join(small, "_lang", "left").select("_own", F.when(F.col("n") >= min_rows, F.col("_own")).when(
-        F.col("pooled") >= min_rows, F.col("_lang")).otherwise(F.lit(0).cast("long")).alias("_group"))
+def groups(measured: DataFrame) -> DataFrame:
+    """(_own, _lang, n): how many rows each source of a language has."""
+    return materialise(measured.groupBy("_own", "_lang").agg(F.count(F.lit(1)).alias("n")), "groups")
 
 
 def estimates(vectors: DataFrame, steps: int = 4) -> DataFrame:
@@ -130,7 +125,7 @@ def _moments(rows: DataFrame, factor: float) -> DataFrame:
         ((d(f"p{i}{j}") - d(f"s{i}") * d(f"s{j}") / d("n")) / d("n") / SCALE / SCALE * factor).alias(f"c{i}{j}") for i, j in _PAIRS])
 
 
-def _cholesky(params: DataFrame) -> DataFrame:
+def _cholesky(params: DataFrame, floors: tuple[float, ...] = FLOORS) -> DataFrame:
     out = params
     for i in _D:
         for j in range(i + 1):
@@ -138,7 +133,7 @@ def _cholesky(params: DataFrame) -> DataFrame:
             for k in range(j):
                 rest = rest - F.col(f"_l{i}{k}") * F.col(f"_l{j}{k}")
             # c is positive semi-definite, so what is left of a diagonal is at least the floor, but for rounding
-            out = out.withColumn(f"_l{i}{j}", F.sqrt(F.greatest(rest, F.lit(0.0)) + FLOORS[i] ** 2) if i == j else rest / F.col(f"_l{j}{j}"))
+            out = out.withColumn(f"_l{i}{j}", F.sqrt(F.greatest(rest, F.lit(0.0)) + floors[i] ** 2) if i == j else rest / F.col(f"_l{j}{j}"))
     det = F.col("_l00") * F.col("_l11") * F.col("_l22") * F.col("_l33")
     return out.withColumn("_det", det).drop(*[f"c{i}{j}" for i, j in _PAIRS])
 
@@ -157,12 +152,31 @@ def distance() -> Column:
     return total
 
 
+def _shrunk(of: DataFrame, est: DataFrame, min_rows: int) -> DataFrame:
+    """(_own, estimate columns): each source's own location; n / min_rows of its own covariance, the rest the mean one within the
+    sources of its language."""
+    cols = [f"_l{i}{j}" for i, j in _PAIRS]
+    product = lambda i, j: sum((F.col(f"_l{i}{k}") * F.col(f"_l{j}{k}") for k in range(1, j + 1)), F.col(f"_l{i}0") * F.col(f"_l{j}0"))
+    own = of.join(est.withColumnRenamed("_group", "_own"), "_own").select("*", *[product(i, j).alias(f"_v{i}{j}") for i, j in _PAIRS])
+    exact = lambda c: F.sum(F.round(c * F.col("n") * 1e9).cast("decimal(28,0)")).cast("double")
+    lang = own.groupBy("_lang").agg(*[(exact(F.col(f"_v{i}{j}")) / F.sum("n") / 1e9).alias(f"_w{i}{j}") for i, j in _PAIRS])
+    part = F.least(F.lit(1.0), F.col("n") / F.lit(float(max(min_rows, 1))))
+    mixed = own.join(lang, "_lang").select("_own", "n", *[f"_m{i}" for i in _D], *[F.col(c).alias(f"_own{c}") for c in cols], *[
+        (part * F.col(f"_v{i}{j}") + (1 - part) * F.col(f"_w{i}{j}")).alias(f"c{i}{j}") for i, j in _PAIRS])
+    mixed = _cholesky(mixed, (0.0,) * len(FLOORS))  # both have the least deviations in them
+    return mixed.select("_own", *[f"_m{i}" for i in _D], *[
+        F.when(F.col("n") >= min_rows, F.col(f"_own{c}")).otherwise(F.col(c)).alias(c) for c in cols])
+
+
 def fit(measured: DataFrame, min_rows: int = 100, steps: int = 4) -> DataFrame:
-    """(_own, estimate columns) from all measured rows that pass the base rules."""
+    """(_own, estimate columns) from all measured rows that pass the base rules.
+
+    Every source of a language is estimated by itself, whatever its size. Below min_rows rows its covariance, not its
+    location, leans on the mean one within the sources of its language, the more the fewer rows it has.
+    """
     sound = measured.filter(~F.col("base_failed"))
-    of = groups(sound, min_rows)
-    vectors = materialise(sound.select("_own", *[f"_x{i}" for i in _D]).join(of, "_own"), "vectors")
-    return materialise(of.join(estimates(vectors, steps), "_group").drop("_group"), "estimates")
+    vectors = materialise(sound.select(F.col("_own").alias("_group"), *[f"_x{i}" for i in _D]), "vectors")
+    return materialise(_shrunk(groups(sound), estimates(vectors, steps), min_rows), "estimates")
 
 
 def judge(measured: DataFrame, fitted: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
