@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from veilframe.llm import (
     decontaminate,
+    fill_middle,
     knn_quality,
     licenses,
     line_dedup,
@@ -17,9 +18,11 @@ from veilframe.llm import (
     repeats,
     simhash,
     token_counts,
+    token_files,
     url_filter,
+    whitening,
 )
-from veilframe.session import table
+from veilframe.session import fresh_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -178,3 +181,27 @@ def op3(spark, sf):
     done = token_counts.apply_edits(found, vocabulary, t.PATTERN)
     return done.select("doc_id", "n_tokens_before", F.size("edits").cast("long").alias("n_edits"), "n_reencoded",
                        F.col("n_tokens").alias("n_tokens_after"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+@query("op11_embedding_whitening")
+def op11(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query("op12_token_files")
+def op12(spark, sf):
+    """All documents' ids written as token files in the shared folder, and what is read back from them."""
+    import public_tokenizers
+
+    path = fresh_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    found = token_files.read_documents(spark, path, carry={"ids_crc32": F.crc32("ids")})
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query("op13_fill_in_middle")
+def op13(spark, sf):
+    found = fill_middle.fill_in_middle(table(spark, sf, "documents"))
+    restored = fill_middle.restore(F.col("output"), F.col("form"))
+    return found.select(F.col("id").alias("doc_id"), "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+                        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
