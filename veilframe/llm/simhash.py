@@ -168,9 +168,9 @@ def _star(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, radius: int = 3,
                     seed: int = 42, bucket: int = BUCKET) -> DataFrame:
-    """(_k1, _k2, id, fingerprint long, component): one row per row of docs.
+    """(_k1, _k2, id, fingerprint long, component, root long): one row per row of docs.
 
-    component is the smallest id reachable over links of at most `radius` differing bits, the row's own
+    root is a fingerprint that stands for the component, never null; component is the smallest id reachable over links of at most `radius` differing bits, the row's own
     included; null only if no row of the component has an id. Rows with equal fingerprints meet as one
     before any table is built, so copies cost one row. An empty table gives an empty result.
     """
@@ -180,18 +180,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
     of = member.groupBy("root").agg(F.min("first").alias("component"))
-    named = member.join(of, "root").select("fingerprint", "component")
-    return prints.join(named, "fingerprint").select(*KEY, "id", "fingerprint", "component")
+    named = member.join(of, "root").select("fingerprint", "component", "root")
+    return prints.join(named, "fingerprint").select(*KEY, "id", "fingerprint", "component", "root")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """docs without near-duplicates: of each component the row with the smallest id stays, once.
+    """docs without near-duplicates: of each component the row with the smallest id stays, once; a row without an id only where none has one.
 
     Ties of an id with several texts are broken by the row key. All columns are kept.
     """
     found = near_duplicates(docs, id_col, text_col, **params)
-    group = F.coalesce(F.col("component").cast("string"), F.hex("fingerprint"))
-    kept = found.groupBy(group.alias("g")).agg(
+    kept = found.groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", *KEY)).alias("m")).select(*[F.col(f"m.{c}").alias(c) for c in KEY])
     keyed = docs.select(F.struct("*").alias("_row"), *row_key(id_col, text_col))
     return keyed.join(kept, KEY, "left_semi").dropDuplicates(KEY).select("_row.*")
