@@ -112,7 +112,7 @@ def _pieces(text: Column) -> Column:
     """A text cut after . ; : ! ? before white space, at blank lines and before a line that begins like a known sentence; comment
     signs at line starts are dropped. A piece begins with MAYBE if it may belong to the one before it: a wrapped line can begin
     like a sentence, and the full stop of "v. 2" ends none."""
-    plain = F.regexp_replace(F.translate(text, MAYBE, "\x03"), "\\r\\n?", "\n")
+    plain = F.regexp_replace(F.translate(text, CUT + MAYBE, "\x03\x03"), "\\r\\n?", "\n")
     plain = F.regexp_replace(F.concat(F.lit("\n"), plain), "\\n" + LEADERS, "\n")
     cut = F.regexp_replace(plain, "(?i)(\\bv\\.)[ \\t\\n\\f]+(?=[0-9])", "$1" + CUT + MAYBE)
     cut = F.regexp_replace(cut, "([.;:!?])[ \\t\\n\\f]+", "$1" + CUT)
