@@ -150,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         per_class: int = PER_CLASS, dimensions: int = DIMENSIONS, neighbours: int = NEIGHBOURS) -> Model:
     """A model from at most `per_class` rows of each label 0 and 1 (in order of an id hash) that are not held out.
 
-    Document frequencies cover all of docs. Null ids, null labels and other values than 0 and 1 teach nothing; an id that
+    Document frequencies cover all of docs. Of an id that repeats with several texts one, by their hash, is learned from. Null ids, null labels and other values than 0 and 1 teach nothing; an id that
     has both labels counts as 0; without any label every score is 0.5.
     """
     df, n = document_frequency(docs, text_col)
@@ -169,8 +169,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_y"), pa.array([term[a:b] for a, b in zip(at, at[1:])], pa.list_(pa.int32())),
                  pa.array([w[a:b] for a, b in zip(at, at[1:])], pa.list_(pa.float32()))], names=["y", "terms", "weights"])
-    rows = (docs.select(F.col(id_col).alias("_id"), utf8(text_col).alias("text")).join(sample, "_id").select("_y", "text")
-            .mapInArrow(run, "y int, terms array<int>, weights array<float>").limit(4 * per_class).toArrow())
+    texts = docs.select(F.col(id_col).alias("_id"), utf8(text_col).alias("text")).join(sample, "_id").groupBy("_id").agg(
+        F.min("_y").alias("_y"), F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))  # one text of an id that repeats
+    rows = texts.select("_y", "text").mapInArrow(run, "y int, terms array<int>, weights array<float>").toArrow()
     y = rows.column("y").to_numpy()
     if not len(y):
         return Model(idf, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), y, y, 0.5, neighbours)
