@@ -47,3 +47,16 @@ def test_large_sources_stand_alone(spark):
     xs = cloud(1, A, 150)
     alone, among = far(spark, [(1, 50, xs)])[1], far(spark, [(1, 50, xs), (2, 50, cloud(2, B, 20))])[1]
     assert np.array_equal(np.sort(alone), np.sort(among))
+
+
+def test_small_sources_of_junk_do_not_vouch_for_themselves(spark):
+    junk = [5, 1.5, 0.3, 0.4]
+    parts = [(1, 50, cloud(1, A, 400))] + [(10 + n, 50, cloud(n, junk, n, 0.01)) for n in (1, 2, 3, 5, 10)]
+    got = far(spark, parts)
+    assert all(min(got[10 + n]) > q.CUTOFF for n in (1, 2, 3, 5, 10)) and np.mean(np.array(got[1]) <= q.CUTOFF) > 0.99
+
+
+def test_small_sources_among_differing_ones_stay(spark):
+    places = np.random.default_rng(7).normal(A, 0.4, (12, 4))
+    got = far(spark, [(k, 50, cloud(k, p, 200 if k < 10 else 4)) for k, p in enumerate(places)])
+    assert all(max(got[k]) <= q.CUTOFF for k in (10, 11))

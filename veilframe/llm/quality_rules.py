@@ -24,6 +24,7 @@ FLOORS = (0.05, 0.04, 0.08, 0.08)
 COVERAGE = 0.75  # share of a group's rows that the estimate is fitted to
 #: For 4 dimensions: 0.75 / P(chi2_6 <= chi2_4's 0.75 quantile), so that the estimate is consistent for normal data.
 CONSISTENCY = 0.75 / (1 - math.exp(-5.38527 / 2) * (1 + 5.38527 / 2 + (5.38527 / 2) ** 2 / 2))
+STEPS = 50  # at most; a dozen do as a rule
 CUTOFF = 30.0  # squared Mahalanobis distance; chi2_4 exceeds 30 once in 200,000
 _D = range(len(FLOORS))
 _PAIRS = [(i, j) for i in _D for j in range(i + 1)]
@@ -92,11 +93,12 @@ def groups(measured: DataFrame) -> DataFrame:
     return materialise(measured.groupBy("_own", "_lang").agg(F.count(F.lit(1)).alias("n")), "groups")
 
 
-def estimates(vectors: DataFrame, steps: int = 4) -> DataFrame:
+def estimates(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
     """(_group, _m0.., _l00..): location and Cholesky factor per group of (_group, _x0..).
 
     From two starts, quartiles and plain moments, each step refits on the COVERAGE share of the rows that
-    lie closest (ties at the border included); of the two the smaller determinant wins. A least deviation per dimension
+    lie closest (ties at the border included), until the estimates of all groups stand (after `steps` at the latest); of the two the
+    smaller determinant wins. A least deviation per dimension
     keeps groups whose rows agree exactly from having no spread. Distances are ranked on a fixed fine
     grid, so the exact quantile needs bounded memory whatever the size of a group.
     """
@@ -107,9 +109,13 @@ def estimates(vectors: DataFrame, steps: int = 4) -> DataFrame:
     now = materialise(_cholesky(robust.unionByName(plain)), "estimates")
     for _ in range(steps):
         away = vectors.join(now, "_group").withColumn("_bin", F.floor(F.log1p(distance()) * 2048))
-        near = away.groupBy("_group", "_start").agg(F.percentile("_bin", COVERAGE).alias("_edge"))
+        # two rows a group, written, so that a large group's rows need not move to them
+        near = materialise(away.groupBy("_group", "_start").agg(F.percentile("_bin", COVERAGE).alias("_edge")), "near")
         close = away.join(near, ["_group", "_start"]).filter(F.col("_bin") <= F.col("_edge"))
-        now = materialise(_cholesky(_moments(close, CONSISTENCY)), "estimates")
+        before, now = now, materialise(_cholesky(_moments(close, CONSISTENCY)), "estimates")
+        both = now.select("_group", "_start", "_det").join(before.select("_group", "_start", F.col("_det").alias("_was")), ["_group", "_start"])
+        if both.filter(F.abs(F.col("_det") - F.col("_was")) > F.col("_was") * 1e-9).isEmpty():
+            break
     cols = [c for c in now.columns if c not in ("_group", "_start", "_det")]
     best = now.groupBy("_group").agg(F.min(F.struct("_det", "_start", *cols)).alias("b"))
     return best.select("_group", *[F.col(f"b.{c}").alias(c) for c in cols])
@@ -153,26 +159,40 @@ def distance() -> Column:
 
 
 def _shrunk(of: DataFrame, est: DataFrame, min_rows: int) -> DataFrame:
-    """(_own, estimate columns): each source's own location; n / min_rows of its own covariance, the rest the mean one within the
-    sources of its language."""
+    """(_own, estimate columns): each source's own estimate, which below min_rows rows leans on its language's the more the fewer they are.
+
+    The language has the mean location of its sources, their mean covariance and the one between their locations; a source of
+    n rows counts n times there, below min_rows n^2 / min_rows times, so that a few odd rows move neither. A location
+    needs fewer rows than a covariance: of m = n / min_rows its own share is 1 - (1 - m)^5, and what it takes from the
+    language brings the covariance between sources with it.
+    """
     cols = [f"_l{i}{j}" for i, j in _PAIRS]
     product = lambda i, j: sum((F.col(f"_l{i}{k}") * F.col(f"_l{j}{k}") for k in range(1, j + 1)), F.col(f"_l{i}0") * F.col(f"_l{j}0"))
-    own = of.join(est.withColumnRenamed("_group", "_own"), "_own").select("*", *[product(i, j).alias(f"_v{i}{j}") for i, j in _PAIRS])
-    exact = lambda c: F.sum(F.round(c * F.col("n") * 1e9).cast("decimal(28,0)")).cast("double")
-    lang = own.groupBy("_lang").agg(*[(exact(F.col(f"_v{i}{j}")) / F.sum("n") / 1e9).alias(f"_w{i}{j}") for i, j in _PAIRS])
     part = F.least(F.lit(1.0), F.col("n") / F.lit(float(max(min_rows, 1))))
-    mixed = own.join(lang, "_lang").select("_own", "n", *[f"_m{i}" for i in _D], *[F.col(c).alias(f"_own{c}") for c in cols], *[
-        (part * F.col(f"_v{i}{j}") + (1 - part) * F.col(f"_w{i}{j}")).alias(f"c{i}{j}") for i, j in _PAIRS])
+    own = (of.join(est.withColumnRenamed("_group", "_own"), "_own").withColumn("_part", part).withColumn("_weight", F.col("n") * F.col("_part"))
+           .select("*", *[product(i, j).alias(f"_v{i}{j}") for i, j in _PAIRS]))
+    own = materialise(own, "sources")
+    exact = lambda c: F.sum(F.round(c * F.col("_weight") * 1e9).cast("decimal(34,0)")).cast("double") / 1e9 / F.sum(
+        F.round(F.col("_weight") * 1e6).cast("decimal(28,0)")).cast("double") * 1e6
+    centre = own.groupBy("_lang").agg(*[exact(F.col(f"_m{i}")).alias(f"_c{i}") for i in _D], *[exact(F.col(f"_v{i}{j}")).alias(f"_w{i}{j}") for i, j in _PAIRS])
+    apart = own.join(centre, "_lang").groupBy("_lang").agg(*[
+        exact((F.col(f"_m{i}") - F.col(f"_c{i}")) * (F.col(f"_m{j}") - F.col(f"_c{j}"))).alias(f"_b{i}{j}") for i, j in _PAIRS])
+    share, lean = F.col("_part"), F.pow(1 - F.col("_part"), F.lit(5.0))
+    at = lambda i: F.when(F.abs(F.col(f"_c{i}") - F.col(f"_m{i}")) < 1e-6, F.col(f"_m{i}")).otherwise(F.col(f"_c{i}"))  # noqa: E731  but for rounding
+    mixed = own.join(materialise(centre.join(apart, "_lang"), "languages"), "_lang").select(
+        "_own", "n", *[(F.col(f"_m{i}") + lean * (at(i) - F.col(f"_m{i}"))).alias(f"_m{i}") for i in _D],
+        *[F.col(c).alias(f"_own{c}") for c in cols],
+        *[(share * F.col(f"_v{i}{j}") + (1 - share) * F.col(f"_w{i}{j}") + lean * F.col(f"_b{i}{j}")).alias(f"c{i}{j}") for i, j in _PAIRS])
     mixed = _cholesky(mixed, (0.0,) * len(FLOORS))  # both have the least deviations in them
     return mixed.select("_own", *[f"_m{i}" for i in _D], *[
         F.when(F.col("n") >= min_rows, F.col(f"_own{c}")).otherwise(F.col(c)).alias(c) for c in cols])
 
 
-def fit(measured: DataFrame, min_rows: int = 100, steps: int = 4) -> DataFrame:
+def fit(measured: DataFrame, min_rows: int = 100, steps: int = STEPS) -> DataFrame:
     """(_own, estimate columns) from all measured rows that pass the base rules.
 
-    Every source of a language is estimated by itself, whatever its size. Below min_rows rows its covariance, not its
-    location, leans on the mean one within the sources of its language, the more the fewer rows it has.
+    Every source of a language is estimated by itself, whatever its size. Below min_rows rows its location and covariance lean on those
+    of its language, which allow for the differences between sources, the more the fewer rows it has.
     """
     sound = measured.filter(~F.col("base_failed"))
     vectors = materialise(sound.select(F.col("_own").alias("_group"), *[f"_x{i}" for i in _D]), "vectors")
