@@ -8,17 +8,20 @@ the old ones; only those leaves are replaced and only the sums on their paths ch
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LEAF = 64  # pre-tokens in a leaf
 AHEAD = 4  # characters the pattern may look at beyond the end of a match, and some more
-CACHE = 400_000
+CACHE = 200_000
+PART = 1 << 24  # bytes of output a task holds
 
 
 class Counter:
@@ -30,7 +33,8 @@ class Counter:
         with open(vocabulary, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.find = regex.compile(pattern).finditer
+        compiled = regex.compile(pattern)
+        self.find, self.pieces = compiled.finditer, compiled.findall
         self.known: dict[str, int] = {}
 
     def count(self, piece: str) -> int:
@@ -42,6 +46,13 @@ class Counter:
             self.known[piece] = n
         return n
 
+    def counts(self, pieces: list[str]) -> list[int]:
+        known = self.known
+        try:
+            return [known[p] for p in pieces]
+        except KeyError:
+            return [self.count(p) for p in pieces]
+
 
 _COUNTERS: dict[tuple[str, str], Counter] = {}
 
@@ -66,12 +77,8 @@ class Tree:
 
     @classmethod
     def of(cls, text: str, c: Counter) -> Tree:
-        length, tokens = [], []
-        for m in c.find(text):
-            piece = m.group()
-            length.append(len(piece))
-            tokens.append(c.count(piece))
-        length, tokens = np.array(length, np.uint32), np.array(tokens, np.uint32)
+        pieces = c.pieces(text)
+        length, tokens = np.fromiter(map(len, pieces), np.uint32, len(pieces)), np.array(c.counts(pieces), np.uint32)
         return cls([(length[i:i + LEAF], tokens[i:i + LEAF]) for i in range(0, len(length), LEAF)] or [(length, tokens)])
 
     @property
@@ -96,45 +103,61 @@ class Tree:
             node //= 2
             self.sums[node] = self.sums[2 * node] + self.sums[2 * node + 1]
 
-    def edit(self, text: str, start: int, old: int, new: int, c: Counter) -> int:
-        """Bring the tree up to date with `text`, in which `new` characters at `start` stand for `old` ones; pre-tokens read again."""
-        shift = new - old
+    def edit(self, read: Callable[[int, int], str], size: int, start: int, old: int, new: int, c: Counter) -> int:
+        """Bring the tree up to date with a text of `size` characters, in which `new` characters at `start` stand for `old` ones.
+
+        read(a, b) gives characters a to b of that text; what is asked for grows until the new pre-tokens fall into step with the
+        old ones. Returns the pre-tokens read again.
+        """
         leaf, at = self.locate(max(0, start - AHEAD))
         ends = at + np.cumsum(self.leaves[leaf][0], dtype=np.int64)
         first = int(np.searchsorted(ends, start - AHEAD))  # ends before this one cannot have looked at the edit
-        keep_l, keep_t = self.leaves[leaf][0][:first], self.leaves[leaf][1][:first]
         begin = int(ends[first - 1]) if first else at
-        # old boundaries at or after the edit, leaf by leaf, to fall into step with
+        width = start + new - begin + 128
+        while (found := self._in_step(read(begin, min(size, begin + width)), begin, size, leaf, at, start, old, new, c)) is None:
+            width *= 4
+        length, tokens, last, tail = found
+        none = np.zeros(0, np.uint32)
+        keep_l, keep_t = self.leaves[leaf][0][:first], self.leaves[leaf][1][:first]
+        for i in range(leaf + 1, last + 1):
+            self.replace(i, none, none)
+        self.replace(leaf, np.concatenate([keep_l, np.array(length, np.uint32), tail[0]]),
+                     np.concatenate([keep_t, np.array(tokens, np.uint32), tail[1]]))
+        return len(length)
+
+    def _in_step(self, chunk: str, begin: int, size: int, leaf: int, at: int, start: int, old: int, new: int, c: Counter):
+        """(lengths, tokens, last leaf touched, what stays of it) of the pre-tokens from `begin` up to a boundary that was one before; None
+        if the chunk ends too early to tell."""
+        shift, end = new - old, begin + len(chunk)
         last, base = leaf, at
-        bounds = ends[np.searchsorted(ends, start + old):] + shift
-        tail = None
+        # old boundaries at or after the edit, leaf by leaf, to fall into step with
+        bounds = self._bounds(last, base, start + old) + shift
         length, tokens = [], []
-        for m in c.find(text, begin):
+        for m in c.find(chunk):
+            here = begin + m.end()
+            if end < size and here > end - AHEAD:
+                return None
             length.append(m.end() - m.start())
             tokens.append(c.count(m.group()))
-            here = m.end()
             if here < start + new:
                 continue
             while not len(bounds) or bounds[-1] < here:
                 if last + 1 >= len(self.leaves):
-                    bounds = np.array([here if here == len(text) else len(text) + 1])
+                    bounds = np.array([here if here == size else size + 1])
                     break
                 base += int(self.leaves[last][0].sum())
                 last += 1
-                ends = base + np.cumsum(self.leaves[last][0], dtype=np.int64)
-                bounds = ends[np.searchsorted(ends, start + old):] + shift
+                bounds = self._bounds(last, base, start + old) + shift
             if bounds[np.searchsorted(bounds, here)] == here:
                 cut = int(np.searchsorted(base + np.cumsum(self.leaves[last][0], dtype=np.int64), here - shift, "right"))
-                tail = self.leaves[last][0][cut:], self.leaves[last][1][cut:]
-                break
-        if tail is None:  # read to the end of the text
-            last, tail = len(self.leaves) - 1, (np.zeros(0, np.uint32),) * 2
-        none = np.zeros(0, np.uint32)
-        for i in range(leaf + 1, last + 1):
-            self.replace(i, none, none)
-        self.replace(leaf, np.concatenate([keep_l, np.array(length, np.uint32), tail[0]]),
-                     np.concatenate([keep_t, np.array(tokens, np.uint32), tail[1]]))
-        return len(length)
+                return length, tokens, last, (self.leaves[last][0][cut:], self.leaves[last][1][cut:])
+        if end < size:
+            return None
+        return length, tokens, len(self.leaves) - 1, (np.zeros(0, np.uint32),) * 2  # read to the end of the text
+
+    def _bounds(self, leaf: int, base: int, least: int) -> np.ndarray:
+        ends = base + np.cumsum(self.leaves[leaf][0], dtype=np.int64)
+        return ends[np.searchsorted(ends, least):]
 
     def to_bytes(self) -> bytes:
         sizes = np.array([len(self.leaves), *[len(length) for length, _ in self.leaves]], "<u4")
@@ -150,6 +173,19 @@ class Tree:
         return cls(leaves)
 
 
+def _written(rows: Iterator[tuple[int, list]], batch: pa.RecordBatch, schema: T.StructType, new: dict[str, pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Batches of about PART bytes: the input's columns, with the new columns' values, in the order of the schema."""
+    lo, held, out = 0, 0, []
+    for at, values in rows:
+        out.append(values)
+        held += sum(len(v) if isinstance(v, (str, bytes)) else 8 for v in values)
+        if held > PART or at == batch.num_rows - 1:
+            made = {name: pa.array(col, kind) for (name, kind), col in zip(new.items(), zip(*out))}
+            same = batch.slice(lo, len(out))
+            yield pa.RecordBatch.from_arrays([made[f] if f in made else same.column(f) for f in schema.names], names=schema.names)
+            lo, held, out = at + 1, 0, []
+
+
 def index(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text") -> DataFrame:
     """docs with a column `tree` (binary) and `n_tokens` (long); columns of those names are replaced. A null text is empty."""
     rows = docs.drop("tree", "n_tokens")
@@ -158,9 +194,8 @@ def index(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(vocabulary, pattern)
         for batch in batches:
-            trees = [Tree.of(t or "", c) for t in batch.column(text_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([t.to_bytes() for t in trees], pa.binary()), pa.array([t.tokens for t in trees], pa.int64())],
-                                             names=[*batch.schema.names, "tree", "n_tokens"])
+            trees = ((i, Tree.of(t.as_py() or "", c)) for i, t in enumerate(batch.column(text_col)))
+            yield from _written(((i, [t.to_bytes(), t.tokens]) for i, t in trees), batch, schema, {"tree": pa.binary(), "n_tokens": pa.int64()})
     return rows.mapInArrow(run, schema)
 
 
@@ -173,24 +208,49 @@ def apply_edits(indexed: DataFrame, vocabulary: str, pattern: str, edits_col: st
     rows = indexed.drop("n_reencoded")
     schema = rows.select("*", F.lit(0).cast("long").alias("n_reencoded")).schema
 
+    def edited(batch: pa.RecordBatch, c: Counter) -> Iterator[tuple[int, list]]:
+        for i, (text, edits, tree, n) in enumerate(zip(*[batch.column(x) for x in (text_col, edits_col, "tree", "n_tokens")])):
+            text, edits, tree, n, reread = text.as_py(), edits.as_py(), tree.as_py(), n.as_py(), 0
+            if edits:
+                t = Tree.from_bytes(tree)
+                new_text, reread = carry_out(text or "", edits, t, c)
+                text = new_text if text is not None or new_text else None
+                tree, n = t.to_bytes(), t.tokens
+            yield i, [text, tree, n, reread]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = counter(vocabulary, pattern)
+        new = {text_col: pa.string(), "tree": pa.binary(), "n_tokens": pa.int64(), "n_reencoded": pa.int64()}
+        for batch in batches:
+            yield from _written(edited(batch, c), batch, schema, new)
+    return rows.mapInArrow(run, schema)
+
+
+def mask_and_count(docs: DataFrame, vocabulary: str, pattern: str, rules: dict[str, str], text_col: str = "text") -> DataFrame:
+    """docs with their matches of `rules` masked, and n_tokens_before, n_edits, n_reencoded, n_tokens (long): index(), masks() and
+    apply_edits() in one pass, so a document's tree lives only while it is at hand.
+
+    Columns of those names are replaced; a null text stays null and has no tokens.
+    """
+    counts = ("n_tokens_before", "n_edits", "n_reencoded", "n_tokens")
+    rows = docs.drop(*counts)
+    schema = rows.select("*", *[F.lit(0).cast("long").alias(n) for n in counts]).schema
+    steps = list(rules.items())
+
+    def masked(batch: pa.RecordBatch, c: Counter, compiled: list) -> Iterator[tuple[int, list]]:
+        for i, value in enumerate(batch.column(text_col)):
+            text = value.as_py()
+            tree = Tree.of(text or "", c)
+            before, edits, reread = tree.tokens, matches(text or "", compiled), 0
+            if edits:
+                text, reread = carry_out(text, edits, tree, c)
+            yield i, [text, before, len(edits), reread, tree.tokens]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(vocabulary, pattern)
+        compiled = [(regex.compile(p), marker) for p, marker in steps]
         for batch in batches:
-            texts, trees, totals, again = [], [], [], []
-            for text, edits, tree, n in zip(*[batch.column(x).to_pylist() for x in (text_col, edits_col, "tree", "n_tokens")]):
-                reread = 0
-                if edits:
-                    t = Tree.from_bytes(tree)
-                    new_text, reread = carry_out(text or "", edits, t, c)
-                    text = new_text if text is not None or new_text else None
-                    tree, n = t.to_bytes(), t.tokens
-                texts.append(text)
-                trees.append(tree)
-                totals.append(n)
-                again.append(reread)
-            new = {text_col: pa.array(texts, pa.string()), "tree": pa.array(trees, pa.binary()), "n_tokens": pa.array(totals, pa.int64()),
-                   "n_reencoded": pa.array(again, pa.int64())}
-            yield pa.RecordBatch.from_arrays([new.get(f, batch.column(f) if f in batch.schema.names else None) for f in schema.names], names=schema.names)
+            yield from _written(masked(batch, c, compiled), batch, schema, {text_col: pa.string(), **dict.fromkeys(counts, pa.int64())})
     return rows.mapInArrow(run, schema)
 
 
@@ -209,11 +269,34 @@ def carry_out(text: str, edits: list[dict], tree: Tree, c: Counter) -> tuple[str
             merged[-1][1] = e["end"]
         else:
             merged.append([e["start"], e["end"], e["text"] or ""])
+    parts, places, done, size = [], [], 0, 0
+    for start, end, new in merged:
+        parts += [text[done:start], new]
+        places.append(size + start - done)  # of the new text in the result
+        size += start - done + len(new)
+        done = end
+    result = "".join([*parts, text[done:]])
     reread = 0
-    for start, end, new in reversed(merged):
-        text = text[:start] + new + text[end:]
-        reread += tree.edit(text, start, end - start, len(new), c)
-    return text, reread
+    for (start, end, new), place in zip(reversed(merged), reversed(places)):
+        # the text as the tree has it next: as it was up to this edit, final from there on
+        def read(a: int, b: int, start=start, place=place) -> str:
+            return text[a:min(b, start)] + result[place + max(0, a - start):place + max(0, b - start)]
+        reread += tree.edit(read, start + len(result) - place, start, end - start, len(new), c)
+    return result, reread
+
+
+def matches(text: str, compiled: list[tuple[regex.Pattern, str]]) -> list[dict]:
+    """An edit per match of the rules, earlier rules first where matches overlap."""
+    taken: list[tuple[int, int]] = []  # in order, apart from one another
+    out = []
+    for p, marker in compiled:
+        for m in p.finditer(text):
+            a, b = m.span()
+            i = bisect_left(taken, (b, b))  # ranges from here on begin at or after the end
+            if b > a and (not i or taken[i - 1][1] <= a):
+                taken.insert(i, (a, b))
+                out.append({"start": a, "end": b, "text": marker})
+    return out
 
 
 def masks(text_col: str, rules: dict[str, str]) -> Column:
@@ -225,14 +308,5 @@ def masks(text_col: str, rules: dict[str, str]) -> Column:
         import pandas as pd
 
         compiled = [(regex.compile(p), marker) for p, marker in steps]
-        out = []
-        for t in texts:
-            got, taken = [], []
-            for p, marker in compiled:
-                for m in p.finditer(t or ""):
-                    if m.end() > m.start() and all(m.end() <= a or m.start() >= b for a, b in taken):
-                        taken.append(m.span())
-                        got.append({"start": m.start(), "end": m.end(), "text": marker})
-            out.append(got)
-        return pd.Series(out)
+        return pd.Series([matches(t or "", compiled) for t in texts])
     return find(F.col(text_col))
