@@ -231,43 +231,105 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(*row_key(id_col, text_col), F.col(id_col).alias("id"), utf8(text_col).alias("text"))
 
 
-def spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
-    """(k1, k2, spans array<struct<start, end>>): byte ranges of each document that repeats cover, not merged.
-
-    keyed is (_k1, _k2, id, text binary). Contexts that are equal as a whole settle by their count; only one text of
-    each distinct context that shares its gram with another is fetched and compared.
-    """
+def _prepared(keyed: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Places of anchors whose gram occurs again; their distinct contexts, how often each occurs and one place of it; the grams with
+    several contexts, and whether one of these occurs once."""
     found = materialise(keyed.select(*KEY, "text").mapInArrow(
         _occurrences(length, gram), "k1 long, k2 long, h long, c1 long, c2 long, pos int, left int, right int, near int, far int"), "anchors")
     again = materialise(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "again")
     found = materialise(found.join(again, "h"), "repeated")
     ctx = materialise(found.groupBy(*_CTX).agg(
         F.count(F.lit(1)).alias("n"), F.min("h").alias("h"), F.min(F.struct("k1", "k2", "pos", "left", "right", "near", "far")).alias("at")), "contexts")
-    by_gram = ctx.groupBy("h").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("rare")).filter("size > 1 AND rare = 1")
+    by_gram = ctx.groupBy("h").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("rare")).filter("size > 1")
+    return found, ctx, by_gram
+
+
+def _texts(keyed: DataFrame, ctx: DataFrame, of: DataFrame, length: int, gram: int) -> DataFrame:
+    """One text of every context of the given grams; the documents' exchange is shared by all uses in a plan."""
+    wanted = (ctx.join(of.select("h", "size"), "h").groupBy("at.k1", "at.k2")
+              .agg(F.collect_list(F.struct("h", "size", *_CTX, "at.pos", "at.left", "at.near", "at.far")).alias("wanted")))
+    rows = keyed.join(wanted, (F.col(KEY[0]) == F.col("k1")) & (F.col(KEY[1]) == F.col("k2"))).select(*KEY, "id", "text", "wanted")
+    return rows.mapInArrow(_contexts(length, gram), "h long, size long, c1 long, c2 long, left int, near int, far int, context binary")
+
 
-    def texts(of: DataFrame) -> DataFrame:
-        """One text of every context of the given grams; the documents' exchange is shared by all uses in a plan."""
-        wanted = (ctx.join(of.select("h", "size"), "h").groupBy("at.k1", "at.k2")
-                  .agg(F.collect_list(F.struct("h", "size", *_CTX, "at.pos", "at.left", "at.near", "at.far")).alias("wanted")))
-        rows = keyed.join(wanted, (F.col(KEY[0]) == F.col("k1")) & (F.col(KEY[1]) == F.col("k2"))).select(*KEY, "id", "text", "wanted")
-        return rows.mapInArrow(_contexts(length, gram), "h long, size long, c1 long, c2 long, left int, near int, far int, context binary")
+def _repeated_windows(texts: DataFrame, length: int) -> DataFrame:
+    """(h, l, g1, g2, c1, c2): windows of `length` bytes, l before the anchor, that several contexts of a gram have in common.
 
-    usual = (texts(by_gram.filter(F.col("size") <= group)).select("h", *_CTX, "left", "context").repartition("h").sortWithinPartitions("h")
-             .mapInArrow(_extents(length), "c1 long, c2 long, left int, right int"))
+    Every window has one anchor, so this makes a row per byte at most.
+    """
+    each = texts.select("h", *_CTX, "left", "near", "far", "context").mapInArrow(
+        _windows(length), "h long, g1 long, g2 long, c1 long, c2 long, l int")
+    same = ["h", "l", "g1", "g2"]  # a window around two anchors is one place, so grams do not mix
+    twice = each.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*same)
+    return each.join(twice, same, "left_semi")
+
+
+def spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+    """(k1, k2, spans array<struct<start, end>>): byte ranges of each document that repeats cover, not merged.
+
+    keyed is (_k1, _k2, id, text binary). Contexts that are equal as a whole settle by their count; only one text of
+    each distinct context that shares its gram with another is fetched and compared.
+    """
+    found, ctx, by_gram = _prepared(keyed, length, gram)
+    by_gram = by_gram.filter("rare = 1")
+    usual = (_texts(keyed, ctx, by_gram.filter(F.col("size") <= group), length, gram).select("h", *_CTX, "left", "context")
+             .repartition("h").sortWithinPartitions("h").mapInArrow(_extents(length), "c1 long, c2 long, left int, right int"))
     ext = usual.union(ctx.filter("n > 1").select(*_CTX, "at.left", "at.right"))
     large = by_gram.filter(F.col("size") > group)
-    if not large.isEmpty():  # every window has one anchor, so this makes a row per byte at most
-        each = texts(large).select("h", *_CTX, "left", "near", "far", "context").mapInArrow(
-            _windows(length), "h long, g1 long, g2 long, c1 long, c2 long, l int")
-        same = ["h", "l", "g1", "g2"]  # a window around two anchors is one place, so grams do not mix
-        twice = each.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*same)
-        found_large = each.join(twice, same, "left_semi").groupBy(*_CTX).agg(F.max("l").alias("left"), (length - F.min("l")).alias("right"))
-        ext = ext.union(found_large)
-    ext = ext.groupBy(*_CTX).agg(F.max("left").alias("el"), F.max("right").alias("er"))
+    if not large.isEmpty():
+        windows = _repeated_windows(_texts(keyed, ctx, large, length, gram), length)
+        ext = ext.union(windows.groupBy(*_CTX).agg(F.max("l").alias("left"), (length - F.min("l")).alias("right")))
+    # written, so that the places of a hot context can be split over tasks
+    ext = materialise(ext.groupBy(*_CTX).agg(F.max("left").alias("el"), F.max("right").alias("er")), "extents")
     return found.select(*_CTX, "k1", "k2", "pos").join(ext, _CTX).groupBy("k1", "k2").agg(F.collect_list(
         F.struct((F.col("pos") - F.col("el")).alias("start"), (F.col("pos") + F.col("er")).alias("end"))).alias("spans"))
 
 
+def _groups(length: int):
+    """(group, c1, c2, left, right): the members of every maximal repeat of two or more contexts of a gram."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in runs(batches, ["h"]):
+            h = t.column("h").to_numpy()
+            c1, c2 = (t.column(c).to_numpy() for c in _CTX)
+            left, text = t.column("left").to_pylist(), t.column("context").to_pylist()
+            cut = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]).tolist() + [len(h)]
+            for a, b in zip(cut, cut[1:]):
+                found = maximal_repeats([text[i][left[i] - 1::-1] if left[i] else b"" for i in range(a, b)],
+                                        [text[i][left[i]:] for i in range(a, b)], length)
+                for members, before, after in found:
+                    m = np.array(members) + a
+                    one = members[0] + a
+                    name = blake2b(text[one][left[one] - before:left[one] + after], digest_size=16, salt=before.to_bytes(4, "little")).hexdigest()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * len(m)), pa.array(c1[m]), pa.array(c2[m]), *[pa.array(np.full(len(m), x, np.int32)) for x in (before, after)]],
+                        names=["group", *_CTX, "left", "right"])
+    return run
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
+           group: int = GROUP) -> DataFrame:
+    """(group string, id, start, end long): maximal repeats of `length` bytes and more with all their occurrences.
+
+    Occurrences of a group are the same bytes and cannot all be extended on a side, as far as `length` bytes around the anchor
+    tell; a longer repeat gives a group per anchor in it. A group has all its occurrences, and every byte that
+    remove_repeats() removes lies in one. A gram of more than `group` contexts is not put into one task: its groups
+    are all windows of exactly `length` bytes that occur again. Nested repeats are groups of their own, so one place may be in many.
+    """
+    keyed = _keyed(docs, id_col, text_col)
+    found, ctx, by_gram = _prepared(keyed, length, gram)
+    out = (_texts(keyed, ctx, by_gram.filter(F.col("size") <= group), length, gram).select("h", *_CTX, "left", "context")
+           .repartition("h").sortWithinPartitions("h").mapInArrow(_groups(length), "group string, c1 long, c2 long, left int, right int"))
+    # a context that occurs again is a repeat by itself, unless one of its extensions is
+    out = out.union(ctx.filter("n > 1").select(F.concat_ws("-", F.lit("c"), *_CTX), *_CTX, "at.left", "at.right"))
+    large = by_gram.filter(F.col("size") > group)
+    if not large.isEmpty():
+        windows = _repeated_windows(_texts(keyed, ctx, large, length, gram), length)
+        out = out.union(windows.select(F.concat_ws("-", F.lit("w"), "l", "g1", "g2"), *_CTX, "l", (length - F.col("l")).alias("right")))
+    placed = found.select(*_CTX, "k1", "k2", "pos").join(materialise(out, "groups"), _CTX)
+    named = placed.join(keyed.select(*KEY, "id"), (F.col(KEY[0]) == F.col("k1")) & (F.col(KEY[1]) == F.col("k2")))
+    return named.select("group", "id", (F.col("pos") - F.col("left")).cast("long").alias("start"), (F.col("pos") + F.col("right")).cast("long").alias("end"))
+
+
 def _merge(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(starts, kind="stable")
     starts, ends = starts[order], np.maximum.accumulate(ends[order])
