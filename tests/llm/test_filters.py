@@ -9,12 +9,14 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.check import compare, oracle
 from tests.llm.conftest import SF, messy_rows
 from veilframe.llm import decontaminate, knn_quality, licenses, quality_rules, token_counts, url_filter
+from veilframe.llm.queries import EDIT_MASKS
 
 ONE = ["op1_license_scan", "op2_url_filter", "op9_line_dedup"]
 
@@ -124,6 +126,45 @@ def test_token_counts_on_messy_documents(spark, messy, empty, counts):
     assert token_counts.index(empty, vocabulary, t.PATTERN).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_edits_far_apart_and_in_long_words(counts, seed):
+    """Windows of an edit end inside words, at other edits and at the end of the text."""
+    c, _ = counts
+    rng = random.Random(seed)
+    text = "".join(rng.choice(["a" * rng.randint(1, 900), " ", "\n", "7" * rng.randint(1, 300), "日本", " the", "  \t "]) for _ in range(rng.randint(1, 60)))
+    edits, at = [], 0
+    while at < len(text):
+        end = min(len(text), at + rng.randint(0, 12))
+        edits.append({"start": at, "end": end, "text": rng.choice([None, "", "[X]", "b" * 400, " ", "\n\n"])})
+        at = end + rng.choice([1, 9, 40, 700])
+    tree = token_counts.Tree.of(text, c)
+    new, _ = token_counts.carry_out(text, edits, tree, c)
+    want, done = [], 0
+    for e in edits:
+        want += [text[done:e["start"]], e["text"] or ""]
+        done = e["end"]
+    assert new == "".join([*want, text[done:]])
+    fresh = token_counts.Tree.of(new, c)
+    assert tree.tokens == fresh.tokens
+    flat = lambda t: [(int(a), int(b)) for length, tokens in t.leaves for a, b in zip(length, tokens)]
+    assert flat(tree) == flat(fresh)
+
+
+def test_masks_and_counts_in_one_pass(spark, messy, empty, counts):
+    _, t = counts
+    vocabulary, rules = t.path("byte_bpe_50k.tiktoken"), {r"[ab]{3,}": "[AB]", r"\w+h\b": "[H]", r"#\*\$": " "}
+    by_steps = token_counts.apply_edits(token_counts.index(messy, vocabulary, t.PATTERN).withColumn("n_tokens_before", F.col("n_tokens")).withColumn(
+        "edits", token_counts.masks("text", rules)), vocabulary, t.PATTERN).withColumn("n_edits", F.size("edits").cast("long"))
+    names = ["doc_id", "line", "text", "n_tokens_before", "n_edits", "n_reencoded", "n_tokens", "id"]
+    got = token_counts.mask_and_count(messy, vocabulary, t.PATTERN, rules)
+    key = lambda r: r.line
+    assert sorted(got.select(names).collect(), key=key) == sorted(by_steps.select(names).collect(), key=key)
+    assert token_counts.mask_and_count(empty, vocabulary, t.PATTERN, rules).count() == 0
+    dense = ("a@b.cc " * 20_000)
+    found = token_counts.matches(dense, [(regex.compile(p), m) for p, m in EDIT_MASKS.items()])
+    assert len(found) == 20_000
+
+
 def test_quality_model_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
@@ -136,6 +177,38 @@ def test_quality_model_on_held_out_rows(spark):
     assert sum(a > b for a, b in pairs) / len(pairs) > 0.95
 
 
+def test_votes_against_cosines_of_all_vectors(spark, sample):
+    """Scores from the definition: every labelled vector's cosine, the nearest ones' labels weighted by it."""
+    docs = spark.createDataFrame(sample, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in sample], "doc_id long, quality int")
+    model = knn_quality.fit(docs, labels, neighbours=7)
+    got = {r.id: r.score for r in knn_quality.score(docs, model).collect()}
+    compared = 0
+    for i, t in sample:
+        row, term, n = knn_quality.counts([(t or "").encode()])
+        weights, _ = knn_quality._weights(row, term, n, model.idf, 1)
+        x = sum((w * model.axes[k] for w, k in zip(weights, term)), np.zeros(model.axes.shape[1]))
+        size = np.linalg.norm(x)
+        cosine = [float(x @ v) / size if size else 0.0 for v in model.vectors]
+        ranked = sorted(range(len(cosine)), key=lambda k: -cosine[k])
+        best = ranked[:7]
+        if cosine[ranked[6]] - cosine[ranked[7]] < 1e-4:
+            continue  # copies: which of equal neighbours votes is open
+        compared += 1
+        vote = [max(cosine[k], 0) ** 4 * model.weights[k] for k in best]
+        want = sum(v * model.labels[k] for v, k in zip(vote, best)) / sum(vote) if sum(vote) > 1e-9 else model.prior
+        assert abs(got[i] - want) < 1e-3
+    assert len(model.labels) > 100 and len(got) == len(sample) and compared > len(sample) // 2
+
+
+def test_repeated_ids_teach_one_text(spark):
+    rows = [(1, f"good words {k} of a text") for k in range(50)] + [(2, "bad bad # # #"), (3, "more good words"), (5, "# # bad")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (5, 0)], "doc_id long, quality int")
+    a, b = (knn_quality.fit(d, labels, per_class=2) for d in (docs, docs.repartition(5)))
+    assert len(a.labels) == len(b.labels) <= 4 and np.allclose(a.vectors, b.vectors)
+
+
 def test_quality_model_edge_cases(spark, messy, empty):
     labels = spark.createDataFrame([(1, 1), (1, 0), (10, 1), (12, 0), (None, 1), (19, None), (13, 7)], "doc_id long, quality int")
     got = knn_quality.score(messy, knn_quality.fit(messy, labels)).collect()
@@ -214,7 +287,7 @@ def test_quality_statistics(spark, messy, empty):
     assert kept.columns == messy.columns and all(statistics(r.text)[0] >= 50 for r in kept.collect())
 
 
-def concentration(x, h, start, steps=4):
+def concentration(x, h, start, steps=60):
     """Concentration steps in floating point, as a check of the estimates."""
     def moments(rows, factor):
         m = rows.mean(axis=0)

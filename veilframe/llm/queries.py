@@ -90,7 +90,8 @@ def op8(spark, sf):
 @query("op6_suffix_array_dedup")
 def op6(spark, sf):
     found = repeats.remove_repeats(table(spark, sf, "documents"))
-    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+                        (F.col("n_removed") > 0).alias("repeats"))
 
 
 @query("op7_quality_classifier")
@@ -175,12 +176,10 @@ def op3(spark, sf):
     """Token counts of all documents before and after masking addresses and numbers and taking out runs of signs."""
     import public_tokenizers as t
 
-    vocabulary = t.path("byte_bpe_50k.tiktoken")
-    trees = token_counts.index(table(spark, sf, "documents").select("doc_id", "text"), vocabulary, t.PATTERN)
-    found = trees.withColumn("n_tokens_before", F.col("n_tokens")).withColumn("edits", token_counts.masks("text", EDIT_MASKS))
-    done = token_counts.apply_edits(found, vocabulary, t.PATTERN)
-    return done.select("doc_id", "n_tokens_before", F.size("edits").cast("long").alias("n_edits"), "n_reencoded",
-                       F.col("n_tokens").alias("n_tokens_after"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    done = token_counts.mask_and_count(docs, t.path("byte_bpe_50k.tiktoken"), t.PATTERN, EDIT_MASKS)
+    return done.select("doc_id", "n_tokens_before", "n_edits", "n_reencoded", F.col("n_tokens").alias("n_tokens_after"),
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
 @query("op11_embedding_whitening")
