@@ -45,7 +45,7 @@ def redact(df: DataFrame, rules: Rules = Rules(), text: str = "text", out: str =
     """Rules plus raw formats, then an optional detector on the masked, non-blank records.
 
     detector(df, text_column) returns df with an `entities` array<struct<type,start,end>> column
-    and one row per input row.
+    and one row per input row; a `detector_error` column that it adds stays, see guarded().
     """
     keep = df.columns
     found = with_findings(df, rules, text, "_spans")
@@ -57,10 +57,47 @@ def redact(df: DataFrame, rules: Rules = Rules(), text: str = "text", out: str =
     blank = detect.is_blank(F.col("_masked"))
     seen = detector(staged.withColumn("_active", F.when(~blank, F.col("_masked"))), "_active")
     replaced = spans.replace_entities(F.col("_active"), F.col("entities"), name_mask)
+    keep = [*keep, "detector_error"] if "detector_error" in seen.columns and "detector_error" not in keep else keep
     return seen.select(*keep, F.when(F.col("_active").isNull(), F.col("_masked"))
                        .otherwise(replaced).alias(out))
 
 
+def guarded(find):
+    """A detector of find(texts) -> a list of (type, start, end) per text, in which a failure stays with its record.
+
+    A batch that raises is gone through record by record; a record that raises has no entities and the class name of
+    the exception, never its message, as detector_error.
+    """
+    kind = "struct<entities: array<struct<type: string, start: int, end: int>>, detector_error: string>"
+
+    def one(text):
+        try:
+            return {"entities": _entities(find([text])[0]), "detector_error": None}
+        except Exception as e:  # noqa: BLE001  any fault of a plugged-in detector
+            return {"entities": [], "detector_error": type(e).__name__}
+
+    @F.pandas_udf(kind)
+    def run(texts: pd.Series) -> pd.DataFrame:
+        active = texts.dropna()
+        try:
+            found = find(active.tolist()) if len(active) else []
+            if len(found) != len(active):
+                raise ValueError("a detector gives one list per text")
+            got = [{"entities": _entities(f), "detector_error": None} for f in found]
+        except Exception:  # noqa: BLE001
+            got = [one(t) for t in active]
+        by = dict(zip(active.index, got))
+        return pd.DataFrame([by.get(i, {"entities": None, "detector_error": None}) for i in texts.index])
+
+    def detector(df: DataFrame, text: str) -> DataFrame:
+        return df.withColumn("_found", run.asNondeterministic()(text)).select("*", "_found.*").drop("_found")
+    return detector
+
+
+def _entities(found) -> list[dict]:
+    return [{"type": t, "start": int(a), "end": int(b)} for t, a, b in found]
+
+
 def _walk(value, labels, leaf, masked):
     """Rebuild a JSON value: sensitive keys through masked(), other strings and ints through leaf()."""
     if isinstance(value, dict):

@@ -75,12 +75,11 @@ def input_signature(spark, sf):
  coalesce(sum(list_sum(list_transform(runs, lambda x: length(x)))), 0)::BIGINT AS stars_added FROM r GROUP BY source)
  SELECT g.source, records, chars, stars_added + (SELECT sum(length(regexp_replace(line, '[^*]', '', 'g')))::BIGINT FROM l WHERE l.source = g.source) AS stars FROM g""")
 def redacted_files(spark, sf):
-    """Scan, redact, publish one folder per input, read the published files back."""
-    lines = X.scan(spark, staged_files(spark, sf))
-    out = fresh_path(spark, "redacted")
-    X.write_text(redact(lines), out, "redacted")
-    back = spark.read.text(out)
-    return back.groupBy(F.regexp_extract("file", r"source=([^/]+)", 1).alias("source")).agg(
+    """Scan, redact, publish every input under its relative path, read the published files back."""
+    path, out = staged_files(spark, sf), fresh_path(spark, "redacted")
+    X.write_text(redact(X.scan(spark, path)), out, path, "redacted")
+    back = spark.read.option("recursiveFileLookup", "true").text(out)
+    return back.groupBy(F.regexp_extract("_metadata.file_path", r"source=([^/]+)/", 1).alias("source")).agg(
         F.count("*").alias("records"), F.sum(F.length("value") + 1).alias("chars"),
         F.sum(F.length(F.regexp_replace("value", "[^*]", ""))).alias("stars"))
 
@@ -124,20 +123,14 @@ def output_collisions(spark, sf):
     return X.check_outputs(d, F.concat(F.lit("out/"), "source"), ["out/src0"])
 
 
-def run_stream(spark, sf):
-    path, out = staged_files(spark, sf), fresh_path(spark, "stream")
-    ST.run_directory(spark, path, out)
-    return path, out
-
-
 @query("stream_directory", """WITH l AS (SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents)
  SELECT source, count(*) AS records, sum(length(line) + 1)::BIGINT AS chars FROM l GROUP BY source""")
 def stream_directory(spark, sf):
     """Incremental run over a directory; a second run on unchanged input must add nothing."""
-    path, out = run_stream(spark, sf)
-    ST.run_directory(spark, path, out)
-    m = spark.read.json(out + "/manifest")
-    return m.groupBy(F.regexp_extract("file", SOURCE_OF, 1).alias("source")).agg(
+    path, out = staged_files(spark, sf), fresh_path(spark, "stream")
+    first = ST.run_directory(spark, path, out)
+    both = first.union(ST.run_directory(spark, path, out))
+    return both.groupBy(F.regexp_extract("input", SOURCE_OF, 1).alias("source")).agg(
         F.sum("records").alias("records"), F.sum("chars").alias("chars"))
 
 

@@ -4,17 +4,18 @@ manifest, input signatures and output guards.
 
 from __future__ import annotations
 
-import datetime
+import os
 import posixpath
 from fnmatch import fnmatchcase
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veilframe.functions.detect import is_blank
-from veilframe.operators.ordering import running
+from veilframe.sources import publish, ranges
 
-_TXT = "*.[tT][xX][tT]"
+TXT = "*.[tT][xX][tT]"
 
 
 def _files(spark: SparkSession, fmt: str, glob: str):
@@ -41,17 +42,30 @@ def not_under(spark: SparkSession, path: Column, root, folders) -> Column:
     return keep
 
 
-def discover(spark: SparkSession, root: str, exclude=(), glob: str = _TXT) -> DataFrame:
+def resolved(folder: str) -> str:
+    """A folder all workers see, as its resolved path."""
+    path = ranges.local_path(folder)
+    if path is None:
+        raise ValueError(f"{folder} is no path that workers can open; mount it")
+    return os.path.realpath(path)
+
+
+def discover(spark: SparkSession, root: str, exclude=(), glob: str = TXT) -> DataFrame:
     """Input signature of every text file below root: path, size, modification time.
 
-    Lists files without bytes and names that start with _ or . too, which Spark's readers pass over in silence; see
-    manifest().
+    Lists files without bytes and names that start with _ or . too, and follows no links. Folders are listed side by side, a
+    level at a time; a store that only Spark can reach is listed through its file system.
     """
+    path = ranges.local_path(root)
+    if path is not None:
+        skip = [f for e in exclude for f in [e if e.startswith("/") else ranges.local_path(e) if ":/" in e else os.path.join(path, e)]]
+        rows = [("file:" + f, n, ns // 1000) for f, n, ns in ranges.walk(os.path.realpath(path), glob, skip)]
+        return spark.createDataFrame(rows, "file string, size long, modified long").withColumn("modified", F.timestamp_micros("modified"))
     fs, path = _resolved(spark, root)
     found, rows = fs.listFiles(path, True), []
     while found.hasNext():
         f = found.next()
-        if fnmatchcase(f.getPath().getName(), glob):
+        if fnmatchcase(f.getPath().getName(), glob) and not f.isSymlink():
             rows.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
     meta = spark.createDataFrame(rows, "file string, size long, modified long").withColumn("modified", F.timestamp_millis("modified"))
     return meta.where(not_under(spark, F.col("file"), root, exclude))
@@ -91,7 +105,17 @@ def raw_lines(reader) -> DataFrame:
         F.col("_metadata.file_size").alias("size"), "value")
 
 
-def read_raw(spark: SparkSession, root, exclude=(), glob: str = _TXT) -> DataFrame:
+def read_raw(spark: SparkSession, root, exclude=(), glob: str = TXT) -> DataFrame:
+    """Physical lines of all files below root (or several roots): of folders the workers can open by their byte ranges, of others by
+    Spark's reader, which passes over names that begin with _ or . ."""
+    roots = [root] if isinstance(root, str) else list(root)
+    if all(ranges.local_path(r) for r in roots):
+        parts = []
+        for r in roots:
+            path = os.path.realpath(ranges.local_path(r))
+            skip = [e if e.startswith("/") else ranges.local_path(e) if ":/" in e else os.path.join(path, e) for e in exclude]
+            parts.append(ranges.read(spark, path, "lines", glob, skip).withColumn("value", F.col("value").cast("string")))
+        return reduce(DataFrame.union, parts)
     lines = raw_lines(_files(spark, "text", glob).option("lineSep", "\n").load(root))
     return lines.where(not_under(spark, F.col("file"), root, exclude))
 
@@ -141,7 +165,7 @@ def records(raw: DataFrame, max_chars: int | None = None) -> DataFrame:
 
 
 def scan(spark: SparkSession, root, exclude=(), max_chars: int | None = None,
-         glob: str = _TXT) -> DataFrame:
+         glob: str = TXT) -> DataFrame:
     return records(read_raw(spark, root, exclude, glob), max_chars)
 
 
@@ -180,26 +204,24 @@ def relative(path: Column, root: str) -> Column:
     return F.regexp_replace(path, "^.*?" + posixpath.normpath(root.removeprefix("file:")) + "/", "")
 
 
-def write_text(lines: DataFrame, out: str, text: str = "text") -> None:
-    """One folder file=<path> per complete input; its part files in name order are the document.
+def write_text(lines: DataFrame, out: str, root: str, text: str = "text") -> DataFrame:
+    """Publish the records of inputs below root under the same relative paths below out; a manifest row per input.
 
-    Only partitions of this batch are replaced, and only when the job commits, so an input that
-    failed keeps its old output. Records ended by a lone \r go back into their physical line. A
-    missing final newline is written (the manifest's input tells).
+    Bytes that `text` leaves alone stay as they were, terminators and a missing last one included. Records may come in any order and
+    are ordered by (file, line_no); an input with a failed record keeps its old output. streaming.redact.run_directory() does
+    without that exchange, and publishes files without bytes too.
     """
-    lines = lines.where(~F.col("failed")).select("file", "line_no", F.col(text).alias("_t"), "eol")
-    if not lines.where(F.col("eol") == "\r").isEmpty():
-        # records after a lone \r continue the line that began at the last other terminator
-        ends = lines.withColumn("_end", F.when(F.col("eol") != "\r", F.col("line_no")))
-        lines = running(ends, ["line_no"], {"_head": ("max", "_end")}, by=["file"], inclusive=False)
-        item = F.struct("line_no", F.concat("_t", "eol").alias("t"))
-        lines = (lines.withColumn("_head", F.coalesce("_head", F.lit(0))).groupBy("file", "_head")
-                 .agg(F.sort_array(F.collect_list(item)).alias("_g"))
-                 .select("file", (F.col("_head") + 1).alias("line_no"),
-                         F.array_join(F.col("_g.t"), "").alias("_t"), F.lit("").alias("eol")))
-        lines = lines.withColumn("_t", F.regexp_replace("_t", r"\n\z", ""))
-    value = F.when(F.col("eol") == "\r\n", F.concat("_t", F.lit("\r"))).otherwise(F.col("_t"))
-    (lines.withColumn("value", value).repartitionByRange("file", "line_no")
-     .sortWithinPartitions("file", "line_no").select("file", "value")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("lineSep", "\n").partitionBy("file").text(out))
+    root, out = resolved(root), resolved(out)
+    error = F.when(F.col("failed"), F.coalesce("error", F.lit("RecordTooLong")) if "error" in lines.columns else F.lit("RecordTooLong"))
+    name = F.regexp_replace("file", "^file:/+", "/")
+    # a stretch of an input's records that one task has is a segment, named by its first record
+    rows = (lines.select(name.alias("file"), "line_no", F.col(text).alias("out"), "eol", (F.length(text) + F.length("eol")).alias("chars"),
+                         is_blank(F.col(text)).alias("blank"), error.alias("error"))
+            .repartitionByRange("file", "line_no").sortWithinPartitions("file", "line_no")
+            .withColumn("block", F.spark_partition_id().cast("long")))
+    os.makedirs(out, exist_ok=True)
+    staged = publish.stage(rows, out)
+    manifest = publish.publish(lines.sparkSession, staged, root, out).persist()
+    manifest.count()
+    publish.clear(staged)
+    return manifest
