@@ -56,13 +56,6 @@ def test_rows_validation(spark):
     assert rows.split_bounds("949,50,1", 1000) == [0, 949, 999, 1000]
 
 
-def test_sub_words(spark):
-    vocab = spark.createDataFrame([("un",), ("##aff",), ("##able",)], "token string")
-    words = spark.createDataFrame([("unaffable",), ("xyz",)], "word string")
-    got = {r.word: r.pieces for r in T.sub_words(words, vocab).collect()}
-    assert got == {"unaffable": ["un", "##aff", "##able"], "xyz": ["[UNK]"]}
-
-
 def test_array_goldens(spark):
     assert one(spark, A.eos_mask(ints([0, 0, 2, 42, 3, 5, 1, 0, 0]), [1])) == [1] * 7 + [0] * 2
     df = spark.createDataFrame([(0, [1, 2, 3, 4]), (0, [5, 6, 7]), (0, [8, 9])], "b int, a array<int>")

@@ -87,38 +87,6 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[0-9a-zà-ÿ]+"), F.lit(0))
 
 
-def sub_words(counts: DataFrame, vocab: DataFrame, word: str = "word", unk: str = "[UNK]",
-              max_chars: int = 100, max_vocab: int = 1_000_000) -> DataFrame:
-    """Greedy longest-match pieces of distinct words against a vocabulary table (token).
-
-    Runs on distinct words only; join the result back on the word. The vocabulary is broadcast and
-    refused above max_vocab tokens.
-    """
-    tokens = [r[0] for r in vocab.select("token").limit(max_vocab + 1).collect()]
-    if len(tokens) > max_vocab:
-        raise ValueError(f"vocabulary has more than {max_vocab} tokens")
-    known = counts.sparkSession.sparkContext.broadcast(frozenset(tokens))
-
-    def pieces(w: str) -> list[str]:
-        if len(w) > max_chars:
-            return [unk]
-        out, at = [], 0
-        while at < len(w):
-            prefix = "##" if at else ""
-            end = next((e for e in range(len(w), at, -1) if prefix + w[at:e] in known.value), None)
-            if end is None:
-                return [unk]
-            out.append(prefix + w[at:end])
-            at = end
-        return out
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(ws: pd.Series) -> pd.Series:
-        return ws.map(pieces)
-
-    return counts.withColumn("pieces", split(word))
-
-
 def tokens_to_ids(df: DataFrame, token: str, vocab: DataFrame, unk_id: int) -> DataFrame:
     """Join tokens to vocab(token, id); unknown tokens take unk_id."""
     v = vocab.select(F.col("token").alias(token), "id")

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from veilframe.functions.fold import let, scan
 from veilframe.session import materialise, small
@@ -114,88 +110,6 @@ def relation_groups(prompts: DataFrame, chinese: bool = True) -> DataFrame:
 
 # lexicon -----------------------------------------------------------------------------------
 
-_MATCHES = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-
-
-def forward_matches(matches):
-    """Longest match per start; kept when it ends behind everything kept before."""
-    longest: dict = {}
-    for start, end in matches:
-        longest[start] = max(end, longest.get(start, 0))
-    kept, reach = [], 0
-    for start in sorted(longest):
-        if longest[start] > reach:
-            reach = longest[start]
-            kept.append((start, reach))
-    return kept
-
-
-def lexicon_matches(docs: DataFrame, text: str, lexicon: DataFrame, out: str = "matches",
-                    max_phrases: int = 500_000) -> DataFrame:
-    """Add the lexicon phrases found in each text as array<struct<start,end>>.
-
-    The phrases go to the executors as one automaton; a larger lexicon is refused here and belongs
-    to lexicon_join.
-    """
-    phrases = [r[0] for r in lexicon.select("phrase").distinct().limit(max_phrases + 1).collect()]
-    if len(phrases) > max_phrases:
-        raise ValueError(f"more than {max_phrases} phrases: use lexicon_join")
-    shared = docs.sparkSession.sparkContext.broadcast([p for p in phrases if p])
-
-    @F.pandas_udf(_MATCHES)
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-        auto = ahocorasick.Automaton()
-        for p in shared.value:
-            auto.add_word(p, len(p))
-        if shared.value:
-            auto.make_automaton()
-        for texts in batches:
-            yield pd.Series([[] if t is None or not shared.value else [
-                dict(start=s, end=e) for s, e in forward_matches(
-                    (end - n + 1, end + 1) for end, n in auto.iter(t))] for t in texts], dtype=object)
-
-    return docs.withColumn(out, find(text))
-
-
-def lexicon_join(docs: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
-    """(key, start, end) of all phrase occurrences by an equi join, for lexicons of any size.
-
-    Every position offers its substring of each phrase length; phrases are distinct, so a position
-    meets each at most once. Filter with keep_forward.
-    """
-    phrases = lexicon.select("phrase").distinct().where("phrase <> ''")
-    lengths = [r[0] for r in phrases.select(F.length("phrase")).distinct().collect()]
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
-    pos = docs.select(key, text, F.explode(starts).alias("p"))
-    cut = pos.select(key, "p", F.explode(F.array(*[
-        F.substring(F.col(text), F.col("p"), F.lit(n)) for n in lengths])).alias("phrase"))
-    return cut.join(phrases, "phrase", "left_semi").select(
-        key, (F.col("p") - 1).alias("start"), (F.col("p") - 1 + F.length("phrase")).alias("end")).distinct()
-
-
-def keep_forward(matches: DataFrame, key: str) -> DataFrame:
-    """Longest match per start, kept when it ends behind all earlier ones."""
-    from veilframe.operators.ordering import running
-    longest = matches.groupBy(key, "start").agg(F.max("end").alias("end"))
-    seen = running(longest, ["start"], {"_reach": ("max", "end")}, by=[key], inclusive=False)
-    return seen.where(F.col("_reach").isNull() | (F.col("end") > F.col("_reach"))).drop("_reach")
-
-
-def lexicon_detector(lexicon: dict[str, str]):
-    """Entity detector for redact(): phrase -> entity type."""
-    def detect(df: DataFrame, text: str) -> DataFrame:
-        spark = df.sparkSession
-        phrases = spark.createDataFrame([(p,) for p in lexicon], "phrase string")
-        kinds = F.create_map(*[F.lit(x) for kv in lexicon.items() for x in kv])
-        found = lexicon_matches(df, text, phrases, "_m")
-        ents = F.transform("_m", lambda m: F.struct(
-            kinds[F.substring(F.col(text), m["start"] + 1, m["end"] - m["start"])].alias("type"),
-            m["start"].alias("start"), m["end"].alias("end")))
-        return found.withColumn("entities", ents).drop("_m")
-    return detect
-
-
 def override_tags(tags: Column, matches: Column) -> Column:
     """Rewrite tags inside lexicon matches: struct<start, end, tags, offsets>, prefix style.
 
@@ -212,35 +126,56 @@ def override_tags(tags: Column, matches: Column) -> Column:
     return let(matches, lambda found: F.transform(tags, lambda t, i: tag(found, t, i)))
 
 
+def _pieces(length, d: int):
+    """How many pieces a term is cut into and where piece i begins: d + 1 of nearly one size, single characters of shorter terms."""
+    k = F.greatest(F.least(length, F.lit(d + 1)), F.lit(1))
+    return k, lambda i: F.floor(F.lit(i) * length / k).cast("int")
+
+
 def near_terms(queries: DataFrame, terms: DataFrame, max_distance: int = 2) -> DataFrame:
     """Term pairs within edit distance 1 or 2, ordered by (distance, -common prefix).
 
-    Two words within distance d share a word left after deleting at most d characters from each, so
-    an equi join on those residues finds every pair without comparing all words of like length.
+    A term is cut into one piece more than edits are allowed, so one piece of it stays whole in every word that near; words meet at
+    (length of the term, number of the piece, piece) and only where the piece has not moved further than the edits
+    and the lengths let it. Words so short that all their characters may change meet at their shortness, where any two are near.
     """
     if max_distance not in (1, 2):
         raise ValueError("max_distance must be 1 or 2")
+    d = max_distance
+
+    def keyed(df, name, keys):
+        rows = df.select(F.col(name)).where(F.col(name).isNotNull()).distinct()
+        short = F.when(F.length(name) <= d, F.struct(F.lit(-1).alias("n"), F.lit(0).alias("i"), F.lit("").alias("piece")))
+        every = F.array_distinct(F.array_compact(F.array(short, *keys(F.col(name)))))
+        return rows.select(name, F.explode(every).alias("_k"))
+
+    def entry(n, i, piece):
+        return F.struct(n.cast("int").alias("n"), F.lit(i).alias("i"), piece.alias("piece"))
 
-    def residues(df, name):
-        w = F.col(name)
+    def of_term(w):
         n = F.length(w)
-        cut = lambda s, i: F.concat(F.substring(s, F.lit(1), i), F.substring(s, i + 2, n))
-        # n character positions always give n variants; an empty word has only itself
-        every = lambda s: F.when(F.length(s) > 0, F.transform(
-            F.sequence(F.lit(0), F.length(s) - 1), lambda i: cut(s, i))).otherwise(F.array().cast("array<string>"))
-        one = every(w)
-        level = F.concat(F.array(w), one)
-        if max_distance == 2:
-            level = F.concat(level, F.flatten(F.transform(one, every)))
-        return df.select(name, F.explode(F.array_distinct(level)).alias("_r"))
-
-    q = residues(queries.select(F.col("query")).distinct(), "query")
-    t = residues(terms.select(F.col("term")).distinct(), "term")
-    pairs = q.join(t, "_r").select("query", "term").distinct()
-    d = F.levenshtein("query", "term", max_distance)
+        k, begin = _pieces(n, d)
+        return [F.when(F.lit(i) < k, entry(n, i, F.substring(w, begin(i) + 1, begin(i + 1) - begin(i)))) for i in range(d + 1)]
+
+    def of_query(w):
+        out = []
+        for more in range(-d, d + 1):  # how much longer the query is than the term
+            n = F.length(w) - more
+            k, begin = _pieces(n, d)
+            for i in range(d + 1):
+                for moved in range(-d, d + 1):
+                    if abs(moved) + abs(more - moved) <= d:
+                        at, size = begin(i) + moved, begin(i + 1) - begin(i)
+                        fits = (n > 0) & (F.lit(i) < k) & (at >= 0) & (at + size <= F.length(w))
+                        out.append(F.when(fits, entry(n, i, F.substring(w, at + 1, size))))
+        return out
+
+    pairs = keyed(queries, "query", of_query).join(keyed(terms, "term", of_term), "_k").select("query", "term")
+    # far pairs go before the near ones are made distinct
+    pairs = pairs.withColumn("distance", F.levenshtein("query", "term", d)).where("distance >= 0").distinct()
     common = F.size(F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.length("query"), F.lit(1))), lambda i: (
         F.substring(F.col("query"), F.lit(1), i) == F.substring(F.col("term"), F.lit(1), i)) & (i <= F.length("term"))), lambda x: x))
-    return pairs.withColumn("distance", d).where("distance >= 0").withColumn("common_prefix", common)
+    return pairs.withColumn("common_prefix", common)
 
 
 # triples -----------------------------------------------------------------------------------

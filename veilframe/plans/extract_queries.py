@@ -8,6 +8,7 @@ from veilframe.functions import text as T
 from veilframe.functions.spans import regex_spans
 from veilframe.operators import annotation as N
 from veilframe.operators import extract as X
+from veilframe.operators import lexicon as L
 from veilframe.plans.registry import query
 from veilframe.plans.text_queries import W, docs
 from veilframe.session import table
@@ -175,22 +176,22 @@ LEX_OUT = LEX + """, w AS (SELECT DISTINCT p_name AS phrase FROM part UNION SELE
 
 @query("lexicon_matches", LEX_OUT)
 def lexicon_matches(spark, sf):
-    m = X.lexicon_matches(lexicon_texts(spark, sf), "text", lexicon(spark, sf)).select("doc", F.explode("matches").alias("m"))
+    m = L.lexicon_matches(lexicon_texts(spark, sf), "text", lexicon(spark, sf)).select("doc", F.explode("matches").alias("m"))
     return m.select("doc", F.col("m.start").cast("long").alias("start"), F.col("m.end").cast("long").alias("end"))
 
 
 @query("lexicon_join", LEX_OUT)
 def lexicon_join(spark, sf):
-    """The same matches by an equi join, for lexicons too large to send to every task."""
-    m = X.lexicon_join(lexicon_texts(spark, sf), "doc", "text", lexicon(spark, sf))
-    return X.keep_forward(m, "doc").select("doc", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    """The same matches as rows; the longest of each start are found along texts of any length."""
+    m = L.lexicon_join(lexicon_texts(spark, sf), "doc", "text", lexicon(spark, sf))
+    return L.keep_forward(m, "doc").select("doc", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
 
 
 @query("lexicon_detector", LEX + """SELECT doc, replace(text, p_name, '[地址已脱敏]') AS redacted FROM t JOIN part ON p_partkey = doc % (SELECT count(*) FROM part)""")
 def lexicon_detector(spark, sf):
     from veilframe.operators.redact import redact
-    names = {r[0]: "地址" for r in table(spark, sf, "part").select("p_name").distinct().collect()}
-    out = redact(lexicon_texts(spark, sf).select("doc", "text"), detector=X.lexicon_detector(names))
+    names = table(spark, sf, "part").select(F.col("p_name").alias("phrase"), F.lit("地址").alias("type")).distinct()
+    out = redact(lexicon_texts(spark, sf).select("doc", "text"), detector=L.lexicon_detector(names))
     return out.select("doc", "redacted")
 
 

@@ -85,7 +85,8 @@ def sub_word_coverage(spark, sf):
     """Tokens and unknown tokens of the corpus against a whole-word vocabulary."""
     counts = docs(spark, sf).select(F.explode(T.words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     vocab = counts.where("n >= 20").select(F.col("word").alias("token"))
-    pieces = T.sub_words(counts, vocab)
+    from veilframe.operators.lexicon import sub_words
+    pieces = sub_words(counts, vocab)
     unk = F.array_contains("pieces", "[UNK]")
     return pieces.agg(F.sum("n").alias("tokens"), F.sum(F.when(unk, F.col("n"))).alias("unknown"))
 
