@@ -5,20 +5,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.operators.ordering import row_index, running
+from veilframe.operators.ordering import row_index
 from veilframe.operators.rows import seeded
+from veilframe.session import materialise
 
-MAX_LABELS = 10_000
+CHUNK = 1 << 16  # indices that one row offers at a time
 
 
-def label_list(df: DataFrame, column: str) -> list[str]:
-    """The label set, which every row will carry; refused beyond MAX_LABELS."""
-    labels = [r[0] for r in df.select(column).distinct().limit(MAX_LABELS + 1).collect()]
-    if len(labels) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels")
+def label_list(df: DataFrame, column: str, most: int = 10_000) -> list[str]:
+    """The label set as a list, for class_example's options, which are part of every prompt; refused beyond `most`."""
+    labels = [r[0] for r in df.select(column).distinct().limit(most + 1).collect()]
+    if len(labels) > most:
+        raise ValueError(f"more than {most} options in a prompt")
     return sorted(labels)
 
 
+def numbered(values: DataFrame, column: str) -> DataFrame:
+    """(column, idx): distinct values that are not null with their numbers in order, from 0."""
+    return materialise(row_index(values.select(column).where(F.col(column).isNotNull()).distinct(), [column], "idx"), "numbered")
+
+
+def unranked(have: Column, j: Column) -> Column:
+    """The j-th number, from 0, that is not in the sorted array `have`."""
+    return j + F.size(F.filter(F.transform(have, lambda v, i: v - i), lambda free: free <= j))
+
+
+def drawn(seed: int, *key: Column) -> Column:
+    """A whole number of 48 bits from the md5 of the key."""
+    return F.conv(F.substring(seeded(seed, *key), 1, 12), 16, 10).cast("long")
+
+
+def walk(start: Column, t: Column, size: Column) -> Column:
+    """The t-th of a permutation of the numbers below size: steps of a prime that does not divide it."""
+    step = F.lit(1)
+    for prime in (7919, 104_729, 999_983, 1_000_003, 15_485_863):
+        step = F.when(size % prime != 0, F.lit(prime)).otherwise(step)
+    return F.pmod(F.pmod(start, size) + t * step, size)
+
+
+def counted(rows: DataFrame, n: Column, name: str = "t") -> DataFrame:
+    """Every row once for each number below n, in chunks, so that no row holds them all."""
+    most = F.floor((n - 1) / CHUNK)
+    of = rows.where(n > 0).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), most)))
+    first = F.col("_chunk") * CHUNK
+    return of.withColumn(name, F.explode(F.sequence(first, F.least(first + CHUNK, n) - 1))).drop("_chunk")
+
+
 def class_example(text: Column, label: Column, options: list[str], prefix: str, key: Column, seed: int) -> Column:
     """Prompt with shuffled options; answer offsets count back from the prompt's end (negative)."""
     mixed = F.array_sort(F.transform(F.array(*[F.lit(o) for o in options]), lambda o: F.struct(
@@ -49,85 +81,87 @@ def relation_prompts(relations: DataFrame, doc: str, chinese: bool = True) -> Da
     return p.groupBy(doc, "prompt").agg(F.sort_array(F.collect_list("object")).alias("objects"))
 
 
-def entity_negatives(entities: DataFrame, doc: str, label: str, labels: list[str], ratio: int, seed: int) -> DataFrame:
+def entity_negatives(entities: DataFrame, doc: str, label: str, ratio: int, seed: int) -> DataFrame:
     """Prompts of labels a document lacks.
 
     All of them while ceil(negatives / positives) <= ratio or ratio = -1, else ratio * positives,
     drawn by hash. Positives are the document's distinct labels. Runs inside one row per document,
-    whose arrays are bounded by the label set.
+    whose arrays are bounded by the label set; that set travels as a table of one row.
     """
     per_doc = entities.groupBy(doc).agg(F.collect_set(label).alias("_have"))
-    missing = F.array_except(F.array(*[F.lit(x) for x in labels]), F.col("_have"))
-    drawn = F.array_sort(F.transform(missing, lambda x: F.struct(seeded(seed, F.col(doc), x).alias("h"), x.alias("x"))))["x"]
+    every = entities.agg(F.sort_array(F.collect_set(label)).alias("_all"))
+    missing = F.array_except("_all", "_have")
+    order = F.array_sort(F.transform(missing, lambda x: F.struct(seeded(seed, F.col(doc), x).alias("h"), x.alias("x"))))["x"]
     n_pos = F.size("_have")
     whole = F.lit(ratio == -1) | (F.ceil(F.size(missing) / n_pos) <= ratio)
-    picked = F.when(whole, missing).otherwise(F.slice(drawn, F.lit(1), F.greatest(n_pos * ratio, F.lit(0))))
-    return per_doc.select(doc, F.explode(picked).alias(label))
+    picked = F.when(whole, missing).otherwise(F.slice(order, F.lit(1), F.greatest(n_pos * ratio, F.lit(0))))
+    return per_doc.crossJoin(F.broadcast(every)).select(doc, F.explode(picked).alias(label))  # one row
 
 
-def full_negatives(entities: DataFrame, relations: DataFrame, doc: str, predicates: list[str], chinese: bool = True) -> DataFrame:
-    """Every subject of a document with every predicate that is not a prompt already.
+def full_negatives(entities: DataFrame, relations: DataFrame, doc: str, chinese: bool = True) -> DataFrame:
+    """Every subject of a document with every predicate of the relations that is not a prompt already.
 
-    Each entity row carries the bounded predicate list; nothing is paired within a document.
+    Subjects meet the predicates, numbered, on their numbers; nothing is paired within a document.
     """
     from veilframe.operators.extract import prompt
     subjects = entities.select(doc, F.col("text").alias("subject")).distinct()
-    every = subjects.withColumn("predicate", F.explode(F.array(*[F.lit(p) for p in predicates])))
+    predicates = numbered(relations, "predicate")
+    every = counted(subjects, F.lit(predicates.count()).cast("long"), "idx").join(predicates, "idx")
     every = every.withColumn("prompt", prompt(F.col("subject"), F.col("predicate"), chinese))
     have = relations.select(doc, prompt(F.col("subject"), F.col("predicate"), chinese).alias("prompt")).distinct()
     return every.join(have, [doc, "prompt"], "left_anti").select(doc, "prompt")
 
 
-def draw_distinct(rows: DataFrame, key: str, n: Column, total: int, seed: int) -> DataFrame:
-    """n distinct indices below `total` per row: an arithmetic walk whose step is coprime to total."""
-    step = next(p for p in (1_000_003, 999_983, 7919, 104_729, 15_485_863, 1) if total % p or p == 1)
-    start = F.conv(F.substring(seeded(seed, F.col(key)), 1, 12), 16, 10).cast("long")
-    k = F.least(n, F.lit(total)).cast("int")
-    walk = F.when(k > 0, F.sequence(F.lit(0), k - 1)).otherwise(F.array().cast("array<int>"))
-    return rows.select(key, F.explode(F.transform(walk, lambda j: F.pmod(start + j * step, F.lit(total)))).alias("idx"))
-
-
-def relation_negatives(relations: DataFrame, entities: DataFrame, doc: str, labels: list[str], ratio: int,
-                       seed: int, chinese: bool = True) -> DataFrame:
-    """Negative relation prompts per document from three pools, ratio // 3 * positives from each.
+def relation_negatives(relations: DataFrame, entities: DataFrame, doc: str, ratio: int, seed: int, chinese: bool = True) -> DataFrame:
+    """(doc, pool, prompt): negative relation prompts per document from three pools, ratio // 3 * positives of each.
 
-    Pools: prompts with subject and object exchanged; subjects that are other entities of the corpus
-    with one of the document's predicates; the document's subjects with labels it does not have.
-    What is missing to ratio * positives is filled from leftovers. The corpus-wide entity pool is
-    sampled by index walk, never paired with every document. Returns (doc, pool, prompt).
+    Pools: 1, prompts with subject and object exchanged; 2, entities of the corpus that are no subject of the document, with one
+    of its predicates; 3, its subjects with a label of the corpus that it does not have. A pool that has no more, or ratio = -1, gives
+    all. What is missing to ratio * positives is filled from what is left of the pools together. Items are drawn without
+    replacement by number: what a document lacks is numbered without being listed, a permutation of the numbers is walked, and
+    only chosen ones meet their entity or label. Predicates and subjects are drawn per item. Documents without relations have none.
     """
     from veilframe.operators.extract import prompt
-    make = lambda s, p: prompt(s, p, chinese)
-    positives = relations.groupBy(doc).agg(
+    make = lambda s, p: prompt(s, p, chinese)
+    names, labels = numbered(entities, "text"), numbered(entities, "label")
+    per_doc = relations.groupBy(doc).agg(
         F.countDistinct(make(F.col("subject"), F.col("predicate"))).alias("pos"),
-        F.min("predicate").alias("predicate"), F.min("subject").alias("subject"),
-        F.countDistinct("subject").alias("subjects"))
-    inverse = relations.select(doc, F.lit(1).alias("pool"), make(F.col("object"), F.col("predicate")).alias("prompt"))
-
-    names = row_index(entities.select("text").distinct(), ["text"], "idx")
-    n_names = names.count()
-    golden = relations.select(doc, F.col("subject").alias("text")).distinct()
-    drawn = draw_distinct(positives, doc, F.col("pos") * max(ratio, 0) + F.col("subjects"), n_names, seed)
-    other = (drawn.join(names, "idx").select(doc, "text").join(golden, [doc, "text"], "left_anti")
-             .join(positives.select(doc, "predicate"), doc)
-             .select(doc, F.lit(2).alias("pool"), make(F.col("text"), F.col("predicate")).alias("prompt")))
-
-    have = entities.groupBy(doc).agg(F.collect_set("label").alias("_have"))  # bounded by the label set
-    lacking = (positives.join(have, doc).withColumn("label", F.explode(F.array_except(
-        F.array(*[F.lit(x) for x in labels]), F.col("_have"))))
-        .select(doc, F.lit(3).alias("pool"), make(F.col("subject"), F.col("label")).alias("prompt")))
-
-    pools = inverse.unionByName(other).unionByName(lacking)
-    size = pools.groupBy(doc, "pool").agg(F.count("*").alias("size"))
-    base = pools.withColumn("h", seeded(seed + 1, F.col(doc), F.col("prompt"))).withColumn("one", F.lit(1))
-    ranked = running(base.withColumn("tie", F.monotonically_increasing_id()), ["h", "tie"], {"k": ("sum", "one")}, by=[doc, "pool"])
-    ranked = ranked.join(size, [doc, "pool"]).join(positives.select(doc, "pos"), doc)
-    share = ratio // 3
-    whole = F.lit(ratio == -1) | (F.ceil(F.col("size") / F.col("pos")) <= share)
-    flagged = ranked.withColumn("taken", whole | (F.col("k") <= F.col("pos") * share))
-    used = flagged.groupBy(doc).agg(F.count_if("taken").alias("used"))
-    rest = flagged.where("not taken").select(doc, "pool", "prompt", "pos", "h", "tie", "one")
-    rest = running(rest, ["h", "tie"], {"k": ("sum", "one")}, by=[doc]).join(used, doc)
-    fill = rest.where(F.col("k") <= F.col("pos") * ratio - F.col("used"))
-    cols = [doc, "pool", "prompt"]
-    return flagged.where("taken").select(*cols).unionByName(fill.select(*cols))
+        F.sort_array(F.collect_set("predicate")).alias("predicates"), F.sort_array(F.collect_set("subject")).alias("subjects"),
+        F.array_sort(F.collect_list(F.struct(seeded(seed, F.col(doc), make(F.col("object"), F.col("predicate"))).alias("h"),
+                                             make(F.col("object"), F.col("predicate")).alias("prompt"))))["prompt"].alias("inverse"))
+    numbers = lambda rows, table, on, name: rows.distinct().join(table, on).groupBy(doc).agg(F.sort_array(F.collect_list("idx")).alias(name))
+    subjects = numbers(relations.select(doc, F.col("subject").alias("text")), names, "text", "own_names")
+    have = numbers(entities.select(doc, "label"), labels, "label", "own_labels")
+    none = F.array().cast("array<bigint>")
+    rows = (per_doc.join(subjects, doc, "left").join(have, doc, "left")
+            .withColumns({"own_names": F.coalesce("own_names", none), "own_labels": F.coalesce("own_labels", none)})
+            .withColumns({"size1": F.size("inverse").cast("long"), "size2": F.lit(names.count()) - F.size("own_names"),
+                          "size3": F.lit(labels.count()) - F.size("own_labels")}))
+    c = F.col
+    for i in (1, 2, 3):
+        size = c(f"size{i}")
+        whole = F.lit(ratio == -1) | (F.ceil(size / c("pos")) <= ratio // 3)
+        rows = rows.withColumn(f"n{i}", F.when(whole, size).otherwise(F.greatest(c("pos") * (ratio // 3), F.lit(0))))
+    left = [c(f"size{i}") - c(f"n{i}") for i in (1, 2, 3)]
+    more = F.least(F.greatest(c("pos") * ratio - c("n1") - c("n2") - c("n3"), F.lit(0)), sum(left, F.lit(0)))
+    rows = materialise(rows.withColumns({"more": more, "left1": left[0], "left2": left[1], "left3": left[2]}), "pools")
+
+    first = None
+    for i in (1, 2, 3):
+        part = counted(rows, c(f"n{i}")).withColumn("pool", F.lit(i))
+        first = part if first is None else first.unionByName(part)
+    # a number below all that is left names a pool and a place behind what was taken of it
+    at = walk(drawn(seed + 4, c(doc)), c("t"), c("left1") + c("left2") + c("left3"))
+    rest = counted(rows, c("more")).withColumn("_at", at).withColumn(
+        "pool", F.when(c("_at") < c("left1"), 1).when(c("_at") < c("left1") + c("left2"), 2).otherwise(3))
+    rest = rest.withColumn("t", F.when(c("pool") == 1, c("n1") + c("_at")).when(c("pool") == 2, c("n2") + c("_at") - c("left1"))
+                           .otherwise(c("n3") + c("_at") - c("left1") - c("left2"))).drop("_at")
+    chosen = first.unionByName(rest)
+    idx = lambda i, own: unranked(c(own), walk(drawn(seed + i, c(doc)), c("t"), c(f"size{i}")))
+    one_of = lambda values, i: F.get(values, (drawn(seed + 10 + i, c(doc), c("idx")) % F.size(values)).cast("int"))
+    inverse = chosen.where("pool = 1").select(doc, "pool", F.get("inverse", c("t").cast("int")).alias("prompt"))
+    other = (chosen.where("pool = 2").withColumn("idx", idx(2, "own_names")).select(doc, "pool", "idx", one_of(c("predicates"), 2).alias("predicate"))
+             .join(names, "idx").select(doc, "pool", make(c("text"), c("predicate")).alias("prompt")))
+    lacking = (chosen.where("pool = 3").withColumn("idx", idx(3, "own_labels")).select(doc, "pool", "idx", one_of(c("subjects"), 3).alias("subject"))
+               .join(labels, "idx").select(doc, "pool", make(c("subject"), c("label")).alias("prompt")))
+    return inverse.unionByName(other).unionByName(lacking)

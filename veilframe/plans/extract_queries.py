@@ -297,15 +297,13 @@ def relation_prompts(spark, sf):
  m AS (SELECT p.doc, pos, ls.label, row_number() OVER (PARTITION BY p.doc ORDER BY md5('9:' || p.doc || ':' || ls.label)) AS k, count(*) OVER (PARTITION BY p.doc) AS neg FROM p, ls WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.doc = p.doc AND h.label = ls.label))
  SELECT doc, label FROM m WHERE ceil(neg / pos) <= 1 OR k <= pos""")
 def neg_entities(spark, sf):
-    e = entities(spark, sf)
-    return N.entity_negatives(e, "doc", "label", N.label_list(e, "label"), 1, 9)
+    return N.entity_negatives(entities(spark, sf), "doc", "label", 1, 9)
 
 
 @query("full_negatives", ENT + """, ps AS (SELECT DISTINCT predicate FROM rel), s AS (SELECT DISTINCT doc, text FROM ent)
  SELECT doc, text || '的' || predicate AS prompt FROM s, ps WHERE (doc, text || '的' || predicate) NOT IN (SELECT doc, subject || '的' || predicate FROM rel)""")
 def full_negatives(spark, sf):
-    r = full_relations(spark, sf)
-    return N.full_negatives(entities(spark, sf), r, "doc", N.label_list(r, "predicate"))
+    return N.full_negatives(entities(spark, sf), full_relations(spark, sf), "doc")
 
 
 @query("neg_relations", ENT + """, p AS (SELECT doc, count(DISTINCT subject || '的' || predicate) AS pos FROM rel GROUP BY 1), h AS (SELECT doc, count(DISTINCT label) AS have FROM ent GROUP BY 1),
@@ -313,6 +311,71 @@ def full_negatives(spark, sf):
  SELECT doc, (least(pos, pos) + pos + least(lack, pos) + (3 * pos - pos - pos - least(lack, pos)))::BIGINT AS negatives FROM z""")
 def neg_relations(spark, sf):
     """Three negatives per positive prompt, however small the single pools are."""
-    e = entities(spark, sf)
-    n = N.relation_negatives(full_relations(spark, sf), e, "doc", N.label_list(e, "label"), 3, 4)
+    n = N.relation_negatives(full_relations(spark, sf), entities(spark, sf), "doc", 3, 4)
     return n.groupBy("doc").agg(F.count("*").alias("negatives"))
+
+
+def _drawn(seed: int, *key: str) -> str:
+    return f"('0x' || substr(md5(concat_ws(':', '{seed}', {', '.join(key)})), 1, 12))::BIGINT"
+
+
+def _walk(start: str, t: str, size: str) -> str:
+    step = "1"
+    for prime in (7919, 104_729, 999_983, 1_000_003, 15_485_863):
+        step = f"CASE WHEN {size} % {prime} <> 0 THEN {prime} ELSE {step} END"
+    return f"(({start}) % {size} + {t} * ({step})) % {size}"
+
+
+#: Regions as documents: nations are subjects, suppliers objects; every second supplier is near, the others in.
+SUPPLY = """WITH a AS (SELECT n_regionkey AS doc, n_name AS subject, CASE WHEN s_suppkey % 2 = 0 THEN 'near' ELSE 'in' END AS predicate, s_name AS object FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+ ent AS (SELECT DISTINCT doc, subject AS text, 'nation' AS label FROM a UNION SELECT doc, object, 'supplier' FROM a UNION SELECT n_regionkey, n_name, 'land' || n_regionkey FROM nation),
+ rel AS (SELECT * FROM a), """
+
+
+def supply(spark, sf):
+    s = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    rel = s.select(F.col("n_regionkey").alias("doc"), F.col("n_name").alias("subject"),
+                   F.when(F.col("s_suppkey") % 2 == 0, "near").otherwise("in").alias("predicate"), F.col("s_name").alias("object"))
+    n = table(spark, sf, "nation")
+    ent = (rel.select("doc", F.col("subject").alias("text"), F.lit("nation").alias("label"))
+           .union(rel.select("doc", "object", F.lit("supplier")))
+           .union(n.select("n_regionkey", "n_name", F.concat(F.lit("land"), F.col("n_regionkey").cast("string")))).distinct())
+    return rel, ent
+
+
+def _negatives_sql(ratio: int, seed: int) -> str:
+    """The three pools listed in full, their drawn order as a permutation of what a document lacks."""
+    own = {2: "golden", 3: "labelled"}
+    pools = ["""p1 AS (SELECT doc, 1 AS pool, row_number() OVER (PARTITION BY doc ORDER BY md5('%d:' || doc || ':' || object || '的' || predicate), object || '的' || predicate) - 1 AS t,
+ object || '的' || predicate AS prompt FROM rel)""" % seed]
+    for i, values in ((2, "names"), (3, "labels")):
+        item = "text" if i == 2 else "label"
+        other, make = ("ps", f"x.{item} || '的' || o") if i == 2 else ("ss", f"o || '的' || x.{item}")
+        pools.append(f"""x{i} AS (SELECT d.doc, d.{other} AS choice, v.{item}, v.idx, row_number() OVER (PARTITION BY d.doc ORDER BY v.idx) - 1 AS j, count(*) OVER (PARTITION BY d.doc) AS size
+ FROM d, {values} v WHERE NOT EXISTS (SELECT 1 FROM {own[i]} g WHERE g.doc = d.doc AND g.{item} = v.{item})),
+ t{i} AS (SELECT doc, t, {_walk(_drawn(seed + i, 'doc'), 't', 'size')} AS j FROM (SELECT doc, size, unnest(range(size)) AS t FROM (SELECT DISTINCT doc, size FROM x{i}))),
+ p{i} AS (SELECT doc, {i} AS pool, t, {make} AS prompt FROM (SELECT x.*, t.t, x.choice[{_drawn(seed + 10 + i, 'x.doc', 'x.idx')} % len(x.choice) + 1] AS o FROM x{i} x JOIN t{i} t USING (doc, j)) x)""")
+    return SUPPLY + f"""d AS (SELECT doc, count(DISTINCT subject || '的' || predicate) AS pos, list_sort(list(DISTINCT predicate)) AS ps, list_sort(list(DISTINCT subject)) AS ss FROM rel GROUP BY 1),
+ names AS (SELECT text, row_number() OVER (ORDER BY text) - 1 AS idx FROM (SELECT DISTINCT text FROM ent)),
+ labels AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS idx FROM (SELECT DISTINCT label FROM ent)),
+ golden AS (SELECT DISTINCT doc, subject AS text FROM rel), labelled AS (SELECT DISTINCT doc, label FROM ent),
+ {', '.join(pools)},
+ q AS (SELECT * FROM p1 UNION ALL SELECT * FROM p2 UNION ALL SELECT * FROM p3),
+ z AS (SELECT doc, pool, count(*) AS size, any_value(pos) AS pos, CASE WHEN {ratio} = -1 OR ceil(count(*) / any_value(pos)) <= {ratio // 3} THEN count(*) ELSE any_value(pos) * {max(ratio // 3, 0)} END AS n FROM q JOIN d USING (doc) GROUP BY 1, 2),
+ l AS (SELECT doc, any_value(pos) AS pos, sum(n) AS n, sum(size - n) AS rest, coalesce(sum(size - n) FILTER (pool = 1), 0) AS l1, coalesce(sum(size - n) FILTER (pool = 2), 0) AS l2 FROM z GROUP BY 1),
+ m AS (SELECT doc, l1, l2, {_walk(_drawn(seed + 4, 'doc'), 't', 'rest')} AS a FROM (SELECT *, unnest(range(least(greatest(pos * {ratio} - n, 0), rest)::BIGINT)) AS t FROM l)),
+ e AS (SELECT doc, CASE WHEN a < l1 THEN 1 WHEN a < l1 + l2 THEN 2 ELSE 3 END AS pool, CASE WHEN a < l1 THEN a WHEN a < l1 + l2 THEN a - l1 ELSE a - l1 - l2 END AS k FROM m)
+ SELECT doc, pool, prompt FROM q JOIN z USING (doc, pool) WHERE t < n UNION ALL
+ SELECT doc, pool, prompt FROM q JOIN z USING (doc, pool) JOIN e USING (doc, pool) WHERE t = n + k"""
+
+
+@query("neg_relations_all", _negatives_sql(-1, 4))
+def neg_relations_all(spark, sf):
+    """Ratio -1: everything of all three pools, whatever their size."""
+    return N.relation_negatives(*supply(spark, sf), "doc", -1, 4)
+
+
+@query("neg_relations_drawn", _negatives_sql(7, 4))
+def neg_relations_drawn(spark, sf):
+    """Two negatives per positive prompt from each pool, and one more from what is left."""
+    return N.relation_negatives(*supply(spark, sf), "doc", 7, 4)
