@@ -196,3 +196,35 @@ def test_char_answer_scores(spark):
 def test_answer_scores(spark):
     s = one(spark, metrics.answer_scores(F.lit("The red cat"), F.array(F.lit("a red dog"), F.lit("cat"))))
     assert (s.exact, round(s.f1, 6)) == (0.0, round(2 / 3, 6))
+
+
+def spread(lengths, parts, k):
+    sums = [0] * k
+    for n, p in zip(lengths, parts):
+        sums[p] += n
+    return max(sums) - min(sums)
+
+
+def test_largest_differencing(spark):
+    assert spread([8, 7, 6, 5, 4], corpus.differenced([8, 7, 6, 5, 4], 2, False), 2) == 2  # the method's well-known example
+    rng = random.Random(8)
+    for _ in range(60):
+        k = rng.randint(1, 5)
+        lengths = [rng.choice([0, 1, rng.randrange(1, 500)]) for _ in range(k * rng.randint(1, 12))]
+        equal = corpus.differenced(lengths, k, True)
+        assert sorted(equal.count(p) for p in range(k)) == [len(lengths) // k] * k
+        assert len(corpus.differenced(lengths, k, False)) == len(lengths)
+    with pytest.raises(ValueError):
+        corpus.differenced([1, 2, 3], 2, True)
+    rows = [(s, i, rng.randrange(1, 4000), "x") for s in range(6) for i in range(24)]
+    df = spark.createDataFrame(rows, "step int, i int, n int, part string").drop("part")
+    for equal in (True, False):
+        got = corpus.differenced_partitions(df, ["step"], "i", "n", 4, equal).collect()
+        assert sorted((r.step, r.i, r.n) for r in got) == sorted(r[:3] for r in rows)
+        dealt = {(r.step, r.i): r.part for s in range(6) for r in corpus.balanced_partitions(df.where(F.col("step") == s), "i", "n", 4).collect()}
+        for s in range(6):
+            of = [r for r in got if r.step == s]
+            mine = spread([r.n for r in of], [r.part for r in of], 4)
+            assert mine <= spread([r.n for r in of], [dealt[s, r.i] for r in of], 4) and {r.part for r in of} == set(range(4))
+            if equal:
+                assert sorted(sum(r.part == p for r in of) for p in range(4)) == [6] * 4

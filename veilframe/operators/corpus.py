@@ -238,6 +238,68 @@ def balanced_partitions(rows: DataFrame, idx: str, length: str, k: int) -> DataF
     return ranked.withColumn("part", F.when(turn % 2 == 0, at).otherwise(k - 1 - at)).drop("_rank")
 
 
+def differenced(lengths: list[int], k: int, equal: bool) -> list[int]:
+    """Part of each item by largest differencing: partial divisions into k sums, of which the two most uneven are put together
+    large on small, until one is left.
+
+    equal starts from k items of neighbouring size at a time, so all parts get as many.
+    """
+    order = sorted(range(len(lengths)), key=lambda i: (lengths[i], i))
+    if equal and len(order) % k:
+        raise ValueError(f"{len(order)} items do not make {k} parts of equal size")
+    start = [order[i:i + k] for i in range(0, len(order), k)] if equal else [[i] for i in order]
+    # a division: (sum, number of items, tree of items) of each part, largest first
+    heap = []
+    for turn, items in enumerate(start):
+        parts = sorted([(lengths[i], 1, i) for i in items] + [(0, 0, None)] * (k - len(items)), key=lambda x: x[:2], reverse=True)
+        heap.append((parts[-1][0] - parts[0][0], turn, parts))
+    heapq.heapify(heap)
+    turn = len(heap)
+    while len(heap) > 1:
+        one, other = heapq.heappop(heap)[2], heapq.heappop(heap)[2]
+        parts = sorted(((a + c, n + m, (x, y)) for (a, n, x), (c, m, y) in zip(one, reversed(other))), key=lambda x: x[:2], reverse=True)
+        heapq.heappush(heap, (parts[-1][0] - parts[0][0], turn, parts))
+        turn += 1
+    out = [0] * len(lengths)
+    for part, (_, _, tree) in enumerate(heap[0][2] if heap else []):
+        stack = [tree]
+        while stack:
+            x = stack.pop()
+            if isinstance(x, tuple):
+                stack += x
+            elif x is not None:
+                out[x] = part
+    return out
+
+
+def differenced_partitions(rows: DataFrame, step: list[str], idx: str, length: str, k: int, equal: bool = True) -> DataFrame:
+    """Length-balanced parts of every step's items, in a column `part`: by largest differencing, or the serpentine deal where that is
+    more even, so the spread of the sums is never above the deal's.
+
+    A step is what is trained on at a time, so it fits a task. equal needs steps of a multiple of k items; else parts differ in size and
+    none is empty if a step has k items.
+    """
+    schema = rows.withColumn("part", F.lit(0)).schema
+
+    def divide(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(idx)
+        lengths = group[length].astype("int64").tolist()
+        parts = differenced(lengths, k, equal)
+        deal = [0] * len(lengths)
+        for rank, i in enumerate(sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))):
+            turn, at = divmod(rank, k)
+            deal[i] = at if turn % 2 == 0 else k - 1 - at
+
+        def spread(of):
+            sums = [0] * k
+            for p, n in zip(of, lengths):
+                sums[p] += n
+            return max(sums) - min(sums)
+        filled = len(set(parts)) == min(k, len(lengths))
+        return group.assign(part=parts if filled and spread(parts) <= spread(deal) else deal)
+    return rows.groupBy(*step).applyInPandas(divide, schema)
+
+
 def group_negatives(rows: DataFrame, key: str, negatives: str, group: int, seed: int) -> DataFrame:
     """group - 1 negatives per row: short pools are taken whole as often as they fit, the rest drawn."""
     want, n = group - 1, F.size(negatives)

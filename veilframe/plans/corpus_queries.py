@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from veilframe.functions import text as T
@@ -151,6 +152,22 @@ def balanced_partitions(spark, sf):
     return p.groupBy(F.col("part").cast("long").alias("part")).agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
 
 
+@query("differenced_partitions", """WITH r AS (SELECT doc_id // 256 AS step, n_chars, row_number() OVER (PARTITION BY doc_id // 256 ORDER BY n_chars DESC, doc_id) - 1 AS k FROM documents),
+ p AS (SELECT step, CASE WHEN (k // 8) % 2 = 0 THEN k % 8 ELSE 7 - k % 8 END AS part, sum(n_chars) AS chars, count(*) AS n FROM r GROUP BY 1, 2)
+ SELECT step, sum(n)::BIGINT AS items, sum(chars)::BIGINT AS chars, count(*) AS parts, (max(chars) - min(chars))::BIGINT AS deal_spread, true AS no_worse FROM p GROUP BY 1""")
+def differenced_partitions(spark, sf):
+    """Eight parts of every 256 documents, never more uneven than the serpentine deal."""
+    d = table(spark, sf, "documents").select("doc_id", "n_chars", F.floor(F.col("doc_id") / 256).alias("step"))
+    deal = Window.partitionBy("step").orderBy(F.desc("n_chars"), "doc_id")  # 256 rows at most
+    k = F.row_number().over(deal) - 1
+    d = d.withColumn("dealt", F.when(F.floor(k / 8) % 2 == 0, k % 8).otherwise(7 - k % 8))
+    p = C.differenced_partitions(d, ["step"], "doc_id", "n_chars", 8, equal=False)
+    spread = lambda part: p.groupBy("step", part).agg(F.sum("n_chars").alias("c"), F.count("*").alias("n")).groupBy("step").agg(
+        F.sum("n").alias("items"), F.sum("c").alias("chars"), F.count("*").alias("parts"), (F.max("c") - F.min("c")).alias("spread"))
+    both = spread("part").join(spread("dealt").select("step", F.col("spread").alias("deal_spread")), "step")
+    return both.select("step", "items", "chars", "parts", "deal_spread", (F.col("spread") <= F.col("deal_spread")).alias("no_worse"))
+
+
 @query("group_negatives", """WITH c AS (SELECT c_custkey, c_nationkey % 6 AS n FROM customer)
  SELECT c_custkey, CASE WHEN n = 0 THEN 0 ELSE 7 END::BIGINT AS picked, least(n, 7)::BIGINT AS kinds FROM c""")
 def group_negatives(spark, sf):
