@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from typing import NamedTuple
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -245,3 +249,161 @@ def mine_triples(sentences: DataFrame, key: str, items: str, configs: list[dict]
     return rows.select(key, "group", F.when(F.col("reverse"), "REVERSE").otherwise(F.col("src")).alias("src"),
                        subject.alias("head_pos"), item(subject).alias("head"), F.col("trigger").alias("trigger_pos"),
                        item(F.col("trigger")).alias("trigger"), obj.alias("tail_pos"), item(obj).alias("tail"))
+
+
+# relations by configuration ----------------------------------------------------------------
+
+# fixed values: signs and words that join items of a kind, the tag such words have, signs no tail lies behind, where support ends
+JOINING_SIGNS = frozenset("、 《》/")
+JOINING_WORDS = frozenset(["和", "与", "兼", "及", "以及", "还有", "并"])
+JOINING_TAG = "连词"
+TAIL_STOPS = frozenset("，？、。；")
+SUPPORT_STOP = "，"
+DATE, DATE_TAG = r"\d{4}年\d{1,2}月\d{1,2}日", "时间类_具体时间"
+
+
+class Group(NamedTuple):
+    """A relation of one head tag: its trigger words, tails as (tags, support tags), whether it is turned round, and its counterpart's name."""
+    words: frozenset[str]
+    tails: list[tuple[frozenset[str], tuple[str, ...]]]
+    reverse: bool
+    relative: str | None
+
+
+class Machine:
+    """All relations of one head tag, run over the items behind a head from left to right."""
+
+    def __init__(self, head: str):
+        self.head = head
+        self.groups: dict[str, Group] = {}
+        self.triggers: dict[str, tuple[str, bool]] = {}  # word -> group, whether the word is itself the tail
+
+    def add(self, c: dict) -> None:
+        old = self.groups.get(c["group"])
+        words = frozenset(c["trig_word"]) | (old.words if old else frozenset())
+        tails = [(frozenset(t["main"]), tuple(t.get("support") or ())) for t in c["tail_role"]]
+        self.groups[c["group"]] = Group(words, tails, bool(c["reverse"]), c.get("rel_group") or (old.relative if old else None))
+        self.triggers |= {w: (c["group"], c["trig_type"] == "role") for w in c["trig_word"]}
+
+    def tail_at(self, items: list[tuple[str, str]], at, group: Group):
+        """(place, support tags) of the first item of `at` that may be a tail; None behind a stop or another head."""
+        for q in at:
+            item, tag = items[q]
+            if item in TAIL_STOPS:
+                return None
+            for n, (main, support) in enumerate(group.tails):
+                if of_kind(tag, main):
+                    return q, main, support
+                if n == 0 and tag.startswith(self.head):
+                    return None
+        return None
+
+    def relations(self, items: list[tuple[str, str]], h: int):
+        """(group, source, tails, trigger words, support) of the head at h."""
+        p, done = h + 1, h
+        while p < len(items):
+            name, is_tail = self.triggers.get(items[p][0], (None, False))
+            if name is None:
+                p += 1
+                continue
+            group = self.groups[name]
+            if is_tail:
+                kind = next((t for t in group.tails if of_kind(items[p][1], t[0])), None)
+                if kind is None or any(tag == items[h][1] for _, tag in items[h + 1:p + 1]):
+                    p += 1
+                    continue
+                tails = together(items, p, 1, len(items), lambda x: of_kind(x[1], kind[0]))  # noqa: B023
+                yield name, "TAIL", tails, [], support(items, range(p, h, -1), kind[1])
+                done = tails[-1]
+                p = done + 1
+                continue
+            triggers = together(items, p, 1, len(items), lambda x: x[0] in group.words)  # noqa: B023
+            last = triggers[-1]
+            found = self.tail_at(items, range(last + 1, len(items)), group) if last + 2 < len(items) else None
+            if found:
+                at, main, kinds = found
+                tails = together(items, at, 1, len(items), lambda x: of_kind(x[1], main))  # noqa: B023
+                yield name, "HGT", tails, triggers, support(items, range(at - 1, h, -1), kinds)
+                done = tails[-1]
+                p = done + 1
+                continue
+            if last - h > len(triggers) and (found := self.tail_at(items, range(p, done, -1), group)):
+                at, main, kinds = found
+                tails = together(items, at, -1, h, lambda x: of_kind(x[1], main))  # noqa: B023
+                yield name, "HTG", tails, triggers, support(items, range(last - 1, done, -1), kinds)
+                done = last
+            p = last + 1
+
+
+def of_kind(tag: str, wanted: frozenset[str]) -> bool:
+    return tag in wanted or tag.split("_")[0] in wanted
+
+
+def together(items: list[tuple[str, str]], at: int, step: int, end: int, fits) -> list[int]:
+    """Places of the items from `at` on that fit and stand side by side, signs and words that join them left out."""
+    out, p = [at], at + step
+    while p != end:
+        item, tag = items[p]
+        if fits(items[p]) and item not in JOINING_SIGNS:
+            out.append(p)
+        elif not (item in JOINING_SIGNS or (item in JOINING_WORDS and tag == JOINING_TAG)):
+            break
+        p += step
+    return out
+
+
+def support(items: list[tuple[str, str]], at: range, tags: tuple[str, ...]) -> list[int]:
+    out = []
+    for q in at:
+        if items[q][0] == SUPPORT_STOP:
+            break
+        if items[q][1].startswith(tags):
+            out.append(q)
+    return out
+
+
+def machines(configs: list[dict]) -> dict[str, Machine]:
+    out: dict[str, Machine] = {}
+    for c in configs:
+        out.setdefault(c["head_role"], Machine(c["head_role"])).add(c)
+    return out
+
+
+_PLACE = "struct<pos:int,item:string,tag:string>"
+
+
+def mine_relations(sentences: DataFrame, key: str, items: str, configs: list[dict]) -> DataFrame:
+    """(key, group, src, head, tails, triggers, support) from tagged tokens, array<struct<item, tag>>; places are structs of pos, item, tag.
+
+    configs are dicts of head_role, group, trig_word, trig_type (role: the word is the tail itself), tail_role (dicts of main and
+    support tags), reverse and, if the other direction has a name, rel_group. A tag fits by itself or by what stands before its
+    first _. Every head looks for triggers behind it: a tail is to the right of the trigger (src HGT), else between head and
+    trigger (HTG), or the trigger itself (TAIL); items joined by a sign or a conjunction belong together. Turned relations have a
+    row per tail. Dates count as times whatever their tag. Runs in the row; a null or empty sentence has no relations.
+    """
+    by_head = machines(configs)
+    kind = f"array<struct<group:string,src:string,head:{_PLACE},tails:array<{_PLACE}>,triggers:array<{_PLACE}>,support:array<{_PLACE}>>>"
+
+    def of_sentence(tokens) -> list[dict]:
+        tokens = [(x["item"] or "", x["tag"] or "") for x in tokens]
+        tokens = [(item, DATE_TAG if re.fullmatch(DATE, item) else tag) for item, tag in tokens]
+        place = lambda p: {"pos": p, "item": tokens[p][0], "tag": tokens[p][1]}
+        out = []
+        for h, (_, tag) in enumerate(tokens):
+            m = by_head.get(tag) or by_head.get(tag.split("_")[0])
+            for name, src, tails, triggers, helped in m.relations(tokens, h) if m else ():
+                group = m.groups[name]
+                row = {"triggers": [place(p) for p in triggers], "support": [place(p) for p in helped]}
+                if group.relative or group.reverse:
+                    out += [{"group": group.relative or name, "src": "REVERSE" if group.relative else src, "head": place(t), "tails": [place(h)], **row}
+                            for t in tails]
+                if not group.reverse:
+                    out.append({"group": name, "src": src, "head": place(h), "tails": [place(t) for t in tails], **row})
+        return out
+
+    @F.pandas_udf(kind)
+    def mine(rows: pd.Series) -> pd.Series:
+        return pd.Series([None if r is None else of_sentence(r) for r in rows], dtype=object)
+
+    found = sentences.select(key, mine.asNondeterministic()(items).alias("_r")).select(key, F.explode("_r").alias("r"))
+    return found.select(key, "r.*")

@@ -235,6 +235,26 @@ def mine_triples(spark, sf):
     return t.select("doc_id", "src", *[F.col(c).cast("long").alias(c) for c in ("head_pos", "trigger_pos", "tail_pos")])
 
 
+@query("mine_relations", f"""WITH w AS (SELECT doc_id, {W} AS ws FROM documents), e AS (SELECT doc_id, ws[i] AS w, i - 1 AS i, length(ws[i]) AS n, len(ws) AS size FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM w)),
+ x AS (SELECT *, lead(i) OVER (PARTITION BY doc_id, n = 7 ORDER BY i) AS next_head FROM e),
+ h AS (SELECT doc_id, i, w, size, coalesce(next_head, size) AS next_head FROM x WHERE n = 7),
+ t AS (SELECT h.doc_id, h.i, h.w, h.size, min(e.i) AS trig FROM h JOIN e ON e.doc_id = h.doc_id AND e.i > h.i AND e.i < h.next_head AND e.w = 'the' GROUP BY ALL),
+ r AS (SELECT t.*, min(e.i) FILTER (e.n = 1 OR e.n = 7) AS stop, min(e.i) FILTER (e.n = 5) AS tail FROM t LEFT JOIN e ON e.doc_id = t.doc_id AND e.i > t.trig GROUP BY ALL)
+ SELECT doc_id, i::BIGINT AS head_pos, w AS head, min(tail)::BIGINT AS tail_pos FROM r WHERE trig + 2 < size AND tail IS NOT NULL AND (stop IS NULL OR tail < stop) GROUP BY ALL""")
+def mine_relations(spark, sf):
+    """Seven-letter words as heads, 'the' as trigger, the next five-letter word behind it as tail; one-letter words are stops."""
+    w = docs(spark, sf).select("doc_id", T.words(F.col("text")).alias("w"))
+    tag = lambda x: F.when(F.length(x) == 7, "H_x").when(F.length(x) == 5, "T_y").otherwise("O")
+    items = F.transform("w", lambda x: F.struct(F.when(F.length(x) == 1, "。").otherwise(x).alias("item"), tag(x).alias("tag")))
+    found = X.mine_relations(w.select("doc_id", items.alias("items")), "doc_id", "items", [
+        {"head_role": "H", "group": "g", "trig_word": ["the"], "trig_type": "trigger", "tail_role": [{"main": ["T"]}], "reverse": False}])
+    # of a head's relations the one whose trigger is the first word 'the' behind it, with no other head between
+    first = found.where("src = 'HGT'").select("doc_id", F.col("head.pos").cast("long").alias("head_pos"), F.col("head.item").alias("head"),
+                                              F.col("triggers")[0]["pos"].alias("trig"), F.col("tails")[0]["pos"].cast("long").alias("tail_pos"))
+    between = F.slice("w", (F.col("head_pos") + 2).cast("int"), (F.col("trig") - F.col("head_pos") - 1).cast("int"))
+    return first.join(w, "doc_id").where(~F.exists(between, lambda x: (F.length(x) == 7) | (x == "the"))).select("doc_id", "head_pos", "head", "tail_pos")
+
+
 @query("pair_cosine", """SELECT a.vec_id, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) / (sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[])) * sqrt(list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[]))), 6) AS cosine
  FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""")
 def pair_cosine(spark, sf):
