@@ -47,6 +47,16 @@ def test_islands_touching_and_labels(spark):
     assert [(r.doc, r.s, r.e, r.label, r.members) for r in got] == [("d", 1, 6, "a", 2), ("d", 6, 8, "c", 1), ("e", 0, 1, "x", 1)]
 
 
+def test_islands_of_hot_and_ordinary_groups(spark):
+    rng = random.Random(3)
+    spans = [(None if d == 3 else f"g{d}", s, s + rng.randrange(1, 9), rng.choice("abc"), i)
+             for d in range(5) for i, s in enumerate(rng.randrange(60 * (20 if d == 0 else 1)) for _ in range(400 if d == 0 else 20))]
+    df = spark.createDataFrame(spans, "doc string, s int, e int, label string, i int").repartition(6)
+    prio = F.when(F.col("label") == "b", 0).otherwise(1)
+    ways = [sorted(map(str, islands(df, ["doc"], "s", "e", ["i"], "label", prio, large).collect())) for large in (1000, 100, 0)]
+    assert ways[0] == ways[1] == ways[2] and len(ways[0]) > 50
+
+
 def test_rows_validation(spark):
     df = row_index(spark.range(10).toDF("k"), ["k"])
     with pytest.raises(ValueError):
@@ -160,7 +170,10 @@ def test_blend_repeats_a_short_source(spark):
 
 def test_latency_of_a_large_group(spark):
     df = spark.range(5000).selectExpr("'a' AS g", "CAST(id * id AS DOUBLE) AS v").union(spark.createDataFrame([("none", None)], "g string, v double"))
-    got = {r.g: r for r in telemetry.latency(df, "g", "v").collect()}
+    ways = [{r.g: r for r in telemetry.latency(df, "g", "v", large).collect()} for large in (1_000_000, 4999, 0)]
+    round_all = lambda got: {g: [None if v is None else round(v, 6) if isinstance(v, float) else v for v in r[1:]] for g, r in got.items()}
+    assert round_all(ways[0]) == round_all(ways[1]) == round_all(ways[2])
+    got = ways[1]
     assert (got["a"].p50, round(got["a"].p95, 2), got["none"].p50) == (6247500.5, 22553475.95, None)
 
 

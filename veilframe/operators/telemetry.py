@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.operators.ordering import running
+from veilframe.session import materialise
 
 
 def running_metric(df: DataFrame, value: str, by: list[str] = ()) -> DataFrame:
@@ -39,12 +40,27 @@ def stage_other(wall: Column, *stages: Column) -> Column:
     return F.greatest(F.lit(0.0), wall - total)
 
 
-def latency(rows: DataFrame, by: str, value: str) -> DataFrame:
+def latency(rows: DataFrame, by: str, value: str, large: int = 1_000_000) -> DataFrame:
     """count, mean, max, p50, p95 per group, interpolated between the two neighbouring ranks at any size.
 
-    Values are counted per group, ranked by running counts that share a hot group out over partitions, and only the
-    rows at the wanted ranks meet their group. A group without values has null quantiles; `approximate` is always false.
+    Groups are counted first. Those of up to `large` values keep a count per value while they are aggregated; larger ones are
+    ranked by running counts that share a group out over partitions. A group without values has null quantiles;
+    `approximate` is always false.
     """
+    hot = materialise(rows.groupBy(by).agg(F.count(value).alias("n")).where(F.col("n") > large).select(by), "hot")
+    if hot.isEmpty():
+        return _aggregated(rows, by, value)
+    same = rows[by].eqNullSafe(hot[by])
+    return _aggregated(rows.join(hot, same, "left_anti"), by, value).unionByName(_ranked(rows.join(hot, same, "left_semi"), by, value))
+
+
+def _aggregated(rows: DataFrame, by: str, value: str) -> DataFrame:
+    q = F.percentile(value, F.array(F.lit(0.5), F.lit(0.95)))
+    return rows.groupBy(by).agg(F.count(value).alias("count"), F.avg(value).alias("mean"), F.max(value).alias("max"), q.alias("_q")).select(
+        by, "count", "mean", "max", F.col("_q")[0].alias("p50"), F.col("_q")[1].alias("p95"), F.lit(False).alias("approximate"))
+
+
+def _ranked(rows: DataFrame, by: str, value: str) -> DataFrame:
     base = rows.groupBy(by).agg(F.count(value).alias("count"), F.avg(value).alias("mean"), F.max(value).alias("max"))
     steps = rows.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
     ranks = running(steps, [value, by], {"_to": ("sum", "_n")}, by=[by]).join(base.select(by, "count"), by)
