@@ -241,3 +241,23 @@ def test_largest_differencing(spark):
             assert mine <= spread([r.n for r in of], [dealt[s, r.i] for r in of], 4) and {r.part for r in of} == set(range(4))
             if equal:
                 assert sorted(sum(r.part == p for r in of) for p in range(4)) == [6] * 4
+
+
+def test_ranks_skip_far_blocks(spark):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    for clusters, least in ((12, 0.5), (1, 0.0)):
+        x = rng.normal(size=(900, 5)) + 40 * rng.normal(size=(clusters, 5))[rng.integers(0, clusters, 900)]
+        labels = rng.integers(0, 4, 900)
+        labels[7] = 99  # alone with its label
+        x[20:30] = x[20]  # ties
+        df = spark.createDataFrame([(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, labels))], "k long, v array<double>, l int").repartition(5)
+        got = vectors.ranked_matches(df, "k", "v", "l", block_rows=60)
+        d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+        want = {}
+        for i in range(900):
+            order = sorted((j for j in range(900) if j != i), key=lambda j: (d[i, j], j))
+            want[i] = next((r for r, j in enumerate(order, 1) if labels[j] == labels[i]), 0)
+        assert {r.k: r.rank for r in got.rows.collect()} == want
+        assert got.skipped / got.pairs >= least
+    assert vectors.first_match_rank(df.limit(0), "k", "v", "l").count() == 0
