@@ -174,7 +174,7 @@ def preference_sequence(prompt: Column, chosen: Column, rejected: Column, turns:
     p = F.when(total(prompt, chosen, rejected) > max_len, take_last(prompt, F.lit(max_prompt))).otherwise(prompt)
     over = total(p, chosen, rejected) > max_len
     room = F.lit(max_len) - F.size(p)
-    n0 = F.floor(F.size(chosen) / (F.size(chosen) + F.size(rejected)) * room).cast("int")
+    n0 = F.floor(F.size(chosen) / F.greatest(F.size(chosen) + F.size(rejected), F.lit(1)) * room).cast("int")
     a = F.when(over, take(chosen, n0)).otherwise(chosen)
     b = F.when(over, take(rejected, room - n0)).otherwise(rejected)
 

@@ -115,11 +115,14 @@ def lcs_length(spark, sf):
     return w.select("doc_id", T.lcs_length(F.col("w"), half).alias("lcs"))
 
 
-@query("common_substring", """SELECT conv_id, turn, least(40, greatest(length(text) - 10, 0))::BIGINT AS length,
- CASE WHEN length(text) > 10 THEN instr(text, substr(text, 11, 40)) - 1 + least(40, length(text) - 10) ELSE 0 END::BIGINT AS "end" FROM conversations""")
+@query("common_substring", """WITH c AS (SELECT *, length(text) AS n FROM conversations)
+ SELECT conv_id, turn, CASE WHEN n <= 10 THEN n WHEN n <= 20 THEN 10 ELSE n - 10 END::BIGINT AS length,
+ CASE WHEN n <= 10 THEN n WHEN n <= 20 THEN 10 ELSE instr(text, substr(text, 11)) + n - 11 END::BIGINT AS "end" FROM c""")
 def common_substring(spark, sf):
+    """Every text against itself with its first ten characters moved behind the rest."""
     c = table(spark, sf, "conversations")
-    s = T.longest_common_substring(F.col("text"), F.substring("text", 11, 40))
+    moved = F.concat(F.substring("text", 11, 1 << 30), F.lit("\x01"), F.substring("text", 1, 10))
+    s = T.longest_common_substring(F.col("text"), moved)
     return c.select("conv_id", "turn", s.alias("s")).select("conv_id", "turn", "s.length", "s.end")
 
 
@@ -285,14 +288,15 @@ PAIR = f"""WITH t AS (SELECT conv_id, turn, text, {IDS} AS ids, lead({IDS}) OVER
 
 
 @query("preference_sequence", f"""WITH t AS (SELECT doc_id, {IDS} AS ids FROM documents), s AS (SELECT doc_id,
- least(len(ids), 60) AS p0, (len(ids) + 1) // 2 AS a0, len(ids) // 3 + 1 AS b0 FROM t WHERE len(ids) > 0),
+ len(ids) AS p0, (len(ids) + 1) // 2 AS a0, least(len(ids), len(ids) // 3 + 1) AS b0 FROM t),
  u AS (SELECT doc_id, CASE WHEN p0 + a0 + b0 > 128 THEN least(p0, 32) ELSE p0 END AS p, a0, b0 FROM s),
  v AS (SELECT doc_id, p, CASE WHEN p + a0 + b0 > 128 THEN floor(a0::DOUBLE / (a0 + b0) * (128 - p))::BIGINT ELSE a0 END AS a, a0, b0 FROM u)
  SELECT doc_id, p::BIGINT AS p, a::BIGINT AS a, CASE WHEN p + a0 + b0 > 128 THEN least(b0, 128 - p - a) ELSE b0 END::BIGINT AS b FROM v""")
 def preference_sequence(spark, sf):
-    d = docs(spark, sf).select("doc_id", ids().alias("ids")).where(F.size("ids") > 0)
+    """Whole documents as prompts, a half and a third of them as responses."""
+    d = docs(spark, sf).select("doc_id", ids().alias("ids"))
     n = F.size("ids")
-    prompt, chosen = F.slice("ids", 1, 60), F.slice(F.col("ids"), F.lit(1), F.floor((n + 1) / 2).cast("int"))
+    prompt, chosen = F.col("ids"), F.slice(F.col("ids"), F.lit(1), F.floor((n + 1) / 2).cast("int"))
     rejected = F.slice(F.col("ids"), F.lit(1), (F.floor(n / 3) + 1).cast("int"))
     none = F.array().cast("array<array<int>>")
     seq = A.preference_sequence(prompt, chosen, rejected, none, 0, 128, 32)
