@@ -136,8 +136,9 @@ def budget_batches(lines: DataFrame, file: str, order: str, size: str, max_rows:
 
     `order` numbers a file's rows without gaps. Filling is sequential, but a batch spans at most max_rows rows: every span
     of consecutive rows says, for each of its first max_rows rows as the start of a batch, where in the next span
-    the batches come out and how many there are. These short tables are chained per file, then every span fills
-    in its batches. Batches cross spans, so the span does not show in the result.
+    the batches come out and how many there are. Neighbouring tables are put together two by two in rounds, the entries are handed down
+    the same way, then every span fills in its batches; no task holds more than two tables. Batches cross spans, so the span
+    does not show in the result.
     """
     span = max(span, max_rows)
 
@@ -159,15 +160,23 @@ def budget_batches(lines: DataFrame, file: str, order: str, size: str, max_rows:
             out[i], n[i] = (out[after[i]], n[after[i]] + 1) if inside else (after[i] - own, 1)
         return pd.DataFrame({file: pdf[file].iloc[:1], "span": pdf["span"].iloc[:1], "out": [out[:max_rows]], "n": [n[:max_rows]]})
 
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        entry, batch, rows = 0, 0, []
-        for r in pdf.sort_values("span").itertuples(index=False):
-            rows.append((entry, batch))
-            if entry < len(r.out):
-                entry, batch = int(r.out[entry]), batch + int(r.n[entry])
-            else:
-                entry -= len(r.out)
-        return pdf.sort_values("span").assign(entry=[e for e, _ in rows], first=[b for _, b in rows])[[file, "span", "entry", "first"]]
+    def through(t, entry: int, batch: int) -> tuple[int, int]:
+        """Where a batch that starts at `entry` comes out behind a span, and the number it has there."""
+        return (int(t.out[entry]), batch + int(t.n[entry])) if entry < len(t.out) else (entry - len(t.out), batch)
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The table of two neighbouring spans as one."""
+        first, *second = pdf.sort_values("span").itertuples(index=False)
+        ends = [through(second[0], int(o), int(n)) if second else (int(o), int(n)) for o, n in zip(first.out, first.n)]
+        return pd.DataFrame({file: [getattr(first, file)], "span": [first.span // 2], "out": [[o for o, _ in ends]], "n": [[n for _, n in ends]]})
+
+    def split(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Entry and first batch of two neighbouring spans, from those of the two as one."""
+        rows, entry, batch = [], int(pdf["entry"].iloc[0]), int(pdf["first"].iloc[0])
+        for t in pdf.sort_values("span").itertuples(index=False):
+            rows.append((getattr(t, file), t.span, entry, batch))
+            entry, batch = through(t, entry, batch)
+        return pd.DataFrame(rows, columns=[file, "span", "entry", "first"])
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
@@ -187,8 +196,15 @@ def budget_batches(lines: DataFrame, file: str, order: str, size: str, max_rows:
     halo = F.when((F.col("_span") > 0) & (F.col("_in") < max_rows), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     rows = light.select(file, order, size, "_span", F.explode(halo).alias("halo")).select(
         file, order, size, "halo", (F.col("_span") - F.col("halo").cast("int")).alias("span"))
-    tables = rows.groupBy(file, "span").applyInPandas(table, f"{file} string, span long, out array<long>, n array<long>")
-    entries = tables.groupBy(file).applyInPandas(chain, f"{file} string, span long, entry long, first long")
+    schema = f"{file} string, span long, out array<long>, n array<long>"
+    levels = [materialise(rows.groupBy(file, "span").applyInPandas(table, schema), "spans")]
+    while not levels[-1].where("span > 0").isEmpty():  # half as many spans per round
+        pairs = levels[-1].withColumn("_pair", F.floor(F.col("span") / 2))
+        levels.append(materialise(pairs.groupBy(file, "_pair").applyInPandas(compose, schema), "spans"))
+    entries = levels[-1].select(file, "span", F.lit(0).cast("long").alias("entry"), F.lit(0).cast("long").alias("first"))
+    for level in reversed(levels[:-1]):
+        parts = level.withColumn("_pair", F.floor(F.col("span") / 2)).join(entries.withColumnRenamed("span", "_pair"), [file, "_pair"])
+        entries = materialise(parts.groupBy(file, "_pair").applyInPandas(split, f"{file} string, span long, entry long, first long"), "entries")
     return rows.join(entries, [file, "span"]).groupBy(file, "span").applyInPandas(fill, f"{file} string, {order} long, batch long")
 
 

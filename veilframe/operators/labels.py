@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veilframe.operators.ordering import row_index
 from veilframe.operators.rows import IDX
 from veilframe.session import small
 
 
 def discover_labels(df: DataFrame, label: str, order: str) -> DataFrame:
-    """(label, id): ids by first appearance. One row per label after a pre-aggregated groupBy."""
+    """(label, id): ids by first appearance, numbered over partitions after a pre-aggregated groupBy."""
     first = df.groupBy(label).agg(F.min(order).alias("_first"))
-    return first.select(label, (F.row_number().over(Window.orderBy("_first")) - 1).cast("long").alias("id"))
+    return row_index(first, ["_first", label], "id").select(label, "id")
 
 
 def to_ids(df: DataFrame, label: str, mapping: DataFrame, out: str) -> DataFrame:

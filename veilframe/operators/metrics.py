@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.functions.fold import let, scan
+from veilframe.functions.fold import let
 from veilframe.functions.text import lcs_length, ngrams, normalise_answer, squeeze
 from veilframe.operators.ordering import row_index, running
 
@@ -21,16 +21,20 @@ def f1(p: Column, r: Column) -> Column:
 
 
 def numbered(items: Column) -> Column:
-    """A multiset as a set: the k-th copy of an item becomes item#k, so intersections count copies."""
-    zero = F.struct(F.lit(None).cast("string").alias("prev"), F.lit(0).alias("k"),
-                    F.array().cast("array<string>").alias("out"))
+    """A multiset as a set: the k-th copy of an item becomes item#k, so intersections count copies.
 
-    def step(acc, x):
-        k = F.when(acc["prev"] == x, acc["k"] + 1).otherwise(0)
-        return F.struct(x.alias("prev"), k.alias("k"),
-                        F.concat(acc["out"], F.array(F.concat_ws("#", x, k.cast("string")))).alias("out"))
-
-    return scan(F.array_sort(items), zero, ["prev", "k"], "array<string>", step)
+    Sorted, equal items stand in runs; each run is counted from its start.
+    """
+    def of_runs(s, starts):
+        def run(at, j):
+            return F.transform(F.sequence(F.lit(0), F.coalesce(F.get(starts, j + 1), F.size(s)) - at - 1),
+                               lambda k: F.concat_ws("#", F.get(s, at), k.cast("string")))
+        return F.flatten(F.transform(starts, run))
+
+    def of_sorted(s):
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return F.when(F.size(s) == 0, s).otherwise(let(starts, lambda b: of_runs(s, b)))
+    return let(F.array_sort(items), of_sorted)
 
 
 # n-gram metrics ----------------------------------------------------------------------------
