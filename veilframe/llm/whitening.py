@@ -22,7 +22,7 @@ from veilframe.session import materialise
 SCALE = 256
 LIMB = 32  # bits: a sum is sent as six longs, that many bits apart
 LIMBS = 6
-ROWS = 512  # rows whose pair sums are held at a time
+ROWS = 2048  # rows whose pair sums are made at a time
 
 
 class Model(NamedTuple):
@@ -80,9 +80,10 @@ def square_sums(u: np.ndarray) -> list[int]:
     """Exact column sums of u squared."""
     if u.dtype == object:
         return [int(v) for v in (u * u).sum(0)]
-    p, q = u >> np.int64(31), u & np.int64((1 << 31) - 1)  # u = p * 2^31 + q, |p| < 2^30
-    if not p.any():
-        return exact_sums(q * q)
+    most = max(abs(int(u.max())), abs(int(u.min()))) if u.size else 0
+    if most * most * len(u) < 1 << 63:
+        return (u * u).sum(0).tolist()
+    p, q = u >> np.int64(31), u & np.int64((1 << 31) - 1)  # u = p * 2^31 + q, |p| <= 2^30
     return [a + (b << 32) + (c << 62) for a, b, c in zip(exact_sums(q * q), exact_sums(p * q), exact_sums(p * p))]
 
 
@@ -130,14 +131,14 @@ def polarised(fit: DataFrame, d: int, n: int, sums: list[int]) -> list[int]:
     size = d + d * (d - 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = pair_places(d)
         totals = [0] * size
         for batch in batches:
             x = _matrix(batch, d)
-            step = max(1, ROWS * 64 // max(d, 64))
-            for lo in range(0, len(x), step):
-                z = centred(x[lo:lo + step], n, sums)
-                totals = [t + s for t, s in zip(totals, square_sums(z) + square_sums(z[:, a] + z[:, b]))]
+            for lo in range(0, len(x), ROWS):
+                z = np.asfortranarray(centred(x[lo:lo + ROWS], n, sums))
+                # the sums of dimension i and each later one, in the order of pair_places()
+                new = square_sums(z) + [s for i in range(d - 1) for s in square_sums(z[:, i + 1:] + z[:, i:i + 1])]
+                totals = [t + s for t, s in zip(totals, new)]
         yield _limb_batch(totals)
     return _collect(fit.select("x").mapInArrow(run, LIMB_SCHEMA), size)
 
