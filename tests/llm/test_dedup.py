@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import messy_rows
 from veilframe.llm import components, line_dedup, repeats, simhash
@@ -99,6 +100,67 @@ def test_repeats(spark, messy, empty, group):
     assert repeats.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("group", [20000, 2])
+def test_groups_of_repeats(spark, messy, empty, group):
+    """Occurrences of a group are the same bytes, all of them are there, and together they are what is removed."""
+    rows = [r[:2] for r in messy_rows() if r[0] is not None]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").distinct()
+    data = {}
+    for i, t in set(rows):
+        data.setdefault(i, []).append((t or "").encode())
+    found = collections.defaultdict(set)
+    for r in repeats.groups(docs, length=60, gram=12, group=group).collect():
+        found[r.group].add((r.id, r.start, r.end))
+    cover = collections.defaultdict(set)
+    for name, places in found.items():
+        (size,) = {e - s for _, s, e in places}
+        assert size >= 60
+        texts = [{b[s:e] for b in data[i] if len(b) >= e} for i, s, e in places]
+        assert set.intersection(*texts), name
+        if all(len(data[i]) == 1 for i, _, _ in places):
+            (text,) = set.intersection(*texts)
+            everywhere = {(i, p, p + size) for i, bs in data.items() for b in bs for p in range(len(b) - size + 1) if b[p:p + size] == text}
+            if all(len(data[i]) == 1 for i, _, _ in everywhere):
+                assert places == everywhere
+        for i, s, e in places:
+            cover[i] |= set(range(s, e))
+    removed = {r.id: r.n_removed for r in repeats.remove_repeats(docs, length=60, gram=12, group=group).collect()}
+    for i, bs in data.items():
+        if len(bs) == 1:
+            assert len(cover[i]) == removed[i]
+    assert len(found) > 3 and repeats.groups(empty).count() == 0
+
+
+def test_planted_passages_go_whole(spark):
+    """Every passage of 400 bytes or more that occurs twice is removed, whatever stands around it; shorter ones stay."""
+    rng = random.Random(12)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    passages = [words(n) for n in (52, 60, 75, 90, 140)]
+    texts = [words(40) + " " + p + " " + words(30) for p in passages for _ in range(2)] + [passages[-1], words(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.id: bytes(r.kept).decode() for r in repeats.remove_repeats(docs).collect()}
+    for k, p in enumerate(passages):
+        for i in (2 * k, 2 * k + 1):
+            assert (p in kept[i]) == (len(p) < 400) and (len(p) < 400 or p[:20] not in kept[i])
+    assert kept[10] == "" and kept[11] == texts[11] and sum(len(p) < 400 for p in passages) >= 1
+
+
+def test_one_of_linked_rows_without_ids_stays(spark):
+    rows = [(0, "some text of several words"), (None, ""), (None, None), (None, "other words that stand alone here"), (None, "other words that stand alone here")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id is None, r.text or "") for r in kept) == [(False, "some text of several words"), (True, ""), (True, "other words that stand alone here")]
+
+
+def test_one_rare_token_in_many_lines(spark):
+    """Lines that share one token only meet at it and stay; with a similar line among them that one goes."""
+    n = 3000
+    lines = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit("the very same five words "), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(12)), lambda i: F.concat(F.lit("w"), F.hash("id", i).cast("string"))), " ")).alias("text"))
+    more = lines.limit(1).select((F.col("doc_id") + n).alias("doc_id"), F.concat("text", F.lit(" end")).alias("text"))
+    got = line_dedup.dedup_lines(lines.union(more)).where("n_removed > 0").collect()
+    assert [r.doc_id for r in got] == [n]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.tuples(st.text("ab", max_size=6), st.text("ab", max_size=6)), min_size=2, max_size=7), st.integers(2, 8))
 def test_maximal_repeats_reach_every_pair(contexts, least):

@@ -151,3 +151,9 @@ def test_no_text_is_passed_over_unread(spark):
 
 def test_known_sentences_are_in_normal_form():
     assert all(licenses._plain(s) == s.rstrip(" .,;:/-") for s in licenses.SENTENCES.values())
+
+
+def test_control_signs_cut_no_sentence(spark):
+    texts = {sign: MIT.replace("free of charge", f"free{sign}of charge") for sign in "\x01\x02\x03 "}
+    got = scanned(spark, texts)
+    assert len({str(v) for v in got.values()}) == 1 and got[" "][1]

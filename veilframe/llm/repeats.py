@@ -252,15 +252,19 @@ def _texts(keyed: DataFrame, ctx: DataFrame, of: DataFrame, length: int, gram: i
     return rows.mapInArrow(_contexts(length, gram), "h long, size long, c1 long, c2 long, left int, near int, far int, context binary")
 
 
-def _repeated_windows(texts: DataFrame, length: int) -> DataFrame:
-    """(h, l, g1, g2, c1, c2): windows of `length` bytes, l before the anchor, that several contexts of a gram have in common.
+def _repeated_windows(texts: DataFrame, length: int, ctx: DataFrame | None = None) -> DataFrame:
+    """(h, l, g1, g2, c1, c2): windows of `length` bytes, l before the anchor, that several contexts of a gram have in common; with ctx
+    also those of a context that occurs again.
 
     Every window has one anchor, so this makes a row per byte at most.
     """
     each = texts.select("h", *_CTX, "left", "near", "far", "context").mapInArrow(
         _windows(length), "h long, g1 long, g2 long, c1 long, c2 long, l int")
     same = ["h", "l", "g1", "g2"]  # a window around two anchors is one place, so grams do not mix
-    twice = each.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*same)
+    if ctx is not None:
+        each = each.join(ctx.select(*_CTX, "n"), _CTX)
+    many = F.count(F.lit(1)) if ctx is None else F.sum("n")
+    twice = each.groupBy(*same).agg(many.alias("n")).filter("n > 1").select(*same)
     return each.join(twice, same, "left_semi")
 
 
@@ -279,26 +283,28 @@ def spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int =
     if not large.isEmpty():
         windows = _repeated_windows(_texts(keyed, ctx, large, length, gram), length)
         ext = ext.union(windows.groupBy(*_CTX).agg(F.max("l").alias("left"), (length - F.min("l")).alias("right")))
-    # written, so that the places of a hot context can be split over tasks
-    ext = materialise(ext.groupBy(*_CTX).agg(F.max("left").alias("el"), F.max("right").alias("er")), "extents")
+    # moved once more by another key, so that the join has exchanges on both sides and a hot context's places can be split over tasks
+    ext = ext.groupBy(*_CTX).agg(F.max("left").alias("el"), F.max("right").alias("er")).repartition(_CTX[1])
     return found.select(*_CTX, "k1", "k2", "pos").join(ext, _CTX).groupBy("k1", "k2").agg(F.collect_list(
         F.struct((F.col("pos") - F.col("el")).alias("start"), (F.col("pos") + F.col("er")).alias("end"))).alias("spans"))
 
 
 def _groups(length: int):
-    """(group, c1, c2, left, right): the members of every maximal repeat of two or more contexts of a gram."""
+    """(group, c1, c2, left, right): the members of every maximal repeat of two or more contexts of a gram that holds a window whose
+    anchor the gram is; a repeat that holds none is found at another anchor."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs(batches, ["h"]):
             h = t.column("h").to_numpy()
             c1, c2 = (t.column(c).to_numpy() for c in _CTX)
-            left, text = t.column("left").to_pylist(), t.column("context").to_pylist()
+            left, near, far, text = (t.column(c).to_pylist() for c in ("left", "near", "far", "context"))
             cut = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]).tolist() + [len(h)]
             for a, b in zip(cut, cut[1:]):
                 found = maximal_repeats([text[i][left[i] - 1::-1] if left[i] else b"" for i in range(a, b)],
                                         [text[i][left[i]:] for i in range(a, b)], length)
                 for members, before, after in found:
-                    m = np.array(members) + a
-                    one = members[0] + a
+                    one, m = members[0] + a, np.array(members) + a
+                    if max(near[one], length - after) > min(far[one], before):
+                        continue
                     name = blake2b(text[one][left[one] - before:left[one] + after], digest_size=16, salt=before.to_bytes(4, "little")).hexdigest()
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name] * len(m)), pa.array(c1[m]), pa.array(c2[m]), *[pa.array(np.full(len(m), x, np.int32)) for x in (before, after)]],
@@ -308,24 +314,27 @@ def _groups(length: int):
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
            group: int = GROUP) -> DataFrame:
-    """(group string, id, start, end long): maximal repeats of `length` bytes and more with all their occurrences.
+    """(group string, id, start, end long): repeats of `length` bytes and more with all their occurrences.
 
-    Occurrences of a group are the same bytes and cannot all be extended on a side, as far as `length` bytes around the anchor
-    tell; a longer repeat gives a group per anchor in it. A group has all its occurrences, and every byte that
-    remove_repeats() removes lies in one. A gram of more than `group` contexts is not put into one task: its groups
-    are all windows of exactly `length` bytes that occur again. Nested repeats are groups of their own, so one place may be in many.
+    Occurrences of a group are the same bytes, all of them are there, and as far as `length` bytes around an anchor tell they cannot all
+    be extended on a side; a longer repeat gives a group per anchor in it, nested repeats are groups of their own. Every byte
+    that remove_repeats() removes lies in a group. A gram of more than `group` contexts is not put into one task: its
+    groups are all windows of exactly `length` bytes that occur again.
     """
     keyed = _keyed(docs, id_col, text_col)
     found, ctx, by_gram = _prepared(keyed, length, gram)
-    out = (_texts(keyed, ctx, by_gram.filter(F.col("size") <= group), length, gram).select("h", *_CTX, "left", "context")
-           .repartition("h").sortWithinPartitions("h").mapInArrow(_groups(length), "group string, c1 long, c2 long, left int, right int"))
-    # a context that occurs again is a repeat by itself, unless one of its extensions is
-    out = out.union(ctx.filter("n > 1").select(F.concat_ws("-", F.lit("c"), *_CTX), *_CTX, "at.left", "at.right"))
+    small = (_texts(keyed, ctx, by_gram.filter(F.col("size") <= group), length, gram).select("h", *_CTX, "left", "near", "far", "context")
+             .repartition("h").sortWithinPartitions("h").mapInArrow(_groups(length), "group string, c1 long, c2 long, left int, right int"))
     large = by_gram.filter(F.col("size") > group)
     if not large.isEmpty():
-        windows = _repeated_windows(_texts(keyed, ctx, large, length, gram), length)
-        out = out.union(windows.select(F.concat_ws("-", F.lit("w"), "l", "g1", "g2"), *_CTX, "l", (length - F.col("l")).alias("right")))
-    placed = found.select(*_CTX, "k1", "k2", "pos").join(materialise(out, "groups"), _CTX)
+        windows = _repeated_windows(_texts(keyed, ctx, large, length, gram), length, ctx)
+        small = small.union(windows.select(F.concat_ws("-", F.lit("w"), "l", "g1", "g2"), *_CTX, "l", (length - F.col("l")).alias("right")))
+    out = materialise(small, "groups")
+    # a context that occurs again is a repeat by itself, unless others have it too
+    alone = (ctx.filter("n > 1").join(large.select("h"), "h", "left_anti").select(*_CTX, "at.left", "at.right")
+             .join(out.select(*_CTX, "left", "right"), [*_CTX, "left", "right"], "left_anti"))
+    every = out.union(alone.select(F.concat_ws("-", F.lit("c"), *_CTX), *_CTX, "left", "right"))
+    placed = found.select(*_CTX, "k1", "k2", "pos").join(every, _CTX)
     named = placed.join(keyed.select(*KEY, "id"), (F.col(KEY[0]) == F.col("k1")) & (F.col(KEY[1]) == F.col("k2")))
     return named.select("group", "id", (F.col("pos") - F.col("left")).cast("long").alias("start"), (F.col("pos") + F.col("right")).cast("long").alias("end"))
 
