@@ -82,7 +82,66 @@ file, You can obtain one at https://mozilla.org/MPL/2.0/.
 GPL2 = GPL.replace("software:", "software;").replace("Foundation,", "Foundation;").replace("version 3", "version 2")
 GPL3 = GPL2.replace("version 2", "version 3")
 GPL_IDS = ["GPLFree", "GPL2Later", None, "GPLHope", "GPLMerchant", "GPLSee"]
+DISCLAIMER = '''
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR
+ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON
+ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT
+(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+'''
+DISCLAIMED = ["BSDDisclaim", "BSDLiable", "BSDLoss", "BSDBusiness"]
+AGPL = GPL.replace("GNU General", "GNU Affero General")
+LGPL = GPL.replace("GNU General", "GNU Lesser General").replace("This program", "This library").replace("version 3", "version 2.1")
+LGPL_IDS = ["LGPLFree", "LGPLLater", "LGPLEither21", "LGPLHope", "GPLMerchant", "LGPLSee"]
+EPL2 = '''Copyright (c) 2020 Some One
+
+This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/
+'''
+EPL1 = '''All rights reserved. This program and the accompanying materials
+are made available under the terms of the Eclipse Public License v1.0
+which accompanies this distribution, and is available at
+http://www.eclipse.org/legal/epl-v10.html
+'''
+BODY = '''                                 Apache License
+                           Version 2.0, January 2004
+                        http://www.apache.org/licenses/
+
+   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION
+
+   1. Definitions.
+'''
+TITLES = '''                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ The GNU General Public License is a free, copyleft license for
+software and other kinds of works.
+
+                   GNU LESSER GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+                    GNU AFFERO GENERAL PUBLIC LICENSE
+                       Version 3, 19 November 2007
+
+                    GNU GENERAL PUBLIC LICENSE
+                       Version 2, June 1991
+'''
 TEXTS = {
+    "BSD-3 with its disclaimer": (BSD3 + DISCLAIMER, ["BSDRedist", "BSDSource", "BSDBinary", "BSDEndorse", *DISCLAIMED], ["BSD-3-Clause"]),
+    "BSD-2 with its disclaimer": (BSD + DISCLAIMER, ["BSDRedist", "BSDSource", "BSDBinary", *DISCLAIMED], ["BSD-2-Clause"]),
+    "AGPL": (AGPL, ["GPLFree", "AGPLLater", "GPLEither3", "GPLHope", "GPLMerchant", "AGPLSee"], ["AGPL-3.0-or-later"]),
+    "LGPL": (LGPL, LGPL_IDS, ["LGPL-2.1-or-later"]),
+    "LGPL without a comma": (LGPL.replace("software:", "software;").replace("Foundation,", "Foundation;"), LGPL_IDS, ["LGPL-2.1-or-later"]),
+    "EPL-2": (EPL2, ["EPL2"], ["EPL-2.0"]),
+    "EPL-1": (EPL1, ["AllRights", "EPL1"], ["LicenseRef-AllRightsReserved", "EPL-1.0"]),
+    "Apache body": (BODY, ["ApacheTitle", "ApacheTerms"], ["Apache-2.0"]),
+    "titles": (TITLES, ["GPL3Title", "GPL3Preamble", "LGPL3Title", "AGPL3Title", "GPL2Title"], ["GPL-3.0-only", "LGPL-3.0-only", "AGPL-3.0-only", "GPL-2.0-only"]),
     "MIT": (MIT, ["MITPerm", "MITNotice", "MITNoWarranty"], ["MIT"]),
     "Apache": (APACHE, ["ApacheLic2The", "ApacheUse", "ApacheCopyAt", "ApacheDist", "ApacheSee"], ["Apache-2.0"]),
     "BSD-2": (BSD, ["BSDRedist", "BSDSource", "BSDBinary"], ["BSD-2-Clause"]),

@@ -44,6 +44,27 @@ SENTENCES = {
     "BSDSource": "redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
     "BSDBinary": "redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
     "BSDEndorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "BSDDisclaim": "this software is provided by the copyright holders and contributors as is and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "BSDLiable": "in no event shall the copyright holder or contributors be liable for any direct, indirect, incidental, special, exemplary, or consequential damages including, but not limited to, procurement of substitute goods or services",
+    "BSDLoss": "loss of use, data, or profits",
+    "BSDBusiness": "or business interruption however caused and on any theory of liability, whether in contract, strict liability, or tort including negligence or otherwise arising in any way out of the use of this software, even if advised of the possibility of such damage",
+    "ApacheTitle": "apache license version 2.0, january 2004",
+    "ApacheTerms": "terms and conditions for use, reproduction, and distribution",
+    "GPL2Title": "gnu general public license version 2, june 1991",
+    "GPL3Title": "gnu general public license version 3, 29 june 2007",
+    "GPL3Preamble": "the gnu general public license is a free, copyleft license for software and other kinds of works",
+    "LGPL21Title": "gnu lesser general public license version 2.1, february 1999",
+    "LGPL3Title": "gnu lesser general public license version 3, 29 june 2007",
+    "AGPL3Title": "gnu affero general public license version 3, 19 november 2007",
+    "LGPLFree": "this library is free software",
+    "LGPLLater": "you can redistribute it and/or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+    "LGPLEither21": "either version 2.1 of the license, or at your option any later version",
+    "LGPLHope": "this library is distributed in the hope that it will be useful, but without any warranty",
+    "LGPLSee": "see the gnu lesser general public license for more details",
+    "AGPLLater": "you can redistribute it and/or modify it under the terms of the gnu affero general public license as published by the free software foundation",
+    "AGPLSee": "see the gnu affero general public license for more details",
+    "EPL1": "this program and the accompanying materials are made available under the terms of the eclipse public license v1.0 which accompanies this distribution, and is available at",
+    "EPL2": "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0 which is available at",
     "ISCPerm": "permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
     "MPL2Subject": "this source code form is subject to the terms of the mozilla public license, v. 2.0",
     "MPL2Licensed": "licensed under the mozilla public license, version 2.0",
@@ -58,7 +79,11 @@ SENTENCES = {
 _GPL = SENTENCES["GPL2Later"] + ", "
 #: The sentences with the further forms that public texts give them: the address of a licence in a line of its own, or behind its
 #: sentence; a comma for a semicolon. A key of several identifiers is a sentence that says them all.
-KNOWN = {**SENTENCES, "GPL2Later GPLEither2": _GPL + SENTENCES["GPLEither2"], "GPL2Later GPLEither3": _GPL + SENTENCES["GPLEither3"],
+KNOWN = {**SENTENCES, **{f"{terms} {either}": SENTENCES[terms] + ", " + SENTENCES[either] for terms, either in (
+             ("LGPLLater", "LGPLEither21"), ("LGPLLater", "GPLEither3"), ("AGPLLater", "GPLEither3"))},
+         **{name: (SENTENCES[name], *[f"{SENTENCES[name]} {web}://www.{at}" for web in ("http", "https")]) for name, at in (
+             ("EPL1", "eclipse.org/legal/epl-v10.html"), ("EPL2", "eclipse.org/legal/epl-2.0"), ("ApacheTitle", "apache.org/licenses"))},
+         "GPL2Later GPLEither2": _GPL + SENTENCES["GPLEither2"], "GPL2Later GPLEither3": _GPL + SENTENCES["GPLEither3"],
          "ApacheCopyAt": (SENTENCES["ApacheCopyAt"], "you may obtain a copy of the license at", *[
              f"you may obtain a copy of the license at {web}://www.apache.org/licenses/license-2.0{end}"
              for web in ("http", "https") for end in ("", ".txt", ".html")])}
@@ -72,6 +97,24 @@ RULES = [
     ("MIT", ["MITPerm", "MITNotice"]),
     ("MIT", ["MITReleased"]),
     ("MIT", ["MITLicensed"]),
+    ("Apache-2.0", ["ApacheTitle", "ApacheTerms"]),
+    ("Apache-2.0", ["ApacheTitle"]),
+    ("AGPL-3.0-or-later", ["GPLFree", "AGPLLater", "GPLEither3", "GPLHope", "GPLMerchant", "AGPLSee"]),
+    ("AGPL-3.0-or-later", ["GPLFree", "AGPLLater", "GPLEither3"]),
+    ("AGPL-3.0-only", ["AGPL3Title"]),
+    ("LGPL-2.1-or-later", ["LGPLFree", "LGPLLater", "LGPLEither21", "LGPLHope", "GPLMerchant", "LGPLSee"]),
+    ("LGPL-2.1-or-later", ["LGPLFree", "LGPLLater", "LGPLEither21"]),
+    ("LGPL-3.0-or-later", ["LGPLFree", "LGPLLater", "GPLEither3", "LGPLHope", "GPLMerchant", "LGPLSee"]),
+    ("LGPL-3.0-or-later", ["LGPLFree", "LGPLLater", "GPLEither3"]),
+    ("LGPL-3.0-or-later", ["GPLFree", "LGPLLater", "GPLEither3", "GPLHope", "GPLMerchant", "LGPLSee"]),
+    ("LGPL-3.0-or-later", ["GPLFree", "LGPLLater", "GPLEither3"]),
+    ("LGPL-3.0-only", ["LGPL3Title"]),
+    ("LGPL-2.1-only", ["LGPL21Title"]),
+    ("GPL-3.0-only", ["GPL3Title", "GPL3Preamble"]),
+    ("GPL-3.0-only", ["GPL3Title"]),
+    ("GPL-2.0-only", ["GPL2Title"]),
+    ("EPL-2.0", ["EPL2"]),
+    ("EPL-1.0", ["EPL1"]),
     ("GPL-3.0-or-later", ["GPLFree", "GPL2Later", "GPLEither3", "GPLHope", "GPLMerchant", "GPLSee"]),
     ("GPL-3.0-or-later", ["GPLFree", "GPL2Later", "GPLEither3"]),
     ("GPL-2.0-or-later", ["GPLFree", "GPL2Later", "GPLEither2", "GPLHope", "GPLMerchant", "GPLSee"]),
@@ -79,6 +122,8 @@ RULES = [
     ("GPL-3.0-only", ["GPL3Work"]),
     ("GPL-2.0-only", ["GPL2Work"]),
     ("LGPL-3.0-only", ["LGPLLicensed"]),
+    ("BSD-3-Clause", ["BSDRedist", "BSDSource", "BSDBinary", "BSDEndorse", "BSDDisclaim", "BSDLiable", "BSDLoss", "BSDBusiness"]),
+    ("BSD-2-Clause", ["BSDRedist", "BSDSource", "BSDBinary", "BSDDisclaim", "BSDLiable", "BSDLoss", "BSDBusiness"]),
     ("BSD-3-Clause", ["BSDRedist", "BSDSource", "BSDBinary", "BSDEndorse"]),
     ("BSD-2-Clause", ["BSDRedist", "BSDSource", "BSDBinary"]),
     ("ISC", ["ISCPerm"]),
