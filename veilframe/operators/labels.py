@@ -48,6 +48,11 @@ def split_by_pairs(df: DataFrame, listed: DataFrame, keys: list[str]) -> DataFra
             .withColumn("split", F.when(F.col("_dev"), "dev").otherwise("train")).drop("_dev"))
 
 
+def indexed(df: DataFrame, order: list[str]) -> DataFrame:
+    """The rows of a test file with their running number in the order of the file, from 0, as column `index`."""
+    return row_index(df, order, "index")
+
+
 def drop_invalid(df: DataFrame, label: str, marker: str = "-") -> DataFrame:
     return df.where(F.col(label) != marker)
 

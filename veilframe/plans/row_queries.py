@@ -298,6 +298,12 @@ def split_by_pairs(spark, sf):
         "o_orderkey", "split")
 
 
+@query("indexed_test_rows", """SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS index, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'""")
+def indexed_test_rows(spark, sf):
+    o = table(spark, sf, "orders").where("o_orderstatus <> 'P'").select("o_orderkey", "o_orderstatus")
+    return L.indexed(o, ["o_orderkey"]).select("index", "o_orderkey", "o_orderstatus")
+
+
 @query("drop_invalid_labels", "SELECT o_orderkey FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'")
 def drop_invalid_labels(spark, sf):
     return L.drop_invalid(table(spark, sf, "orders"), "o_orderpriority", "4-NOT SPECIFIED").select("o_orderkey")

@@ -364,3 +364,30 @@ def load_splits(spark, sf):
     both = R.load_layout("sentiment_tsv", {"train": lines.where("cast(file as int) < 10"),
                                            "dev": lines.where("cast(file as int) >= 10")})
     return both.groupBy("split", "label").agg(F.count("*").alias("n"))
+
+
+@query("load_declared_layouts", """SELECT 'pair_jsonl' AS layout, c_custkey AS line_no, c_mktsegment AS label, c_name AS first FROM customer
+ UNION ALL SELECT 'translation_jsonl', c_custkey, NULL, c_name FROM customer UNION ALL SELECT 'keyword_jsonl', c_custkey, c_mktsegment, c_name || '|' || c_mktsegment FROM customer
+ UNION ALL SELECT 'similarity_tsv', c_custkey, c_nationkey::VARCHAR, c_name FROM customer UNION ALL SELECT 'acceptability_tsv', c_custkey, c_nationkey::VARCHAR, c_name FROM customer""")
+def load_declared_layouts(spark, sf):
+    """Customers written in five layouts and read by their declared schemas."""
+    c = table(spark, sf, "customer")
+    name, segment, nation = F.col("c_name"), F.col("c_mktsegment"), F.col("c_nationkey").cast("string")
+    blank = F.lit("-")
+    rows = {
+        "pair_jsonl": (F.to_json(F.struct(name.alias("sentence1"), segment.alias("sentence2"), segment.alias("label"))), "label", "sentence1"),
+        "translation_jsonl": (F.to_json(F.struct(F.create_map(F.lit("en"), name, F.lit("de"), segment).alias("translation"))), None, "translation['en']"),
+        "keyword_jsonl": (F.to_json(F.struct(name.alias("abst"), F.array(name, segment).alias("keyword"), segment.alias("label"))),
+                          "label", "array_join(keyword, '|')"),
+        "similarity_tsv": (F.concat_ws("\t", F.col("c_custkey").cast("string"), *[blank] * 6, name, segment, nation), "score", "sentence1"),
+        "acceptability_tsv": (F.concat_ws("\t", blank, nation, blank, name), "label", "sentence"),
+    }
+    out = None
+    for layout, (text, label, first) in rows.items():
+        number = F.col("c_custkey") + 2  # the first line of files with a header is line 1
+        lines = c.select(F.lit("f").alias("file"), number.alias("line_no"), text.alias("text"))
+        got = R.load_layout(layout, {"train": lines}).select(
+            F.lit(layout).alias("layout"), (F.col("line_no" if layout.endswith("tsv") else "id") - 2).alias("line_no"), (F.col(label).cast("string") if label else F.lit(None).cast("string")).alias("label"),
+            F.expr(first).alias("first"))
+        out = got if out is None else out.unionByName(got)
+    return out

@@ -244,6 +244,26 @@ LAYOUTS = {
                           ("train",)),
     "prompt_jsonl": (lambda ls: json_lines(ls, "prompt string, response string"), ("train", "test")),
 }
+# fixed values: schemas of public benchmark layouts, JSON lines and columns of tab-separated files with one header row (none for the first)
+_JSON = {
+    "pair_jsonl": "sentence1 string, sentence2 string, label string",
+    "topic_jsonl": "sentence string, label string, label_desc string, keywords string",
+    "keyword_jsonl": "abst string, keyword array<string>, label string",
+    "coreference_jsonl": "target struct<span1_text: string, span1_index: int, span2_text: string, span2_index: int>, text string, label string",
+    "cloze_jsonl": "content array<string>, candidates array<string>, groupID long",
+    "dialogue_choice_jsonl": "context array<string>, question string, choice array<string>, answer string",
+    "translation_jsonl": "translation map<string, string>",
+}
+_TSV = {
+    "acceptability_tsv": {"source": 0, "label": 1, "sentence": 3},
+    "paraphrase_tsv": {"label": 0, "id1": 1, "id2": 2, "sentence1": 3, "sentence2": 4},
+    "question_pairs_tsv": {"id": 0, "sentence1": 3, "sentence2": 4, "label": 5},
+    "similarity_tsv": {"index": 0, "sentence1": 7, "sentence2": 8, "score": 9},
+    "entailment_tsv": {"index": 0, "sentence1": 1, "sentence2": 2, "label": 3},
+}
+LAYOUTS |= {name: (lambda ls, schema=schema: json_lines(ls, schema), ("train", "dev", "test")) for name, schema in _JSON.items()}
+LAYOUTS |= {name: (lambda ls, cols=cols, header=int(name != "acceptability_tsv"): tsv(ls, cols, header=header), ("train", "dev", "test"))
+            for name, cols in _TSV.items()}
 
 
 def load_layout(name: str, lines_by_split: dict[str, DataFrame], read=None) -> DataFrame:
