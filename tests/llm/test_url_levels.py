@@ -52,3 +52,18 @@ def test_deep_paths_against_brute_force(spark):
     want = brute(paths)
     got = {(r.host, tuple(s for s in r.path.split("/") if s)): r.template for r in url_filter.judge(frame(spark, rows), []).collect()}
     assert got == want and any(t.count("/") > 5 and not t.endswith("/*/*/*") for t in want.values())
+
+
+def test_common_levels_are_skipped(spark, monkeypatch):
+    """A deep common path costs no tables: the descent goes to where paths part at once, and the templates are as without skipping."""
+    common = "/".join(f"p{'abcdefghij'[k % 10]}{'x' * k}" for k in range(25))
+    rows = [(f"http://h.com/{common}/{part}/{'uvw'[n % 3]}", label) for n in range(40) for part, label in (("spam", 0), ("docs", 1))]
+    rows += [(f"http://h.com/{common}", 1), (f"http://h.com/{common.split('/')[0]}", 0), ("http://i.com/" + "z/" * 40, 1)]
+    labels = []
+    monkeypatch.setattr(url_filter, "materialise", lambda df, label="step", real=url_filter.materialise: labels.append(label) or real(df, label))
+    got = {r.path.split("/")[26]: r.verdict for r in url_filter.judge(frame(spark, rows), []).collect() if r.path.count("/") > 26 and r.host == "h.com"}
+    assert got == {"spam": "block", "docs": "allow"} and labels.count("level") < 12
+    monkeypatch.setattr(url_filter, "_common_levels", lambda *_: 0)
+    slow = {(r.path, r.template) for r in url_filter.judge(frame(spark, rows[-30:]), []).collect()}
+    monkeypatch.undo()
+    assert slow == {(r.path, r.template) for r in url_filter.judge(frame(spark, rows[-30:]), []).collect()}

@@ -63,13 +63,20 @@ def templates(paths: DataFrame, min_pages: int = MIN_PAGES, z: float = Z, prior:
     """(host, segs, template, purity) for a table (host, segs, n, good, bad) of distinct paths.
 
     A segment stays itself if at least min_pages pages have it and the good share of its labels lies more than z
-    standard errors from its parent's; all others of the parent become *. A level costs two written tables; the
-    descent ends where no parent has min_pages pages and labels of both kinds, as nothing below it can stay itself.
+    standard errors from its parent's; all others of the parent become *. A level costs two written tables; levels at which every
+    parent that may be told apart has one child are skipped, as that child's share is its parent's. The descent ends where no
+    parent has min_pages pages and labels of both kinds, as nothing below it can stay itself.
     """
     now, level = paths.withColumn("template", F.lit("")), 0
     tot = [F.sum(c).alias(c) for c in ("n", "good", "bad")]
     done = [now.filter(F.size("segs") == 0)]
     while True:
+        alike = _common_levels(now.filter(F.size("segs") > level), level, min_pages)
+        if alike:
+            now = now.filter(F.size("segs") > level).withColumn("template", F.concat("template", F.repeat(
+                F.lit("/*"), F.least(F.lit(alike), F.size("segs") - level))))
+            level += alike
+            done.append(now.filter(F.size("segs") <= level))
         now = now.filter(F.size("segs") > level).withColumn("_seg", F.get("segs", F.lit(level)))
         child = now.groupBy("host", "template", "_seg").agg(*tot)
         parent = child.groupBy("host", "template").agg(F.sum("n").alias("pn"), F.sum("good").alias("pg"), F.sum("bad").alias("pb"))
@@ -98,6 +105,16 @@ def templates(paths: DataFrame, min_pages: int = MIN_PAGES, z: float = Z, prior:
     return now.select("host", "segs", "template").join(pure, ["host", "template"])
 
 
+def _common_levels(paths: DataFrame, level: int, min_pages: int) -> int:
+    """How many levels from `level` on all paths of each parent agree on, over the parents that have min_pages pages and both labels."""
+    rest = F.slice("segs", F.lit(level + 1), F.size("segs"))
+    ends = paths.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.min(rest).alias("a"), F.max(rest).alias("b"))
+    ends = ends.filter((F.col("n") >= min_pages) & (F.col("good") > 0) & (F.col("bad") > 0) & (F.col("a") != F.col("b")))
+    shorter = F.least(F.size("a"), F.size("b"))
+    differ = F.array_min(F.filter(F.sequence(F.lit(0), shorter - 1), lambda i: F.get("a", i) != F.get("b", i)))
+    return ends.agg(F.min(F.coalesce(differ, shorter))).first()[0] or 0
+
+
 def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", label_col: str = "label",
           purity: float = PURITY, **params) -> DataFrame:
     """(id, host, path, rule, verdict, template, purity), one row per row of pages.
