@@ -191,6 +191,19 @@ def test_detector_fault_marks_one_file_and_is_tried_again(spark, tmp_path):
     assert {f.read_text() for f in seen.iterdir()} == {"record of SECRET use", "Bob came"}  # only that file was read again
 
 
+def test_a_run_that_fails_leaves_nothing(spark, tmp_path):
+    put(tmp_path / "in" / "a.txt", b"12345678\n")
+    put(tmp_path / "out" / "old.txt", b"old")
+
+    def broken(df, text):
+        return df.withColumn("entities", F.raise_error(F.lit("down")).cast("array<struct<type:string,start:int,end:int>>"))
+    with pytest.raises(Exception, match="down"):
+        run_directory(spark, str(tmp_path / "in"), str(tmp_path / "out"), detector=broken)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.name != ".state") == ["old.txt"]
+    assert statuses(run_directory(spark, str(tmp_path / "in"), str(tmp_path / "out"))) == {"a.txt": "ok"}  # the stopped run goes on
+    assert (tmp_path / "out" / "a.txt").read_bytes() == b"********\n"
+
+
 def test_files_are_given_up_after_some_attempts(spark, tmp_path):
     put(tmp_path / "in" / "bad.txt", b"\xff")
     put(tmp_path / "in" / "good.txt", b"g")

@@ -119,8 +119,12 @@ def stage(rows: DataFrame, out: str) -> str:
     rows.sparkSession.dataSource.register(StagedText)
     columns = [F.col("file").cast("string"), F.col("block").cast("long"), F.col("out").cast("string"), F.col("eol").cast("string"),
                F.col("chars").cast("long"), F.col("blank").cast("boolean"), F.col("error").cast("string")]
-    rows.select(*[c.alias(n) for c, n in zip(columns, ("file", "block", "out", "eol", "chars", "blank", "error"))]) \
-        .write.format("staged_text").mode("append").save(folder)
+    try:
+        rows.select(*[c.alias(n) for c, n in zip(columns, ("file", "block", "out", "eol", "chars", "blank", "error"))]) \
+            .write.format("staged_text").mode("append").save(folder)
+    except Exception:
+        clear(folder)
+        raise
     return folder
 
 
