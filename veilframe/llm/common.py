@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -12,6 +14,14 @@ SPACE = r"[\x20\x09-\x0D]+"
 KEY = ["_k1", "_k2"]
 
 
+def worker_state() -> dict:
+    """What a Python worker keeps from one task to the next.
+
+    Functions that travel with their helpers bring modules of their own, so their globals last for a task only.
+    """
+    return vars(sys.modules.setdefault("_veilframe_worker", ModuleType("_veilframe_worker")))
+
+
 def row_key(id_col: str, text_col: str) -> list[Column]:
     """Two hashes that stand for a document row in joins, never null.
 

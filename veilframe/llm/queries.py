@@ -194,8 +194,7 @@ def op12(spark, sf):
 
     path = fresh_path(spark, "tokens")
     token_files.write_tokens(table(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    found = token_files.read_documents(spark, path, carry={"ids_crc32": F.crc32("ids")})
-    return found.withColumnRenamed("id", "doc_id")
+    return token_files.read_documents(spark, path, checksums=True).withColumnRenamed("id", "doc_id")
 
 
 @query("op13_fill_in_middle")

@@ -16,15 +16,18 @@ from __future__ import annotations
 import os
 import re
 import struct
+import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import utf8
+from veilframe.llm.common import utf8, worker_state
 from veilframe.operators.ordering import running
 from veilframe.session import small
 
@@ -35,7 +38,8 @@ MAGIC = b"PATCHFR1"
 FOOTER = 64
 HEAD = "<qHBH"
 HEAD_SIZE = struct.calcsize(HEAD)
-CACHE = 200_000  # words a Python worker remembers
+CACHE = 120_000  # words that a Python worker remembers at least; twice as many at most
+PART = 1 << 22  # bytes of text that are encoded at a time
 
 
 def bit_length(v: np.ndarray) -> np.ndarray:
@@ -48,25 +52,27 @@ def bit_length(v: np.ndarray) -> np.ndarray:
 
 def pack_bits(v: np.ndarray, width: int) -> np.ndarray:
     """(blocks, words) of uint64 that hold the low `width` bits of each row's values one after the other."""
-    out = np.zeros((len(v), v.shape[1] * width // 64), np.uint64)
-    for i in range(v.shape[1] if width else 0):
+    out = np.zeros((v.shape[1] * width // 64, len(v)), np.uint64)
+    columns = np.ascontiguousarray(v.T)
+    for i, column in enumerate(columns if width else ()):
         word, bit = divmod(i * width, 64)
-        out[:, word] |= v[:, i] << np.uint64(bit)
+        out[word] |= column << np.uint64(bit)
         if bit + width > 64:
-            out[:, word + 1] |= v[:, i] >> np.uint64(64 - bit)
-    return out
+            out[word + 1] |= column >> np.uint64(64 - bit)
+    return np.ascontiguousarray(out.T)
 
 
 def unpack_bits(words: np.ndarray, width: int, count: int = BLOCK) -> np.ndarray:
-    out = np.zeros((len(words), count), np.uint64)
+    out = np.zeros((count, len(words)), np.uint64)
+    rows = np.ascontiguousarray(words.T)
     mask = np.uint64((1 << width) - 1)
     for i in range(count if width else 0):
         word, bit = divmod(i * width, 64)
-        v = words[:, word] >> np.uint64(bit)
+        v = rows[word] >> np.uint64(bit)
         if bit + width > 64:
-            v = v | words[:, word + 1] << np.uint64(64 - bit)
-        out[:, i] = v & mask
-    return out
+            v |= rows[word + 1] << np.uint64(64 - bit)
+        np.bitwise_and(v, mask, out=out[i])
+    return out.T
 
 
 def encode_blocks(values: np.ndarray, kept: float = KEPT) -> list[bytes]:
@@ -79,7 +85,8 @@ def encode_blocks(values: np.ndarray, kept: float = KEPT) -> list[bytes]:
     low = rows.min(1)
     diff = rows.view(np.uint64) - low.view(np.uint64)[:, None]
     bits = bit_length(diff)
-    width = np.sort(bits, 1)[:, min(BLOCK, max(1, int(np.ceil(BLOCK * kept / 100)))) - 1]
+    held = min(BLOCK, max(1, int(np.ceil(BLOCK * kept / 100)))) - 1
+    width = np.partition(bits, held, 1)[:, held]
     out: list[bytes] = [b""] * len(rows)
     count = np.full(len(rows), BLOCK)
     count[-1] -= full
@@ -139,9 +146,10 @@ class FileWriter:
         self.parts += new
         return len(new)
 
-    def add(self, doc: int | None, ids: np.ndarray) -> None:
-        self.docs.append(doc)
-        self.lengths.append(len(ids))
+    def add(self, docs: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> None:
+        """Documents in order, with their ids one after the other."""
+        self.docs += docs
+        self.lengths += lengths.tolist()
         self.n += len(ids)
         self.open.append(ids)
         self.waiting += len(ids)
@@ -149,10 +157,10 @@ class FileWriter:
             ready = np.concatenate(self.open)
             cut = len(ready) - len(ready) % BLOCK
             self._blocks(ready[:cut])
-            self.open, self.waiting = [ready[cut:]], len(ready) - cut
+            self.open, self.waiting = [ready[cut:].copy()], len(ready) - cut
 
     def close(self) -> bytes:
-        self._blocks(np.concatenate(self.open))
+        self._blocks(np.concatenate([np.zeros(0, np.uint32), *self.open]))
         id_blocks = len(self.places)
         none = sum(d is None for d in self.docs)  # nulls come first
         doc_blocks = self._blocks(np.array([0 if d is None else d for d in self.docs], np.int64))
@@ -188,15 +196,41 @@ class FileReader:
         return got[start - first * BLOCK:end - first * BLOCK].astype(np.uint32)
 
 
+class Recent:
+    """Remembers what `make` gave for the keys asked for last; at least `size` of them, at most twice as many."""
+
+    def __init__(self, size: int, make):
+        self.size, self.make = size, make
+        self.young, self.old = {}, {}
+
+    def __call__(self, keys: list[str]) -> list[bytes]:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        out = list(map(young.get, keys))
+        for i, v in enumerate(out):
+            if v is None:
+                key = keys[i]
+                v = young.get(key)
+                if v is None:
+                    v = old.get(key)
+                    young[key] = v = self.make(key) if v is None else v
+                out[i] = v
+        return out
+
+
 class TextEncoder:
     """Token ids of whole texts, as little-endian uint32 bytes, equal to Tokenizer.encode without special tokens.
 
-    With a byte-level tokenizer that splits by its own pattern and has no normaliser, no token crosses the places where a visible
-    run and its blank begin or white space ends: texts are cut there, and a bounded number of cut pieces is remembered.
-    Texts that hold an added token or a space on whose kind Unicode versions differ, and other kinds of tokenizers, go through whole.
+    With a byte-level tokenizer that splits by its own pattern and has no normaliser, no token crosses the place where a visible
+    run and the blank or line end before it begin: texts are cut there, and of equal pieces of a batch one is encoded. Pieces of ASCII and
+    Latin-1 letters are cut on by the tokenizer's pattern and go straight to its merge model, others through the whole
+    tokenizer; a bounded number is remembered. Texts with an added token, three spaces in a row or spaces of other kinds, and all
+    texts of other tokenizers, go through whole.
     """
 
-    ODD = "\x1c\x1d\x1e\x1f\x85\u180e\u200b\ufeff"
+    #: Spaces that are cut at in no special way, and signs that some versions of Unicode have as spaces.
+    ODD = "\x00-\x09\x0b-\x1f\x7f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u3000\ufeff"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -205,42 +239,99 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
         self.by_piece = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                          and not spec.get("normalizer") and not spec.get("truncation") and not spec.get("padding"))
-        self.whole = [*self.ODD, *[t["content"] for t in spec.get("added_tokens") or []]]
-        self.cut = re.compile(r"[ \n]?\S+|\s+(?!\S)|\s").findall
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        if not self.by_piece or any(t in text for t in self.whole):
-            return self._encode([text])[0]
-        pieces, known = self.cut(text), self.known
-        try:
-            return b"".join([known[p] for p in pieces])
-        except KeyError:
-            pass
-        new = list({p for p in pieces if p not in known})
-        fresh = dict(zip(new, self._encode(new)))
-        out = b"".join([known.get(p) or fresh[p] for p in pieces])
-        if len(known) + len(new) > CACHE:
-            known.clear()
-        known.update((p, i) for p, i in fresh.items() if len(p) <= 64)
+        added = "".join("|" + re.escape(t["content"]) for t in spec.get("added_tokens") or [])
+        # a run of two spaces before a visible sign parts into its first one and the rest; longer runs and those at the end do not
+        self.irregular = "[ \n]{3}|[ \n]{2}\\z|[" + self.ODD + "]" + added
+        letters = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+        self.foreign = f"[^\\t\\n\\r -~{letters}]"
+        self.parts = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[0-9]+| ?[^\\s0-9{letters}]+|\\s+(?!\\S)|\\s+").findall
+        # byte-level alphabet: printable bytes stand for themselves, the others follow from U+0100 on
+        same = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        rest = iter(range(256, 512))
+        letter = [chr(b) if b in same else chr(next(rest)) for b in range(256)]
+        self.alphabet = {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x100)}
+        self.words = Recent(CACHE, self._word)
+
+    def _word(self, word: str) -> bytes:
+        tokens = self.model.tokenize(word.translate(self.alphabet))
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+
+    def _pieces(self, pieces: list[str], foreign: list[bool]) -> list[bytes]:
+        """Ids of each piece: those of its words, or of the whole where it holds letters that are not cut here."""
+        parts = [[] if odd else self.parts(p) for p, odd in zip(pieces, foreign)]
+        words = iter(self.words([w for ws in parts for w in ws]))
+        out = [next(words) if len(ws) == 1 else b"".join(islice(words, len(ws))) for ws in parts]
+        for i in np.flatnonzero(foreign).tolist():
+            out[i] = self._whole(pieces[i]).astype("<u4").tobytes()
         return out
 
-
-_ENCODERS: dict[str, TextEncoder] = {}
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, how many each has) of a string array without nulls."""
+        n = len(texts)
+        if not self.by_piece:
+            odd = np.ones(n, bool)
+        else:
+            odd = pc.match_substring_regex(texts, self.irregular).to_numpy(zero_copy_only=False)
+        whole = {i: self._whole(texts[i].as_py()) for i in np.flatnonzero(odd).tolist()}
+        lengths = np.zeros(n, np.int64)
+        for i, ids in whole.items():
+            lengths[i] = len(ids)
+        regular = np.flatnonzero(~odd)
+        if len(regular):
+            ids, lengths[regular] = self._regular(texts.take(pa.array(regular)) if whole else texts)
+            if not whole:
+                return ids, lengths
+        starts = np.r_[0, np.cumsum(lengths)]
+        out = np.empty(starts[-1], np.uint32)
+        if len(regular):
+            out[_spread(starts[regular], lengths[regular])] = ids
+        for i, w in whole.items():
+            out[starts[i]:starts[i + 1]] = w
+        return out, lengths
+
+    def _regular(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        begin = parts.offsets.to_numpy()
+        coded = parts.flatten().dictionary_encode()
+        index = coded.indices.to_numpy().astype(np.int64)
+        unique = coded.dictionary.to_pylist()
+        # a part stands behind a blank, but for line ends, which it brings along, and the first of a text
+        firsts = coded.dictionary.take(pa.array(index[begin[:-1]])).to_pylist()
+        index[begin[:-1]] = np.arange(len(unique), len(unique) + len(firsts))
+        foreign = pc.match_substring_regex(coded.dictionary, self.foreign).to_pylist()
+        foreign += pc.match_substring_regex(pa.array(firsts, pa.string()), self.foreign).to_pylist()
+        ids = self._pieces([p if p.startswith("\n") else " " + p for p in unique] + firsts, foreign)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        count = size[index]
+        out = flat[_spread((np.cumsum(size) - size)[index], count)]
+        return out, np.add.reduceat(count, begin[:-1])
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... (counts[0] of them), starts[1], ..."""
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if total + int(starts.max(initial=0)) < 1 << 31 else np.int64
+    out = np.repeat((starts - (ends - counts)).astype(kind), counts)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def encoder(path: str) -> TextEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = TextEncoder(path)
-    return _ENCODERS[path]
+    held = worker_state().setdefault("token_files", {})
+    if path not in held:
+        held[path] = TextEncoder(path)
+    return held[path]
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text",
@@ -255,19 +346,40 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     rows = docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text")).withColumn("tie", F.xxhash64("text")).withColumn(
         "row", F.monotonically_increasing_id())
     placed = rows.repartitionByRange("id", "tie", "row").sortWithinPartitions("id", "tie", "row").select("id", "text")
-    end = [] if end_id is None else [np.array([end_id], np.uint32)]
+
+    def encoded(batch: pa.RecordBatch, enc: TextEncoder) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+        """(document ids, lengths, ids) of a few MB of texts at a time, the end id behind every document."""
+        ids, texts = batch.column("id").to_pylist(), batch.column("text")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        lo = 0
+        while lo < len(ids):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PART, "right")))
+            part = texts.slice(lo, hi - lo)
+            try:
+                part = part.cast(pa.string())
+            except pa.ArrowInvalid:
+                part = pa.array([t.as_py().decode("utf-8", "replace") for t in part], pa.string())
+            flat, counts = enc.encode(part)
+            if end_id is not None:
+                flat, counts = np.insert(flat, np.cumsum(counts), end_id), counts + 1
+            yield ids[lo:hi], counts, flat
+            lo = hi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, partition, number, out = encoder(tokenizer), TaskContext.get().partitionId(), 0, None
         for batch in batches:
-            ids, texts = batch.column("id").to_pylist(), batch.column("text")
-            for i, doc in enumerate(ids):
-                if out is None:
-                    out = FileWriter(partition, number)
-                out.add(doc, np.concatenate([np.frombuffer(enc.encode(texts[i].as_py().decode("utf-8", "replace")), "<u4"), *end]))
-                if out.n >= file_ids:
-                    yield pa.RecordBatch.from_arrays([pa.array([out.close()], pa.binary())], names=["file"])
-                    out, number = None, number + 1
+            for docs, counts, flat in encoded(batch, enc):
+                ends, lo = np.cumsum(counts), 0
+                while lo < len(docs):
+                    if out is None:
+                        out = FileWriter(partition, number)
+                    base = int(ends[lo - 1]) if lo else 0
+                    hi = min(len(docs), int(np.searchsorted(ends, base + file_ids - out.n)) + 1)
+                    out.add(docs[lo:hi], counts[lo:hi], flat[base:int(ends[hi - 1])])
+                    lo = hi
+                    if out.n >= file_ids:
+                        yield pa.RecordBatch.from_arrays([pa.array([out.close()], pa.binary())], names=["file"])
+                        out, number = None, number + 1
         if out is not None:
             yield pa.RecordBatch.from_arrays([pa.array([out.close()], pa.binary())], names=["file"])
 
@@ -293,12 +405,12 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return running(_files(spark, path).drop("content"), ["partition", "number"], {"start": ("sum", "n")}, inclusive=False)
 
 
-def read_documents(spark: SparkSession, path: str, carry: dict[str, Column] | None = None) -> DataFrame:
-    """(id, start long, n_tokens long, carried columns), read back from the files; carry names expressions over `ids` (binary).
+def read_documents(spark: SparkSession, path: str, checksums: bool = False) -> DataFrame:
+    """(id, start long, n_tokens long, ids binary), read back from the files; with checksums ids_crc32 (long) in the place of ids.
 
-    start counts the ids of all documents before it. By default the ids themselves are carried.
+    start counts the ids of all documents before it; ids are little-endian unsigned 32-bit, and so is what the crc32 is of.
     """
-    carry = {"ids": F.col("ids")} if carry is None else carry
+    name, kind = ("ids_crc32", pa.int64()) if checksums else ("ids", pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,22 +421,20 @@ def read_documents(spark: SparkSession, path: str, carry: dict[str, Column] | No
                 while lo < len(docs):  # a few MB at a time
                     base = int(ends[lo - 1]) if lo else 0
                     hi = max(lo + 1, int(np.searchsorted(ends, base + (1 << 20), "right")))
-                    data = file.ids(base, int(ends[hi - 1])).astype("<u4").tobytes()
+                    data = memoryview(file.ids(base, int(ends[hi - 1])).astype("<u4").tobytes())
                     at = np.r_[base, ends[lo:hi]]
                     ids = [data[4 * (a - base):4 * (z - base)] for a, z in zip(at[:-1].tolist(), at[1:].tolist())]
                     k = hi - lo
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([file.partition] * k, pa.int64()), pa.array([file.number] * k, pa.int64()), pa.array(docs[lo:hi], pa.int64()),
-                         pa.array(at[:-1], pa.int64()), pa.array(np.diff(at), pa.int64()), pa.array(ids, pa.binary())],
-                        names=["partition", "number", "id", "within", "n_tokens", "ids"])
+                         pa.array(at[:-1], pa.int64()), pa.array(np.diff(at), pa.int64()), pa.array(map(zlib.crc32, ids) if checksums else ids, kind)],
+                        names=["partition", "number", "id", "within", "n_tokens", name])
                     lo = hi
 
     found = _files(spark, path).select("content").mapInArrow(
-        run, "partition long, number long, id long, within long, n_tokens long, ids binary").select(
-        "partition", "number", "id", "within", "n_tokens", *[c.alias(n) for n, c in carry.items()])
+        run, f"partition long, number long, id long, within long, n_tokens long, {name} {'long' if checksums else 'binary'}")
     starts = manifest(spark, path).select("partition", "number", F.col("start").alias("_start"))
-    return found.join(small(starts), ["partition", "number"]).select(
-        "id", (F.col("_start") + F.col("within")).alias("start"), "n_tokens", *carry)
+    return found.join(small(starts), ["partition", "number"]).select("id", (F.col("_start") + F.col("within")).alias("start"), "n_tokens", name)
 
 
 def read_slices(spark: SparkSession, path: str, slices: DataFrame) -> DataFrame:
