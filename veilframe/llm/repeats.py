@@ -283,8 +283,9 @@ def spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int =
     if not large.isEmpty():
         windows = _repeated_windows(_texts(keyed, ctx, large, length, gram), length)
         ext = ext.union(windows.groupBy(*_CTX).agg(F.max("l").alias("left"), (length - F.min("l")).alias("right")))
-    # moved once more by another key, so that the join has exchanges on both sides and a hot context's places can be split over tasks
-    ext = ext.groupBy(*_CTX).agg(F.max("left").alias("el"), F.max("right").alias("er")).repartition(_CTX[1])
+    # moved once more by another key, and used, so that the join has exchanges of its own and a hot context's places can be split over tasks
+    ext = ext.groupBy(*_CTX).agg(F.max("left").alias("el"), F.max("right").alias("er")).repartition(_CTX[1]).select(
+        *_CTX, F.greatest("el", F.lit(0)).alias("el"), F.greatest("er", F.lit(0)).alias("er"))
     return found.select(*_CTX, "k1", "k2", "pos").join(ext, _CTX).groupBy("k1", "k2").agg(F.collect_list(
         F.struct((F.col("pos") - F.col("el")).alias("start"), (F.col("pos") + F.col("er")).alias("end"))).alias("spans"))
 
