@@ -86,23 +86,28 @@ def build_filter(phrases: DataFrame) -> Filter:
     return Filter(words.view(np.uint64), bits, sorted(r.n for r in sizes))
 
 
-def passing(text: str, f: Filter) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, ends) of the substrings that the filter lets pass, in time linear in the text for each phrase length."""
-    sums, back = prefix_sums(code_points(text))
-    starts, ends = [], []
+def passing(texts: list[str], f: Filter) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
+    """(starts, ends, numbers of the text) of the substrings that the filter lets pass, as places in the texts joined, and these; in
+    time linear in the texts for each phrase length. No substring crosses texts."""
+    joined = "".join(texts)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    until = np.repeat(np.cumsum(sizes), sizes)
+    sums, back = prefix_sums(code_points(joined))
+    starts, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for n in f.lengths:
         size = len(sums) - n
         if size <= 0:
             break
         h = substring_hashes(sums, back, slice(0, size), slice(n, n + size), n)
-        at = np.arange(size)
+        at = np.flatnonzero(np.arange(n, n + size) <= until[:size])
         for p in places(h, f.bits):
             here = p[at]
             at = at[(f.words[(here >> np.uint64(6)).astype(np.int64)] >> (here & np.uint64(63))) & np.uint64(1) == 1]
         starts.append(at)
         ends.append(at + n)
-    none = np.zeros(0, np.int64)
-    return np.concatenate([none, *starts]), np.concatenate([none, *ends])
+    a = np.concatenate(starts)
+    return a, np.concatenate(ends), owner[a], joined
 
 
 def candidates(docs: DataFrame, key: str, text: str, f: Filter) -> DataFrame:
@@ -113,15 +118,22 @@ def candidates(docs: DataFrame, key: str, text: str, f: Filter) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column("_key"), batch.column("_text")
-            for i in range(batch.num_rows):
-                t = texts[i].as_py()
-                a, b = passing(t, shared.value)
-                for lo in range(0, len(a), 1 << 16):
-                    s, e = a[lo:lo + (1 << 16)], b[lo:lo + (1 << 16)]
+            keys, texts = batch.column("_key"), batch.column("_text").to_pylist()
+            lo = 0
+            while lo < len(texts):  # about a million characters at a time
+                hi, held = lo, 0
+                while hi < len(texts) and (hi == lo or held + len(texts[hi]) <= 1 << 20):
+                    held += len(texts[hi])
+                    hi += 1
+                a, b, of, joined = passing(texts[lo:hi], shared.value)
+                begin = np.cumsum([0, *[len(t) for t in texts[lo:hi]]])[of]
+                for i in range(0, len(a), 1 << 17):
+                    s, e, o = a[i:i + (1 << 17)], b[i:i + (1 << 17)], of[i:i + (1 << 17)]
+                    first = begin[i:i + (1 << 17)]
                     yield pa.RecordBatch.from_arrays(
-                        [keys.take(pa.array(np.full(len(s), i))), pa.array(s, pa.int32()), pa.array(e, pa.int32()),
-                         pa.array([t[x:y] for x, y in zip(s.tolist(), e.tolist())], pa.string())], names=schema.names)
+                        [keys.take(pa.array(o + lo)), pa.array(s - first, pa.int32()), pa.array(e - first, pa.int32()),
+                         pa.array([joined[x:y] for x, y in zip(s.tolist(), e.tolist())], pa.string())], names=schema.names)
+                lo = hi
     return rows.mapInArrow(run, schema)
 
 
