@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.check import compare
@@ -42,3 +43,11 @@ def test_lines_of_periodic_words(spark, num, den):
             want.setdefault(i, set()).add(n)
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), num=num, den=den).collect()
     assert {r.doc_id: r.n_removed for r in got} == {i: len(want.get(i, ())) for i, _ in rows}
+
+
+def test_the_order_of_tokens_is_counted_over_every_line(spark, monkeypatch):
+    seen, sketch = [], line_dedup.rarity_sketch
+    monkeypatch.setattr(line_dedup, "rarity_sketch", lambda lines, k: seen.append(lines.count()) or sketch(lines, k))
+    df = spark.range(120_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("line number "), F.col("id").cast("string"), F.lit("\n \nend")).alias("text"))
+    line_dedup.removals(df)
+    assert seen == [240_000]
