@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -261,3 +262,28 @@ def test_ranks_skip_far_blocks(spark):
         assert {r.k: r.rank for r in got.rows.collect()} == want
         assert got.skipped / got.pairs >= least
     assert vectors.first_match_rank(df.limit(0), "k", "v", "l").count() == 0
+
+
+def test_closure_of_a_tree_writes_a_row_per_node_not_per_pair(spark, monkeypatch):
+    rows, write = [], extract.materialise
+
+    def counted(df, label="step"):
+        out = write(df, label)
+        rows.append(out.count())
+        return out
+    monkeypatch.setattr(extract, "materialise", counted)
+    chain = spark.createDataFrame([(i, i + 1) for i in range(30)], "child long, parent long")
+    assert extract.closure(chain).distinct().count() == 30 * 31 // 2
+    assert sum(rows) <= 4 * 30
+
+
+def test_closure_of_trees_with_twins_cycles_and_nulls(spark):
+    rng = random.Random(5)
+    edges = [(i, rng.randrange(i)) for i in range(1, 40)] + [(30, 2), (35, 3), (35, 3), (50, 51), (51, 50), (52, 51), (60, 61), (61, None), (None, 7)]
+    want, new = set(edges), set(edges)
+    while new:
+        new = {(c, q) for c, a in new for p, q in edges if a is not None and p == a} - want
+        want |= new
+    df = spark.createDataFrame(edges, "child long, parent long")
+    got = [tuple(r) for r in extract.closure(df).collect()]
+    assert set(got) == want and len([x for x in got if None not in x]) == len([x for x in want if None not in x])

@@ -18,10 +18,29 @@ from veilframe.session import materialise, small
 def closure(edges: DataFrame) -> DataFrame:
     """(child, ancestor) pairs over (child, parent) edges of any depth; a cycle makes its members their own ancestors.
 
-    One equi join per level on the pairs that are new, each level written, until a level finds nothing new.
+    Where every way up goes through single parents to a root, ancestors are carried down as one array a node, each node once
+    and no pair twice. Other nodes (several parents above, cycles, nulls): one equi join per level on the pairs that are
+    new, each level written, until a level finds nothing new.
     """
-    up = edges.select(F.col("child").alias("_via"), F.col("parent").alias("_up")).distinct()
-    frontier = materialise(edges.select("child", F.col("parent").alias("ancestor")).distinct(), "closure")
+    edges = materialise(edges.select("child", "parent").distinct(), "edges")
+    one = edges.groupBy("child").agg(F.min("parent").alias("parent"), F.count(F.lit(1)).alias("_n")).where(
+        "_n = 1 AND child IS NOT NULL AND parent IS NOT NULL").select(F.col("child").alias("_child"), F.col("parent").alias("_parent"))
+    one = materialise(one, "edges")
+    level = one.join(edges, F.col("_parent") == F.col("child"), "left_anti").select(F.col("_child").alias("child"), F.array("_parent").alias("_up"))
+    level = materialise(level, "closure")
+    down = level
+    while not level.isEmpty():
+        level = materialise(level.join(one, F.col("child") == F.col("_parent")).select(
+            F.col("_child").alias("child"), F.concat("_up", F.array("_parent")).alias("_up")), "closure")
+        down = down.unionByName(level)
+    rest = materialise(edges.join(down.select("child"), "child", "left_anti"), "edges")
+    return down.select("child", F.explode("_up").alias("ancestor")).unionByName(_levels(rest, edges))
+
+
+def _levels(edges: DataFrame, every: DataFrame) -> DataFrame:
+    """closure() of the children of `edges`, all of whose ways up are in `every`, level by level."""
+    up = every.select(F.col("child").alias("_via"), F.col("parent").alias("_up"))
+    frontier = materialise(edges.select("child", F.col("parent").alias("ancestor")), "closure")
     out = frontier
     while not frontier.isEmpty():
         found = frontier.join(up, F.col("ancestor") == F.col("_via")).select("child", F.col("_up").alias("ancestor")).distinct()
