@@ -287,3 +287,31 @@ def test_closure_of_trees_with_twins_cycles_and_nulls(spark):
     df = spark.createDataFrame(edges, "child long, parent long")
     got = [tuple(r) for r in extract.closure(df).collect()]
     assert set(got) == want and len([x for x in got if None not in x]) == len([x for x in want if None not in x])
+
+
+def test_rough_squares_are_within_their_margin():
+    rng = np.random.default_rng(4)
+    q, t = rng.normal(size=(50, 64)) * 1e3, rng.normal(size=(60, 64))
+    t[:10] = q[:10] + 1e-7
+    t[11] = np.inf
+    with np.errstate(invalid="ignore"):
+        rough, off = vectors._rough_squares(q, t)
+        exact = vectors._distances(q, t)
+    fine = np.arange(60) != 11
+    assert (np.abs(rough[:, fine] - exact[:, fine] ** 2) <= off[:, None]).all() and np.isinf(rough[:, 11]).all()
+    x, y = np.nonzero(np.ones((50, 60)))
+    assert (vectors._pair_distances(q, t, (x, y)) == exact.ravel()).all()
+
+
+def test_ranks_with_near_ties_copies_and_missing_labels(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(12, 8))
+    v = np.concatenate([base, base, base + 1e-9, rng.normal(size=(20, 8)), np.round(rng.normal(size=(40, 8)))])
+    label = [None if i % 11 == 0 else int(i % 3) for i in range(len(v))]
+    want = {}
+    for i in range(len(v)):
+        order = sorted((float(vectors._distances(v[i:i + 1], v[j:j + 1])[0, 0]), j) for j in range(len(v)) if j != i)
+        want[i] = next((n for n, (_, j) in enumerate(order, 1) if label[i] is not None and label[j] == label[i]), 0)
+    df = spark.createDataFrame([(i, v[i].tolist(), label[i]) for i in range(len(v))], "k long, v array<double>, l int")
+    for size in (20, 500):
+        assert {r.k: r["rank"] for r in vectors.first_match_rank(df, "k", "v", "l", block_rows=size).collect()} == want

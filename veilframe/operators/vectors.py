@@ -39,6 +39,28 @@ def _distances(q: np.ndarray, t: np.ndarray) -> np.ndarray:
     return np.sqrt(out)
 
 
+def _pair_distances(q: np.ndarray, t: np.ndarray, at: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """_distances() of the pairs `at` only, summed in the same order."""
+    out = np.zeros(len(at[0]))
+    for d in range(q.shape[1]):
+        out += np.square(q[at[0], d] - t[at[1], d])
+    return np.sqrt(out)
+
+
+def _rough_squares(q: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances by one matrix product, and per query what they are off at most, with a wide margin.
+
+    Only pairs within that margin of a bound need their distance to the last bit. Infinite targets are infinitely far.
+    """
+    qn, tn = np.square(q).sum(axis=1), np.square(t).sum(axis=1)
+    out = q @ t.T
+    out *= -2
+    out += qn[:, None]
+    out += tn[None, :]
+    out[:, np.isinf(tn)] = np.inf
+    return out, 1e-11 * (qn + tn[np.isfinite(tn)].max(initial=0))
+
+
 def _matrix(column) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
@@ -86,7 +108,7 @@ def blocks_of(df: DataFrame, key: str, vector: str, block_rows: int) -> Blocks:
 
 
 def _blockwise(queries: DataFrame, blocks: Blocks, needed: dict[int, list[int]], key: str, vector: str, label: str, fn, schema: str) -> DataFrame:
-    """fn(queries, targets, distances) for every needed pair of blocks; a task holds two blocks of vectors.
+    """fn(queries, targets, vectors of both) for every needed pair of blocks; a task holds two blocks of vectors.
 
     Rows go only to the pairs that need them. Each pair returns one row per query, never one per pair of rows. Target columns
     are named t_key and t_label.
@@ -104,7 +126,7 @@ def _blockwise(queries: DataFrame, blocks: Blocks, needed: dict[int, list[int]],
             return pd.DataFrame(columns=[c.split()[0] for c in schema.split(", ")])
         left, right = _matrix(qs[vector]), _matrix(ts["t_vec"])
         return pd.concat([
-            fn(qs.iloc[i:i + _QUERY_ROWS], ts, _distances(left[i:i + _QUERY_ROWS], right))
+            fn(qs.iloc[i:i + _QUERY_ROWS], ts, left[i:i + _QUERY_ROWS], right)
             for i in range(0, len(qs), _QUERY_ROWS)], ignore_index=True)
 
     return q.groupBy("qb", "tb").cogroup(t.groupBy("t_qb", "t_tb")).applyInPandas(run, schema)
@@ -132,18 +154,22 @@ def ranked_matches(df: DataFrame, key: str, vector: str, label: str, block_rows:
     blocks = blocks_of(df, key, vector, _block_rows(n, df.sparkSession.sparkContext.defaultParallelism, block_rows))
     all_blocks = range(len(blocks.sizes))
 
-    def others(qs, ts):
-        return qs[key].to_numpy()[:, None] != ts["t_key"].to_numpy()[None, :]
-
-    def nearest(qs, ts, dist):
-        ts = ts.reset_index(drop=True).sort_values("t_key")
-        dist = dist[:, ts.index.to_numpy()]
-        same = (qs[label].to_numpy()[:, None] == ts["t_label"].to_numpy()[None, :]) & others(qs, ts)
-        dist = np.where(same, dist, np.inf)
-        at = np.argmin(dist, axis=1)  # the first of equal distances, so the smallest key
-        best = dist[np.arange(len(qs)), at]
-        found = pd.DataFrame({key: qs[key].to_numpy(), "block": qs["qb"].to_numpy(), "d": best, "near": ts["t_key"].to_numpy()[at]})
-        return found[np.isfinite(best)]
+    def nearest(qs, ts, q, t):
+        codes = pd.factorize(pd.concat([qs[label], ts["t_label"]], ignore_index=True))[0]
+        q_code, t_code, q_key, t_key = codes[:len(qs)], codes[len(qs):], qs[key].to_numpy(), ts["t_key"].to_numpy()
+        found = [np.zeros((2, 0), dtype=np.int64)]
+        for code in np.unique(q_code[q_code >= 0]):
+            rows, cols = np.flatnonzero(q_code == code), np.flatnonzero(t_code == code)
+            if len(cols):
+                rough, off = _rough_squares(q[rows], t[cols])
+                rough[q_key[rows][:, None] == t_key[cols][None, :]] = np.inf
+                least = rough.min(axis=1)
+                x, y = np.nonzero((rough <= (least + 2 * off)[:, None]) & np.isfinite(least)[:, None])
+                found.append(np.stack([rows[x], cols[y]]))
+        x, y = np.concatenate(found, axis=1)
+        out = pd.DataFrame({key: q_key[x], "block": qs["qb"].to_numpy()[x], "d": _pair_distances(q, t, (x, y)), "near": t_key[y], "_x": x})
+        # the first of equal distances has the smallest key
+        return out.sort_values(["d", "near"]).drop_duplicates("_x").drop(columns="_x")
 
     found_schema = f"{key} long, block int, d double, near long"
     inside = materialise(_blockwise(blocks.rows, blocks, {b: [b] for b in all_blocks}, key, vector, label, nearest, found_schema), "nearest")
@@ -154,10 +180,15 @@ def ranked_matches(df: DataFrame, key: str, vector: str, label: str, block_rows:
     near = materialise(near, "nearest")
     span = {r.block: (r.lo, r.hi) for r in near.groupBy("block").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).collect()}
 
-    def before(qs, ts, dist):
-        d, near_key = qs["d"].to_numpy()[:, None], qs["near"].to_numpy()[:, None]
-        first = ((dist < d) | ((dist == d) & (ts["t_key"].to_numpy()[None, :] < near_key))) & others(qs, ts)
-        return pd.DataFrame({key: qs[key].to_numpy(), "n": first.sum(axis=1)})
+    def before(qs, ts, q, t):
+        d, near_key, q_key, t_key = qs["d"].to_numpy(), qs["near"].to_numpy(), qs[key].to_numpy(), ts["t_key"].to_numpy()
+        rough, off = _rough_squares(q, t)
+        rough[q_key[:, None] == t_key[None, :]] = np.inf
+        surely = rough < (np.square(d) - off)[:, None]
+        x, y = np.nonzero((rough <= (np.square(d) + off)[:, None]) & ~surely)
+        dist = _pair_distances(q, t, (x, y))
+        first = (dist < d[x]) | ((dist == d[x]) & (t_key[y] < near_key[x]))
+        return pd.DataFrame({key: q_key, "n": surely.sum(axis=1) + np.bincount(x[first], minlength=len(qs))})
 
     counted, whole = {}, []
     for b, (lo, hi) in span.items():
