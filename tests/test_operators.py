@@ -1,5 +1,6 @@
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -315,3 +316,10 @@ def test_ranks_with_near_ties_copies_and_missing_labels(spark):
     df = spark.createDataFrame([(i, v[i].tolist(), label[i]) for i in range(len(v))], "k long, v array<double>, l int")
     for size in (20, 500):
         assert {r.k: r["rank"] for r in vectors.first_match_rank(df, "k", "v", "l", block_rows=size).collect()} == want
+
+
+def test_common_substring_of_a_long_run_of_one_character():
+    text, begun = "a" * 12_000, time.process_time()
+    assert T.common_substring(text, text) == (12_000, 12_000)
+    assert T.common_substring("xbay" + "cab", "zcabbay") == (4, 3)
+    assert time.process_time() - begun < 5

@@ -114,18 +114,14 @@ def lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
 
 
 def common_substring(a: str, b: str) -> tuple[int, int]:
-    """End position in a and length of the first longest common substring."""
-    best, end, prev = 0, 0, {}
-    where: dict = {}
-    for j, y in enumerate(b):
-        where.setdefault(y, []).append(j)
-    for i, x in enumerate(a):
-        cur = {}
-        for j in where.get(x, ()):
-            cur[j] = n = prev.get(j - 1, 0) + 1
-            if n > best:
-                best, end = n, i + 1
-        prev = cur
+    """End position in a and length of the first longest common substring.
+
+    What ends at the next character is at most one longer than the longest so far, so one search in b a character is enough.
+    """
+    best = end = 0
+    for i in range(len(a)):
+        if a[i - best:i + 1] in b:
+            best, end = best + 1, i + 1
     return end, best
 
 
