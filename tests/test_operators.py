@@ -323,3 +323,8 @@ def test_common_substring_of_a_long_run_of_one_character():
     assert T.common_substring(text, text) == (12_000, 12_000)
     assert T.common_substring("xbay" + "cab", "zcabbay") == (4, 3)
     assert time.process_time() - begun < 5
+
+
+def test_mask_tokens_draws_once_a_token(spark):
+    df = spark.range(3).select(corpus.mask_tokens(F.sequence(F.lit(1), F.lit(50)), F.col("id"), [1, 2], 0.15, -1, 0, 3).alias("m"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("md5(") <= 3

@@ -343,12 +343,15 @@ def mask_tokens(ids: Column, key: Column, specials: list[int], p: float, mask_id
 
     Labels are -100 where nothing was selected.
     """
-    def one(x, i):
-        chosen = (unit(seed, key, i) < p) & ~x.isin(specials)
-        how = unit(seed + 1, key, i)
+    def marked(x, i, chosen, how):
         random_id = F.floor(unit(seed + 2, key, i) * vocab).cast("int")
         new = F.when(~chosen, x).when(how < 0.8, F.lit(mask_id)).when(how < 0.9, random_id).otherwise(x)
         return F.struct(new.alias("input"), F.when(chosen, x).otherwise(F.lit(-100)).alias("label"))
+
+    def one(x, i):
+        # the draws once a token, the second for selected ones only
+        return let(~x.isin(specials) & (unit(seed, key, i) < p), lambda chosen: let(
+            F.when(~chosen, F.lit(1.0)).otherwise(unit(seed + 1, key, i)), lambda how: marked(x, i, chosen, how)))
     return F.transform(ids, one)
 
 
