@@ -26,8 +26,15 @@ def numbered(values: DataFrame, column: str) -> DataFrame:
 
 
 def unranked(have: Column, j: Column) -> Column:
-    """The j-th number, from 0, that is not in the sorted array `have`."""
-    return j + F.size(F.filter(F.transform(have, lambda v, i: v - i), lambda free: free <= j))
+    """The j-th number, from 0, that is not in the sorted array `have`; its place is found by halving."""
+    halvings = F.sequence(F.lit(1), F.length(F.bin(F.size(have))))
+
+    def step(at, _):
+        mid = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        free = F.get(have, mid) - mid <= j  # false behind the last
+        more = at["lo"] < at["hi"]
+        return F.struct(F.when(more & free, mid + 1).otherwise(at["lo"]).alias("lo"), F.when(more & ~free, mid).otherwise(at["hi"]).alias("hi"))
+    return j + F.aggregate(halvings, F.struct(F.lit(0).alias("lo"), F.size(have).alias("hi")), step)["lo"]
 
 
 def drawn(seed: int, *key: Column) -> Column:
@@ -35,20 +42,30 @@ def drawn(seed: int, *key: Column) -> Column:
     return F.conv(F.substring(seeded(seed, *key), 1, 12), 16, 10).cast("long")
 
 
-def walk(start: Column, t: Column, size: Column) -> Column:
-    """The t-th of a permutation of the numbers below size: steps of a prime that does not divide it."""
+def stride(size: Column) -> Column:
+    """A prime that does not divide size."""
     step = F.lit(1)
     for prime in (7919, 104_729, 999_983, 1_000_003, 15_485_863):
         step = F.when(size % prime != 0, F.lit(prime)).otherwise(step)
+    return step
+
+
+def walk(start: Column, t: Column, size: Column, step: Column) -> Column:
+    """The t-th of a permutation of the numbers below size, from its start by its stride."""
     return F.pmod(F.pmod(start, size) + t * step, size)
 
 
-def counted(rows: DataFrame, n: Column, name: str = "t") -> DataFrame:
-    """Every row once for each number below n, in chunks, so that no row holds them all."""
+def in_chunks(rows: DataFrame, n: Column, name: str) -> DataFrame:
+    """Every row once for each chunk of the numbers below n, which it holds as an array."""
     most = F.floor((n - 1) / CHUNK)
     of = rows.where(n > 0).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), most)))
     first = F.col("_chunk") * CHUNK
-    return of.withColumn(name, F.explode(F.sequence(first, F.least(first + CHUNK, n) - 1))).drop("_chunk")
+    return of.withColumn(name, F.sequence(first, F.least(first + CHUNK, n) - 1)).drop("_chunk")
+
+
+def counted(rows: DataFrame, n: Column, name: str = "t") -> DataFrame:
+    """Every row once for each number below n, in chunks, so that no row holds them all."""
+    return in_chunks(rows, n, name).withColumn(name, F.explode(name))
 
 
 def class_example(text: Column, label: Column, options: list[str], prefix: str, key: Column, seed: int) -> Column:
@@ -123,45 +140,49 @@ def relation_negatives(relations: DataFrame, entities: DataFrame, doc: str, rati
     """
     from veilframe.operators.extract import prompt
     make = lambda s, p: prompt(s, p, chinese)
+    c = F.col
     names, labels = numbered(entities, "text"), numbered(entities, "label")
-    per_doc = relations.groupBy(doc).agg(
-        F.countDistinct(make(F.col("subject"), F.col("predicate"))).alias("pos"),
+    named = relations.join(names.select(c("text").alias("subject"), "idx"), "subject", "left")
+    per_doc = named.groupBy(doc).agg(
+        F.size(F.collect_set(make(c("subject"), c("predicate")))).cast("long").alias("pos"),
         F.sort_array(F.collect_set("predicate")).alias("predicates"), F.sort_array(F.collect_set("subject")).alias("subjects"),
-        F.array_sort(F.collect_list(F.struct(seeded(seed, F.col(doc), make(F.col("object"), F.col("predicate"))).alias("h"),
-                                             make(F.col("object"), F.col("predicate")).alias("prompt"))))["prompt"].alias("inverse"))
-    numbers = lambda rows, table, on, name: rows.distinct().join(table, on).groupBy(doc).agg(F.sort_array(F.collect_list("idx")).alias(name))
-    subjects = numbers(relations.select(doc, F.col("subject").alias("text")), names, "text", "own_names")
-    have = numbers(entities.select(doc, "label"), labels, "label", "own_labels")
+        F.sort_array(F.collect_list(F.struct(seeded(seed, c(doc), make(c("object"), c("predicate"))).alias("h"),
+                                             make(c("object"), c("predicate")).alias("prompt"))))["prompt"].alias("inverse"),
+        F.sort_array(F.collect_set(F.when(c(doc).isNotNull(), c("idx")))).alias("own_names"))
+    have = (entities.select(doc, "label").distinct().join(labels, "label")
+            .groupBy(doc).agg(F.sort_array(F.collect_list("idx")).alias("own_labels")))
     none = F.array().cast("array<bigint>")
-    rows = (per_doc.join(subjects, doc, "left").join(have, doc, "left")
-            .withColumns({"own_names": F.coalesce("own_names", none), "own_labels": F.coalesce("own_labels", none)})
+    rows = (per_doc.join(have, doc, "left").withColumns({"own_labels": F.coalesce("own_labels", none)})
             .withColumns({"size1": F.size("inverse").cast("long"), "size2": F.lit(names.count()) - F.size("own_names"),
                           "size3": F.lit(labels.count()) - F.size("own_labels")}))
-    c = F.col
     for i in (1, 2, 3):
         size = c(f"size{i}")
         whole = F.lit(ratio == -1) | (F.ceil(size / c("pos")) <= ratio // 3)
         rows = rows.withColumn(f"n{i}", F.when(whole, size).otherwise(F.greatest(c("pos") * (ratio // 3), F.lit(0))))
     left = [c(f"size{i}") - c(f"n{i}") for i in (1, 2, 3)]
     more = F.least(F.greatest(c("pos") * ratio - c("n1") - c("n2") - c("n3"), F.lit(0)), sum(left, F.lit(0)))
-    rows = materialise(rows.withColumns({"more": more, "left1": left[0], "left2": left[1], "left3": left[2]}), "pools")
-
-    first = None
-    for i in (1, 2, 3):
-        part = counted(rows, c(f"n{i}")).withColumn("pool", F.lit(i))
-        first = part if first is None else first.unionByName(part)
+    rows = rows.withColumns({"more": more, "left1": left[0], "left2": left[1], "left3": left[2]})
+    # the starts and strides of the walks once a document
+    sizes = {2: c("size2"), 3: c("size3"), 4: c("left1") + c("left2") + c("left3")}
+    rows = rows.withColumns({f"start{i}": drawn(seed + i, c(doc)) for i in sizes}).withColumns({f"step{i}": stride(n) for i, n in sizes.items()})
+    rows = materialise(rows, "pools")
+    walked = lambda i, t: walk(c(f"start{i}"), t, sizes[i], c(f"step{i}"))
     # a number below all that is left names a pool and a place behind what was taken of it
-    at = walk(drawn(seed + 4, c(doc)), c("t"), c("left1") + c("left2") + c("left3"))
-    rest = counted(rows, c("more")).withColumn("_at", at).withColumn(
-        "pool", F.when(c("_at") < c("left1"), 1).when(c("_at") < c("left1") + c("left2"), 2).otherwise(3))
-    rest = rest.withColumn("t", F.when(c("pool") == 1, c("n1") + c("_at")).when(c("pool") == 2, c("n2") + c("_at") - c("left1"))
-                           .otherwise(c("n3") + c("_at") - c("left1") - c("left2"))).drop("_at")
-    chosen = first.unionByName(rest)
-    idx = lambda i, own: unranked(c(own), walk(drawn(seed + i, c(doc)), c("t"), c(f"size{i}")))
-    one_of = lambda values, i: F.get(values, (drawn(seed + 10 + i, c(doc), c("idx")) % F.size(values)).cast("int"))
-    inverse = chosen.where("pool = 1").select(doc, "pool", F.get("inverse", c("t").cast("int")).alias("prompt"))
-    other = (chosen.where("pool = 2").withColumn("idx", idx(2, "own_names")).select(doc, "pool", "idx", one_of(c("predicates"), 2).alias("predicate"))
-             .join(names, "idx").select(doc, "pool", make(c("text"), c("predicate")).alias("prompt")))
-    lacking = (chosen.where("pool = 3").withColumn("idx", idx(3, "own_labels")).select(doc, "pool", "idx", one_of(c("subjects"), 3).alias("subject"))
-               .join(labels, "idx").select(doc, "pool", make(c("subject"), c("label")).alias("prompt")))
+    before = {1: F.lit(0), 2: c("left1"), 3: c("left1") + c("left2")}
+
+    def places(i: int) -> DataFrame:
+        """What is chosen of pool i: a row a document and chunk, with its places as an array, so that only these are exploded."""
+        at = F.filter(F.transform("t", lambda t: walked(4, t)), lambda a: (a >= before[i]) & (a < before[i] + c(f"left{i}")))
+        rest = in_chunks(rows, c("more"), "t").withColumn("t", F.transform(at, lambda a: c(f"n{i}") + a - before[i]))
+        return in_chunks(rows, c(f"n{i}"), "t").unionByName(rest)
+
+    def numbers(i: int, own: str, values: str, name: str) -> DataFrame:
+        idx = places(i).select(doc, values, F.transform("t", lambda t: unranked(c(own), walked(i, t))).alias("idx"))
+        one_of = lambda x: F.get(values, (drawn(seed + 10 + i, c(doc), x) % F.size(values)).cast("int"))
+        return idx.select(doc, F.explode(F.transform("idx", lambda x: F.struct(x.alias("idx"), one_of(x).alias(name)))).alias("x")).select(doc, "x.*")
+
+    pool = lambda i: F.lit(i).alias("pool")
+    inverse = places(1).select(doc, F.explode(F.transform("t", lambda t: F.get("inverse", t.cast("int")))).alias("prompt")).select(doc, pool(1), "prompt")
+    other = numbers(2, "own_names", "predicates", "predicate").join(names, "idx").select(doc, pool(2), make(c("text"), c("predicate")).alias("prompt"))
+    lacking = numbers(3, "own_labels", "subjects", "subject").join(labels, "idx").select(doc, pool(3), make(c("subject"), c("label")).alias("prompt"))
     return inverse.unionByName(other).unionByName(lacking)
