@@ -52,3 +52,22 @@ def test_unranked_is_the_number_that_is_not_there(spark):
     rows = spark.createDataFrame([(have, j) for j in range(40)] + [([], 7)], "have array<bigint>, j long")
     got = [r[0] for r in rows.select(N.unranked(F.col("have"), F.col("j"))).collect()]
     assert got == free[:40] + [7]
+
+
+def test_changes_explode_tokens_without_their_text(spark):
+    rows = spark.createDataFrame([(1, ["a", "b", "c", "b"], [0, 1, 3]), (2, [], []), (3, None, None), (4, ["c", "d"], [0]), (5, ["b"], [0, 0])],
+                                 "k int, w array<string>, at array<int>")
+    words = spark.createDataFrame([("a", ["x"]), ("b", ["y"])], "token string, options array<string>")
+    got = A.change(rows, "k", "w", "at", words, 1, "new")
+    assert {r.k: r.new for r in got.collect()} == {1: ["x", "y", "c", "y"], 2: [], 3: None, 4: ["c", "d"], 5: ["y"]}
+    assert all("w" not in kept for kept, _ in carried(got))
+    both = {r.k: r.new for r in A.change(rows, "k", "w", "at", words, 1, "new", insert=True).collect()}
+    assert sorted(both[1]) == sorted(["a", "x", "b", "y", "c", "b", "y"]) and both[1].index("c") == 4
+
+
+@pytest.mark.parametrize("name", ["augment_substitute", "augment_random", "augment_tfidf"])
+def test_augmentation_reads_tokens_it_has_written(spark, tables, name):
+    """Tokens and draws are made once; the plan of the result reads them from the work folder."""
+    got = load().QUERIES[name](spark, tables)
+    assert name == "augment_tfidf" or got.count() == len(DOCS)
+    assert "regexp_extract_all" not in plan(got)

@@ -13,7 +13,7 @@ from veilframe.functions.fold import let
 from veilframe.operators.corpus import unit
 from veilframe.operators.ordering import row_index
 from veilframe.operators.rows import seeded
-from veilframe.session import small
+from veilframe.session import materialise, small
 
 EMPTY = "array<int>"
 
@@ -49,7 +49,7 @@ def how_many(size: Column, n_eligible: Column | None = None, fixed: int | None =
 
 def choose(positions: Column, n: Column, key: Column, seed: int) -> Column:
     """n positions in hash order, returned ascending."""
-    drawn = F.array_sort(F.transform(positions, lambda i: F.struct(seeded(seed, key, i).alias("h"), i.alias("i"))))
+    drawn = F.sort_array(F.transform(positions, lambda i: F.struct(seeded(seed, key, i).alias("h"), i.alias("i"))))
     return F.array_sort(F.slice(drawn, F.lit(1), F.greatest(n, F.lit(0)))["i"])
 
 
@@ -69,31 +69,40 @@ def change(df: DataFrame, key: str, tokens: str, chosen: str, dictionary: DataFr
            out: str, insert: bool = False) -> DataFrame:
     """Substitute chosen tokens from dictionary(token, options), or insert an option beside them.
 
-    Only the chosen positions are exploded; the dictionary is joined on the token (broadcast when a
-    count proves it small), and the few changes per row return as an array. Tokens without an entry
-    stay. An inserted word stands before or behind by a coin flip.
+    Only the chosen tokens are exploded, without their text; the dictionary is joined on the token (broadcast when a
+    count proves it small), and the few changes per row return as an array and are set between slices of the tokens.
+    Rows and dictionary are written once, as both are read twice. Tokens without an entry stay. An inserted word stands
+    before or behind by a coin flip.
     """
-    picked = df.select(key, tokens, F.explode(chosen).alias("_i")).select(key, "_i", F.get(tokens, F.col("_i")).alias("_t"))
-    words = dictionary.select(F.col("token").alias("_t"), "options")
+    df = materialise(df, "tokens")
+    places = F.transform(chosen, lambda i: F.struct(i.alias("_i"), F.get(tokens, i).alias("_t")))
+    picked = df.select(key, F.explode(places).alias("_p")).select(key, "_p.*")
+    words = materialise(dictionary.select(F.col("token").alias("_t"), "options"), "dictionary")
     hit = picked.join(small(words), "_t")
     draw = F.floor(unit(seed, F.col(key), F.col("_i")) * F.size("options")).cast("int")
     before = unit(seed + 1, F.col(key), F.col("_i")) < 0.5
     new = F.get(F.col("options"), draw)
     pair = F.when(before, F.array(new, F.col("_t"))).otherwise(F.array(F.col("_t"), new)) if insert else F.array(new)
     edits = hit.groupBy(key).agg(F.collect_list(F.struct(F.col("_i").alias("i"), pair.alias("w"))).alias("_e"))
+    return df.join(edits, key, "left").withColumn(
+        out, F.when(F.col("_e").isNull(), F.col(tokens)).otherwise(_spliced(F.col(tokens), F.col("_e")))).drop("_e")
 
-    def at(t, i):
-        edit = F.get(F.filter(F.col("_e"), lambda e: e["i"] == i), F.lit(0))
-        return F.when(edit.isNull(), F.array(t)).otherwise(edit["w"])
 
-    changed = F.flatten(F.transform(tokens, at))
-    return df.join(edits, key, "left").withColumn(
-        out, F.when(F.col("_e").isNull(), F.col(tokens)).otherwise(changed)).drop("_e")
+def _spliced(tokens: Column, edits: Column) -> Column:
+    """Tokens with edits (i, w) put in the place of their i-th; of edits of one place the first counts."""
+    def between(e):
+        def one(x, j):
+            start = F.when(j > 0, F.get(e, j - 1)["i"] + 1).otherwise(F.lit(0))
+            return F.concat(F.slice(tokens, start + 1, x["i"] - start), x["w"])
+        tail = F.coalesce(F.get(e, F.size(e) - 1)["i"] + 1, F.lit(0))
+        return F.flatten(F.concat(F.transform(e, one), F.array(F.slice(tokens, tail + 1, F.size(tokens)))))
+    first = let(edits["i"], lambda at: F.filter(edits, lambda x, j: (F.array_position(at, x["i"]) == j + 1) & (x["i"] < F.size(tokens))))
+    return let(F.sort_array(first), between)
 
 
 def random_dictionary(tokens: DataFrame, vocab: DataFrame, seed: int) -> DataFrame:
     """A random vocabulary word for every distinct token, as dictionary(token, options)."""
-    indexed = row_index(vocab.select(F.col("token").alias("_w")).distinct(), ["_w"], "_idx")
+    indexed = materialise(row_index(vocab.select(F.col("token").alias("_w")).distinct(), ["_w"], "_idx"), "vocabulary")
     n = indexed.count()
     draw = F.floor(unit(seed, F.col("token")) * n).cast("long")
     return (tokens.select("token").distinct().withColumn("_idx", draw).join(indexed, "_idx")

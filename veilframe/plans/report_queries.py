@@ -11,7 +11,7 @@ from veilframe.operators import telemetry as M
 from veilframe.plans.metric_queries import rounded
 from veilframe.plans.registry import query
 from veilframe.plans.text_queries import W, docs
-from veilframe.session import table
+from veilframe.session import materialise, table
 
 
 def events(spark, sf):
@@ -145,7 +145,7 @@ def dictionary(spark, sf):
 
 @query("augment_substitute", AUG + "SELECT doc_id, md5(array_to_string(list_transform(w, lambda x, i: CASE WHEN list_contains(chosen, i) THEN replace(x, 'é', 'e') ELSE x END), ' ')) AS md5 FROM c")
 def augment_substitute(spark, sf):
-    out = A.change(chosen(spark, sf), "doc_id", "w", "chosen", dictionary(spark, sf), 21, "new")
+    out = A.change(chosen(spark, sf).select("doc_id", "w", "chosen"), "doc_id", "w", "chosen", dictionary(spark, sf), 21, "new")
     return out.select("doc_id", md5_of(F.col("new")))
 
 
@@ -155,17 +155,17 @@ COIN = "(('0x' || substr(md5('22:' || doc_id || ':' || (i - 1)), 1, 8))::BIGINT
 @query("augment_insert", AUG + f"""SELECT doc_id, md5(array_to_string(list_transform(w, lambda x, i: CASE WHEN list_contains(chosen, i) AND contains(x, 'é') THEN
  CASE WHEN {COIN} THEN replace(x, 'é', 'e') || ' ' || x ELSE x || ' ' || replace(x, 'é', 'e') END ELSE x END), ' ')) AS md5 FROM c""")
 def augment_insert(spark, sf):
-    out = A.change(chosen(spark, sf), "doc_id", "w", "chosen", dictionary(spark, sf), 21, "new", insert=True)
+    out = A.change(chosen(spark, sf).select("doc_id", "w", "chosen"), "doc_id", "w", "chosen", dictionary(spark, sf), 21, "new", insert=True)
     return out.select("doc_id", md5_of(F.col("new")))
 
 
 @query("augment_random", AUG + "SELECT doc_id, len(w)::BIGINT AS words, (SELECT count(DISTINCT u) FROM (SELECT unnest(w) AS u FROM t))::BIGINT AS vocab FROM c")
 def augment_random(spark, sf):
     """Chosen tokens replaced by random vocabulary words: lengths stay, every new word is known."""
-    c = chosen(spark, sf)
-    vocab = c.select(F.explode("w").alias("token")).distinct()
-    picked = c.select(F.explode("chosen").alias("i"), "w").select(F.get("w", F.col("i")).alias("token"))
-    out = A.change(c, "doc_id", "w", "chosen", A.random_dictionary(picked, vocab, 8), 21, "new")
+    c = materialise(chosen(spark, sf).select("doc_id", "w", "chosen"), "chosen")
+    vocab = materialise(c.select(F.explode("w").alias("token")).distinct(), "vocabulary")
+    picked = c.select(F.explode(F.transform("chosen", lambda i: F.get("w", i))).alias("token"))
+    out = materialise(A.change(c, "doc_id", "w", "chosen", A.random_dictionary(picked, vocab, 8), 21, "new").select("doc_id", "new"), "new")
     both = out.select(F.explode("new").alias("token")).distinct().union(vocab).distinct().agg(F.count("*").alias("vocab"))
     return out.select("doc_id", F.size("new").cast("long").alias("words")).join(F.broadcast(both))
 
@@ -173,8 +173,8 @@ def augment_random(spark, sf):
 @query("augment_tfidf", AUG + "SELECT doc_id, n AS picked FROM c WHERE n > 0")
 def augment_tfidf(spark, sf):
     """Positions drawn in proportion to TF-IDF; every draw is an eligible position, none twice."""
-    c = chosen(spark, sf)
-    pos = c.select("doc_id", "n", "w", F.explode("el").alias("pos")).withColumn("token", F.get("w", F.col("pos"))).drop("w")
+    at = F.explode(F.transform("el", lambda i: F.struct(i.alias("pos"), F.get("w", i).alias("token"))))
+    pos = materialise(chosen(spark, sf).select("doc_id", "n", at.alias("x")).select("doc_id", "n", "x.*"), "positions")
     weights = C.tf_idf(pos, "doc_id", "token").select("doc_id", "token", "tfidf")
     out = A.weighted_choice(pos.join(weights, ["doc_id", "token"]), "doc_id", "pos", "tfidf", "n", 31)
     return out.where(F.size("positions") > 0).select("doc_id", F.size(F.array_distinct("positions")).cast("long").alias("picked"))
