@@ -71,3 +71,23 @@ def test_augmentation_reads_tokens_it_has_written(spark, tables, name):
     got = load().QUERIES[name](spark, tables)
     assert name == "augment_tfidf" or got.count() == len(DOCS)
     assert "regexp_extract_all" not in plan(got)
+
+
+def test_numbered_keeps_nulls_last(spark):
+    rows = spark.createDataFrame([(["b", None, "a", "b"],), ([],), (None,)], "x array<string>")
+    assert [r[0] for r in rows.select(M.numbered(F.col("x"))).collect()] == [["a#0", "b#0", "b#1", "b#2"], [], None]
+
+
+def test_spans_are_looked_up(spark):
+    spans = lambda *s: [dict(start=a, end=b) for a, b in s]
+    rows = [(spans((1, 2), (3, 4), (3, 4), (12, 3)), spans((3, 4), (1, 23), (12, 3))), (spans(), spans((1, 1))), (None, spans((1, 1)))]
+    df = spark.createDataFrame(rows, "a array<struct<start:int,end:int>>, b array<struct<start:int,end:int>>")
+    assert [r[0] for r in df.select(M.same_spans(F.col("a"), F.col("b"))).collect()] == [2, 0, None]
+
+
+def test_bonus_numbers_the_grams_once(spark):
+    t = spark.createDataFrame([(["a", "b", "a"], [["a", "a", "b"], ["b"]], "Yes", ["No", "Yes"]), (["a"], [["a"]], "No", ["No"])],
+                              "c array<string>, r array<array<string>>, l string, rl array<string>")
+    x = t.select(M.bleu_counts(F.col("c"), F.col("r"), 1, F.col("l"), F.col("rl")).alias("x")).select("x.*")
+    assert [tuple(r) for r in x.collect()] == [(3, 1, 3), (1, 1, 1)]
+    assert plan(x).count("sort_array") <= 4

@@ -34,21 +34,26 @@ def numbered(items: Column) -> Column:
     def of_sorted(s):
         starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
         return F.when(F.size(s) == 0, s).otherwise(let(starts, lambda b: of_runs(s, b)))
-    return let(F.array_sort(items), of_sorted)
+    # nulls last
+    return let(items, lambda x: let(F.concat(F.sort_array(F.array_compact(x)), F.filter(x, lambda v: v.isNull())), of_sorted))
 
 
 # n-gram metrics ----------------------------------------------------------------------------
 
 def bleu_counts(cand: Column, refs: Column, n: int, label: Column | None = None,
-                ref_labels: Column | None = None) -> tuple[Column, Column]:
-    """Clipped matches and candidate n-grams; with labels, n-grams carry their answer label."""
-    tag = lambda grams, lab: grams if lab is None else F.transform(grams, lambda g: F.concat_ws("\u0001", g, lab))
-    mine = numbered(tag(ngrams(cand, n), label))
+                ref_labels: Column | None = None) -> Column:
+    """struct<hit, labelled, total>: clipped matches, those with references of the same answer label, candidate n-grams.
+
+    The n-grams are numbered once for both counts; without labels `labelled` is null.
+    """
+    hits = lambda mine, theirs: F.size(F.array_intersect(mine, F.flatten(theirs)))
+    total = F.greatest(F.size(cand) - n + 1, F.lit(0))
+    mine, theirs = numbered(ngrams(cand, n)), F.transform(refs, lambda r: numbered(ngrams(r, n)))
     if ref_labels is None:
-        theirs = F.flatten(F.transform(refs, lambda r: numbered(tag(ngrams(r, n), label))))
-    else:
-        theirs = F.flatten(F.zip_with(refs, ref_labels, lambda r, lab: numbered(tag(ngrams(r, n), lab))))
-    return F.size(F.array_intersect(mine, theirs)), F.greatest(F.size(cand) - n + 1, F.lit(0))
+        return F.struct(hits(mine, theirs).alias("hit"), F.lit(None).cast("int").alias("labelled"), total.alias("total"))
+    same = lambda t: F.zip_with(t, ref_labels, lambda grams, lab: F.when(grams.isNull() | lab.eqNullSafe(label), grams).otherwise(F.array().cast("array<string>")))
+    return let(mine, lambda m: let(theirs, lambda t: F.struct(
+        hits(m, t).alias("hit"), hits(m, same(t)).alias("labelled"), total.alias("total"))))
 
 
 def closest_length(cand: Column, refs: Column) -> Column:
@@ -64,16 +69,12 @@ def bleu(pairs: DataFrame, cand: str, refs: str, n: int = 4, bonus: tuple[str, s
     matches and candidates alike.
     """
     c, r = F.col(cand), F.col(refs)
-    cols = [F.size(c).alias("_c"), closest_length(c, r).alias("_r")]
-    for k in range(1, n + 1):
-        m, t = bleu_counts(c, r, k)
-        cols += [m.alias(f"_m{k}"), t.alias(f"_t{k}")]
-        if bonus:
-            extra, _ = bleu_counts(c, r, k, F.col(bonus[0]), F.col(bonus[1]))
-            cols.append((alpha * extra).alias(f"_b{k}"))
-    sums = pairs.select(*by, *cols).groupBy(*by).agg(
-        *[F.sum(x).alias(x) for x in ["_c", "_r"] + [f"_{p}{k}" for k in range(1, n + 1)
-                                                      for p in (("m", "t", "b") if bonus else ("m", "t"))]])
+    labels = [F.col(x) for x in bonus] if bonus else []
+    counts = [bleu_counts(c, r, k, *labels).alias(f"_n{k}") for k in range(1, n + 1)]
+    parts = {"m": lambda x: x["hit"], "t": lambda x: x["total"]} | ({"b": lambda x: alpha * x["labelled"]} if bonus else {})
+    sums = pairs.select(*by, F.size(c).alias("_c"), closest_length(c, r).alias("_r"), *counts).groupBy(*by).agg(
+        F.sum("_c").alias("_c"), F.sum("_r").alias("_r"),
+        *[F.sum(of(F.col(f"_n{k}"))).alias(f"_{p}{k}") for k in range(1, n + 1) for p, of in parts.items()])
     logs = F.lit(0.0)
     for k in range(1, n + 1):
         m, t = F.col(f"_m{k}").cast("double"), F.col(f"_t{k}").cast("double")
@@ -117,6 +118,15 @@ def distinct_n(df: DataFrame, tokens: str, n: int, approximate: bool = False) ->
     return grams.agg((kinds / F.count("g")).alias("distinct"))
 
 
+def same_spans(a: Column, b: Column) -> Column:
+    """How many spans (start, end) stand in both arrays, each counted once.
+
+    As text: arrays of structs would be compared pair by pair, texts are looked up.
+    """
+    keys = lambda spans: F.transform(spans, lambda s: F.concat_ws(":", F.coalesce(s["start"].cast("string"), F.lit("-")), F.coalesce(s["end"].cast("string"), F.lit("-"))))
+    return F.size(F.array_intersect(keys(a), keys(b)))
+
+
 # classification ----------------------------------------------------------------------------
 
 def prf(df: DataFrame, hit: Column, predicted: Column, gold: Column) -> DataFrame:

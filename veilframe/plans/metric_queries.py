@@ -104,7 +104,7 @@ def chunk_f1(spark, sf):
     t = tagged(spark, sf)
     t = t.withColumn("ptags", F.transform("tags", lambda x, i: F.when((i + 1) % 5 == 0, "O").otherwise(x)))
     t = t.select(D.bio_spans(F.col("tags")).alias("g"), D.bio_spans(F.col("ptags")).alias("p"))
-    return rounded(M.prf(t, F.size(F.array_intersect("g", "p")), F.size("p"), F.size("g")))
+    return rounded(M.prf(t, M.same_spans(F.col("g"), F.col("p")), F.size("p"), F.size("g")))
 
 
 @query("span_f1", """WITH v AS (SELECT vec_id, i - 1 AS pos, embedding[i] AS a, embedding[65 - i] AS b FROM (SELECT *, unnest(range(1, 65)) AS i FROM embeddings)),
@@ -121,7 +121,7 @@ def span_f1(spark, sf):
     s = v.select(over("embedding", 0.1).alias("gs"), over("rev", 0.1).alias("ge"), over("embedding", 0.12).alias("ps"), over("rev", 0.12).alias("pe"))
     s = s.select(D.pair_spans(F.col("gs"), F.col("ge")).alias("g"), D.pair_spans(F.col("ps"), F.col("pe")).alias("p"),
                  F.greatest(F.size("gs"), F.size("ge")).alias("n"))
-    return rounded(M.prf(s, F.size(F.array_intersect("g", "p")), F.size("p"), F.col("n")))
+    return rounded(M.prf(s, M.same_spans(F.col("g"), F.col("p")), F.size("p"), F.col("n")))
 
 
 PRED = """WITH x AS (SELECT l.quality AS g, CAST(d.n_chars > 500 AS INT) AS p FROM labels l JOIN documents d USING (doc_id)),
