@@ -73,6 +73,10 @@ def test_augmentation_reads_tokens_it_has_written(spark, tables, name):
     assert "regexp_extract_all" not in plan(got)
 
 
+def test_blocks_of_a_fold_are_short():
+    assert fold._BLOCK <= 64
+
+
 def test_numbered_keeps_nulls_last(spark):
     rows = spark.createDataFrame([(["b", None, "a", "b"],), ([],), (None,)], "x array<string>")
     assert [r[0] for r in rows.select(M.numbered(F.col("x"))).collect()] == [["a#0", "b#0", "b#1", "b#2"], [], None]
