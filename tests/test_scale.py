@@ -73,6 +73,15 @@ def test_augmentation_reads_tokens_it_has_written(spark, tables, name):
     assert "regexp_extract_all" not in plan(got)
 
 
+def test_tf_idf_moves_rows_of_one_document_once(spark):
+    rows = [(1, "a"), (1, "a"), (1, "b"), (2, "a"), (None, "b"), (None, None), (2, None)]
+    tokens = spark.createDataFrame(rows, "d int, t string")
+    got = C.tf_idf(tokens, "d", "t")
+    assert sorted((r.d, r.t, round(r.tf, 6), round(r.idf, 6)) for r in got.collect()) == [
+        (1, "a", 0.666667, 0.405465), (1, "b", 0.333333, 0.405465), (2, "a", 0.5, 0.405465)]
+    assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString().replace("hashpartitioning(d#", "")
+
+
 def test_blocks_of_a_fold_are_short():
     assert fold._BLOCK <= 64
 

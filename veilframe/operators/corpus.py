@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from veilframe.functions.fold import let, scan
 from veilframe.operators.ordering import row_index, running
 from veilframe.operators.rows import seeded, top_k
-from veilframe.session import materialise
+from veilframe.session import materialise, small
 
 
 def build_vocab(tokens: DataFrame, token: str, min_freq: int = 1, max_size: int | None = None,
@@ -34,12 +34,16 @@ def build_vocab(tokens: DataFrame, token: str, min_freq: int = 1, max_size: int
 
 
 def tf_idf(tokens: DataFrame, doc: str, token: str) -> DataFrame:
-    """(doc, token, tf, idf, tfidf): tf over the document's tokens, idf = ln(N / df)."""
-    counts = materialise(tokens.groupBy(doc, token).agg(F.count("*").alias("n")), "counts")
-    totals = counts.groupBy(doc).agg(F.sum("n").alias("total"))
-    df = counts.groupBy(token).agg(F.count("*").alias("df"))
-    n_docs = totals.agg(F.count("*").alias("docs"))
-    return (counts.join(totals, doc).join(df, token).join(F.broadcast(n_docs))  # one row
+    """(doc, token, tf, idf, tfidf): tf over the document's tokens, idf = ln(N / df).
+
+    The counts are written once, with their document's total. Rows that are partitioned by doc before are not moved again for
+    that; the frequencies come to them by broadcast when a count proves them few.
+    """
+    counts = tokens.groupBy(doc, token).agg(F.count("*").alias("n"))
+    counts = materialise(counts.withColumn("total", F.sum("n").over(Window.partitionBy(doc))), "counts")
+    df = materialise(counts.groupBy(token).agg(F.count("*").alias("df")), "frequencies")
+    n_docs = counts.groupBy(doc).agg(F.count("*")).agg(F.count("*").alias("docs"))
+    return (counts.where(F.col(doc).isNotNull()).join(small(df), token).join(F.broadcast(n_docs))  # one row
             .select(doc, token, (F.col("n") / F.col("total")).alias("tf"),
                     F.ln(F.col("docs") / F.col("df")).alias("idf"))
             .withColumn("tfidf", F.col("tf") * F.col("idf")))

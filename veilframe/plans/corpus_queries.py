@@ -37,7 +37,9 @@ def vocab_build(spark, sf):
  SELECT doc_id, round(sum(n / total * ln((SELECT count(*) FROM t) / df)), 5) AS mass,
  round(max(n / total * ln((SELECT count(*) FROM t) / df)), 6) AS top FROM c JOIN d USING (token) JOIN t USING (doc_id) GROUP BY doc_id""")
 def tf_idf(spark, sf):
-    t = C.tf_idf(tokens(spark, sf), "doc_id", "token")
+    # the texts are moved once, before they are tokens
+    words = docs(spark, sf).repartition("doc_id").select("doc_id", F.explode(T.words(F.col("text"))).alias("token"))
+    t = C.tf_idf(words, "doc_id", "token")
     return t.groupBy("doc_id").agg(F.round(F.sum("tfidf"), 5).alias("mass"), F.round(F.max("tfidf"), 6).alias("top"))
 
 
