@@ -91,6 +91,13 @@ def test_numbered_keeps_nulls_last(spark):
     assert [r[0] for r in rows.select(M.numbered(F.col("x"))).collect()] == [["a#0", "b#0", "b#1", "b#2"], [], None]
 
 
+def test_draws_are_not_sorted_by_a_lambda(spark):
+    rows = spark.createDataFrame([(1, [3, 1, 2], ["a", "##b", "c"])], "k int, p array<int>, w array<string>")
+    got = rows.select(C.whole_word_mask(F.col("w"), F.col("k"), 0.9, 1).alias("m"), A.choose(F.col("p"), F.lit(3), F.col("k"), 1).alias("c"))
+    assert "array_sort(transform" not in plan(got)
+    assert [sorted(got.first().m), got.first().c] == [[0, 1, 2], [1, 2, 3]]
+
+
 def test_spans_are_looked_up(spark):
     spans = lambda *s: [dict(start=a, end=b) for a, b in s]
     rows = [(spans((1, 2), (3, 4), (3, 4), (12, 3)), spans((3, 4), (1, 23), (12, 3))), (spans(), spans((1, 1))), (None, spans((1, 1)))]

@@ -379,7 +379,7 @@ def _pick_words(pieces: Column, key: Column, p: float, seed: int, max_prediction
         m, F.concat(F.transform(F.slice(m, F.lit(2), F.size(m)), lambda x: x["at"]), F.array(n)),
         lambda a, end: F.struct(a["at"].alias("at"), end.alias("end"), a["word"].alias("word"))),
         lambda s: s["word"]))
-    shuffled = F.array_sort(F.transform(spans, lambda s: F.struct(
+    shuffled = F.sort_array(F.transform(spans, lambda s: F.struct(
         seeded(seed, key, s["at"]).alias("h"), s["at"].alias("at"), s["end"].alias("end"))))
     out_type = "array<struct<at:int,end:int>>"
     zero = F.struct(F.lit(0).alias("used"), F.array().cast(out_type).alias("out"))
