@@ -111,3 +111,10 @@ def test_bonus_numbers_the_grams_once(spark):
     x = t.select(M.bleu_counts(F.col("c"), F.col("r"), 1, F.col("l"), F.col("rl")).alias("x")).select("x.*")
     assert [tuple(r) for r in x.collect()] == [(3, 1, 3), (1, 1, 1)]
     assert plan(x).count("sort_array") <= 4
+
+
+def test_map_batched_makes_no_python_texts(spark, tables):
+
+    got = load().QUERIES["map_batched"](spark, tables)
+    assert sorted(map(tuple, got.collect())) == [(i, None if t is None else 2 * len(t)) for i, t in DOCS]
+    assert "MapInArrow" in plan(got)

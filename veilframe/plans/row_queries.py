@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from veilframe.operators import labels as L
@@ -47,8 +49,9 @@ def map_rows(spark, sf):
 def map_batched(spark, sf):
     def double(batches):
         for b in batches:
-            yield b[["doc_id"]].assign(double_len=b["text"].str.len() * 2)
-    return table(spark, sf, "documents").select("doc_id", "text").mapInPandas(
+            size = pc.multiply(pc.utf8_length(b.column("text")).cast(pa.int64()), 2)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), size], names=["doc_id", "double_len"])
+    return table(spark, sf, "documents").select("doc_id", "text").mapInArrow(
         double, "doc_id long, double_len long")
 
 
