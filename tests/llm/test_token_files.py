@@ -39,6 +39,34 @@ def test_encoder_equals_the_tokenizer(tokenizer, sample):
         assert ids[a:z].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_contractions_and_edges_of_texts(tokenizer):
+    enc = token_files.TextEncoder(vocabulary())
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(["'", "'", "s", "t", "r", "e", "v", "m", "l", "d", " ", "\n", "é", "×", "7", "日", '"']) for _ in range(rng.randrange(9))) for _ in range(6000)]
+    ids, counts = enc.encode(pa.array(["cut off", *texts]).slice(1))
+    ends = np.cumsum(counts)
+    for text, a, z in zip(texts, ends - counts, ends):
+        assert ids[a:z].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_equal_words_of_a_batch_are_looked_up_once():
+    enc = token_files.TextEncoder(vocabulary())
+    asked, words = [], enc.words
+    enc.words = lambda keys: asked.append(list(keys)) or words(keys)
+    enc.encode(pa.array(["house, house. (house) house's house", "a house; a house!\nhouse"]))
+    assert len(asked) == 1 and len(set(asked[0])) == len(asked[0]) and " house" in asked[0]
+
+
+def test_what_is_remembered_stays_bounded():
+    made = []
+    recent = token_files.Recent(4, lambda keys: made.extend(keys) or [k.encode() for k in keys])
+    assert recent(["a", "b", "a", "c"]) == [b"a", b"b", b"a", b"c"] and made == ["a", "b", "c"]
+    assert recent(["c", "d"]) == [b"c", b"d"] and recent(["a", "e"]) == [b"a", b"e"] and made == [*"abcde"]
+    for i in range(50):
+        recent([str(i)])
+    assert len(recent.young) + len(recent.old) <= 8
+
+
 def test_blocks_round_trip():
     rng = np.random.default_rng(5)
     big = np.iinfo(np.int64)

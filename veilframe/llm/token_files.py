@@ -18,7 +18,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -197,7 +196,10 @@ class FileReader:
 
 
 class Recent:
-    """Remembers what `make` gave for the keys asked for last; at least `size` of them, at most twice as many."""
+    """Remembers what `make` gave for the keys asked for last; at least `size` of them, at most twice as many and those of one call.
+
+    make takes a list of keys that are not known and gives a list.
+    """
 
     def __init__(self, size: int, make):
         self.size, self.make = size, make
@@ -206,27 +208,25 @@ class Recent:
     def __call__(self, keys: list[str]) -> list[bytes]:
         if len(self.young) >= self.size:
             self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        out = list(map(young.get, keys))
-        for i, v in enumerate(out):
-            if v is None:
-                key = keys[i]
-                v = young.get(key)
-                if v is None:
-                    v = old.get(key)
-                    young[key] = v = self.make(key) if v is None else v
-                out[i] = v
-        return out
+        out = list(map(self.young.get, keys))
+        missed = [k for k, v in zip(keys, out) if v is None]
+        if not missed:
+            return out
+        found = dict(zip(missed, map(self.old.get, missed)))
+        new = [k for k, v in found.items() if v is None]
+        found.update(zip(new, self.make(new)))
+        self.young.update(found)
+        return [found[k] if v is None else v for k, v in zip(keys, out)]
 
 
 class TextEncoder:
     """Token ids of whole texts, as little-endian uint32 bytes, equal to Tokenizer.encode without special tokens.
 
     With a byte-level tokenizer that splits by its own pattern and has no normaliser, no token crosses the place where a visible
-    run and the blank or line end before it begin: texts are cut there, and of equal pieces of a batch one is encoded. Pieces of ASCII and
-    Latin-1 letters are cut on by the tokenizer's pattern and go straight to its merge model, others through the whole
-    tokenizer; a bounded number is remembered. Texts with an added token, three spaces in a row or spaces of other kinds, and all
-    texts of other tokenizers, go through whole.
+    run and the blank or line end before it begin. There, texts are cut; pieces of ASCII and Latin-1 letters are cut on into the words
+    of the tokenizer's pattern, all at once from the kinds of their bytes. Of equal words of a batch one goes to the
+    merge model, other pieces go through the whole tokenizer; a bounded number is remembered. Texts with an added token, three
+    spaces in a row or spaces of other kinds, and all texts of other tokenizers, go through whole.
     """
 
     #: Spaces that are cut at in no special way, and signs that some versions of Unicode have as spaces.
@@ -248,28 +248,22 @@ class TextEncoder:
         added = "".join("|" + re.escape(t["content"]) for t in spec.get("added_tokens") or [])
         # a run of two spaces before a visible sign parts into its first one and the rest; longer runs and those at the end do not
         self.irregular = "[ \n]{3}|[ \n]{2}\\z|[" + self.ODD + "]" + added
-        letters = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-        self.foreign = f"[^\\t\\n\\r -~{letters}]"
-        self.parts = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[0-9]+| ?[^\\s0-9{letters}]+|\\s+(?!\\S)|\\s+").findall
+        self.foreign = "[^\\t\\n\\r -~A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]"
         # byte-level alphabet: printable bytes stand for themselves, the others follow from U+0100 on
         same = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = iter(range(256, 512))
         letter = [chr(b) if b in same else chr(next(rest)) for b in range(256)]
         self.alphabet = {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x100)}
-        self.words = Recent(CACHE, self._word)
-
-    def _word(self, word: str) -> bytes:
-        tokens = self.model.tokenize(word.translate(self.alphabet))
-        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        self.words = Recent(CACHE, self._merged)
 
-    def _pieces(self, pieces: list[str], foreign: list[bool]) -> list[bytes]:
-        """Ids of each piece: those of its words, or of the whole where it holds letters that are not cut here."""
-        parts = [[] if odd else self.parts(p) for p, odd in zip(pieces, foreign)]
-        words = iter(self.words([w for ws in parts for w in ws]))
-        out = [next(words) if len(ws) == 1 else b"".join(islice(words, len(ws))) for ws in parts]
-        for i in np.flatnonzero(foreign).tolist():
-            out[i] = self._whole(pieces[i]).astype("<u4").tobytes()
-        return out
+    def _merged(self, words: list[str]) -> list[bytes]:
+        tokenize, ids, ends = self.model.tokenize, [], [0]
+        # a tab is in no word that is cut here
+        for word in "\t".join(words).translate(self.alphabet).split(self.alphabet[9]) if words else ():
+            ids += [t.id for t in tokenize(word)]
+            ends.append(4 * len(ids))
+        data = np.array(ids, "<u4").tobytes()
+        return [data[a:z] for a, z in zip(ends, ends[1:])]
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -299,22 +293,76 @@ class TextEncoder:
         return out, lengths
 
     def _regular(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
-        begin = parts.offsets.to_numpy()
-        coded = parts.flatten().dictionary_encode()
-        index = coded.indices.to_numpy().astype(np.int64)
-        unique = coded.dictionary.to_pylist()
-        # a part stands behind a blank, but for line ends, which it brings along, and the first of a text
-        firsts = coded.dictionary.take(pa.array(index[begin[:-1]])).to_pylist()
-        index[begin[:-1]] = np.arange(len(unique), len(unique) + len(firsts))
-        foreign = pc.match_substring_regex(coded.dictionary, self.foreign).to_pylist()
-        foreign += pc.match_substring_regex(pa.array(firsts, pa.string()), self.foreign).to_pylist()
-        ids = self._pieces([p if p.startswith("\n") else " " + p for p in unique] + firsts, foreign)
+        ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        if ends[0] == ends[-1]:
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        data, ends = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0]:ends[-1]], ends - ends[0]
+        begin, odd = word_starts(data, ends)
+        words = pa.Array.from_buffers(pa.string(), len(begin), [None, pa.py_buffer(np.append(begin, len(data)).astype(np.int32)), pa.py_buffer(data)])
+        coded = words.dictionary_encode()
+        index, unique = coded.indices.to_numpy(), coded.dictionary
+        if odd:
+            foreign = pc.match_substring_regex(unique, self.foreign)
+            known = iter(self.words(_strings(unique.filter(pc.invert(foreign)))))
+            ids = [self._whole(w.as_py()).astype("<u4").tobytes() if f else next(known) for w, f in zip(unique, foreign.to_pylist())]
+        else:
+            ids = self.words(_strings(unique))
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
         count = size[index]
         out = flat[_spread((np.cumsum(size) - size)[index], count)]
-        return out, np.add.reduceat(count, begin[:-1])
+        return out, np.diff(np.r_[0, np.cumsum(count)][np.searchsorted(begin, ends)])
+
+
+_BLANK, _LINE, _LETTER, _DIGIT, _SIGN, _FOREIGN = range(6)
+_KINDS = np.array([_BLANK if c == " " else _LINE if c == "\n" else _LETTER if c.isalpha() else _DIGIT if c.isdigit() else _SIGN
+                   for c in map(chr, range(128))] + [_FOREIGN] * 128, np.uint8)
+
+
+def _strings(texts: pa.Array) -> list[str]:
+    """to_pylist(), made at once."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
+def word_starts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Where words begin in the UTF-8 bytes of texts that lie one behind the other, and whether a piece was left whole.
+
+    ends are 0 and the end of each text. Words are those of the byte-level pattern `'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|
+    \\s+(?!\\S)|\\s+`, for texts whose only spaces are blanks and line ends, at most two in a row and one at the end. Pieces between
+    spaces that hold other letters or signs than ASCII and the letters of Latin-1 stay whole.
+    """
+    n = len(data)
+    kind = _KINDS[data]
+    lead = np.flatnonzero(data == 0xC3)  # U+00C0 to U+00FF, of which the signs of multiplication and division are no letters
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    kind[lead] = kind[lead + 1] = _LETTER
+    first = np.zeros(n + 1, bool)
+    first[ends] = True
+    space = kind <= _LINE
+    cut = np.ones(n + 1, bool)
+    np.not_equal(kind[1:], kind[:-1], out=cut[1:-1])
+    cut[:-1] |= space
+    cut[1:-1] &= (kind[:-1] != _BLANK) | space[1:]  # a blank goes with the sign behind it
+    cut |= first
+    quote = np.flatnonzero((data == 0x27) & cut[:-1])
+    if len(quote):
+        after = np.r_[data, 0, 0]
+        one, two = after[quote + 1], after[quote + 2]
+        size = 2 * np.isin(one, list(b"stmd"))
+        size[((one == 0x72) | (one == 0x76)) & (two == 0x65) | (one == 0x6C) & (two == 0x6C)] = 3
+        size[first[quote + 1]] = 0
+        size[(size == 3) & first[np.minimum(quote + 2, n)]] = 0
+        quote, size = quote[size > 0], size[size > 0]
+        cut[quote + 1] = False
+        cut[quote + size] = True
+    foreign = kind == _FOREIGN
+    odd = bool(foreign.any())
+    if odd:
+        piece = np.flatnonzero(space | first[:-1])
+        whole = np.repeat(np.logical_or.reduceat(foreign, piece), np.diff(np.r_[piece, n]))
+        whole[piece] = False
+        cut[:-1] &= ~whole
+    return np.flatnonzero(cut[:-1]), odd
 
 
 def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
