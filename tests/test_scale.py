@@ -118,3 +118,29 @@ def test_map_batched_makes_no_python_texts(spark, tables):
     got = load().QUERIES["map_batched"](spark, tables)
     assert sorted(map(tuple, got.collect())) == [(i, None if t is None else 2 * len(t)) for i, t in DOCS]
     assert "MapInArrow" in plan(got)
+
+
+def test_directory_workers_hold_little(tmp_path):
+    """What stream_directory's Python workers hold: 4 bytes a position, about 1 MB of a file at a time, ranges cut without a list of names."""
+    import numpy as np
+    import pyarrow as pa
+
+    from veilframe.functions.detect import normalise_one
+    from veilframe.sources.publish import _runs
+    from veilframe.sources.ranges import RangeReader
+
+    norm, at = normalise_one("é①２ ﬁ" * 1000)
+    assert norm == "é12 fi" * 1000 and at.dtype == np.int32 and at.nbytes == 4 * len(norm)
+    assert at[:6].tolist() == [0, 1, 2, 3, 4, 4]
+
+    path, size = tmp_path / "a.txt", 0
+    with open(path, "w") as f:
+        for i in range(40_000):
+            size += f.write(f"{i:099d}\n")
+    reader = RangeReader({"path": str(tmp_path), "kind": "records", "split": str(64 << 20)})
+    batches = [b for p in reader.partitions() for b in reader.read(p)]
+    assert sum(b.num_rows for b in batches) == 40_000 and max(sum(map(len, b.column("text").to_pylist())) for b in batches) <= 1 << 20
+
+    rows = pa.RecordBatch.from_pydict({"file": ["a", "a", "a", "b", "b"], "block": [0, 0, 7, 7, 7]})
+    assert [(k, p.num_rows) for k, p in _runs(rows)] == [(("a", 0), 2), (("a", 7), 1), (("b", 7), 2)]
+    assert [*_runs(rows.slice(0, 0))] == [] and [(k, p.num_rows) for k, p in _runs(rows.slice(0, 1))] == [(("a", 0), 1)]

@@ -23,6 +23,7 @@ SEGMENT = ("file string, block long, staged string, bytes long, records long, bl
            "seconds double, error_type string")
 MANIFEST = ("input string, output string, status string, records long, blank_records long, chars long, max_record_chars long, "
             "seconds double, records_per_second double, error_type string")
+_ROWS = 1000  # written at a time
 
 
 class Staged(WriterCommitMessage):
@@ -87,12 +88,11 @@ class StageWriter(DataSourceArrowWriter):
 
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
-    files, blocks = batch.column("file").to_pylist(), batch.column("block").to_pylist()
-    lo = 0
-    for i in range(1, len(files) + 1):
-        if i == len(files) or files[i] != files[lo] or blocks[i] != blocks[lo]:
-            yield (files[lo], blocks[lo]), batch.slice(lo, i - lo)
-            lo = i
+    files, blocks, n = batch.column("file"), batch.column("block"), batch.num_rows
+    new = pc.or_(pc.not_equal(files[1:], files[:-1]), pc.not_equal(blocks[1:], blocks[:-1])) if n > 1 else pa.array([], pa.bool_())
+    cuts = [*pc.indices_nonzero(new).to_pylist(), n - 1] if n else []
+    for lo, last in zip([0, *(c + 1 for c in cuts)], cuts):
+        yield (files[lo].as_py(), blocks[lo].as_py()), batch.slice(lo, last + 1 - lo)
 
 
 def _add(segment: dict, stream, rows: pa.RecordBatch) -> None:
@@ -107,9 +107,11 @@ def _add(segment: dict, stream, rows: pa.RecordBatch) -> None:
     segment["chars"] += pc.sum(real.column("chars")).as_py()
     segment["max_record_chars"] = max(segment["max_record_chars"], pc.max(real.column("chars")).as_py())
     if not segment["error_type"]:
-        data = "".join(x for pair in zip(real.column("out").to_pylist(), real.column("eol").to_pylist()) for x in pair).encode()
-        stream.write(data)
-        segment["bytes"] += len(data)
+        for lo in range(0, real.num_rows, _ROWS):
+            part = real.slice(lo, _ROWS)
+            data = "".join(x for pair in zip(part.column("out").to_pylist(), part.column("eol").to_pylist()) for x in pair).encode()
+            stream.write(data)
+            segment["bytes"] += len(data)
 
 
 def stage(rows: DataFrame, out: str) -> str:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SPLIT_BYTES = 64 << 20
-CHUNK = 4 << 20
+CHUNK = 1 << 20  # a reader holds the lines, the records and the batch of so many bytes
 BOM = b"\xef\xbb\xbf"
 
 
