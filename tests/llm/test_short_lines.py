@@ -51,3 +51,20 @@ def test_the_order_of_tokens_is_counted_over_every_line(spark, monkeypatch):
     df = spark.range(120_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("line number "), F.col("id").cast("string"), F.lit("\n \nend")).alias("text"))
     line_dedup.removals(df)
     assert seen == [240_000]
+
+
+def test_lines_move_once(spark):
+    """All lines meet their classes in one shuffle, not in one for the classes and one to look them up; copied rows stay one document."""
+    import io
+    from contextlib import redirect_stdout
+
+    text = "one two three four five six seven eight\nalone in here"
+    df = spark.createDataFrame([(2, text), (2, text), (None, text), (1, text + "\ntail of it"), (3, "one two three four five six seven eight nine")],
+                               "doc_id long, text string")
+    gone = line_dedup.removals(df)
+    with redirect_stdout(io.StringIO()) as plan:
+        gone.explain()
+    # before, the classes were made by an aggregation that shuffled a row per line beside the shuffle of the lines themselves
+    assert "partial_min(struct(id" not in plan.getvalue() and "Window [count(1)" in plan.getvalue()
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.n_removed, r.text) for r in line_dedup.dedup_lines(df).collect())
+    assert got == [(False, 0, 0, text), (True, 1, 2, "tail of it"), (True, 2, 2, ""), (True, 2, 2, ""), (True, 3, 1, "")]

@@ -127,20 +127,31 @@ def _removals(docs: DataFrame, base: DataFrame, id_col: str, text_col: str, num:
     parts = docs.select(*_keys(id_col, text_col), F.col(id_col).alias("id"), split_lines(F.col(text_col)).alias("_parts"))
     lines = parts.select(*KEY, "id", F.posexplode("_parts").alias("line", "_line")).filter(_has_word(F.col("_line")))
     sketch = rarity_sketch(lines, k)
+    at = F.shiftleft(F.col("line").cast("long"), 16).bitwiseOR(F.col(KEY[1])).alias("at")
     named = lines.withColumn("_line", normal(F.col("_line"))).select(
-        *KEY, "id", "line", F.xxhash64("_line").alias("_s"), F.length("_line").alias("_len"), _few_tokens(F.col("_line"), num, den, k).alias("few"))
-    classes = named.groupBy(*_LINE).agg(F.min(F.struct(*_AT, KEY[1], "few")).alias("_first")).select(*_LINE, "_first.*")
+        F.xxhash64("_line").alias("_s"), F.length("_line").alias("_len"),
+        F.struct("id", KEY[0], at, _few_tokens(F.col("_line"), num, den, k).alias("few")).alias("_v"))
+    # every line moves once, its number and the second key as one: in the order of its class the first one is the class, the others go
+    so_far = Window.partitionBy(*_LINE).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = named.withColumn("_nth", F.count(F.lit(1)).over(so_far)).withColumn("_first", F.first("_v").over(so_far))
+    place = [F.shiftright("at", 16).cast("int").alias("line"), F.col("at").bitwiseAND(F.lit(65535)).cast("int").alias(KEY[1])]
+    classes = ordered.filter("_nth = 1").select(*_LINE, "_v.*").select(*_LINE, "id", KEY[0], *place, "few")
+    later = ordered.filter(_place_of("_v") != _place_of("_first")).select(_place_of("_v").alias("_v")).select("_v.*").select(KEY[0], *place)
     # the first line of every class, read from the texts where they have been moved to
     first = _sets_of(base, classes.groupBy(*KEY).agg(F.collect_list("line").alias("_l")).select(
         *KEY, F.transform("_l", lambda x: F.struct(x.alias("line"))).alias("_wanted")), sketch, id_col, text_col, k)
     n = F.size("_r")
     sets = first.select(*_LINE, n.alias("n"), F.slice("_r", F.lit(1), n - F.floor((num * n + den - 1) / den).cast("int") + 1).alias("prefix"))
     similar = _similar(sets.filter(~_few(F.col("n"), num, den)), classes, base, id_col, text_col, sketch, num, den, k).union(_same_few(classes))
-    state = classes.select(*_LINE, F.struct(*KEY, "line").alias("_first")).join(similar.withColumn("_similar", F.lit(True)), _LINE, "left")
-    gone = named.select(*KEY, "line", *_LINE).join(state, _LINE).filter(F.coalesce("_similar", F.lit(False)) | (F.struct(*KEY, "line") != F.col("_first")))
+    gone = later.select(*KEY, "line").union(classes.join(similar, _LINE, "left_semi").select(*KEY, "line"))
     return gone.groupBy(*KEY).agg(F.collect_set("line").alias("removed"))
 
 
+def _place_of(at: str) -> Column:
+    """Document and line: a row that comes twice is one document, so its lines are not removed for each other."""
+    return let(F.col(at), lambda v: F.struct(v[KEY[0]].alias(KEY[0]), v["at"].alias("at")))
+
+
 def _few(n: Column, num: int, den: int) -> Column:
     """Whether a set of n tokens is so small that no other set is similar enough."""
     return n * (den - num) < num
@@ -172,8 +183,10 @@ def _same_few(classes: DataFrame) -> DataFrame:
 def _similar(sets: DataFrame, classes: DataFrame, base: DataFrame, id_col: str, text_col: str, sketch: DataFrame, num: int, den: int,
              k: int) -> DataFrame:
     """Classes whose first line has an earlier similar line of another class."""
-    # one number stands for a class while it travels with its tokens; the classes themselves stay apart
-    number = F.xxhash64(*_LINE).bitwiseAND(F.lit((1 << 56) - 1)).alias("_c")
+    # one number stands for a class while it travels with its tokens; the classes themselves stay apart, so classes that share it only
+    # make more candidates, which are compared whole; it loses a pair if just these two are similar, one in 2 ** 40.
+    # the 24 bits that are not used are the low ones: they come first in a row and are packed with the zeros before them
+    number = F.xxhash64(*_LINE).bitwiseAND(F.lit(-1 << 24)).alias("_c")
     rows = sets.select(number, "n", F.posexplode("prefix").alias("i", "token")).select(
         "_c", "token", _at(F.col("n"), F.col("i")).alias("at"))
     shared = rows.alias("x").join(rows.alias("y"), _may_match(num, den) & (F.col("x._c") != F.col("y._c")), "left_semi")
@@ -185,11 +198,13 @@ def _similar(sets: DataFrame, classes: DataFrame, base: DataFrame, id_col: str,
     wanted = classes.select(*KEY, "line", number).join(places, "_c").groupBy(*KEY).agg(
         F.collect_list(F.struct("line", "_places")).alias("_wanted"))
     full = _sets_of(base, wanted, sketch, id_col, text_col, k).select(*_LINE, F.struct(*_AT).alias("_at"), "_places", "_r")
-    side = full.select(*_LINE, "_at", "_r", F.explode_outer("_places").alias("_p")).select(*_LINE, "_at", "_r", "_p.*")
+    side = full.select(*_LINE, "_at", "_r", F.explode_outer("_places").alias("_p")).select(
+        *_LINE, "_at", F.slice("_r", _place("_p.at").cast("int") + 1, F.size("_r")).alias("_r"), "_p.*")
+    # a pair is judged at its first common token: what stands before it in either set is not in the other
     overlap = F.size(F.array_intersect("x._r", "y._r"))
     other = (F.col("x._s") != F.col("y._s")) | (F.col("x._len") != F.col("y._len"))
     near = (_may_match(num, den) & other & (F.col("y._at") < F.col("x._at"))
-            & (overlap * (num + den) >= (F.size("x._r") + F.size("y._r")) * num))
+            & (overlap * (num + den) >= (_size("x.at") + _size("y.at")) * num))
     return side.alias("x").join(side.alias("y"), near, "left_semi").select(*_LINE).distinct()
 
 
