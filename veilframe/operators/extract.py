@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from itertools import chain
 from typing import NamedTuple
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veilframe.functions.fold import let, scan
 from veilframe.session import materialise, small
@@ -304,81 +309,153 @@ class Machine:
         self.groups[c["group"]] = Group(words, tails, bool(c["reverse"]), c.get("rel_group") or (old.relative if old else None))
         self.triggers |= {w: (c["group"], c["trig_type"] == "role") for w in c["trig_word"]}
 
-    def tail_at(self, items: list[tuple[str, str]], at, group: Group):
-        """(place, support tags) of the first item of `at` that may be a tail; None behind a stop or another head."""
-        for q in at:
-            item, tag = items[q]
-            if item in TAIL_STOPS:
-                return None
-            for n, (main, support) in enumerate(group.tails):
-                if of_kind(tag, main):
-                    return q, main, support
-                if n == 0 and tag.startswith(self.head):
-                    return None
-        return None
-
-    def relations(self, items: list[tuple[str, str]], h: int):
-        """(group, source, tails, trigger words, support) of the head at h."""
-        p, done = h + 1, h
-        while p < len(items):
-            name, is_tail = self.triggers.get(items[p][0], (None, False))
-            if name is None:
-                p += 1
-                continue
-            group = self.groups[name]
-            if is_tail:
-                kind = next((t for t in group.tails if of_kind(items[p][1], t[0])), None)
-                if kind is None or any(tag == items[h][1] for _, tag in items[h + 1:p + 1]):
-                    p += 1
-                    continue
-                tails = together(items, p, 1, len(items), lambda x: of_kind(x[1], kind[0]))  # noqa: B023
-                yield name, "TAIL", tails, [], support(items, range(p, h, -1), kind[1])
-                done = tails[-1]
-                p = done + 1
-                continue
-            triggers = together(items, p, 1, len(items), lambda x: x[0] in group.words)  # noqa: B023
-            last = triggers[-1]
-            found = self.tail_at(items, range(last + 1, len(items)), group) if last + 2 < len(items) else None
-            if found:
-                at, main, kinds = found
-                tails = together(items, at, 1, len(items), lambda x: of_kind(x[1], main))  # noqa: B023
-                yield name, "HGT", tails, triggers, support(items, range(at - 1, h, -1), kinds)
-                done = tails[-1]
-                p = done + 1
-                continue
-            if last - h > len(triggers) and (found := self.tail_at(items, range(p, done, -1), group)):
-                at, main, kinds = found
-                tails = together(items, at, -1, h, lambda x: of_kind(x[1], main))  # noqa: B023
-                yield name, "HTG", tails, triggers, support(items, range(last - 1, done, -1), kinds)
-                done = last
-            p = last + 1
-
 
 def of_kind(tag: str, wanted: frozenset[str]) -> bool:
     return tag in wanted or tag.split("_")[0] in wanted
 
 
-def together(items: list[tuple[str, str]], at: int, step: int, end: int, fits) -> list[int]:
+class Tokens:
+    """Items and tags of sentences laid end to end, as codes: a test is made once for each different word or tag."""
+
+    def __init__(self, items: pa.Array, tags: pa.Array):
+        (self.item, self.items), (self.tag, tags) = coded(items), coded(tags)
+        self.tags = tags.to_pylist()
+        dates = [i for i in places(pc.match_substring(self.items, "年")) if re.fullmatch(DATE, self.items[i].as_py())]
+        if dates:
+            if DATE_TAG not in self.tags:
+                self.tags.append(DATE_TAG)
+            self.tag[np.isin(self.item, dates)] = self.tags.index(DATE_TAG)
+        self.sign, self.end = self.item_in(JOINING_SIGNS), self.item_in(TAIL_STOPS)
+        self.joins = self.sign | (self.item_in(JOINING_WORDS) & self.tag_is(JOINING_TAG.__eq__))
+        self.support_stops = places(self.item_in({SUPPORT_STOP}))
+
+    def item_in(self, words) -> np.ndarray:
+        return pc.is_in(self.items, pa.array([*words], pa.string())).to_numpy(zero_copy_only=False)[self.item]
+
+    def tag_is(self, test) -> np.ndarray:
+        return np.fromiter(map(test, self.tags), bool, len(self.tags))[self.tag]
+
+    def runs(self, fits: np.ndarray) -> bytes:
+        """Of every place whether a run of items that fit takes it (1), passes over it (2) or ends before it (0)."""
+        return np.where(self.sign, 2, np.where(fits, 1, np.where(self.joins, 2, 0))).astype(np.uint8).tobytes()
+
+
+def coded(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    codes = pc.fill_null(texts.cast(pa.string()), "").dictionary_encode()
+    return np.array(codes.indices), codes.dictionary
+
+
+def places(flags) -> list[int]:
+    return np.flatnonzero(flags).tolist()
+
+
+def together(runs: bytes, at: int, step: int, end: int) -> list[int]:
     """Places of the items from `at` on that fit and stand side by side, signs and words that join them left out."""
     out, p = [at], at + step
-    while p != end:
-        item, tag = items[p]
-        if fits(items[p]) and item not in JOINING_SIGNS:
+    while p != end and (kind := runs[p]):
+        if kind == 1:
             out.append(p)
-        elif not (item in JOINING_SIGNS or (item in JOINING_WORDS and tag == JOINING_TAG)):
-            break
         p += step
     return out
 
 
-def support(items: list[tuple[str, str]], at: range, tags: tuple[str, ...]) -> list[int]:
-    out = []
-    for q in at:
-        if items[q][0] == SUPPORT_STOP:
-            break
-        if items[q][1].startswith(tags):
-            out.append(q)
-    return out
+class Step(NamedTuple):
+    """What a machine finds at a trigger. right and left: (place, support tags, tails), the left one's tails as far as the sentence goes."""
+    group: str
+    is_tail: bool
+    triggers: list[int]
+    last: int
+    right: tuple[int, tuple[str, ...], list[int]] | None
+    left: tuple[int, tuple[str, ...], list[int]] | None
+    behind: int  # the next trigger behind what is on the right
+    after: int  # the next trigger
+
+
+class Walk:
+    """A machine over tokens. What it finds at a trigger does not depend on the head, so it is found once for all heads before it."""
+
+    def __init__(self, machine: Machine, tokens: Tokens):
+        self.machine, self.tokens, self.size = machine, tokens, len(tokens.item)
+        self.triggers = [*places(tokens.item_in(machine.triggers)), self.size]
+        self.steps: dict[int, Step] = {}
+        self.known: dict = {}
+
+    def once(self, key, make):
+        if key not in self.known:
+            self.known[key] = make()
+        return self.known[key]
+
+    def next_trigger(self, at: int) -> int:
+        return self.triggers[bisect_left(self.triggers, at)]
+
+    def tail_runs(self, name: str, n: int) -> bytes:
+        main = self.machine.groups[name].tails[n][0]
+        return self.once(("tails", name, n), lambda: self.tokens.runs(self.tokens.tag_is(lambda tag: of_kind(tag, main))))
+
+    def tails_of(self, name: str) -> tuple[list[int], list[int]]:
+        """Places at which a search for a tail ends, and the kind of tail there: none (-1) at a stop or another head."""
+        group, t = self.machine.groups[name], self.tokens
+
+        def kind(tag: str) -> int:
+            fits = next((n for n, (main, _) in enumerate(group.tails) if of_kind(tag, main)), -2)
+            return -1 if fits and group.tails and tag.startswith(self.machine.head) else fits
+
+        kinds = np.where(t.end, -1, np.array([*map(kind, t.tags)], np.int64)[t.tag])
+        at = places(kinds > -2)
+        return at, kinds[at].tolist()
+
+    def step(self, p: int, lo: int, end: int) -> Step:
+        """What is found at the trigger at p of the sentence from lo to end."""
+        name, is_tail = self.machine.triggers[self.tokens.items[self.tokens.item[p]].as_py()]
+        group, right, left = self.machine.groups[name], None, None
+        found = lambda q, n, step, stop: (q, group.tails[n][1], together(self.tail_runs(name, n), q, step, stop))
+        if is_tail:
+            triggers, last, tag = [], p, self.tokens.tags[self.tokens.tag[p]]
+            kind = next((n for n, (main, _) in enumerate(group.tails) if of_kind(tag, main)), None)
+            right = found(p, kind, 1, end) if kind is not None else None
+        else:
+            triggers = together(self.once(("triggers", name), lambda: self.tokens.runs(self.tokens.item_in(group.words))), p, 1, end)
+            last = triggers[-1]
+            at, kinds = self.once(("ends", name), lambda: self.tails_of(name))
+            i = bisect_left(at, last + 1)
+            if last + 2 < end and i < len(at) and at[i] < end and kinds[i] >= 0:
+                right = found(at[i], kinds[i], 1, end)
+            i = bisect_right(at, p) - 1
+            if right is None and i >= 0 and at[i] >= lo and kinds[i] >= 0:
+                left = found(at[i], kinds[i], -1, lo - 1)
+        self.steps[p] = step = Step(name, is_tail, triggers, last, right, left, self.next_trigger(right[2][-1] + 1) if right else self.size, self.next_trigger(last + 1))
+        return step
+
+    def tag_again(self, h: int) -> int:
+        """The next place with the tag of the head at h."""
+        tag = self.tokens.tag[h]
+        same = self.once(("tag", int(tag)), lambda: [*places(self.tokens.tag == tag), self.size])
+        return same[bisect_right(same, h)]
+
+    def support(self, tags: tuple[str, ...], above: int, below: int) -> list[int]:
+        """Places of support between the two, from the last one to where it stops."""
+        if not tags:
+            return []
+        stops = self.tokens.support_stops
+        if i := bisect_left(stops, below):
+            above = max(above, stops[i - 1])
+        at = self.once(("support", tags), lambda: places(self.tokens.tag_is(lambda tag: tag.startswith(tags))))
+        return at[bisect_right(at, above):bisect_left(at, below)][::-1]
+
+    def relations(self, h: int, lo: int, end: int):
+        """(group, source, tails, trigger words, support) of the head at h of the sentence from lo to end."""
+        p, done = self.next_trigger(h + 1), h
+        while p < end:
+            name, is_tail, triggers, last, right, left, behind, after = self.steps.get(p) or self.step(p, lo, end)
+            if right and not (is_tail and self.tag_again(h) <= p):
+                at, kinds, tails = right
+                yield name, "TAIL" if is_tail else "HGT", tails, triggers, self.support(kinds, h, at + is_tail) if kinds else []
+                done, p = tails[-1], behind
+                continue
+            if left and left[0] > done and last - h > len(triggers):
+                yield name, "HTG", [q for q in left[2] if q > h], triggers, self.support(left[1], done, last)
+                done = last
+            p = after
 
 
 def machines(configs: list[dict]) -> dict[str, Machine]:
@@ -389,6 +466,79 @@ def machines(configs: list[dict]) -> dict[str, Machine]:
 
 
 _PLACE = "struct<pos:int,item:string,tag:string>"
+_FOUND = f"group string, src string, head {_PLACE}, tails array<{_PLACE}>, triggers array<{_PLACE}>, support array<{_PLACE}>"
+_PIECE, _ROWS = 1 << 17, 1 << 13  # fixed values: about so many tokens are looked at together; a batch has so many relations or eight times the places
+
+
+class Relations:
+    """Relations found in sentences from `starts` on, and their columns."""
+
+    def __init__(self, tokens: Tokens, starts: np.ndarray):
+        self.tokens, self.starts, self.tags = tokens, starts, pa.array(tokens.tags, pa.string())
+        self.rows: list[tuple] = []
+        self.places = 0
+
+    def add(self, row: int, name: str, src: str, head: int, *parts: list[int]) -> bool:
+        """True if there are enough for a batch."""
+        self.rows.append((row, name, src, head, *parts))
+        self.places += len(parts[0]) + len(parts[1]) + len(parts[2])
+        return len(self.rows) >= _ROWS or self.places >= 8 * _ROWS
+
+    def structs(self, at: np.ndarray, row: np.ndarray) -> pa.StructArray:
+        return pa.StructArray.from_arrays([pa.array((at - self.starts[row]).astype(np.int32)), self.tokens.items.take(pa.array(self.tokens.item[at])),
+                                           self.tags.take(pa.array(self.tokens.tag[at]))], ["pos", "item", "tag"])
+
+    def lists(self, of: tuple[list[int], ...], row: np.ndarray) -> pa.ListArray:
+        n = np.fromiter(map(len, of), np.int64, len(of))
+        at = np.fromiter(chain.from_iterable(of), np.int64, n.sum())
+        return pa.ListArray.from_arrays(pa.array(np.append(0, n.cumsum()).astype(np.int32)), self.structs(at, row.repeat(n)))
+
+    def taken(self) -> tuple[np.ndarray, list[pa.Array]]:
+        """The sentence of each relation and their columns; then there are none."""
+        row, name, src, head, *parts = zip(*self.rows)
+        row, head = np.array(row), np.array(head)
+        self.rows, self.places = [], 0
+        return row, [pa.array(name, pa.string()), pa.array(src, pa.string()), self.structs(head, row), *[self.lists(x, row) for x in parts]]
+
+
+def pieces(lengths: np.ndarray):
+    """(first, behind the last) sentence of each piece of about _PIECE tokens."""
+    ends, lo = lengths.cumsum(), 0
+    while lo < len(lengths):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _PIECE, "right")))
+        yield lo, hi
+        lo = hi
+
+
+def relations_of(sentences: pa.Array, by_head: dict[str, Machine]):
+    """(sentence of each, columns) of the relations in sentences that are arrays of item and tag, some thousands at a time."""
+    lengths = np.array(pc.fill_null(pc.list_value_length(sentences), 0))
+    for first, behind in pieces(lengths):
+        flat = sentences.slice(first, behind - first).flatten()
+        if not len(flat):
+            continue
+        tokens = Tokens(pc.struct_field(flat, "item"), pc.struct_field(flat, "tag"))
+        bounds = np.append(0, lengths[first:behind].cumsum())
+        walks = {m.head: w for m in by_head.values() if len((w := Walk(m, tokens)).triggers) > 1}
+        machine = [by_head.get(tag) or by_head.get(tag.split("_")[0]) for tag in tokens.tags]
+        heads = np.flatnonzero(np.array([m is not None and m.head in walks for m in machine], bool)[tokens.tag])
+        rows = np.searchsorted(bounds, heads, "right") - 1
+        found = Relations(tokens, bounds)
+        for h, row, lo, end, tag in zip(heads.tolist(), rows.tolist(), bounds[rows].tolist(), bounds[rows + 1].tolist(), tokens.tag[heads].tolist()):
+            m = machine[tag]
+            for name, src, tails, triggers, helped in walks[m.head].relations(h, lo, end):
+                group = m.groups[name]
+                turned = tails if group.relative or group.reverse else ()
+                for t in turned:
+                    if found.add(row, group.relative or name, "REVERSE" if group.relative else src, t, [h], triggers, helped):
+                        at, columns = found.taken()
+                        yield at + first, columns
+                if not group.reverse and found.add(row, name, src, h, tails, triggers, helped):
+                    at, columns = found.taken()
+                    yield at + first, columns
+        if found.rows:
+            at, columns = found.taken()
+            yield at + first, columns
 
 
 def mine_relations(sentences: DataFrame, key: str, items: str, configs: list[dict]) -> DataFrame:
@@ -398,31 +548,18 @@ def mine_relations(sentences: DataFrame, key: str, items: str, configs: list[dic
     support tags), reverse and, if the other direction has a name, rel_group. A tag fits by itself or by what stands before its
     first _. Every head looks for triggers behind it: a tail is to the right of the trigger (src HGT), else between head and
     trigger (HTG), or the trigger itself (TAIL); items joined by a sign or a conjunction belong together. Turned relations have a
-    row per tail. Dates count as times whatever their tag. Runs in the row; a null or empty sentence has no relations.
+    row per tail. Dates count as times whatever their tag. A null or empty sentence has no relations. No shuffle; a task holds one
+    Arrow batch, the codes of some sentences of it and some thousands of their relations.
     """
     by_head = machines(configs)
-    kind = f"array<struct<group:string,src:string,head:{_PLACE},tails:array<{_PLACE}>,triggers:array<{_PLACE}>,support:array<{_PLACE}>>>"
-
-    def of_sentence(tokens) -> list[dict]:
-        tokens = [(x["item"] or "", x["tag"] or "") for x in tokens]
-        tokens = [(item, DATE_TAG if re.fullmatch(DATE, item) else tag) for item, tag in tokens]
-        place = lambda p: {"pos": p, "item": tokens[p][0], "tag": tokens[p][1]}
-        out = []
-        for h, (_, tag) in enumerate(tokens):
-            m = by_head.get(tag) or by_head.get(tag.split("_")[0])
-            for name, src, tails, triggers, helped in m.relations(tokens, h) if m else ():
-                group = m.groups[name]
-                row = {"triggers": [place(p) for p in triggers], "support": [place(p) for p in helped]}
-                if group.relative or group.reverse:
-                    out += [{"group": group.relative or name, "src": "REVERSE" if group.relative else src, "head": place(t), "tails": [place(h)], **row}
-                            for t in tails]
-                if not group.reverse:
-                    out.append({"group": name, "src": src, "head": place(h), "tails": [place(t) for t in tails], **row})
-        return out
+    rows = sentences.select(F.col(key).alias("_key"), F.col(items).alias("_items"))
+    schema = T.StructType([rows.schema["_key"], *T.StructType.fromDDL(_FOUND)])
+    names = schema.names
 
-    @F.pandas_udf(kind)
-    def mine(rows: pd.Series) -> pd.Series:
-        return pd.Series([None if r is None else of_sentence(r) for r in rows], dtype=object)
+    def run(batches):
+        for batch in batches:
+            for at, columns in relations_of(batch.column(1), by_head):
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), *columns], names)
 
-    found = sentences.select(key, mine.asNondeterministic()(items).alias("_r")).select(key, F.explode("_r").alias("r"))
-    return found.select(key, "r.*")
+    found = rows.mapInArrow(run, schema)
+    return found.select(F.col("_key").alias(key), *names[1:])

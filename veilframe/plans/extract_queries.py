@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veilframe.functions import text as T
+from veilframe.functions.fold import let
 from veilframe.functions.spans import regex_spans
 from veilframe.operators import annotation as N
 from veilframe.operators import extract as X
@@ -251,8 +252,12 @@ def mine_relations(spark, sf):
     # of a head's relations the one whose trigger is the first word 'the' behind it, with no other head between
     first = found.where("src = 'HGT'").select("doc_id", F.col("head.pos").cast("long").alias("head_pos"), F.col("head.item").alias("head"),
                                               F.col("triggers")[0]["pos"].alias("trig"), F.col("tails")[0]["pos"].cast("long").alias("tail_pos"))
-    between = F.slice("w", (F.col("head_pos") + 2).cast("int"), (F.col("trig") - F.col("head_pos") - 1).cast("int"))
-    return first.join(w, "doc_id").where(~F.exists(between, lambda x: (F.length(x) == 7) | (x == "the"))).select("doc_id", "head_pos", "head", "tail_pos")
+    # numbers before each place, and behind the last, of the words that end it
+    ends = F.array_compact(F.transform("w", lambda x, i: F.when((F.length(x) == 7) | (x == "the"), i)))
+    runs = let(ends, lambda e: F.zip_with(F.concat(F.array(F.lit(-1)), e), F.concat(e, F.array(F.size("w"))), lambda a, b: b - a))
+    before = w.select("doc_id", F.flatten(F.transform(runs, lambda n, i: F.array_repeat(i, n))).alias("before"))
+    upto = lambda place: F.get("before", F.least(place.cast("int"), F.size("before") - 1))
+    return first.join(before, "doc_id").where(upto(F.col("trig")) == upto(F.col("head_pos") + 1)).select("doc_id", "head_pos", "head", "tail_pos")
 
 
 @query("pair_cosine", """SELECT a.vec_id, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) / (sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[])) * sqrt(list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[]))), 6) AS cosine
